@@ -30,6 +30,7 @@ def local_session(cores: str = "8", name: str = "gridpanel") -> SparkSession:
         SparkSession.builder.master(f"local[{cores}]")
         .appName(name)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", cores)
         .config("spark.driver.memory", "12g")
         .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="gridpanel-wh-"))
