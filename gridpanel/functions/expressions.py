@@ -157,3 +157,20 @@ def normal_quantile(p: ColumnLike) -> Column:
         .when(p > 1 - low, -outer)
         .otherwise(inner)
     )
+
+
+def normal_tail(z: ColumnLike) -> Column:
+    """Upper tail of the standard normal distribution for z >= 0.
+
+    Power series near the centre, the classical continued fraction further out.
+    """
+    z = as_column(z).cast("double")
+    density = F.exp(z * z * -0.5) * 0.3989422804014327
+    step = lambda s, i: F.struct(
+        (s["t"] * z * z / (2 * i + 1)).alias("t"), (s["s"] + s["t"] * z * z / (2 * i + 1)).alias("s")
+    )
+    series = F.aggregate(
+        F.sequence(F.lit(1), F.lit(60)), F.struct(z.alias("t"), z.alias("s")), step, lambda s: s["s"]
+    )
+    fraction = F.aggregate(F.sequence(F.lit(80), F.lit(1), F.lit(-1)), z, lambda a, i: z + F.try_divide(i, a))
+    return F.when(z < 2.5, 0.5 - density * series).otherwise(density / fraction)

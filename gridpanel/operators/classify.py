@@ -2,27 +2,19 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
-import pandas as pd
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from gridpanel.functions.expressions import quoted, ratio
+from gridpanel.functions.expressions import normal_tail, quoted, ratio
 from gridpanel.operators.neighbors import knn_vectors
 from gridpanel.operators.ordered import exact_quantiles, running, to_long
 
 
-@F.pandas_udf("double")
-def _two_sided(z: pd.Series) -> pd.Series:
-    """Normal tail for a frame with one row per feature; Spark has no erfc."""
-    return z.map(lambda v: math.erfc(abs(v) / math.sqrt(2.0)) if v == v else None)
-
-
 def rank_sum_test(df: DataFrame, group: str, columns: Sequence[str], positive=1, **how) -> DataFrame:
     """Two-sided rank-sum test and both medians per column.
 
@@ -46,7 +38,7 @@ def rank_sum_test(df: DataFrame, group: str, columns: Sequence[str], positive=1,
     var = n1 * n2 / 12.0 * (F.col("nn") + 1 - ratio(F.col("ties"), F.col("nn") * (F.col("nn") - 1)))
     z = ratio(F.greatest(u1, n1 * n2 - u1) - n1 * n2 / 2.0 - 0.5, F.sqrt(var))
     out = stats.select("feature", u1.alias("u"), z.alias("z"))
-    out = out.withColumn("p_value", F.least(_two_sided(F.greatest("z", F.lit(0.0))), F.lit(1.0)))
+    out = out.withColumn("p_value", F.least(2.0 * normal_tail(F.greatest("z", F.lit(0.0))), F.lit(1.0)))
     medians = exact_quantiles(long, ["feature", "__g"], "value", {"m": 0.5}, **how)
     wide = medians.groupBy("feature").agg(
         F.max(F.when(F.col("__g") == 1, F.col("m"))).alias("median_with"),
