@@ -31,6 +31,7 @@ FIRST, LAST = 2001, 2022
 
 # Ids of the independent cities that keep a code of their own.
 INDEPENDENT_CITIES = [c for c in CITY_PARENTS if c < "51900" and c != "51560"]
+CITIES_ONLY = {c: CITY_PARENTS[c] for c in INDEPENDENT_CITIES}
 
 
 def mainland(df: DataFrame) -> DataFrame:
@@ -83,7 +84,7 @@ def clean_population(lines: DataFrame) -> DataFrame:
         T: (0, 0, 4, "int"), E: (0, -5, None, "string"), "population": (1, -8, None, "long"),
     })
     df = filter_years(df, T, FIRST, LAST)
-    df = remap_codes(df, E, {**CITY_PARENTS, "51917": "51019", "46113": "46102"})
+    df = remap_codes(df, E, {**CITIES_ONLY, "51917": "51019", "46113": "46102"})
     return mainland(agg_sum(df, [T, E], ["population"]))
 
 
@@ -101,7 +102,7 @@ def clean_permits(raw: DataFrame, years: Sequence[int]) -> DataFrame:
     df = wide_to_long(df, ["state", "county"], PERMIT_STUBS, years)
     df = df.withColumn(E, build_key(["state", "county"], [2, 3])).drop("state", "county")
     df = filter_years(coerce_numeric(df, PERMIT_STUBS, "long"), T, FIRST, LAST)
-    return rollup_children(mainland(remap_codes(df, E, CITY_PARENTS)), COUNTY_PARENTS, E, T)
+    return rollup_children(mainland(remap_codes(df, E, CITIES_ONLY)), COUNTY_PARENTS, E, T)
 
 
 def clean_unemployment(raw: DataFrame) -> DataFrame:

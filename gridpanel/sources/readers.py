@@ -73,7 +73,7 @@ def read_yearly_files(
     spark: SparkSession, paths: Mapping[str, Sequence[str]] | str, year_pattern: str, century: int = 0,
     names: Mapping[str, str] | None = None, sep: str = ",", encoding: str = "UTF-8",
 ) -> DataFrame:
-    """One file per period, stacked, the period taken from the file name.
+    """One file per period, stacked, the period taken from the file's path.
 
     ``paths`` is a glob, or header variants mapped to their paths when the
     layout drifts; each variant is one scan whatever its number of files.
@@ -83,7 +83,7 @@ def read_yearly_files(
     def one(group: Sequence[str]) -> DataFrame:
         raw = read_delimited(spark, list(group), None, sep, encoding)
         raw = raw.select(*[F.col(quoted(c)).alias(c.lower()) for c in raw.columns],
-                         F.regexp_extract(F.col("_metadata.file_name"), year_pattern, 1).alias("__y"))
+                         F.regexp_extract(F.col("_metadata.file_path"), year_pattern, 1).alias("__y"))
         raw = raw.withColumnsRenamed({k: v for k, v in (names or {}).items() if k in raw.columns})
         return raw.withColumn("year", F.col("__y").try_cast("int") + F.lit(century)).drop("__y")
 

@@ -23,14 +23,20 @@ def scratch_folder(spark: SparkSession) -> str:
 
 
 def save_table(
-    df: DataFrame, name: str, schema: str | None = None, partition_by: Sequence[str] = ()
+    df: DataFrame, name: str, schema: str | None = None, partition_by: Sequence[str] = (),
+    path: str | None = None,
 ) -> None:
-    """Replace a stored table; the database is created when it is missing."""
+    """Replace a stored table; the database is created when it is missing.
+
+    With a path the table's files live there and not in the warehouse folder.
+    """
     if schema:
         df.sparkSession.sql(f"CREATE DATABASE IF NOT EXISTS {quoted(schema)}")
     writer = df.write.mode("overwrite").format("parquet")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
+    if path:
+        writer = writer.option("path", path)
     writer.saveAsTable(f"{quoted(schema)}.{quoted(name)}" if schema else quoted(name))
 
 
