@@ -4,7 +4,7 @@ import importlib
 
 from gridpanel.catalog import common
 
-FAMILIES = ("tables",)
+FAMILIES = ("tables", "relations")
 
 
 def _load() -> None:
