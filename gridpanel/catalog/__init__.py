@@ -4,7 +4,7 @@ import importlib
 
 from gridpanel.catalog import common
 
-FAMILIES = ("tables", "relations")
+FAMILIES = ("tables", "relations", "series")
 
 
 def _load() -> None:
