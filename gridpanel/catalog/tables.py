@@ -330,7 +330,7 @@ def x3(spark, d):
 WITH p AS (SELECT s_suppkey AS e, 25 + (s_suppkey * 37 % 2400) / 1e2 AS lat, -125 + (s_suppkey * 91 % 5900) / 1e2 AS lon FROM supplier),
 q AS (SELECT 40.7128::DOUBLE AS lat, -74.006::DOUBLE AS lon) SELECT e, {sql_rnd(sql_miles('p', 'q'))} AS miles FROM p, q""")
 def x4(spark, d):
-    miles = X.haversine_miles("lat", "lon", F.lit(40.7128), F.lit(-74.006))
+    miles = X.haversine_miles("lat", "lon", "40.7128D", "-74.006D")
     return supplier_points(spark, d).select("e", rnd(miles).alias("miles"))
 
 

@@ -93,13 +93,16 @@ def map_values(c: ColumnLike, mapping: Mapping, keep_unknown: bool = True) -> Co
     return F.coalesce(found, as_column(c)) if keep_unknown else found
 
 
-def haversine_miles(lat1, lon1, lat2, lon2) -> Column:
-    """Great-circle distance in statute miles."""
-    p1, l1, p2, l2 = (F.radians(as_column(c)) for c in (lat1, lon1, lat2, lon2))
-    h = F.pow(F.sin((p2 - p1) * 0.5), F.lit(2.0)) + F.cos(p1) * F.cos(p2) * F.pow(
-        F.sin((l2 - l1) * 0.5), F.lit(2.0)
-    )
-    return F.asin(F.sqrt(F.least(h, F.lit(1.0)))) * (2.0 * EARTH_RADIUS_KM * MILES_PER_KM)
+def haversine_sql(lat1: str, lon1: str, lat2: str, lon2: str) -> str:
+    """SQL text of the great-circle distance in statute miles."""
+    half = lambda a, b: f"pow(sin((radians({b}) - radians({a})) * 0.5D), 2.0D)"
+    h = f"{half(lat1, lat2)} + cos(radians({lat1})) * cos(radians({lat2})) * {half(lon1, lon2)}"
+    return f"asin(sqrt(least({h}, 1.0D))) * {2.0 * EARTH_RADIUS_KM * MILES_PER_KM!r}D"
+
+
+def haversine_miles(lat1: str, lon1: str, lat2: str, lon2: str) -> Column:
+    """Great-circle distance in statute miles of two points given by column names or literals."""
+    return F.expr(haversine_sql(lat1, lon1, lat2, lon2))
 
 
 def adjusted_skew(c: ColumnLike) -> Column:

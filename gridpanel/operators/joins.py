@@ -76,15 +76,18 @@ def neighbor_values(
     values: Sequence[str],
     extra: Sequence[str] = (),
     neighbor: str = "neighbor",
-    **skew,
+    salts: int = 0,
 ) -> DataFrame:
     """Edge rows with the neighbour's values for each of its periods.
 
     A neighbour shared by a large part of all entities is a hot key on the edge
-    side; those edges are spread by the entity they start from.
+    side. Adaptive execution splits its partition; with ``salts`` the edges of
+    hot neighbours are spread by the entity they start from instead.
     """
     right = panel.select(F.col(entity).alias(neighbor), time, *extra, *[quoted(v) for v in values])
-    return skew_join(edges, right, [neighbor], spread_by=[entity], how="inner", **skew)
+    if salts:
+        return skew_join(edges, right, [neighbor], spread_by=[entity], salts=salts)
+    return edges.join(right, neighbor)
 
 
 def coalesce_join(

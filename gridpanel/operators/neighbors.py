@@ -12,46 +12,47 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gridpanel.functions.expressions import haversine_miles
+from gridpanel.functions.expressions import haversine_sql
 
 # A degree of latitude is at least this long, so a box drawn with it never
 # misses a point of the circle it stands for.
 MILES_PER_DEGREE = 69.0
+_MOST_MILES = 69.2
+_HALF_WAY = 12_451.0
 LEVELS = 20
 
 
-def _cell(lat: Column, lon: Column, level: Column) -> tuple[Column, Column]:
+def _cell(lat: str, lon: str, level: str) -> list[str]:
     """Row and column of the cell at a level: 180/2^level by 360/2^level degrees."""
-    n = F.pow(F.lit(2.0), level)
-    row = F.least(F.floor((lat + 90.0) / 180.0 * n), (n - 1).cast("long"))
-    col = F.pmod(F.floor((lon + 180.0) / 360.0 * n), n.cast("long"))
-    return row.cast("long"), col.cast("long")
+    n = f"pow(2.0D, {level})"
+    return [
+        f"cast(least(floor(({lat} + 90.0D) / 180.0D * {n}), {n} - 1) as bigint)",
+        f"cast(pmod(floor(({lon} + 180.0D) / 360.0D * {n}), {n}) as bigint)",
+    ]
 
 
-def _box(lat: Column, lon: Column, miles: Column, level: Column) -> Column:
-    """Cells of a level that may hold points within ``miles`` of a point.
+def _boxes(df: DataFrame, miles: str, level: str) -> DataFrame:
+    """One row per cell (__r, __c) that may hold points within ``miles`` of (__la, __lo).
 
     The span of longitudes is the exact one of a circle on the sphere; a circle
     that reaches a pole spans all of them.
     """
-    n = F.pow(F.lit(2.0), level)
-    dlat = miles / MILES_PER_DEGREE + 1e-9
-    reach = F.sin(F.radians(F.least(dlat, F.lit(90.0)))) / F.greatest(F.cos(F.radians(lat)), F.lit(1e-12))
-    whole = (F.abs(lat) + dlat >= 90.0) | (reach >= 1.0)
-    dlon = F.when(whole, F.lit(180.0)).otherwise(
-        F.degrees(F.asin(F.least(reach, F.lit(1.0)))) + 1e-9
+    spans = df.selectExpr(
+        "*", f"{miles} / {MILES_PER_DEGREE}D + 1e-9D as __dy", f"pow(2.0D, {level}) as __n"
+    ).selectExpr(
+        "*",
+        "least(sin(radians(least(__dy, 90.0D))) / greatest(cos(radians(__la)), 1e-12D), 1.0D) as __reach",
+    ).selectExpr(
+        "*",
+        "case when abs(__la) + __dy >= 90.0D or __reach >= 1.0D then 180.0D"
+        " else degrees(asin(__reach)) + 1e-9D end as __dx",
     )
-
-    def row(x):
-        return F.least(F.greatest(F.floor((x + 90.0) / 180.0 * n), F.lit(0)), (n - 1).cast("long"))
-
-    first, last = (F.floor((lon + s * dlon + 180.0) / 360.0 * n) for s in (-1, 1))
-    last = F.least(last, first + n.cast("long") - 1)
-    rows = F.sequence(row(lat - dlat).cast("long"), row(lat + dlat).cast("long"))
-    cols = F.sequence(first.cast("long"), last.cast("long"))
-    return F.flatten(F.transform(rows, lambda r: F.transform(
-        cols, lambda c: F.struct(r.alias("r"), F.pmod(c, n.cast("long")).alias("c"))
-    )))
+    row = "cast(greatest(least(floor((__la {} __dy + 90.0D) / 180.0D * __n), __n - 1), 0) as bigint)"
+    west = "cast(floor((__lo - __dx + 180.0D) / 360.0D * __n) as bigint)"
+    east = "cast(floor((__lo + __dx + 180.0D) / 360.0D * __n) as bigint)"
+    rows = spans.selectExpr("*", f"explode(sequence({row.format('-')}, {row.format('+')})) as __r")
+    cells = rows.selectExpr("*", f"explode(sequence({west}, least({east}, {west} + cast(__n as bigint) - 1))) as __x")
+    return cells.selectExpr("*", "pmod(__x, cast(__n as bigint)) as __c").drop("__dy", "__dx", "__n", "__reach", "__x")
 
 
 def within_distance(
@@ -67,32 +68,28 @@ def within_distance(
     """Pairs (a_id, b_id, distance) at most ``miles`` apart.
 
     Cells are at least ``miles`` high, so a point of ``a`` looks into about
-    three by three cells. With ``same`` the two frames hold the same entities and self pairs are left out.
+    three by three cells. With ``same`` the two frames hold the same entities
+    and self pairs are left out.
     """
     level = max(0, min(LEVELS, math.floor(math.log2(180.0 / (miles / MILES_PER_DEGREE + 1e-9)))))
-    lvl = F.lit(float(level))
-    asked = a.select(
-        F.col(a_id).alias("__a"), F.col(lat).cast("double").alias("__la"),
-        F.col(lon).cast("double").alias("__lo"),
-    ).dropna().withColumn(
-        "__c", F.explode(_box(F.col("__la"), F.col("__lo"), F.lit(float(miles)), lvl))
-    ).select("__a", "__la", "__lo", F.col("__c.r").alias("__r"), F.col("__c.c").alias("__k"))
-    stored = b.select(
-        F.col(b_id).alias("__b"), F.col(lat).cast("double").alias("__lb"),
-        F.col(lon).cast("double").alias("__ob"),
+    asked = a.selectExpr(
+        f"`{a_id}` as __a", f"cast(`{lat}` as double) as __la", f"cast(`{lon}` as double) as __lo"
     ).dropna()
-    r, k = _cell(F.col("__lb"), F.col("__ob"), lvl)
-    stored = stored.withColumns({"__r": r, "__k": k})
+    asked = _boxes(asked, f"{float(miles)!r}D", f"{level}D")
+    stored = b.selectExpr(
+        f"`{b_id}` as __b", f"cast(`{lat}` as double) as __lb", f"cast(`{lon}` as double) as __ob"
+    ).dropna()
+    r, c = _cell("__lb", "__ob", f"{level}D")
     # A cell with a large share of the points is split by adaptive execution.
-    pairs = stored.join(asked, ["__r", "__k"])
+    pairs = stored.selectExpr("*", f"{r} as __r", f"{c} as __c").join(asked, ["__r", "__c"])
     if same:
-        pairs = pairs.where(F.col("__a") != F.col("__b"))
+        pairs = pairs.where("__a <> __b")
     left, right = (a_id, b_id) if a_id != b_id else (a_id, "neighbor")
     return (
-        pairs.withColumn("distance", haversine_miles("__la", "__lo", "__lb", "__ob"))
+        pairs.selectExpr(
+            f"__a as `{left}`", f"__b as `{right}`", f"{haversine_sql('__la', '__lo', '__lb', '__ob')} as distance"
+        )
         .where(F.col("distance") <= miles)
-        .select(F.col("__a").alias(left), F.col("__b").alias(right), "distance")
-        .distinct()
     )
 
 
@@ -126,77 +123,50 @@ def knn_edges(
     3. Only the cells of that level inside the bound are searched. The next
        smaller cell holds at most k points, so few locations ask at any cell.
     """
-    pts = points.select(
-        F.col(entity).alias("__id"), F.col(lat).cast("double").alias("__la"),
-        F.col(lon).cast("double").alias("__lo"),
-    ).dropna()
-    same_place = Window.partitionBy("__la", "__lo").orderBy("__id")
-    kept = (
-        pts.withColumn("__rn", F.row_number().over(same_place)).where(F.col("__rn") <= k + 1).drop("__rn")
-    )
-    deep = F.lit(float(levels))
-    row, col = _cell(F.col("__la"), F.col("__lo"), deep)
-    # Locations hold at most k+1 folded points, which is enough to count to k+1.
-    leaves = kept.groupBy(row.alias("__r"), col.alias("__c")).agg(F.count(F.lit(1)).alias("__n"))
-    up = F.explode(F.sequence(F.lit(0), F.lit(levels)))
-    climbed = leaves.withColumn("__up", up)
-    ancestor = {
-        "__ar": F.expr("shiftright(__r, __up)"), "__ac": F.expr("shiftright(__c, __up)"),
-    }
-    climbed = climbed.withColumns(ancestor)
-    full = (
-        climbed.groupBy("__up", "__ar", "__ac").agg(F.sum("__n").alias("__m"))
-        .where(F.col("__m") >= k + 1).select("__up", "__ar", "__ac")
+    leaf = _cell("__la", "__lo", f"{levels}D")
+    pts = points.selectExpr(
+        f"`{entity}` as __id", f"cast(`{lat}` as double) as __la", f"cast(`{lon}` as double) as __lo"
+    ).dropna().selectExpr("*", f"{leaf[0]} as __lr", f"{leaf[1]} as __lc")
+    # Folding is done inside the leaf cell, so that the exchange it needs also
+    # serves the counts per leaf and the join of points to their level.
+    same_place = Window.partitionBy("__lr", "__lc", "__la", "__lo").orderBy("__id")
+    kept = pts.withColumn("__rn", F.row_number().over(same_place)).where(F.col("__rn") <= k + 1).drop("__rn")
+    leaves = kept.groupBy("__lr", "__lc").agg(F.count(F.lit(1)).alias("__n"))
+    climbed = leaves.selectExpr("*", f"explode(sequence(0, {levels})) as __up").selectExpr(
+        "*", "shiftright(__lr, __up) as __ar", "shiftright(__lc, __up) as __ac"
     )
-    # A leaf below few points still finds an ancestor; with fewer than k+1
-    # points in all, the whole globe is searched.
-    chosen = (
-        climbed.join(full.withColumn("__full", F.lit(True)), ["__up", "__ar", "__ac"], "left")
-        .groupBy("__r", "__c")
-        .agg(F.min(F.when(F.col("__full"), F.col("__up"))).alias("__up"))
-        .withColumn("__level", F.lit(levels) - F.coalesce(F.col("__up"), F.lit(levels)))
-        .select("__r", "__c", "__level")
+    full = climbed.groupBy("__up", "__ar", "__ac").agg(F.sum("__n").alias("__m")).where(F.col("__m") >= k + 1)
+    # With fewer than k+1 points in all no cell is full: the whole globe is searched.
+    level = (
+        climbed.join(full, ["__up", "__ar", "__ac"])
+        .groupBy("__lr", "__lc").agg((F.lit(levels) - F.min("__up")).alias("__level"))
     )
-    asked = pts.withColumns({"__r": row, "__c": col}).join(chosen, ["__r", "__c"])
-    size = F.pow(F.lit(2.0), F.col("__level").cast("double"))
-    dlat, dlon = 180.0 / size, 360.0 / size
-    r_at, _ = _cell(F.col("__la"), F.col("__lo"), F.col("__level").cast("double"))
-    south = r_at * dlat - 90.0
-    # cos is largest at the point of the cell's span that is closest to the equator
-    closest = F.when((south <= 0) & (south + dlat >= 0), F.lit(0.0)).otherwise(
-        F.least(F.abs(south), F.abs(south + dlat))
+    # A point's level bounds its reach: height plus width of its cell, the width
+    # taken at the edge that is nearest to the equator.
+    asked = pts.join(level, ["__lr", "__lc"], "left").selectExpr(
+        "__id", "__la", "__lo", "coalesce(__level, 0) as __level",
+        "180.0D / pow(2.0D, coalesce(__level, 0)) as __h",
+    ).selectExpr("*", "floor((__la + 90.0D) / __h) * __h - 90.0D as __s").selectExpr(
+        "__id", "__la", "__lo", "__level",
+        f"case when __level = 0 then {_HALF_WAY}D else (__h + 2.0D * __h * cos(radians("
+        f"case when __s <= 0 and __s + __h >= 0 then 0.0D else least(abs(__s), abs(__s + __h)) end)))"
+        f" * {_MOST_MILES}D end as __miles",
     )
-    bound = (dlat + dlon * F.cos(F.radians(closest))) * 69.2
-    half_way_round = 12_451.0
-    asked = asked.withColumn(
-        "__reach", F.when(F.col("__level") == 0, F.lit(half_way_round)).otherwise(bound)
+    cells = _boxes(asked, "__miles", "cast(__level as double)").drop("__miles")
+    offered = kept.selectExpr(
+        "__id as __nid", "__la as __lb", "__lo as __ob", "__lr", "__lc", f"explode(sequence(0, {levels})) as __level"
+    ).selectExpr(
+        "__nid", "__lb", "__ob", "__level", f"shiftright(__lr, {levels} - __level) as __r",
+        f"shiftright(__lc, {levels} - __level) as __c",
     )
-    cells = asked.select(
-        "__id", "__la", "__lo", "__level",
-        F.explode(F.when(
-            F.col("__level") == 0,
-            F.array(F.struct(F.lit(0).cast("long").alias("r"), F.lit(0).cast("long").alias("c"))),
-        ).otherwise(
-            _box(F.col("__la"), F.col("__lo"), F.col("__reach"), F.col("__level").cast("double"))
-        )).alias("__b"),
-    ).select("__id", "__la", "__lo", "__level", F.col("__b.r").alias("__r"), F.col("__b.c").alias("__c"))
-
-    offered = kept.select(
-        F.col("__id").alias("__nid"), F.col("__la").alias("__lb"), F.col("__lo").alias("__ob"),
-    ).withColumn("__level", F.explode(F.sequence(F.lit(0), F.lit(levels))))
-    nr, nc = _cell(F.col("__lb"), F.col("__ob"), F.col("__level").cast("double"))
-    offered = offered.withColumns({"__r": nr, "__c": nc})
     # A cell that holds a large share of the points is a hot key of one side;
     # adaptive execution splits that partition.
-    pairs = offered.join(cells, ["__level", "__r", "__c"])
-    near = pairs.where(F.col("__id") != F.col("__nid")).select(
-        "__id", "__nid", haversine_miles("__la", "__lo", "__lb", "__ob").alias("distance")
+    near = offered.join(cells, ["__level", "__r", "__c"]).where("__id <> __nid").selectExpr(
+        "__id", "__nid", f"{haversine_sql('__la', '__lo', '__lb', '__ob')} as distance"
     )
-    w = Window.partitionBy("__id").orderBy(F.round("distance", 9), "__nid")
-    return (
-        near.withColumn("rank", F.row_number().over(w))
-        .where(F.col("rank") <= k)
-        .select(F.col("__id").alias(entity), F.col("__nid").alias("neighbor"), "rank", "distance")
+    w = Window.partitionBy("__id").orderBy(F.expr("round(distance, 9)"), "__nid")
+    return near.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k).selectExpr(
+        f"__id as `{entity}`", "__nid as neighbor", "rank", "distance"
     )
 
 

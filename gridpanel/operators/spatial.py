@@ -38,7 +38,7 @@ def neighbor_stat(
     how: str = "weighted_avg",
     extra: Sequence[str] = (),
     neighbor: str = "neighbor",
-    **skew,
+    salts: int = 0,
 ) -> DataFrame:
     """Per (entity, time, extra) the statistic of the k nearest neighbours' values.
 
@@ -48,7 +48,7 @@ def neighbor_stat(
     if how not in HOW:
         raise ValueError(f"how must be one of {HOW}")
     near = edges.where(F.col("rank") <= k).select(entity, neighbor, "distance")
-    rows = neighbor_values(panel, near, entity, time, values, extra, neighbor, **skew)
+    rows = neighbor_values(panel, near, entity, time, values, extra, neighbor, salts)
     return rows.groupBy(entity, time, *extra).agg(*[
         _stat(F.col(quoted(v)).cast("double"), F.col("distance"), how).alias(v) for v in values
     ])
@@ -76,7 +76,7 @@ def spatial_fill(
     neighbor: str = "neighbor",
     parity: bool = False,
     check: bool = False,
-    **skew,
+    salts: int = 0,
 ) -> DataFrame:
     """Add ``{col}_spatial_{how}_{k}`` columns, or fill only the missing values.
 
@@ -93,7 +93,7 @@ def spatial_fill(
     values = list(values) if values is not None else numeric_columns(panel, keys)
     if check:
         check_unique(panel, keys, "panel")
-    stats = neighbor_stat(panel, edges, entity, time, values, k, how, extra, neighbor, **skew)
+    stats = neighbor_stat(panel, edges, entity, time, values, k, how, extra, neighbor, salts)
     stats = stats.withColumnsRenamed({v: f"__s{i}" for i, v in enumerate(values)})
     out = panel.join(stats, keys, "left")
     added = {}
@@ -167,7 +167,7 @@ def radius_overlap(
 
 def nearby_density(
     overlap: DataFrame, fact: DataFrame, entities: DataFrame, entity: str, time: str, value: str,
-    first: int, last: int, neighbor: str = "neighbor", **skew,
+    first: int, last: int, neighbor: str = "neighbor", salts: int = 0,
 ) -> DataFrame:
     """Neighbours' counts, spread over their land and cut to the radius.
 
@@ -175,7 +175,7 @@ def nearby_density(
     grid appears, with NULLs where no neighbour has data.
     """
     rows = neighbor_values(fact.where(F.col(time).isNotNull()), overlap, entity, time, [value],
-                           neighbor=neighbor, **skew)
+                           neighbor=neighbor, salts=salts)
     contribution = ratio(value, "neighbor_land_area") * F.col("effective_land_overlap")
     near = rows.groupBy(entity, time).agg(
         zero_sum(contribution).cast("double").alias("nearby_landadj"),
