@@ -4,7 +4,7 @@ import importlib
 
 from gridpanel.catalog import common
 
-FAMILIES = ("tables", "relations", "series")
+FAMILIES = ("tables", "relations", "series", "models")
 
 
 def _load() -> None:

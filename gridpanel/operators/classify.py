@@ -170,7 +170,7 @@ def vote_shares(near: DataFrame, rows: DataFrame, key: str, label: str, k: int)
     steps = voted.withColumn("__votes", F.row_number().over(running_votes))
     # A label's count holds from its rank until the label's next vote.
     until = F.coalesce(F.lead("rank").over(running_votes), F.lit(k + 1))
-    spans = steps.withColumn("k", F.explode(F.sequence(F.col("rank"), until - 1)))
+    spans = steps.withColumn("__until", until - 1).withColumn("k", F.explode(F.sequence("rank", "__until")))
     best = F.max(F.struct(F.col("__votes").alias("n"), (-F.col("__vote")).alias("l")))
     return spans.groupBy(key, "k").agg((-best["l"]).alias("predicted"))
 

@@ -201,8 +201,8 @@ class Fit:
     def table(self, spark) -> DataFrame:
         rows = []
         for i, term in enumerate(self.terms):
-            se = math.sqrt(max(self.cov[i, i], 0.0))
-            stat = self.coef[i] / se if se > 0 else math.nan
+            se = math.sqrt(max(float(self.cov[i, i]), 0.0))
+            stat = float(self.coef[i]) / se if se > 0 else math.nan
             if self.use_t:
                 p, q = t_two_sided(stat, self.df_resid), t_quantile(0.975, self.df_resid)
             else:
@@ -257,7 +257,7 @@ def ols(df: DataFrame, y: str, x: Sequence[str], dummies: str | None = None) ->
     cov[1:, 1:] = inverse * sigma2
     cov[0, 0] = sigma2 * (1.0 / n + mean[kept] @ inverse @ mean[kept])
     return Fit(y, ["Intercept", *[terms[i] for i in kept]], np.concatenate([[intercept], beta]), cov, n, n - p,
-               1.0 - rss / g[k, k] if g[k, k] > 0 else math.nan, rss, float(g[k, k]), p)
+               1.0 - rss / float(g[k, k]) if g[k, k] > 0 else math.nan, rss, float(g[k, k]), p)
 
 
 def panel_ols(
@@ -319,12 +319,12 @@ def panel_ols(
     n = int(m.n)
     absorbed = int(total["e"]) if entity_fe else 1
     cov = inverse @ meat @ inverse * (n / max(n - len(kept), 1))
-    overall = float(total["yy"]) - m.sums[k] ** 2 / n
+    overall = float(total["yy"]) - float(m.sums[k]) ** 2 / n
     shown = [i for i in kept if i < len(x)]
     place = [kept.index(i) for i in shown]
     return Fit(
         y, [terms[i] for i in shown], beta[place], cov[np.ix_(place, place)], n, n - absorbed - len(kept),
-        1.0 - rss / g[k, k] if g[k, k] > 0 else math.nan, rss, float(g[k, k]), len(kept),
+        1.0 - rss / float(g[k, k]) if g[k, k] > 0 else math.nan, rss, float(g[k, k]), len(kept),
         dummies={terms[i]: float(b) for i, b in zip(kept, beta, strict=True) if i >= len(x)},
         r2_overall=1.0 - rss / overall if overall > 0 else math.nan, use_t=False,
     )
