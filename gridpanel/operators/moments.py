@@ -24,17 +24,15 @@ def cross_products(
     ``centre`` is subtracted from the columns first; with values far from zero
     this keeps the products accurate. Rows must be complete.
     """
-    centre = list(centre) if centre is not None else [0.0] * len(columns)
-    x = [
-        F.col(quoted(c)).cast("double") - F.lit(float(m)) if m else F.col(quoted(c)).cast("double")
-        for c, m in zip(columns, centre, strict=True)
-    ]
-    named = df.select(*groups, *[e.alias(f"__x{i}") for i, e in enumerate(x)])
-    cols = [F.col(f"__x{i}") for i in range(len(columns))]
+    shift = list(centre) if centre is not None else [0.0] * len(columns)
+    named = df.select(*groups, *[
+        F.expr(f"cast({quoted(c)} as double)" + (f" - ({float(m)!r}D)" if m else "")).alias(f"__x{i}")
+        for i, (c, m) in enumerate(zip(columns, shift, strict=True))
+    ])
     return named.groupBy(*groups).agg(
         F.count(F.lit(1)).alias("n"),
-        *[F.sum(c).alias(f"s{i}") for i, c in enumerate(cols)],
-        *[F.sum(cols[i] * cols[j]).alias(f"p{i}_{j}") for i, j in pair_names(len(columns))],
+        *[F.expr(f"sum(__x{i}) as s{i}") for i in range(len(columns))],
+        *[F.expr(f"sum(__x{i} * __x{j}) as p{i}_{j}") for i, j in pair_names(len(columns))],
     )
 
 

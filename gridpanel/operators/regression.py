@@ -19,7 +19,7 @@ from gridpanel.functions.distributions import normal_two_sided, t_quantile, t_tw
 from gridpanel.functions.expressions import quoted, ratio
 from gridpanel.operators.features import vif
 from gridpanel.operators.joins import entity_value
-from gridpanel.operators.moments import Moments, column_means, cross_products, independent, moments
+from gridpanel.operators.moments import Moments, column_means, cross_products, independent, moments, pair_names
 from gridpanel.operators.ordered import exact_quantiles, to_long
 from gridpanel.operators.windows import over_series
 
@@ -274,45 +274,49 @@ def panel_ols(
     """
     data = df.dropna(subset=[y, *x, entity, time])
     terms, names = list(x), []
-    levels = levels_of(data, time) if time_fe else []
+    # One pass for the column means and the period levels, of which there are few.
+    first = data.agg(F.collect_set(time).alias("levels"), *[
+        F.avg(F.col(quoted(c)).cast("double")).alias(f"m{i}") for i, c in enumerate([*x, y])
+    ]).first()
+    centre = [float(first[f"m{i}"]) for i in range(len(x) + 1)]
     if time_fe:
-        data, names = with_dummies(data, time, levels)
+        data, names = with_dummies(data, time, sorted(first["levels"]))
         terms += names
     k = len(terms)
-    centre = column_means(data, [*x, y])
-    shift = [*centre[:-1], *([0.0] * len(names)), centre[-1]]
-    per_entity = cross_products(data, [*terms, y], [entity], shift)
     size = k + 1
-    pairs = [(i, j) for i in range(size) for j in range(i, size)]
-
-    def demeaned(i: int, j: int) -> Column:
-        p = F.col(f"p{min(i, j)}_{max(i, j)}")
-        return p - F.col(f"s{i}") * F.col(f"s{j}") / F.col("n") if entity_fe else p
-
-    total = per_entity.agg(
-        F.sum("n").alias("n"), F.count(F.lit(1)).alias("e"),
-        *[F.sum(f"s{i}").alias(f"s{i}") for i in range(size)],
-        *[F.sum(demeaned(i, j)).alias(f"p{i}_{j}") for i, j in pairs],
-        F.sum(f"p{k}_{k}").alias("yy"),
-    ).first()
-    m = Moments.of(total, size)
-    g = m.products if entity_fe else m.centred
-    kept, beta, inverse = _solve(g[:k, :k], g[:k, k])
-    rss = float(g[k, k] - beta @ g[kept, k])
-    # Scores per entity: its demeaned X'y minus its demeaned X'X times beta.
-    mean = np.zeros(size) if entity_fe else m.mean
-
-    def score(i: int) -> Column:
-        def around(a: int, b: int) -> Column:
+    shift = [*centre[:-1], *([0.0] * len(names)), centre[-1]]
+    pairs = pair_names(size)
+    # One row per entity, read by both steps below.
+    per_entity = cross_products(data, [*terms, y], [entity], shift).selectExpr(
+        "n", *[f"s{i}" for i in range(size)], f"p{k}_{k} as yy",
+        *[f"p{i}_{j}" + (f" - s{i} * s{j} / n" if entity_fe else "") + f" as d{i}_{j}" for i, j in pairs],
+    ).persist()
+    try:
+        total = per_entity.selectExpr(
+            "sum(n) as n", "count(1) as e", "sum(yy) as yy", *[f"sum(s{i}) as s{i}" for i in range(size)],
+            *[f"sum(d{i}_{j}) as p{i}_{j}" for i, j in pairs],
+        ).first()
+        m = Moments.of(total, size)
+        g = m.products if entity_fe else m.centred
+        kept, beta, inverse = _solve(g[:k, :k], g[:k, k])
+        rss = float(g[k, k] - beta @ g[kept, k])
+        mean = [0.0] * size if entity_fe else [float(v) for v in m.mean]
+
+        # Scores per entity: its demeaned X'y minus its demeaned X'X times beta.
+        def cell(a: int, b: int) -> str:
+            d = f"d{min(a, b)}_{max(a, b)}"
             if entity_fe:
-                return demeaned(a, b)
-            return (F.col(f"p{min(a, b)}_{max(a, b)}") - F.col(f"s{a}") * float(mean[b])
-                    - F.col(f"s{b}") * float(mean[a]) + F.col("n") * float(mean[a] * mean[b]))
-        return reduce(lambda acc, jb: acc - around(i, jb[0]) * float(jb[1]), zip(kept, beta, strict=True), around(i, k))
-
-    scores = per_entity.select(*[score(i).alias(f"u{a}") for a, i in enumerate(kept)])
-    spread = [(a, b) for a in range(len(kept)) for b in range(a, len(kept))]
-    sums = scores.agg(*[F.sum(F.col(f"u{a}") * F.col(f"u{b}")).alias(f"m{a}_{b}") for a, b in spread]).first()
+                return d
+            return f"({d} - s{a} * ({mean[b]!r}D) - s{b} * ({mean[a]!r}D) + n * ({mean[a] * mean[b]!r}D))"
+
+        scores = per_entity.selectExpr(*[
+            cell(i, k) + "".join(f" - {cell(i, j)} * ({float(b)!r}D)" for j, b in zip(kept, beta, strict=True)) + f" as u{a}"
+            for a, i in enumerate(kept)
+        ])
+        spread = pair_names(len(kept))
+        sums = scores.selectExpr(*[f"sum(u{a} * u{b}) as m{a}_{b}" for a, b in spread]).first()
+    finally:
+        per_entity.unpersist()
     meat = np.zeros((len(kept), len(kept)))
     for a, b in spread:
         meat[a, b] = meat[b, a] = sums[f"m{a}_{b}"] or 0.0

@@ -24,6 +24,7 @@ from gridpanel.operators.joins import coalesce_join, panel_grid
 from gridpanel.operators.reshape import melt_years, pivot_attribute, split_suffix, wide_to_long
 from gridpanel.operators.spatial import spatial_fill
 from gridpanel.operators.windows import interpolate_edges_zero
+from gridpanel.session import checkpointed
 from gridpanel.sources.readers import parse_fixed_width
 
 E, T = "county_id", "year"
@@ -206,7 +207,8 @@ def annualize(
     out = agg_mean_std(df, [entity, year], measures, mean, sd)
     if recode:
         out = remap_codes(out, entity, recode)
-    grid = panel_grid(entities, year, first, last).join(out, [entity, year], "left")
+    # The grid is read twice below; the daily rows are not.
+    grid = checkpointed(panel_grid(entities, year, first, last).join(out, [entity, year], "left"))
     values = [f"{m}{s}" for m in measures for s in (sd, mean)]
     filled = spatial_fill(grid, edges, entity, year, values, mode="fill_na", k=k)
     return filled.where(keep) if keep is not None else filled

@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from gridpanel.functions.expressions import quoted
 from gridpanel.operators.aggregate import agg_sum, pivot_buckets
@@ -13,6 +12,7 @@ from gridpanel.operators.clean import per_capita
 from gridpanel.operators.joins import assemble_panel, panel_grid
 from gridpanel.operators.spatial import density_features, spatial_then_yoy
 from gridpanel.operators.windows import add_lags, diff_features, interpolate_all
+from gridpanel.session import checkpointed
 
 
 def centre_features(
@@ -21,7 +21,7 @@ def centre_features(
 ) -> DataFrame:
     """Counts on the full grid (absent = 0), neighbour average, growth and density."""
     grid = panel_grid(entities.select(entity), time, first, last)
-    full = agg_sum(grid.join(counts.select(entity, time, value), [entity, time], "left"), [entity, time], [value])
+    full = checkpointed(agg_sum(grid.join(counts.select(entity, time, value), [entity, time], "left"), [entity, time], [value]))
     around = f"{value}_spatial_weighted_avg_{k}"
     out = spatial_then_yoy(full, edges, entity, time, [value], k=k, hot=False).drop(f"{value}_yoy_change")
     # One row per entity and year of the grid.
@@ -59,7 +59,8 @@ def build_model_panel(
     pivoted = pivot_buckets(facts, code, buckets, [entity, time], metrics, bucket_names)
     grid = panel_grid(entities.select(entity), time, first, last)
     cells = [f"{m}_{b}" for m in metrics for b in bucket_names]
-    full = interpolate_all(grid.join(pivoted, [entity, time], "left"), entity, time, cells, hot=False)
+    # The panel is read twice below, the facts are read once.
+    full = checkpointed(interpolate_all(grid.join(pivoted, [entity, time], "left"), entity, time, cells, hot=False))
     business = spatial_then_yoy(full, edges, entity, time, cells, k=k, hot=False)
     base = panel_grid(entities, time, first, last)
     out = assemble_panel(base, {"business": business, **tables}, [entity, time], check=check)
