@@ -96,8 +96,15 @@ def _vif(m: Moments, intercept: bool) -> np.ndarray:
     g = m.centred if intercept else m.products
     scale = np.sqrt(np.diag(g))
     scale[scale == 0] = 1.0
-    inverse = np.linalg.pinv(g / np.outer(scale, scale))
-    return np.diag(inverse) * np.diag(g) / scale**2
+    g = g / np.outer(scale, scale)
+    out = []
+    for j in range(len(g)):
+        others = [i for i in range(len(g)) if i != j]
+        explained = g[j, others] @ np.linalg.pinv(g[np.ix_(others, others)], hermitian=True) @ g[others, j]
+        rest = 1.0 - explained
+        # A column the others determine has no finite factor.
+        out.append(1.0 / rest if rest > 1e-10 else np.inf)
+    return np.array(out)
 
 
 def normality_columns(n: Column, skew: Column, kurtosis: Column) -> dict[str, Column]:
