@@ -51,7 +51,8 @@ def test_pairs_within(spark, points):
 
 
 @pytest.mark.parametrize("apart", ["id", "fold", None])
-def test_vector_knn_is_exact(spark, apart):
+def test_vector_knn_is_exact(spark, apart, monkeypatch):
+    monkeypatch.setattr(neighbors, "BLOCK_ROWS", 20)  # several blocks and pivots on small data
     rnd = random.Random(2)
     data = [(i, [rnd.gauss(0, 1) for _ in range(5)], i % 4) for i in range(150)]
     df = spark.createDataFrame(data, "id int, vec array<double>, fold int")
