@@ -10,6 +10,7 @@ from gridpanel.catalog.common import (
 )
 from gridpanel.operators import joins, spatial, windows
 from gridpanel.plans import cleaning, panel as plans
+from gridpanel.session import checkpointed
 
 # Settings that make a test-sized key count as hot, so that the block-wise path
 # is the one compared here. A cluster keeps the defaults.
@@ -193,21 +194,21 @@ around AS (SELECT edges.e, t, {expression} AS a FROM edges JOIN sparse ON sparse
 WITH {_sql_around(5, _WEIGHTED)} SELECT e, t, qty, cents, {sql_rnd('CASE WHEN qty IS NULL THEN a ELSE 0.4 * qty + 0.6 * a END')}
   AS qty_spatial_weighted_avg_5 FROM sparse LEFT JOIN around USING (e, t)""")
 def g3(spark, d):
-    out = spatial.spatial_fill(_sparse(spark, d), supplier_edges(spark, d), "e", "t", ["qty"], self_weight=0.4)
+    out = spatial.spatial_fill(checkpointed(_sparse(spark, d)), supplier_edges(spark, d), "e", "t", ["qty"], self_weight=0.4)
     return out.withColumn("qty_spatial_weighted_avg_5", rnd("qty_spatial_weighted_avg_5"))
 
 
 @query("g4_spatial_fill_new", f"""
 WITH {_sql_around(3, 'median(qty)')} SELECT e, t, qty, cents, {sql_rnd('a')} AS qty_spatial_median_3 FROM sparse LEFT JOIN around USING (e, t)""")
 def g4_new(spark, d):
-    out = spatial.spatial_fill(_sparse(spark, d), supplier_edges(spark, d, 3), "e", "t", ["qty"], how="median", k=3)
+    out = spatial.spatial_fill(checkpointed(_sparse(spark, d)), supplier_edges(spark, d, 3), "e", "t", ["qty"], how="median", k=3)
     return out.withColumn("qty_spatial_median_3", rnd("qty_spatial_median_3"))
 
 
 @query("g4_spatial_fill_na", f"""
 WITH {_sql_around(5, _WEIGHTED)} SELECT e, t, {sql_rnd('coalesce(qty, a)')} AS qty, cents FROM sparse LEFT JOIN around USING (e, t)""")
 def g4_fill(spark, d):
-    out = spatial.spatial_fill(_sparse(spark, d), supplier_edges(spark, d), "e", "t", ["qty"], mode="fill_na")
+    out = spatial.spatial_fill(checkpointed(_sparse(spark, d)), supplier_edges(spark, d), "e", "t", ["qty"], mode="fill_na")
     return out.withColumn("qty", rnd("qty"))
 
 
@@ -220,8 +221,9 @@ SELECT e, t, qty, cents, {sql_rnd('a')} AS qty_spatial_weighted_avg_5, {sql_rnd(
 FROM panel LEFT JOIN around USING (e, t) WINDOW w AS (PARTITION BY e ORDER BY t)""")
 def g5(spark, d):
     # A supplier has one row per year after the group-by.
-    out = spatial.spatial_then_yoy(
-        supplier_panel(spark, d).drop("n"), supplier_edges(spark, d), "e", "t", ["qty", "cents"], hot=False)
+    # The panel is read as own and as neighbours' values; the facts behind it once.
+    panel = checkpointed(supplier_panel(spark, d).drop("n"))
+    out = spatial.spatial_then_yoy(panel, supplier_edges(spark, d), "e", "t", ["qty", "cents"], hot=False)
     return out.withColumns({
         "qty_spatial_weighted_avg_5": rnd("qty_spatial_weighted_avg_5"),
         "cents_spatial_weighted_avg_5": rnd("cents_spatial_weighted_avg_5", 0),

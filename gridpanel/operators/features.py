@@ -205,8 +205,14 @@ def corr_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 QUARTILES = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
 
 
-def describe(df: DataFrame, columns: Sequence[str], groups: Sequence[str] = (), digits: int = 2, **how) -> DataFrame:
-    """Count, mean, deviation, range, quartiles and missing values per column (and group)."""
+def describe(
+    df: DataFrame, columns: Sequence[str], groups: Sequence[str] = (), digits: int = 2, exact: bool = True, **how
+) -> DataFrame:
+    """Count, mean, deviation, range, quartiles and missing values per column (and group).
+
+    Exact quartiles cost an exchange of the distinct values; ``exact=False``
+    reads them off a sketch in the same pass as the rest.
+    """
     long = to_long(df, groups, columns, "column", "value")
     keys = [*groups, "column"]
     basic = long.groupBy(*keys).agg(
@@ -215,9 +221,12 @@ def describe(df: DataFrame, columns: Sequence[str], groups: Sequence[str] = (),
         F.min("value").alias("min"), F.max("value").alias("max"),
         F.count_if(F.col("value").isNull()).alias("missing"),
         ratio(F.count_if(F.col("value").isNull()), F.count(F.lit(1))).alias("missing_share"),
+        *([] if exact else [F.percentile_approx("value", q, 10_000).alias(n) for n, q in QUARTILES.items()]),
     )
-    quartiles = exact_quantiles(long, keys, "value", QUARTILES, **how).drop("n_values")
-    out = basic.join(quartiles, keys, "left")
+    out = basic
+    if exact:
+        quartiles = exact_quantiles(long, keys, "value", QUARTILES, **how).drop("n_values")
+        out = basic.join(quartiles, keys, "left")
     rounded = {c: half_even(c, digits) for c in ("mean", "std", "min", "max", *QUARTILES)}
     return out.withColumns(rounded)
 

@@ -2,8 +2,8 @@
 
 The pattern is the same everywhere: collapse equal values first, cut hot groups
 into blocks along the value, scan every block on its own, and add what the
-earlier blocks contribute. The table of block totals has at most 257 rows per
-group and is the only thing windowed over a whole group.
+earlier blocks contribute. The table of block totals, a few thousand rows over
+all groups whatever the input, is the only thing windowed over a whole group.
 """
 
 from __future__ import annotations

@@ -15,6 +15,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from gridpanel.functions.expressions import quoted
+
 BLOCK = "__block"
 
 # A key is hot when it holds more than 1/PARTS of all rows, so there are never
@@ -22,17 +24,21 @@ BLOCK = "__block"
 PARTS = 1000
 MIN_ROWS = 250_000
 
-_COARSE = 16
-BLOCKS = _COARSE * _COARSE
+# Hot keys are cut into blocks of about 1/(BLOCKS_PER_PART * PARTS) of all rows.
+# Over all keys that is at most (BLOCKS_PER_PART + 1) * PARTS blocks.
+BLOCKS_PER_PART = 4
+_STEP = 64
+_FINEST = _STEP * _STEP
 
 
 def heavy_keys(
-    df: DataFrame, keys: Sequence[str], parts: int = PARTS, min_rows: int = MIN_ROWS
+    df: DataFrame, keys: Sequence[str], parts: int = PARTS, min_rows: int = MIN_ROWS, share: str | None = None
 ) -> DataFrame:
     """Keys with more than 1/parts of the rows and at least ``min_rows`` of them.
 
-    At most ``parts`` rows come back. The count is combined on the map side and
-    reads the key columns only.
+    At most ``parts`` rows come back, with the key's share of the rows if a name
+    is given for it. The count is combined on the map side and reads the key
+    columns only.
     """
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).withColumn("__one", F.lit(1))
     total = counts.groupBy("__one").agg(F.sum("__n").alias("__total"))
@@ -40,7 +46,7 @@ def heavy_keys(
         counts.where(F.col("__n") >= min_rows)
         .join(F.broadcast(total), "__one")
         .where(F.col("__n") * parts > F.col("__total"))
-        .select(*keys)
+        .select(*keys, *([(F.col("__n") / F.col("__total")).alias(share)] if share else []))
     )
 
 
@@ -55,11 +61,12 @@ def null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str)
     return left.join(other, condition, how).drop(*names.values())
 
 
-def _block_number(x: Column, cuts: Column) -> Column:
-    """How many cut points are below x, found in two steps of sixteen compares."""
-    coarse = F.size(F.filter(F.col("__coarse"), lambda c: c < x))
-    fine = F.slice(cuts, coarse * _COARSE + 1, F.lit(_COARSE))
-    return coarse * _COARSE + F.size(F.filter(fine, lambda c: c < x))
+def _block_number(order: str) -> Column:
+    """How many cut points are below the value, found in two steps of 64 compares."""
+    coarse = f"size(filter(__coarse, c -> c < {quoted(order)}))"
+    return F.expr(
+        f"{coarse} * {_STEP} + size(filter(slice(__cuts, {coarse} * {_STEP} + 1, {_STEP}), c -> c < {quoted(order)}))"
+    )
 
 
 def split_long_series(
@@ -69,29 +76,35 @@ def split_long_series(
     parts: int = PARTS,
     min_rows: int = MIN_ROWS,
 ) -> DataFrame:
-    """Add ``__block``: 0 for ordinary keys, 1..256 along ``order`` for hot ones.
+    """Add ``__block``: 0 for ordinary keys, 1, 2, ... along ``order`` for hot ones.
 
     Blocks of one key follow the order column, so a window over (keys, block)
-    sees a contiguous piece of the series. Cut points come from a quantile
-    sketch taken over the hot rows only.
+    sees a contiguous piece of the series. A key gets blocks in proportion to
+    its rows, with cut points from a quantile sketch over the hot rows only.
+    Rows of a key that agree in ``order`` stay in one block.
     """
-    hot = heavy_keys(df, keys, parts, min_rows)
-    shares = [i / BLOCKS for i in range(1, BLOCKS)]
-    marked = null_safe(
-        df.select(*keys, order), F.broadcast(hot), keys, "left_semi"
-    ).where(F.col(order).isNotNull())
+    hot = heavy_keys(df, keys, parts, min_rows, share="__share")
+    marked = null_safe(df.select(*keys, order), F.broadcast(hot), keys, "inner").where(F.col(order).isNotNull())
+    shares = ", ".join(f"{i / _FINEST!r}D" for i in range(1, _FINEST))
     cuts = (
-        marked.groupBy(*keys)
-        .agg(F.percentile_approx(order, shares, 10_000).alias("__cuts"))
-        .withColumn(
-            "__coarse",
-            F.expr(f"transform(sequence(1, {_COARSE - 1}), i -> __cuts[i * {_COARSE} - 1])"),
+        marked.groupBy(*keys, "__share")
+        .agg(F.expr(f"percentile_approx({quoted(order)}, array({shares}), 50000) as __every"))
+        .selectExpr(
+            *[quoted(k) for k in keys], "__every",
+            f"cast(greatest(1, floor({_FINEST} / least({_FINEST}, greatest(2, ceil(__share * {parts * BLOCKS_PER_PART}))))) as int) as __s",
+        )
+        .selectExpr(
+            *[quoted(k) for k in keys],
+            f"transform(sequence(1, cast(floor({_FINEST - 1} / __s) as int)), i -> __every[i * __s - 1]) as __cuts",
+        )
+        .selectExpr(
+            *[quoted(k) for k in keys], "__cuts",
+            f"transform(filter(sequence(0, cast(floor(size(__cuts) / {_STEP}) as int)), i -> i > 0),"
+            f" i -> __cuts[i * {_STEP} - 1]) as __coarse",
         )
     )
     out = null_safe(df, F.broadcast(cuts), keys, "left")
-    block = F.when(F.col("__cuts").isNull(), F.lit(0)).otherwise(
-        F.coalesce(_block_number(F.col(order), F.col("__cuts")), F.lit(0)) + 1
-    )
+    block = F.when(F.col("__cuts").isNull(), F.lit(0)).otherwise(F.coalesce(_block_number(order), F.lit(0)) + 1)
     return out.withColumn(BLOCK, block.cast("int")).drop("__cuts", "__coarse")
 
 

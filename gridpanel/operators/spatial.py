@@ -80,6 +80,8 @@ def spatial_fill(
 ) -> DataFrame:
     """Add ``{col}_spatial_{how}_{k}`` columns, or fill only the missing values.
 
+    The panel is read twice, for its own rows and as the neighbours' values.
+    Hand in a stored or checkpointed one where it is costly to derive.
     ``parity`` gives 0 instead of NULL for a weighted average without any
     neighbour value. ``check`` verifies that the panel keys are unique first.
     """

@@ -25,7 +25,7 @@ def _tails(blocked: DataFrame, keys: Sequence[str], order: Sequence[str], depth:
     """For every block of a hot series: the last ``depth`` rows before it.
 
     Spark prunes the first window to ``depth`` rows per block before the
-    exchange, so the second one sees at most 257 * depth rows per key.
+    exchange; the second one sees ``depth`` rows per block, and blocks are few.
     """
     newest = [F.col(c).desc() for c in order]
     last = (
