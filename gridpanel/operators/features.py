@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 from gridpanel.functions.expressions import (
     adjusted_skew, half_even, normal_quantile, numeric_columns, quoted, ratio, safe_ln,
 )
-from gridpanel.operators.moments import cross_products, moments, Moments
+from gridpanel.operators.moments import Moments, moments
 from gridpanel.operators.neighbors import knn_vectors
 from gridpanel.operators.ordered import exact_quantiles, ranked_values, running, to_long, value_counts
 

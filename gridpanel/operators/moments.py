@@ -6,6 +6,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
@@ -71,11 +72,53 @@ def column_means(df: DataFrame, columns: Sequence[str]) -> list[float]:
     return [float(v) if v is not None else 0.0 for v in row]
 
 
+# From this width on the sums are made batch-wise with numpy: one aggregate of
+# hundreds of expressions costs more to compile than to run.
+WIDE = 16
+
+
+def _partial_sums(centre: Sequence[float]):
+    """Per task and fold: row count, sums and products as (fold, place, value) rows."""
+    shift = np.array(centre)
+
+    def sums(batches):
+        found = {}
+        for batch in batches:
+            folds = batch["__fold"].to_numpy()
+            x = batch.drop(columns="__fold").to_numpy(dtype=float) - shift
+            for fold in np.unique(folds):
+                part = x[folds == fold]
+                row = np.concatenate([[len(part)], part.sum(axis=0), (part.T @ part).ravel()])
+                found[fold] = found.get(fold, 0.0) + row
+        for fold, row in found.items():
+            yield pd.DataFrame({"fold": int(fold), "place": np.arange(len(row)), "value": row})
+
+    return sums
+
+
+def moments_by_fold(
+    df: DataFrame, columns: Sequence[str], centre: Sequence[float], fold: str | None = None
+) -> dict[int, Moments]:
+    """Moments of complete rows per fold, from one pass. There are few folds."""
+    k = len(columns)
+    mark = F.col(fold).cast("int") if fold else F.lit(0)
+    data = df.select(mark.alias("__fold"), *[F.col(quoted(c)).cast("double").alias(f"__c{i}") for i, c in enumerate(columns)])
+    if k < WIDE:
+        rows = cross_products(data, [f"__c{i}" for i in range(k)], ["__fold"], centre).collect()
+        return {r["__fold"]: Moments.of(r, k) for r in rows}
+    partial = data.mapInPandas(_partial_sums(centre), "fold int, place int, value double")
+    out: dict[int, np.ndarray] = {}
+    for r in partial.groupBy("fold", "place").agg(F.sum("value").alias("value")).collect():
+        out.setdefault(r["fold"], np.zeros(1 + k + k * k))[r["place"]] = r["value"]
+    return {f: Moments(v[0], v[1:k + 1], v[k + 1:].reshape(k, k)) for f, v in out.items()}
+
+
 def moments(df: DataFrame, columns: Sequence[str], centre: bool = False) -> tuple[Moments, list[float]]:
     """Moments of complete rows and the centre they were taken around."""
     shift = column_means(df, columns) if centre else [0.0] * len(columns)
-    row = cross_products(df, columns, centre=shift).first()
-    return Moments.of(row, len(columns)), shift
+    found = moments_by_fold(df, columns, shift)
+    k = len(columns)
+    return found.get(0, Moments(0.0, np.zeros(k), np.zeros((k, k)))), shift
 
 
 def independent(gram: np.ndarray, tolerance: float = 1e-9) -> list[int]:

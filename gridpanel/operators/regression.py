@@ -19,7 +19,7 @@ from gridpanel.functions.distributions import normal_two_sided, t_quantile, t_tw
 from gridpanel.functions.expressions import quoted, ratio
 from gridpanel.operators.features import vif
 from gridpanel.operators.joins import entity_value
-from gridpanel.operators.moments import Moments, column_means, cross_products, independent, moments, pair_names
+from gridpanel.operators.moments import Moments, column_means, cross_products, independent, moments, moments_by_fold, pair_names
 from gridpanel.operators.ordered import exact_quantiles, to_long
 from gridpanel.operators.windows import over_series
 
@@ -43,8 +43,8 @@ def fold_moments(
         "__fold", F.pmod(F.xxhash64(*fold_keys, F.lit(seed)), F.lit(folds)).cast("int")
     )
     centre = column_means(complete, columns)
-    rows = cross_products(complete, columns, ["__fold"], centre).collect()
-    parts = [Moments.of(r, len(columns)) for r in sorted(rows, key=lambda r: r["__fold"])]
+    found = moments_by_fold(complete, columns, centre, "__fold")
+    parts = [found[f] for f in sorted(found)]
     return FoldMoments(list(columns), parts, reduce(Moments.__add__, parts))
 
 

@@ -270,3 +270,15 @@ def test_unit_clustered_error_on_a_balanced_panel(spark):
 def test_vif_of_determined_columns(spark):
     df = spark.createDataFrame([(float(i), float(i % 5), 2.0 * i + i % 5) for i in range(30)], "a double, b double, c double")
     assert all(r["vif"] == math.inf for r in features.vif(df, ["a", "b", "c"]).collect())
+
+
+def test_wide_and_narrow_moments_agree(panel, monkeypatch):
+    from gridpanel.operators import moments
+    data = panel.withColumn("f", F.col("e") % 3)
+    narrow = moments.moments_by_fold(data, ["x1", "x2", "y"], [1.0, 0.0, 100.0], "f")
+    monkeypatch.setattr(moments, "WIDE", 2)
+    wide = moments.moments_by_fold(data, ["x1", "x2", "y"], [1.0, 0.0, 100.0], "f")
+    assert sorted(narrow) == sorted(wide) == [0, 1, 2]
+    for f in narrow:
+        assert narrow[f].n == wide[f].n and np.allclose(narrow[f].sums, wide[f].sums)
+        assert np.allclose(narrow[f].products, wide[f].products)
