@@ -158,7 +158,7 @@ def _brackets(df, keys, order, columns, hot, parts, min_rows):
             *[F.min(s).alias(f"__f{i}") for i, s in enumerate(known.values())],
         )
         before = Window.partitionBy(*keys).orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
-        after = Window.partitionBy(*keys).orderBy(BLOCK).rowsBetween(1, Window.unboundedFollowing)
+        after = Window.partitionBy(*keys).orderBy(F.col(BLOCK).desc()).rowsBetween(Window.unboundedPreceding, -1)
         moved = totals.withColumn("__off", F.coalesce(F.sum("__n").over(before), F.lit(0)))
 
         def shift(s):
@@ -172,21 +172,25 @@ def _brackets(df, keys, order, columns, hot, parts, min_rows):
         ).select(
             *keys, BLOCK, "__off",
             *[F.last(f"__l{i}", True).over(before).alias(f"__cl{i}") for i in range(len(columns))],
-            *[F.first(f"__f{i}", True).over(after).alias(f"__cf{i}") for i in range(len(columns))],
+            *[F.last(f"__f{i}", True).over(after).alias(f"__cf{i}") for i in range(len(columns))],
         )
         placed = null_safe(placed, F.broadcast(carried), [*keys, BLOCK], "left")
         offset = F.coalesce(F.col("__off"), F.lit(0))
     else:
         offset = F.lit(0)
     upto = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    onward = inside.rowsBetween(Window.currentRow, Window.unboundedFollowing)
+    # Looking ahead is looking back in descending order: Spark slides such a frame
+    # row by row, while it re-reads a frame that is open at the far end.
+    onward = Window.partitionBy(*keys, BLOCK).orderBy(F.col(order).desc()).rowsBetween(
+        Window.unboundedPreceding, Window.currentRow
+    )
 
     def lift(s: Column) -> Column:
         return F.when(s.isNotNull(), F.struct((s["p"] + offset).alias("p"), s["v"].alias("v")))
 
     added = {"__at": F.col("__pos") + offset}
     for i, s in enumerate(known.values()):
-        lower, upper = lift(F.last(s, True).over(upto)), lift(F.first(s, True).over(onward))
+        lower, upper = lift(F.last(s, True).over(upto)), lift(F.last(s, True).over(onward))
         if hot:
             lower, upper = F.coalesce(lower, F.col(f"__cl{i}")), F.coalesce(upper, F.col(f"__cf{i}"))
         added[f"__lo{i}"], added[f"__up{i}"] = lower, upper
