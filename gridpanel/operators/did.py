@@ -90,7 +90,7 @@ def _influence(df: DataFrame, effects: DataFrame, y: str, entity: str, time: str
         F.col(entity).alias("__e"), F.col(time).cast("int").alias("__t"), F.col(first).cast("int").alias("__g"),
         F.col(y).cast("double").alias("__y"),
     )
-    hits = rows.join(F.broadcast(roles), ["__g", "__t"])
+    hits = rows.join(roles, ["__g", "__t"])
     per_unit = hits.groupBy("__e", *label).agg(F.sum(F.col("__w") * (F.col("__y") - F.col("__m"))).alias("__psi"))
     return per_unit.groupBy(*label).agg(F.sum(F.col("__psi") * F.col("__psi")).alias("variance"))
 

@@ -301,11 +301,12 @@ def quantile_normalize(df: DataFrame, column: str, out: str | None = None, **how
     return joined.withColumn(out, F.col("__z")).drop("__v", "__z")
 
 
-def yeo_johnson(x: Column, power: float) -> Column:
-    up = F.log1p(x) if abs(power) < 1e-9 else (F.pow(x + 1.0, F.lit(power)) - 1.0) / power
+def yeo_johnson(x: str, power: float) -> str:
+    """SQL text of the transform of a double expression."""
     flip = 2.0 - power
-    down = -F.log1p(-x) if abs(flip) < 1e-9 else (F.pow(1.0 - x, F.lit(flip)) - 1.0) / -flip
-    return F.when(x >= 0, up).otherwise(down)
+    up = f"log1p({x})" if abs(power) < 1e-9 else f"(pow({x} + 1.0D, {power!r}D) - 1.0D) / ({power!r}D)"
+    down = f"-log1p(-({x}))" if abs(flip) < 1e-9 else f"(pow(1.0D - {x}, {flip!r}D) - 1.0D) / ({-flip!r}D)"
+    return f"case when {x} >= 0 then {up} else {down} end"
 
 
 def best_powers(df: DataFrame, columns: Sequence[str]) -> dict[str, float]:
@@ -313,21 +314,25 @@ def best_powers(df: DataFrame, columns: Sequence[str]) -> dict[str, float]:
 
     Each round is one aggregate that scores all candidates of all columns.
     """
+    data = df.select(*[F.col(quoted(c)).cast("double").alias(f"x{j}") for j, c in enumerate(columns)])
     centre = dict.fromkeys(columns, 0.0)
     for step, reach in ((0.25, 12), (0.025, 10), (0.0025, 10)):
-        trial = {c: [centre[c] + step * i for i in range(-reach, reach + 1)] for c in columns}
-        scores = []
-        for c in columns:
-            x = F.col(quoted(c)).cast("double")
-            size = F.signum(x) * F.log1p(F.abs(x))
+        trial = {c: [round(centre[c] + step * i, 6) for i in range(-reach, reach + 1)] for c in columns}
+        row = data.selectExpr(*[
+            f"count(x{j}) as n{j}" for j in range(len(columns))
+        ], *[
+            f"sum(signum(x{j}) * log1p(abs(x{j}))) as s{j}" for j in range(len(columns))
+        ], *[
+            f"var_pop({yeo_johnson(f'x{j}', power)}) as v{j}_{i}"
+            for j, c in enumerate(columns) for i, power in enumerate(trial[c])
+        ]).first()
+        for j, c in enumerate(columns):
+            scored = []
             for i, power in enumerate(trial[c]):
-                score = F.count(x) * -0.5 * safe_ln(F.var_pop(yeo_johnson(x, power))) + F.sum(size) * (power - 1.0)
-                scores.append(score.alias(f"{i}:{c}"))
-        row = df.agg(*scores).first().asDict()
-        for c in columns:
-            likelihood = [row[f"{i}:{c}"] for i in range(len(trial[c]))]
-            known = [(v, i) for i, v in enumerate(likelihood) if v is not None and math.isfinite(v)]
-            centre[c] = trial[c][max(known)[1]] if known else 1.0
+                spread = row[f"v{j}_{i}"]
+                if spread is not None and math.isfinite(spread) and spread > 0:
+                    scored.append((-0.5 * row[f"n{j}"] * math.log(spread) + (power - 1.0) * row[f"s{j}"], -abs(power - 1.0), power))
+            centre[c] = max(scored)[2] if scored else 1.0
     return centre
 
 
@@ -344,13 +349,12 @@ def power_transform(
                        for i, c in enumerate(columns) for t, f in (("lo", F.min), ("hi", F.max))]).first()
 
     def shaped(frame: DataFrame) -> DataFrame:
-        return frame.withColumns({
-            c: yeo_johnson(
-                F.when(F.col(quoted(c)).isNotNull(), F.greatest(
-                    F.least(F.col(quoted(c)).cast("double"), F.lit(ends[f"hi{i}"])), F.lit(ends[f"lo{i}"]))),
-                powers[c])
+        held = frame.withColumns({
+            c: F.when(F.col(quoted(c)).isNotNull(), F.greatest(
+                F.least(F.col(quoted(c)).cast("double"), F.lit(ends[f"hi{i}"])), F.lit(ends[f"lo{i}"])))
             for i, c in enumerate(columns)
         })
+        return held.withColumns({c: F.expr(yeo_johnson(quoted(c), powers[c])) for c in columns})
 
     scaled = standardize(shaped(df), columns, shaped(train))
     return scaled.withColumns({
@@ -405,13 +409,15 @@ def split_stratified(
     """
     hashed = df.withColumn("__h", F.xxhash64(*keys, F.lit(seed)))
     counts = hashed.groupBy(stratum, "__h").agg(F.count(F.lit(1)).alias("__n"))
-    upto = running(counts, [stratum], "__h", {"__upto": ("sum", "__n")}, **how).drop("__n")
-    sizes = df.groupBy(stratum).agg(F.count(F.lit(1)).alias("__size"))
-    return (
-        hashed.join(upto, [stratum, "__h"]).join(sizes, stratum)
-        .withColumn(out, F.col("__upto") <= F.bround(F.col("__size") * F.lit(test)))
-        .drop("__h", "__upto", "__size")
+    upto = running(counts, [stratum], "__h", {"__upto": ("sum", "__n")}, **how)
+    sizes = counts.groupBy(stratum).agg(F.sum("__n").alias("__size"))
+    # One cut point per stratum goes back to the rows, not one place per row.
+    cuts = upto.join(sizes, stratum).groupBy(stratum).agg(
+        F.max(F.when(F.col("__upto") <= F.bround(F.col("__size") * F.lit(test)), F.col("__h"))).alias("__cut")
     )
+    return hashed.join(cuts, stratum, "left").withColumn(
+        out, F.coalesce(F.col("__h") <= F.col("__cut"), F.lit(False))
+    ).drop("__h", "__cut")
 
 
 def split_group_and_time(
