@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from gridpanel.catalog.common import CUSTOMER_PANEL, SUPPLIER_PANEL, customer_panel, load, query, rnd, sql_rnd, supplier_panel
 from gridpanel.functions.expressions import ratio
 from gridpanel.operators import classify, cluster, did, features, regression, windows
+from gridpanel.operators.ordered import exact_quantiles
+from gridpanel.session import checkpointed
 
 HOT = {"parts": 50, "min_rows": 200}
 COLS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
@@ -93,7 +95,6 @@ def f5(spark, d):
 SELECT o_orderstatus, count(*) AS n_values, floor(quantile_cont(o_totalprice, 0.1) * 100 + 0.5) / 100 AS p10,
   floor(quantile_cont(o_totalprice, 0.5) * 100 + 0.5) / 100 AS p50 FROM orders GROUP BY 1""")
 def f5_hot(spark, d):
-    from gridpanel.operators.ordered import exact_quantiles
     out = exact_quantiles(load(spark, d, "orders"), ["o_orderstatus"], "o_totalprice", {"p10": 0.1, "p50": 0.5}, **HOT)
     return out.withColumns({"p10": rnd("p10", 2), "p50": rnd("p50", 2)})
 
@@ -165,13 +166,16 @@ def f13(spark, d):
 
 
 def _docs(spark, d):
-    """Labelled documents with counts of their whole text as features."""
+    """Labelled documents with counts of their whole text as features.
+
+    The texts are read once; resampling and fitting pass over the counts often.
+    """
     text = F.col("text")
-    return load(spark, d, "documents").join(load(spark, d, "labels"), "doc_id").select(
+    return checkpointed(load(spark, d, "documents").join(load(spark, d, "labels"), "doc_id").select(
         "doc_id", "quality", F.col("n_chars").cast("double").alias("chars"),
         F.size(F.split(text, r"\s+")).cast("double").alias("words"),
         F.size(F.split(text, "\n")).cast("double").alias("lines"),
-        F.length(F.regexp_replace(text, "[^0-9]", "")).cast("double").alias("digits"))
+        F.length(F.regexp_replace(text, "[^0-9]", "")).cast("double").alias("digits")))
 
 
 _DOC_FEATURES = ["chars", "words", "lines", "digits"]
@@ -407,7 +411,7 @@ def m11(spark, d):
 
 @query("m13_random_forest")
 def m13(spark, d):
-    df = features.smote(features.standardize(_docs(spark, d), _DOC_FEATURES), "doc_id", "quality", _DOC_FEATURES)
+    df = checkpointed(features.smote(features.standardize(_docs(spark, d), _DOC_FEATURES), "doc_id", "quality", _DOC_FEATURES))
     model = classify.random_forest(df, "quality", _DOC_FEATURES, trees=20, depth=5)
     scored = classify.predict(model, df, _DOC_FEATURES)
     return classify.classification_report(scored, "quality", "predicted", "is_synthetic")
