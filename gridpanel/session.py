@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -40,18 +42,58 @@ def local_session(cores: str = "8", name: str = "gridpanel") -> SparkSession:
     return tune(spark)
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that driver and executors share, as the cluster names it.
+
+    It is ``spark.checkpoint.dir`` or the folder given to ``setCheckpointDir``.
+    A local session without either gets a folder of its own; on a cluster that
+    would lie on one machine, so there it is an error.
+    """
+    context = spark.sparkContext
+    named = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir", None)
+    if named or context.getCheckpointDir():
+        return named or context.getCheckpointDir()
+    if not re.fullmatch(r"local(\[[^\]]*\])?", context.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+    context.setCheckpointDir(tempfile.mkdtemp(prefix="gridpanel-ck-"))
+    return context.getCheckpointDir()
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """Write ``df`` to the cluster's checkpoint folder and cut its lineage.
 
-    The folder named by ``spark.checkpoint.dir`` is shared, so the rows outlive
-    a lost executor. A folder of our own is used only when none is named, which
-    is the case in tests.
+    The folder is shared, so the rows outlive a lost executor.
     """
-    spark = df.sparkSession
-    context = spark.sparkContext
+    context = df.sparkSession.sparkContext
     if not context.getCheckpointDir():
-        folder = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get(
-            "spark.checkpoint.dir", None
-        )
-        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="gridpanel-ck-"))
+        context.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint(eager=True)
+
+
+def delete_folder(spark: SparkSession, folder: str) -> None:
+    """Delete a folder of ours on whatever store it lies."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+class Stored:
+    """A frame written to the shared folder as Parquet, and how to get rid of it.
+
+    Unlike a checkpoint it keeps no partitioning, has a known size, so that Spark
+    joins small ones by broadcast on its own, and can be deleted when a loop has
+    moved on.
+    """
+
+    def __init__(self, df: DataFrame):
+        self.spark = df.sparkSession
+        self.folder = f"{shared_folder(self.spark).rstrip('/')}/gridpanel-{uuid.uuid4().hex}"
+        df.write.parquet(self.folder)
+        self.df = self.spark.read.schema(df.schema).parquet(self.folder)
+
+    def drop(self) -> None:
+        delete_folder(self.spark, self.folder)
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """``df`` written to the shared folder and read again; the files stay for the session's user to clear."""
+    return Stored(df).df

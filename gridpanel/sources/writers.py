@@ -2,24 +2,20 @@
 
 from __future__ import annotations
 
-import tempfile
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridpanel.functions.expressions import quoted, ratio
+from gridpanel.session import shared_folder
 from gridpanel.sources.readers import read_delimited, read_lines
 
 
 def scratch_folder(spark: SparkSession) -> str:
-    """A new folder below the cluster's shared checkpoint folder, local only in tests."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared:
-        run = spark.sparkContext.applicationId
-        stamp = spark.range(1).select(F.uuid()).first()[0]
-        return f"{shared.rstrip('/')}/gridpanel/{run}/{stamp}"
-    return tempfile.mkdtemp(prefix="gridpanel-")
+    """A new folder below the folder that driver and executors share."""
+    return f"{shared_folder(spark).rstrip('/')}/gridpanel/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
 
 
 def save_table(
