@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from gridpanel.llm import ngram_join
+from gridpanel.llm import langid, mixing, ngram_join, substrings, toxicity
 from gridpanel.llm.common import ORACLES, QUERIES, load, query
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -12,6 +12,12 @@ __all__ = ["ORACLES", "QUERIES"]
 WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
 
+@query("op3_language_id")
+def op3(spark, d):
+    found = langid.identify(load(spark, d, "documents").select("doc_id", "text", "lang"))
+    return found.select("doc_id", "held_out", "lang_pred", "score")
+
+
 @query("op7_ngram_jaccard_join", f"""
 WITH RECURSIVE w AS (
   SELECT doc_id, {WORDS.replace("coalesce(text, '')", "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} AS ws
@@ -27,3 +33,65 @@ SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, c.component_id FROM documents d
 JOIN (SELECT doc_id, min(other) AS component_id FROM r GROUP BY 1) c USING (doc_id)""")
 def op7(spark, d):
     return ngram_join.jaccard_groups(load(spark, d, "documents"), size=4, num=85, den=100)
+
+
+@query("op8_toxicity")
+def op8(spark, d):
+    found = toxicity.judge(load(spark, d, "documents").select("doc_id", "text"), load(spark, d, "labels"))
+    return found.select("doc_id", "held_out", "score", "predicted", "evidence", "similarity")
+
+
+@query("op9_substring_dedup", f"""
+WITH w AS (SELECT doc_id, {WORDS} AS ws FROM documents),
+p AS (SELECT doc_id, unnest(range(1, len(ws) - 48)) AS i, ws FROM w WHERE len(ws) >= 50),
+g AS (SELECT doc_id, i, array_to_string(ws[i:i+49], ' ') AS g FROM p),
+m AS (SELECT g, min(doc_id) AS first_id FROM g GROUP BY 1 HAVING count(*) > 1),
+c AS (SELECT DISTINCT doc_id, unnest(range(i, i + 50)) AS i FROM g JOIN m USING (g) WHERE doc_id > first_id),
+k AS (SELECT doc_id, list(i) AS gone FROM c GROUP BY 1)
+SELECT doc_id, len(ws) AS n_words, coalesce(len(gone), 0) AS n_removed,
+  sha256(coalesce(array_to_string(list_transform(list_filter(range(1, len(ws) + 1), lambda j: gone IS NULL OR NOT list_contains(gone, j)),
+    lambda j: ws[j]), ' '), '')) AS kept_sha256
+FROM w LEFT JOIN k USING (doc_id)""")
+def op9(spark, d):
+    kept = substrings.remove_repeats(load(spark, d, "documents").select("doc_id", "text"))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2(F.col("text"), 256).alias("kept_sha256"))
+
+
+MIX_WEIGHTS = {"domain": {"d0": 3, "d1": 2, "d2": 1}, "lang": {"en": 4, "de": 2, "fr": 2, "es": 1}}
+MIX_SHARE, MIX_EPOCHS, MIX_SEED = 0.5, 2, 7
+
+
+def _mix_sql() -> str:
+    """The budgets level by level, then the epochs."""
+    levels, parts, parent = ["domain", "lang", "source"], [], "root"
+    for depth, level in enumerate(levels):
+        path, up = ", ".join(levels[:depth + 1]), ", ".join(levels[:depth]) or "1"
+        cases = "".join(f" WHEN '{k}' THEN {v}" for k, v in MIX_WEIGHTS.get(level, {}).items())
+        weight = f"CAST(CASE {level}{cases} ELSE 1 END AS DOUBLE)" if cases else "CAST(1 AS DOUBLE)"
+        join = f"JOIN b{depth - 1} USING ({up})" if depth else f"CROSS JOIN (SELECT least(CAST(floor({MIX_SHARE} * sum(tokens)) AS BIGINT), {MIX_EPOCHS} * sum(tokens)) AS budget FROM leaf) q"
+        over = f"OVER (PARTITION BY {up} ORDER BY capacity / weight, {level} ROWS BETWEEN"
+        parts.append(f"""
+n{depth} AS (SELECT *, {weight} AS weight FROM (SELECT {path}, CAST({MIX_EPOCHS} * sum(tokens) AS BIGINT) AS capacity FROM leaf GROUP BY {path}) {join}),
+f{depth} AS (SELECT *, capacity / weight <= (budget - coalesce(sum(capacity) {over} UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+  / sum(weight) {over} CURRENT ROW AND UNBOUNDED FOLLOWING) AS is_full FROM n{depth}),
+b{depth} AS (SELECT {path}, CAST(CASE WHEN is_full THEN capacity ELSE floor(weight * (
+  (budget - sum(CASE WHEN is_full THEN capacity ELSE 0 END) OVER (PARTITION BY {up}))
+  / sum(CASE WHEN is_full THEN 0 ELSE weight END) OVER (PARTITION BY {up}))) END AS BIGINT) AS budget FROM f{depth})""")
+    return f"""
+WITH d AS (SELECT doc_id, coalesce('d' || CAST(TRY_CAST(regexp_extract(source, '([0-9]+)$', 1) AS INTEGER) % 3 AS VARCHAR), '(none)') AS domain,
+  coalesce(lang, '(none)') AS lang, coalesce(source, '(none)') AS source, len({WORDS}) AS tokens FROM documents),
+leaf AS (SELECT domain, lang, source, sum(tokens) AS tokens FROM d GROUP BY ALL),{",".join(parts)},
+g AS (SELECT domain, lang, source, CASE WHEN tokens > 0 THEN CAST(budget // tokens AS BIGINT) ELSE 0 END AS whole, budget, leaf.tokens AS all_tokens
+  FROM b2 JOIN leaf USING (domain, lang, source)),
+k AS (SELECT *, budget - whole * all_tokens AS rest, md5('{MIX_SEED}-' || CAST(whole AS VARCHAR) || '-' || CAST(doc_id AS VARCHAR)) AS k FROM d JOIN g USING (domain, lang, source)),
+c AS (SELECT *, sum(tokens) OVER (PARTITION BY domain, lang, source ORDER BY k) <= rest AND rest > 0 AS part FROM k)
+SELECT doc_id, domain, lang, source, unnest(range(0, whole + CAST(part AS BIGINT))) AS epoch, tokens FROM c"""
+
+
+@query("op10_mixing", _mix_sql())
+def op10(spark, d):
+    domain = F.concat(F.lit("d"), (F.regexp_extract("source", "([0-9]+)$", 1).try_cast("int") % 3).cast("string"))
+    docs = load(spark, d, "documents").select("doc_id", "text", "lang", "source").withColumn("domain", domain)
+    mixed = mixing.mix(docs, {"domain": "domain", "lang": "lang", "source": "source"}, MIX_WEIGHTS, MIX_SHARE, MIX_EPOCHS, MIX_SEED)
+    names = [F.coalesce(F.col(c), F.lit(mixing.NONE)).alias(c) for c in ("domain", "lang", "source")]
+    return mixed.select("doc_id", *names, "epoch", "tokens")

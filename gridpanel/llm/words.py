@@ -13,10 +13,12 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-CHUNK = 4 << 20  # bytes that are held as arrays at once
+CHUNK = 2 << 20  # bytes that are held as arrays at once
 
 _SEPARATOR = np.zeros(256, bool)
 _SEPARATOR[[0x20, *range(0x09, 0x0E)]] = True
+LETTERS_APART = np.ones(256, bool)  # for letter-and-digit words: all other ASCII bytes lie between words
+LETTERS_APART[[*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80, 0x100)]] = False
 _SAME = np.arange(256, dtype=np.uint8)
 _LOWER = _SAME.copy()
 _LOWER[ord("A"):ord("Z") + 1] += 32
@@ -63,7 +65,7 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[places[0]:places[-1]], places - places[0]
 
 
-def _pieces(data: np.ndarray, places: np.ndarray) -> Iterator[tuple[int, int]]:
+def _pieces(data: np.ndarray, places: np.ndarray, apart: np.ndarray) -> Iterator[tuple[int, int]]:
     """Ranges of about CHUNK bytes that cut no word."""
     start, total = 0, len(data)
     while start < total:
@@ -74,7 +76,7 @@ def _pieces(data: np.ndarray, places: np.ndarray) -> Iterator[tuple[int, int]]:
                 end = int(edge)
             else:
                 while end < total:
-                    gaps = np.flatnonzero(_SEPARATOR[data[end:end + CHUNK]])
+                    gaps = np.flatnonzero(apart[data[end:end + CHUNK]])
                     if len(gaps):
                         end += int(gaps[0])
                         break
@@ -84,14 +86,14 @@ def _pieces(data: np.ndarray, places: np.ndarray) -> Iterator[tuple[int, int]]:
         start = end
 
 
-def hashed_words(column: pa.Array, lower: bool = False, spans: bool = False):
+def hashed_words(column: pa.Array, lower: bool = False, spans: bool = False, between: np.ndarray = _SEPARATOR):
     """Hashes of all words in order, the n + 1 places where each text's words begin, and the spans if asked for."""
     data, places = text_bytes(column)
     fold = _LOWER if lower else _SAME
     out, firsts, lasts = [], [], []
-    for low, high in _pieces(data, places):
+    for low, high in _pieces(data, places, between):
         part = fold[data[low:high]]
-        apart = _SEPARATOR[part]
+        apart = between[part]
         before = np.empty(len(part), bool)
         before[0] = True
         before[1:] = apart[:-1]
