@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from gridpanel.llm import langid, mixing, ngram_join, substrings, toxicity
+from gridpanel.llm import html_tree, langid, mixing, ngram_join, substrings, toxicity
 from gridpanel.llm.common import ORACLES, QUERIES, load, query
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -12,6 +12,11 @@ __all__ = ["ORACLES", "QUERIES"]
 WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
 
+@query("op1_html_extraction")
+def op1(spark, d):
+    return html_tree.main_text(load(spark, d, "pages").select("page_id", "url", "html")).select("page_id", "url", "text", "n_chars")
+
+
 @query("op3_language_id")
 def op3(spark, d):
     found = langid.identify(load(spark, d, "documents").select("doc_id", "text", "lang"))
