@@ -20,7 +20,7 @@ from gridpanel.llm import words as W
 from gridpanel.llm.common import components, only_ids, tasks, without_ids
 from gridpanel.session import Stored, checkpointed
 
-FREQUENT = 1 << 16  # n-grams whose frequency is kept; more would only make prefixes a little rarer, never change the result
+FREQUENT = 1 << 18  # n-grams whose frequency is kept; more would only make prefixes a little rarer, never change the result
 BLOCK = 20_000  # documents of one list that meet in one task
 ENTRIES = 400_000  # prefix entries in a task
 RANGES = 16  # hash ranges of the suffix filter
@@ -46,9 +46,10 @@ def _rank(grams: np.ndarray, frequent: np.ndarray, counts: np.ndarray) -> np.nda
 
 
 def frequent_ngrams(docs: DataFrame, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """The FREQUENT most frequent n-grams that occur twice in some task, and in how many documents each was seen.
+    """The most frequent n-grams, FREQUENT at most, and in how many documents each was seen.
 
-    All documents are read; an n-gram that no task meets twice is rare enough.
+    All documents are read; an n-gram that no task meets twice is rare enough. The
+    least frequency is the lowest power of two that leaves few enough.
     """
 
     def count(batches):
@@ -71,9 +72,16 @@ def frequent_ngrams(docs: DataFrame, size: int) -> tuple[np.ndarray, np.ndarray]
             yield flush()
 
     found = docs.select("text").mapInArrow(count, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
-    rows = found.orderBy(F.desc("n"), "gram").limit(FREQUENT).collect()
-    grams = np.array([r[0] for r in rows], np.int64).view(np.uint64)
-    counts = np.array([r[1] for r in rows], np.int64)
+    found = Stored(found)
+    sizes = dict(found.df.groupBy(F.floor(F.log2("n")).alias("power")).count().collect())
+    power, kept = 64, 0
+    while power and kept + sizes.get(power - 1, 0) <= FREQUENT:
+        power -= 1
+        kept += sizes.get(power, 0)
+    rows = found.df.where(F.col("n") >= 2 ** power).toArrow()
+    found.drop()
+    grams = rows.column("gram").to_numpy().view(np.uint64)
+    counts = rows.column("n").to_numpy()
     order = np.argsort(grams)
     return grams[order], counts[order]
 
@@ -167,17 +175,19 @@ def shared_entries(sets: DataFrame, frequent) -> DataFrame:
 def candidate_pairs(entries: DataFrame, num: int, den: int, every: bool) -> DataFrame:
     """Pairs (a, b), a < b, that pass the length and positional filters.
 
-    At first each list pairs all its nodes with its smallest one, which is the
-    same in most lists of a group of copies. With ``every``, entries carry the
+    At first each list pairs all its nodes with its head: the one whose order the
+    shared n-gram comes earliest in. It has the fewest rarer n-grams, so it is the
+    text that the others of a group of copies were made from, or close to it, and
+    the same one heads most lists of the group. With ``every``, entries carry the
     group found so far, and all pairs of different groups are made; pairs with the
-    smallest node have been judged already.
+    head have been judged already.
     """
 
     def pairs(table: pa.Table) -> pa.Table:
         lists, node = table.column("list").to_numpy(), table.column("node").to_numpy()
         n, place = table.column("n").to_numpy().astype(np.int64), table.column("place").to_numpy().astype(np.int64)
         group = table.column("root").to_numpy() if every else node
-        order = np.lexsort((node, lists))
+        order = np.lexsort((node, place, lists))
         lists, node, n, place, group = lists[order], node[order], n[order], place[order], group[order]
         edges = np.flatnonzero(np.r_[True, lists[1:] != lists[:-1], True])
 
@@ -185,7 +195,8 @@ def candidate_pairs(entries: DataFrame, num: int, den: int, every: bool) -> Data
             keep = group[i] != group[j]
             keep &= den * np.minimum(n[i], n[j]) >= num * np.maximum(n[i], n[j])
             keep &= 1 + np.minimum(n[i] - place[i] - 1, n[j] - place[j] - 1) >= _needed(n[i], n[j], num, den)
-            return np.stack([node[i[keep]], node[j[keep]]], 1)
+            i, j = node[i[keep]], node[j[keep]]
+            return np.stack([np.minimum(i, j), np.maximum(i, j)], 1)
 
         found = [np.zeros((0, 2), np.int64)]
         if not every:
