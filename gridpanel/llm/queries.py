@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from gridpanel.llm import html_tree, langid, mixing, ngram_join, substrings, toxicity
+from gridpanel.llm import fingerprint, html_tree, langid, mixing, ngram_join, substrings, toxicity
 from gridpanel.llm.common import ORACLES, QUERIES, load, query
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -23,6 +23,11 @@ def op3(spark, d):
     return found.select("doc_id", "held_out", "lang_pred", "score")
 
 
+@query("op4_document_fingerprints")
+def op4(spark, d):
+    return fingerprint.fingerprints(load(spark, d, "documents").select("doc_id", "text"))
+
+
 @query("op7_ngram_jaccard_join", f"""
 WITH RECURSIVE w AS (
   SELECT doc_id, {WORDS.replace("coalesce(text, '')", "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} AS ws
