@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from gridpanel.llm import fingerprint, html_tree, langid, mixing, ngram_join, substrings, toxicity
+from gridpanel.llm import fingerprint, html_tree, langid, mixing, ngram_join, substrings, toxicity, vector_links
 from gridpanel.llm.common import ORACLES, QUERIES, load, query
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -28,6 +28,19 @@ def op4(spark, d):
     return fingerprint.fingerprints(load(spark, d, "documents").select("doc_id", "text"))
 
 
+@query("op6_embedding_near_dedup", """
+WITH RECURSIVE v AS (SELECT vec_id, label, embedding::DOUBLE[] AS x FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda y: y IS NULL OR NOT isfinite(y))) = 0 AND list_sum(list_transform(embedding, lambda y: y::DOUBLE * y::DOUBLE)) > 0),
+e AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.x) = len(b.x)
+  AND list_cosine_similarity(a.x, b.x) >= 0.93),
+r AS (SELECT vec_id, vec_id AS other FROM embeddings UNION SELECT r.vec_id, e.b FROM r JOIN e ON r.other = e.a),
+c AS (SELECT vec_id, min(other) AS component_id FROM r GROUP BY 1),
+n AS (SELECT a AS vec_id, count(*) AS n FROM e GROUP BY 1)
+SELECT vec_id, coalesce(n, 0) AS n_links, component_id, vec_id = component_id AS kept FROM c LEFT JOIN n USING (vec_id)""")
+def op6(spark, d):
+    return vector_links.link_vectors(load(spark, d, "embeddings").select("vec_id", "embedding", "label"))
+
+
 @query("op7_ngram_jaccard_join", f"""
 WITH RECURSIVE w AS (
   SELECT doc_id, {WORDS.replace("coalesce(text, '')", "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} AS ws
