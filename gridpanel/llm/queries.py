@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from gridpanel.llm import fingerprint, html_tree, langid, mixing, ngram_join, substrings, toxicity, vector_links
+from gridpanel.llm import fingerprint, html_tree, langid, mixing, ngram_join, pieces, substrings, toxicity, vector_links
 from gridpanel.llm.common import ORACLES, QUERIES, load, query
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -17,6 +17,14 @@ def op1(spark, d):
     return html_tree.main_text(load(spark, d, "pages").select("page_id", "url", "html")).select("page_id", "url", "text", "n_chars")
 
 
+@query("op2_sentencepiece")
+def op2(spark, d):
+    model = pieces.read_model()
+    found = pieces.decode(pieces.encode(load(spark, d, "documents").select("doc_id", "text"), model), model)
+    same = F.col("decoded") == F.coalesce("text", F.lit(""))
+    return found.select("doc_id", "n_tokens", "ids", same.alias("round_trip"))
+
+
 @query("op3_language_id")
 def op3(spark, d):
     found = langid.identify(load(spark, d, "documents").select("doc_id", "text", "lang"))

@@ -120,6 +120,23 @@ def hashed_words(column: pa.Array, lower: bool = False, spans: bool = False, bet
     return hashes, starts
 
 
+def hash_spans(data: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hashes of spans of bytes that follow each other without overlap."""
+    out = np.empty(len(begins), np.uint64)
+    first = 0
+    while first < len(begins):
+        low = int(begins[first])
+        last = max(first + 1, int(np.searchsorted(ends, low + CHUNK, "right")))
+        part = data[low:int(ends[last - 1])]
+        up, down = powers(_BASE, len(part) + 1)
+        sums = np.zeros(len(part) + 1, np.uint64)
+        np.cumsum((part.astype(np.uint64) + np.uint64(1)) * up[:len(part)], out=sums[1:])
+        a, b = begins[first:last] - low, ends[first:last] - low
+        out[first:last] = mix(((sums[b] - sums[a]) * down[a]) ^ ((b - a).astype(np.uint64) * np.uint64(0xA24BAED4963EE407)))
+        first = last
+    return out
+
+
 def windows(hashes: np.ndarray, size: int, seed: int = 0) -> np.ndarray:
     """Hash of each run of ``size`` words of one text."""
     n = len(hashes) - size + 1
