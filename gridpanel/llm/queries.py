@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from gridpanel.llm import fingerprint, html_tree, langid, mixing, ngram_join, pieces, substrings, toxicity, vector_links
+from gridpanel.llm import fingerprint, html_tree, langid, licenses, mixing, ngram_join, pieces, substrings, toxicity, vector_links
 from gridpanel.llm.common import ORACLES, QUERIES, load, query
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -36,6 +36,12 @@ def op4(spark, d):
     return fingerprint.fingerprints(load(spark, d, "documents").select("doc_id", "text"))
 
 
+@query("op5_license_scans")
+def op5(spark, d):
+    docs = load(spark, d, "documents").select("doc_id", "text")
+    return licenses.scan(docs, licenses.fit(docs))
+
+
 @query("op6_embedding_near_dedup", """
 WITH RECURSIVE v AS (SELECT vec_id, label, embedding::DOUBLE[] AS x FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL
     AND len(list_filter(embedding, lambda y: y IS NULL OR NOT isfinite(y))) = 0 AND list_sum(list_transform(embedding, lambda y: y::DOUBLE * y::DOUBLE)) > 0),
