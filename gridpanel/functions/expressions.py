@@ -39,10 +39,17 @@ def zero_pad(c: ColumnLike, width: int) -> Column:
 
 
 def parse_number(c: ColumnLike, to: str = "double", sentinels: Sequence[str] = ()) -> Column:
-    """Text to number: commas and blanks removed, anything unparsable is NULL."""
+    """Text to number: commas and blanks removed, anything unparsable is NULL.
+
+    Whole numbers go through decimals, not doubles, so all their digits count; a
+    text with a fraction is no whole number and gives NULL unless it is zero.
+    """
     text = F.trim(F.replace(as_column(c).cast("string"), F.lit(","), F.lit("")))
     if sentinels:
         text = F.when(~text.isin(list(sentinels)), text)
+    if to in ("long", "int", "bigint", "integer"):
+        exact = text.try_cast("decimal(38,6)")
+        return F.when(exact == F.floor(exact), exact).try_cast(to)
     value = text.try_cast("double")
     value = F.when(~F.isnan(value), value)
     return value if to == "double" else value.try_cast(to)

@@ -34,30 +34,6 @@ SECTOR_DEFINITIONS = [
     ("99", "Unknown"),
 ]
 
-# Sector definition -> bucket of the model panel.
-SECTOR_BUCKETS = [
-    ("Agriculture, Forestry, Fishing and Hunting", "primary_industries"),
-    ("Mining, Quarrying, and Oil and Gas Extraction", "primary_industries"),
-    ("Utilities", "primary_industries"),
-    ("Construction", "industrial"),
-    ("Manufacturing", "industrial"),
-    ("Wholesale Trade", "trade_transport"),
-    ("Retail Trade", "trade_transport"),
-    ("Transportation and Warehousing", "trade_transport"),
-    ("Information", "information"),
-    ("Finance and Insurance", "professional"),
-    ("Real Estate and Rental and Leasing", "professional"),
-    ("Professional, Scientific, and Technical Services", "professional"),
-    ("Management of Companies and Enterprises", "professional"),
-    ("Administrative and Support and Waste Management and Remediation Services", "public_services"),
-    ("Educational Services", "public_services"),
-    ("Health Care and Social Assistance", "public_services"),
-    ("Arts, Entertainment, and Recreation", "public_services"),
-    ("Accommodation and Food Services", "public_services"),
-    ("Other Services (except Public Administration)", "public_services"),
-    ("Public Administration", "public_services"),
-    ("Unknown", "unknown"),
-]
 
 # Suppression flag -> size-band columns it hides.
 SUPPRESSION_BANDS = {
@@ -102,20 +78,6 @@ MAINLAND_PREFIXES = [
     "47", "48", "49", "50", "51", "53", "54", "55", "56",
 ]
 
-# State prefix -> postal code.
-STATE_CODES = {
-    "01": "AL", "02": "AK", "04": "AZ", "05": "AR", "06": "CA",
-    "08": "CO", "09": "CT", "10": "DE", "11": "DC", "12": "FL",
-    "13": "GA", "15": "HI", "16": "ID", "17": "IL", "18": "IN",
-    "19": "IA", "20": "KS", "21": "KY", "22": "LA", "23": "ME",
-    "24": "MD", "25": "MA", "26": "MI", "27": "MN", "28": "MS",
-    "29": "MO", "30": "MT", "31": "NE", "32": "NV", "33": "NH",
-    "34": "NJ", "35": "NM", "36": "NY", "37": "NC", "38": "ND",
-    "39": "OH", "40": "OK", "41": "OR", "42": "PA", "44": "RI",
-    "45": "SC", "46": "SD", "47": "TN", "48": "TX", "49": "UT",
-    "50": "VT", "51": "VA", "53": "WA", "54": "WV", "55": "WI",
-    "56": "WY",
-}
 
 # Planning-region ids that do not match the older county ids.
 NEW_REGION_IDS = [
@@ -150,3 +112,12 @@ COUNTY_PARENTS = {
     "29510": "29189",
     "32510": "32005",
 }
+
+# Ids of the independent cities that keep a code of their own. 51560 is
+# not among them: it gave up its charter and is a town of its county.
+INDEPENDENT_CITIES = [
+    "51510", "51515", "51520", "51530", "51540", "51550", "51570", "51580", "51590", "51595", "51600",
+    "51610", "51620", "51630", "51640", "51650", "51660", "51670", "51678", "51680", "51683", "51685",
+    "51690", "51700", "51710", "51720", "51730", "51735", "51740", "51750", "51760", "51770", "51775",
+    "51790", "51800", "51810", "51820", "51830", "51840",
+]

@@ -147,13 +147,15 @@ def pivot_buckets(
 ) -> DataFrame:
     """Sum metrics per bucket into columns ``metric_bucket``.
 
-    ``buckets`` is a (code, bucket) frame; codes without a bucket are dropped.
-    The bucket names are given, so the plan is one join and one group-by of
-    conditional sums, and the schema is fixed. A bucket without rows is NULL.
+    ``buckets`` is a (code, bucket) frame; codes without a bucket are dropped, a
+    bucket that is not among ``values`` is an error. The bucket names are given,
+    so the plan is one join and one group-by of conditional sums, and the schema
+    is fixed. A bucket without rows is NULL.
     """
     pairs = buckets.toDF("__code", "__bucket")
     tagged = with_keys(fact, keys).join(pairs, F.col(code) == F.col("__code"), "inner")
-    tagged = tagged.where(F.col("__bucket").isin(list(values)))
+    unknown = F.raise_error(F.concat(F.lit("unknown bucket "), F.col("__bucket").cast("string"))).cast("boolean")
+    tagged = tagged.where(F.when(~F.col("__bucket").isin(list(values)), unknown).otherwise(F.col("__bucket").isNotNull()))
     return tagged.groupBy(*keys).agg(*[
         F.sum(F.when(F.col("__bucket") == b, F.coalesce(F.col(quoted(m)), F.lit(0)))).alias(f"{m}_{b}")
         for m in metrics for b in values

@@ -71,10 +71,15 @@ def remap_codes(
     """Child id to parent id; ids outside the crosswalk are unchanged.
 
     A Python mapping becomes a literal in the plan. A DataFrame (child, parent)
-    is left-joined and Spark broadcasts it when its run-time size allows.
+    is left-joined and Spark broadcasts it when its run-time size allows. A child
+    with two different parents is an error; equal rows count once.
     """
     if isinstance(crosswalk, DataFrame):
-        pairs = crosswalk.toDF("__child", "__parent").dropDuplicates(["__child"])
+        pairs = crosswalk.toDF("__child", "__parent").groupBy("__child").agg(
+            F.min("__parent").alias("__parent"), F.max("__parent").alias("__other"))
+        message = F.concat(F.lit("two parents for "), F.col("__child").cast("string"))
+        pairs = pairs.select("__child", F.when(
+            F.col("__parent") != F.col("__other"), F.raise_error(message)).otherwise(F.col("__parent")).alias("__parent"))
         return (
             df.join(pairs, F.col(column) == F.col("__child"), "left")
             .withColumn(column, F.coalesce("__parent", column))

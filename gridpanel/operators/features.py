@@ -15,6 +15,7 @@ from gridpanel.functions.expressions import (
 )
 from gridpanel.operators.moments import Moments, moments
 from gridpanel.operators.neighbors import knn_vectors
+from gridpanel.operators.skew import null_safe
 from gridpanel.operators.ordered import exact_quantiles, ranked_values, running, to_long, value_counts
 
 
@@ -406,16 +407,17 @@ def split_stratified(
 
     ``keys`` identify a row. Rows are ordered by hash inside their stratum with
     running counts, so a stratum with most of the rows is still cut into blocks.
+    Rows without a stratum are one of their own.
     """
     hashed = df.withColumn("__h", F.xxhash64(*keys, F.lit(seed)))
     counts = hashed.groupBy(stratum, "__h").agg(F.count(F.lit(1)).alias("__n"))
     upto = running(counts, [stratum], "__h", {"__upto": ("sum", "__n")}, **how)
     sizes = counts.groupBy(stratum).agg(F.sum("__n").alias("__size"))
     # One cut point per stratum goes back to the rows, not one place per row.
-    cuts = upto.join(sizes, stratum).groupBy(stratum).agg(
+    cuts = null_safe(upto, sizes, [stratum], "inner").groupBy(stratum).agg(
         F.max(F.when(F.col("__upto") <= F.bround(F.col("__size") * F.lit(test)), F.col("__h"))).alias("__cut")
     )
-    return hashed.join(cuts, stratum, "left").withColumn(
+    return null_safe(hashed, cuts, [stratum], "left").withColumn(
         out, F.coalesce(F.col("__h") <= F.col("__cut"), F.lit(False))
     ).drop("__h", "__cut")
 

@@ -10,10 +10,11 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridpanel.functions.expressions import quoted
+from gridpanel.operators.aggregate import missing_share
 from gridpanel.operators.skew import skew_join
 
 
@@ -35,18 +36,39 @@ def lookup_join(
 
 
 class NotUnique(ValueError):
-    """A table that has to be unique on its keys is not."""
+    """A table that has to be unique on its keys is not; ``offenders`` holds all repeated keys with their rows."""
 
+    offenders: DataFrame | None = None
 
-def check_unique(df: DataFrame, keys: Sequence[str], name: str, shown: int = 20) -> None:
+
+def _has_keys(df: DataFrame, keys: Sequence[str], name: str) -> None:
     missing = [k for k in keys if k not in df.columns]
     if missing:
         raise NotUnique(f"{name} lacks the key columns {missing}")
-    repeated = (
-        df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(*keys).take(shown)
-    )
-    if repeated:
-        raise NotUnique(f"{name} is not unique on {list(keys)}, e.g. {[tuple(r) for r in repeated]}")
+
+
+def check_unique(df: DataFrame, keys: Sequence[str], name: str) -> None:
+    """Fail at once, in a job of its own, with the number of repeated keys and all of them as a frame."""
+    _has_keys(df, keys, name)
+    repeated = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    count, first = repeated.agg(F.count(F.lit(1)), F.min(F.struct(*keys))).first()
+    if count:
+        error = NotUnique(f"{name} is not unique on {list(keys)}: {count} repeated keys, e.g. {tuple(first)}")
+        error.offenders = repeated
+        raise error
+
+
+def unique_on(df: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
+    """``df``, whose query fails where two rows share their keys.
+
+    The count is a window over the keys, in the partitioning and order that the
+    join on them needs anyway, so nothing is computed twice.
+    """
+    _has_keys(df, keys, name)
+    shown = F.concat_ws(", ", *[F.col(k).cast("string") for k in keys])
+    message = F.concat(F.lit(f"{name} is not unique on {', '.join(keys)}: "), shown)
+    counted = df.withColumn("__rows", F.count(F.lit(1)).over(Window.partitionBy(*keys)))
+    return counted.where(F.when(F.col("__rows") > 1, F.raise_error(message).cast("boolean")).otherwise(F.lit(True))).drop("__rows")
 
 
 def assemble_panel(
@@ -55,12 +77,16 @@ def assemble_panel(
     """Left-join tables that are unique on ``keys`` to the base grid.
 
     All joins share the keys, so the base is exchanged once and every further
-    join finds it partitioned already.
+    join finds it partitioned already. The query fails on a table that repeats a
+    key; ``check=False`` is for tables that are unique by construction.
     """
-    for name, table in tables.items():
-        if check:
-            check_unique(table, keys, name)
-    return reduce(lambda out, t: out.join(t, list(keys), "left"), tables.values(), base)
+    parts = [unique_on(t, keys, name) if check else t for name, t in tables.items()]
+    return reduce(lambda out, t: out.join(t, list(keys), "left"), parts, base)
+
+
+def assembly_report(panel: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Share of missing values of every column of an assembled panel but its keys."""
+    return missing_share(panel, [c for c in panel.columns if c not in keys])
 
 
 def panel_grid(entities: DataFrame, time: str, first: int, last: int) -> DataFrame:
@@ -94,9 +120,13 @@ def coalesce_join(
     base: DataFrame, primary: DataFrame, fallback: DataFrame, key: str, columns: Sequence[str],
     decided_by: str,
 ) -> DataFrame:
-    """Take all ``columns`` from the fallback where the deciding one is missing."""
-    second = fallback.select(key, *[F.col(c).alias(f"__f_{c}") for c in columns])
-    joined = base.join(primary.select(key, *columns), key, "left").join(second, key, "left")
+    """Take all ``columns`` from the fallback where the deciding one is missing.
+
+    The query fails where one of the two repeats a key.
+    """
+    second = unique_on(fallback, [key], "fallback").select(key, *[F.col(c).alias(f"__f_{c}") for c in columns])
+    first = unique_on(primary, [key], "primary").select(key, *columns)
+    joined = base.join(first, key, "left").join(second, key, "left")
     use = F.col(decided_by).isNull()
     picked = {f"__p_{c}": F.when(use, F.col(f"__f_{c}")).otherwise(F.col(c)) for c in columns}
     return (

@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridpanel.functions.expressions import quoted, split_last
-from gridpanel.operators.joins import check_unique
 
 
 def melt_years(
@@ -22,18 +21,17 @@ def melt_years(
 
 def pivot_attribute(
     df: DataFrame, index: Sequence[str], attribute: str, value: str, names: Mapping[str, str] | Sequence[str],
-    check: bool = True,
 ) -> DataFrame:
     """Attribute rows to columns; two rows for one cell are an error.
 
     ``names`` lists the attributes (or maps them to output columns), which fixes
-    the schema and saves the job that would look for them.
+    the schema and saves the job that would look for them. The rows of a cell are
+    counted in the same aggregate, and the query fails when there are two.
     """
     targets = dict(names) if isinstance(names, Mapping) else {n: n for n in names}
-    if check:
-        check_unique(df, [*index, attribute], f"pivot on {attribute}")
     return df.groupBy(*index).agg(*[
-        F.max(F.when(F.col(attribute) == source, F.col(value))).alias(target)
+        F.when(F.count_if(F.col(attribute) == source) > 1, F.raise_error(F.lit(f"two rows for one cell of {target}")))
+        .otherwise(F.max(F.when(F.col(attribute) == source, F.col(value)))).alias(target)
         for source, target in targets.items()
     ])
 

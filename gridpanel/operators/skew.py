@@ -128,8 +128,12 @@ def skew_join(
 
     ``spread_by`` names columns that tell the rows of one key apart. Their hash
     is the salt, so a recomputed task puts every row where it was before. Only
-    the rows of ``other`` that belong to hot keys are copied.
+    the rows of ``other`` that belong to hot keys are copied. That makes a copy
+    without a partner look like a row without one, so joins that keep all rows of
+    ``other`` are refused.
     """
+    if how not in ("inner", "left", "left_outer", "leftouter", "left_semi", "semi", "left_anti", "anti"):
+        raise ValueError("a salted join is inner, left, left_semi or left_anti")
     on = list(on)
     hot = F.broadcast(heavy_keys(big, on, parts, min_rows).withColumn("__hot", F.lit(True)))
     salt = F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int")

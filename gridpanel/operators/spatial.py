@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from gridpanel.functions.expressions import numeric_columns, quoted, ratio, zero_sum
 from gridpanel.operators.clean import per_capita
-from gridpanel.operators.joins import check_unique, neighbor_values, panel_grid
+from gridpanel.operators.joins import neighbor_values, panel_grid, unique_on
 from gridpanel.operators.neighbors import within_distance
 from gridpanel.operators.windows import yoy_change
 
@@ -75,7 +75,7 @@ def spatial_fill(
     extra: Sequence[str] = (),
     neighbor: str = "neighbor",
     parity: bool = False,
-    check: bool = False,
+    check: bool = True,
     salts: int = 0,
 ) -> DataFrame:
     """Add ``{col}_spatial_{how}_{k}`` columns, or fill only the missing values.
@@ -83,7 +83,7 @@ def spatial_fill(
     The panel is read twice, for its own rows and as the neighbours' values.
     Hand in a stored or checkpointed one where it is costly to derive.
     ``parity`` gives 0 instead of NULL for a weighted average without any
-    neighbour value. ``check`` verifies that the panel keys are unique first.
+    neighbour value. ``check`` makes the query fail where the panel repeats a key.
     """
     if mode not in ("new_col", "fill_na"):
         raise ValueError("mode must be 'new_col' or 'fill_na'")
@@ -94,7 +94,7 @@ def spatial_fill(
     keys = [entity, time, *extra]
     values = list(values) if values is not None else numeric_columns(panel, keys)
     if check:
-        check_unique(panel, keys, "panel")
+        panel = unique_on(panel, keys, "panel")
     stats = neighbor_stat(panel, edges, entity, time, values, k, how, extra, neighbor, salts)
     stats = stats.withColumnsRenamed({v: f"__s{i}" for i, v in enumerate(values)})
     out = panel.join(stats, keys, "left")

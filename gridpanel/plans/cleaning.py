@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from gridpanel.functions.expressions import parse_number, quoted, zero_pad
 from gridpanel.functions.fixed_values import (
-    BUSINESS_PATTERN_NAMES, CITY_PARENTS, COUNTY_PARENTS, MAINLAND_PREFIXES, NEW_REGION_IDS, SUPPRESSION_BANDS,
+    BUSINESS_PATTERN_NAMES, CITY_PARENTS, COUNTY_PARENTS, INDEPENDENT_CITIES, MAINLAND_PREFIXES, NEW_REGION_IDS, SUPPRESSION_BANDS,
 )
 from gridpanel.operators.aggregate import agg_max, agg_mean_std, agg_sum, rollup_children
 from gridpanel.operators.clean import (
@@ -30,8 +30,6 @@ from gridpanel.sources.readers import parse_fixed_width
 E, T = "county_id", "year"
 FIRST, LAST = 2001, 2022
 
-# Ids of the independent cities that keep a code of their own.
-INDEPENDENT_CITIES = [c for c in CITY_PARENTS if c < "51900" and c != "51560"]
 CITIES_ONLY = {c: CITY_PARENTS[c] for c in INDEPENDENT_CITIES}
 
 
@@ -43,7 +41,7 @@ def _wide_accounts(raw: DataFrame, years: Sequence[int], names: dict[str, str],
     """Wide account tables: years to rows, descriptions to columns, counties only."""
     long = melt_years(raw, ["GeoFIPS", "GeoName", "Description"], [str(y) for y in years], T, "value")
     counties = long.where(F.col("GeoName").contains(","))
-    wide = pivot_attribute(counties, ["GeoFIPS", "GeoName", T], "Description", "value", names, check=False)
+    wide = pivot_attribute(counties, ["GeoFIPS", "GeoName", T], "Description", "value", names)
     return filter_years(wide.select(
         F.trim(F.replace("GeoFIPS", F.lit('"'), F.lit(""))).alias(E),
         F.col(T).try_cast("int").alias(T),
@@ -112,7 +110,7 @@ def clean_unemployment(raw: DataFrame) -> DataFrame:
              "Unemployed": "unemployed", "Unemployment_rate": "unemployment_rate"}
     df = raw.withColumns({"__a": attribute, T: year})
     df = filter_regex(df, "Area_Name", "County|Parish|District of Columbia", ignore_case=True)
-    df = pivot_attribute(df, ["FIPS_Code", "State", "Area_Name", T], "__a", "Value", names, check=False)
+    df = pivot_attribute(df, ["FIPS_Code", "State", "Area_Name", T], "__a", "Value", names)
     df = df.select(zero_pad("FIPS_Code", 5).alias(E), T, *[
         parse_number(c, "double" if c == "unemployment_rate" else "long").alias(c) for c in names.values()
     ])

@@ -48,7 +48,7 @@ def build_model_panel(
     names: Mapping[str, str] | None = None,
     lags_of: Sequence[str] = (),
     k: int = 5,
-    check: bool = False,
+    check: bool = True,
 ) -> DataFrame:
     """Sector pivot, gap filling, neighbour columns, assembly, per-capita columns and lags.
 

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from gridpanel.functions.expressions import quoted
+from gridpanel.functions.expressions import nan_to_null, quoted
 
 
 def read_delimited(
@@ -16,12 +18,27 @@ def read_delimited(
     encoding: str = "UTF-8", header: bool = True,
 ) -> DataFrame:
     """Comma, pipe or tab files. Without a schema every column is text, so ids
-    keep their leading zeros and no job runs to guess types."""
+    keep their leading zeros and no job runs to guess types.
+
+    A schema names the columns wanted, any of them and in any order, and their
+    types. With a header they are found by name, without one by place. A value
+    that is not of its type is NULL, and so is a NaN.
+    """
     reader = spark.read.option("sep", sep).option("encoding", encoding).option("header", header)
-    if schema:
-        # Columns are matched by header name, not by place.
-        reader = reader.schema(schema).option("enforceSchema", False)
-    return reader.csv(path)
+    if not schema:
+        return reader.csv(path)
+    wanted = T.StructType.fromDDL(schema).fields
+    raw = reader.csv(path)
+    if not header:
+        raw = raw.toDF(*[f.name for f in wanted], *raw.columns[len(wanted):])
+    return raw.select(*[_typed(F.col(quoted(f.name)), f.dataType).alias(f.name) for f in wanted])
+
+
+def _typed(text: Column, kind: T.DataType) -> Column:
+    if isinstance(kind, T.StringType):
+        return text
+    value = F.trim(text).try_cast(kind)
+    return nan_to_null(value) if isinstance(kind, (T.DoubleType, T.FloatType)) else value
 
 
 def scan_filtered(df: DataFrame, columns: Sequence[str], predicate: Column | str) -> DataFrame:
@@ -65,8 +82,10 @@ def read_fixed_width(spark: SparkSession, path: str | list[str], slices: Mapping
 
 
 def load_table(spark: SparkSession, name: str, schema: str | None = None) -> DataFrame:
-    """A whole stored table; columns not used later are pruned from the scan."""
-    return spark.table(f"{schema}.{name}" if schema else name)
+    """A whole stored table, NaN as NULL; columns not used later are pruned from the scan."""
+    table = spark.table(f"{schema}.{name}" if schema else name)
+    floats = [f.name for f in table.schema.fields if isinstance(f.dataType, (T.DoubleType, T.FloatType))]
+    return table.withColumns({c: nan_to_null(F.col(quoted(c))) for c in floats}) if floats else table
 
 
 def read_yearly_files(
@@ -75,10 +94,22 @@ def read_yearly_files(
 ) -> DataFrame:
     """One file per period, stacked, the period taken from the file's path.
 
-    ``paths`` is a glob, or header variants mapped to their paths when the
-    layout drifts; each variant is one scan whatever its number of files.
+    ``paths`` is a glob, or several sets of paths by any name. The layout may
+    drift: the header of every file is read, and the files that share one, in its
+    order, are one scan. Headers are lower-cased and renamed by ``names`` before
+    the scans are stacked by column name; a column that a file lacks is NULL.
     """
-    groups = {"all": [paths]} if isinstance(paths, str) else paths
+    given = [paths] if isinstance(paths, str) else [p for group in paths.values() for p in group]
+
+    def header(file: str) -> tuple[tuple[str, ...], str]:
+        return tuple(read_delimited(spark, file, None, sep, encoding).columns), file
+
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(given)
+    files = [r[0] for r in found.where("length > 0").select("path").orderBy("path").collect()]
+    groups: dict[tuple[str, ...], list[str]] = {}
+    with ThreadPoolExecutor(8) as pool:
+        for columns, file in pool.map(header, files):
+            groups.setdefault(columns, []).append(file)
 
     def one(group: Sequence[str]) -> DataFrame:
         raw = read_delimited(spark, list(group), None, sep, encoding)

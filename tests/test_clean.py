@@ -5,7 +5,8 @@ from pyspark.sql import functions as F
 
 from conftest import close, rows
 from gridpanel.functions import expressions as X
-from gridpanel.operators import aggregate, clean, joins, quality, reshape, sets
+from gridpanel.operators import aggregate, clean, joins, quality, reshape, sets, skew
+from gridpanel.sources import readers
 
 
 def test_zero_pad_never_truncates(spark):
@@ -97,8 +98,13 @@ def test_assemble_rejects_repeated_keys(spark):
     good = spark.createDataFrame([("a", 1, 5)], "e string, t int, v int")
     bad = spark.createDataFrame([("a", 1, 5), ("a", 1, 6)], "e string, t int, v int")
     assert rows(joins.assemble_panel(base, {"g": good}, ["e", "t"])) == [("a", 1, 5), ("b", 1, None)]
-    with pytest.raises(joins.NotUnique, match="bad"):
-        joins.assemble_panel(base, {"bad": bad}, ["e", "t"])
+    with pytest.raises(Exception, match="bad is not unique on e, t: a, 1"):
+        joins.assemble_panel(base, {"bad": bad}, ["e", "t"]).collect()
+    with pytest.raises(joins.NotUnique, match="1 repeated keys") as caught:
+        joins.check_unique(bad, ["e", "t"], "bad")
+    assert rows(caught.value.offenders) == [("a", 1, 2)]
+    report = joins.assembly_report(joins.assemble_panel(base, {"g": good}, ["e", "t"]), ["e", "t"])
+    assert rows(report) == [("v", 0.5)]
     with pytest.raises(joins.NotUnique, match="lacks"):
         joins.assemble_panel(base, {"short": good.drop("t")}, ["e", "t"])
 
@@ -108,8 +114,9 @@ def test_melt_keeps_nulls_and_pivot_rejects_doubles(spark):
     long = reshape.melt_years(wide, ["id"], ["2001", "2002"])
     assert rows(long) == [("a", "2001", 1), ("a", "2002", None)]
     twice = long.unionByName(long)
-    with pytest.raises(joins.NotUnique):
-        reshape.pivot_attribute(twice, ["id"], "year", "value", ["2001"])
+    filled = twice.fillna(7)
+    with pytest.raises(Exception, match="two rows for one cell of 2001"):
+        reshape.pivot_attribute(filled, ["id"], "year", "value", ["2001"]).collect()
 
 
 def test_coalesce_join_follows_the_deciding_column(spark):
@@ -159,3 +166,46 @@ def test_normal_functions(spark):
     assert all(close(r["t"], 0.5 * math.erfc(r["z"] / math.sqrt(2)), 1e-12) for r in df.collect())
     back = df.select("z", X.normal_quantile(1 - F.col("t")).alias("q")).where("z < 5")
     assert all(abs(r["z"] - r["q"]) < 1e-7 for r in back.collect())
+
+
+def test_remap_codes_refuses_a_second_parent(spark):
+    df = spark.createDataFrame([("a",), ("b",)], "id string")
+    same = spark.createDataFrame([("a", "x"), ("a", "x")], "c string, p string")
+    assert rows(clean.remap_codes(df, "id", same)) == [("b",), ("x",)]
+    two = same.unionByName(spark.createDataFrame([("a", "y")], "c string, p string"))
+    with pytest.raises(Exception, match="two parents for a"):
+        clean.remap_codes(df, "id", two).collect()
+
+
+def test_long_numbers_keep_their_digits(spark):
+    df = spark.createDataFrame([("9,007,199,254,740,993",), ("12.7",), ("12.0",), ("x",), ("-3",)], "v string")
+    assert [r[0] for r in clean.coerce_numeric(df, ["v"], "long").collect()] == [9007199254740993, None, 12, None, -3]
+
+
+def test_typed_read_finds_columns_by_name(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("id,emp,est\n01,5,NaN\n02,x,2.5\n")
+    got = readers.read_delimited(spark, str(tmp_path / "a.csv"), "est double, id string, emp int")
+    assert got.dtypes == [("est", "double"), ("id", "string"), ("emp", "int")]
+    assert sorted(map(tuple, got.collect()), key=str) == [(2.5, "02", None), (None, "01", 5)]
+    assert readers.read_delimited(spark, str(tmp_path / "a.csv"), "emp long").collect()[0][0] == 5
+
+
+def test_yearly_files_follow_their_own_headers(spark, tmp_path):
+    (tmp_path / "y01.csv").write_text("id,emp,est\na,1,2\n")
+    (tmp_path / "y02.csv").write_text("ID,EST,EMP\nb,20,10\n")
+    (tmp_path / "y03.csv").write_text("id,EMP_N\nc,100\n")
+    got = readers.read_yearly_files(spark, str(tmp_path / "*.csv"), r"y(\d+)", 2000, {"emp_n": "emp"})
+    assert rows(got.select("id", "emp", "est", "year"), "id") == [("a", "1", "2", 2001), ("b", "10", "20", 2002), ("c", "100", None, 2003)]
+
+
+def test_salted_join_refuses_full(spark):
+    df = spark.createDataFrame([(1, 2)], "k int, v int")
+    with pytest.raises(ValueError):
+        skew.skew_join(df, df, ["k"], ["v"], how="full")
+
+
+def test_unknown_bucket_is_an_error(spark):
+    df = spark.createDataFrame([("e", 1, "11", 2.0)], "e string, t int, code string, m double")
+    codes = spark.createDataFrame([("11", "z")], "c string, b string")
+    with pytest.raises(Exception, match="unknown bucket z"):
+        aggregate.pivot_buckets(df, "code", codes, ["e", "t"], ["m"], ["x"]).collect()
