@@ -412,7 +412,7 @@ def m11(spark, d):
 @query("m13_random_forest")
 def m13(spark, d):
     df = checkpointed(features.smote(features.standardize(_docs(spark, d), _DOC_FEATURES), "doc_id", "quality", _DOC_FEATURES))
-    model = classify.random_forest(df, "quality", _DOC_FEATURES, trees=20, depth=5)
+    model = classify.random_forest(df, "quality", _DOC_FEATURES)
     scored = classify.predict(model, df, _DOC_FEATURES)
     return classify.classification_report(scored, "quality", "predicted", "is_synthetic")
 
@@ -420,13 +420,13 @@ def m13(spark, d):
 @query("m14_balanced_forest")
 def m14(spark, d):
     df = _docs(spark, d)
-    model = classify.balanced_forest(df, "quality", _DOC_FEATURES, trees=20, depth=5)
+    model = classify.balanced_forest(df, "quality", _DOC_FEATURES)
     return classify.classification_report(classify.predict(model, df, _DOC_FEATURES), "quality", "predicted")
 
 
 @query("m15_feature_importance")
 def m15(spark, d):
-    model = classify.balanced_forest(_docs(spark, d), "quality", _DOC_FEATURES, trees=20, depth=5)
+    model = classify.balanced_forest(_docs(spark, d), "quality", _DOC_FEATURES)
     return classify.feature_importance(spark, model, _DOC_FEATURES)
 
 
@@ -489,14 +489,14 @@ def m18b(spark, d):
 @query("m19_kmeans")
 def m19(spark, d):
     df = _vectors(spark, d)
-    model = cluster.kmeans(df, 3, restarts=3)
+    model = cluster.kmeans(df, 3)
     return cluster.cluster_labels(model, df).select("vec_id", "cluster")
 
 
 @query("m20_silhouette_sweep")
 def m20(spark, d):
     df = _vectors(spark, d)
-    return cluster.silhouette_sweep(df, range(2, 6), restarts=1)
+    return cluster.silhouette_sweep(df, range(2, 10), restarts=3)
 
 
 @query("m21_knn_classify", f"""

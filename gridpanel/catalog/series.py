@@ -282,24 +282,24 @@ def g8(spark, d):
 
 @query("g9_annualize", f"""
 WITH {sql_edges(5)}, daily AS (
-  SELECT CASE WHEN l_suppkey % 10 = 9 THEN l_suppkey - 1 ELSE l_suppkey END AS e, year(l_shipdate) AS t, l_quantity AS q FROM lineitem
-  WHERE (l_suppkey + year(l_shipdate)) % 4 <> 0),
+  SELECT CASE WHEN l_suppkey % 10 = 9 THEN l_suppkey - 1 ELSE l_suppkey END AS e, year(l_shipdate) AS t,
+  CASE WHEN (l_suppkey + year(l_shipdate)) % 4 <> 0 THEN l_quantity END AS q FROM lineitem),
 annual AS (SELECT e, t, stddev_samp(q) AS q_sd, avg(q) AS q_daily_avg FROM daily GROUP BY 1, 2),
 grid AS (SELECT pts.e, r.t, q_sd, q_daily_avg FROM pts CROSS JOIN range(1995, 2002) r(t) LEFT JOIN annual ON annual.e = pts.e AND annual.t = r.t),
 around AS (SELECT edges.e, t, sum(q_sd / distance) / sum(CASE WHEN q_sd IS NOT NULL THEN 1 / distance END) AS a,
   sum(q_daily_avg / distance) / sum(CASE WHEN q_daily_avg IS NOT NULL THEN 1 / distance END) AS b
   FROM edges JOIN grid ON grid.e = neighbor GROUP BY 1, 2)
 SELECT e, t, {sql_rnd('coalesce(q_sd, a)')} AS q_sd, {sql_rnd('coalesce(q_daily_avg, b)')} AS q_daily_avg
-FROM grid LEFT JOIN around USING (e, t) WHERE e % 7 <> 0""")
+FROM grid LEFT JOIN around USING (e, t)""")
 def g9(spark, d):
     year = F.year("l_shipdate")
-    daily = load(spark, d, "lineitem").where((F.col("l_suppkey") + year) % 4 != 0).select(
+    daily = load(spark, d, "lineitem").select(
         F.lpad(F.col("l_suppkey").cast("string"), 8, "0").alias("id"), "l_shipdate",
-        F.concat(F.col("l_quantity").cast("string")).alias("q"))
+        F.when((F.col("l_suppkey") + year) % 4 != 0, F.col("l_quantity").cast("string")).alias("q"))
     parents = load(spark, d, "supplier").where("s_suppkey % 10 = 9").select("s_suppkey", F.col("s_suppkey") - 1)
     out = cleaning.annualize(
         daily, F.col("id").cast("long"), F.year("l_shipdate"), ["q"], supplier_points(spark, d).select("e"),
-        supplier_edges(spark, d), 1995, 2001, parents=parents, entity="e", year="t", keep=F.col("e") % 7 != 0)
+        supplier_edges(spark, d), 1995, 2001, parents=parents, entity="e", year="t")
     return out.select("e", "t", rnd("q_sd").alias("q_sd"), rnd("q_daily_avg").alias("q_daily_avg"))
 
 
@@ -309,8 +309,8 @@ _BUCKETS = [("SMALL", "little"), ("MEDIUM", "little"), ("LARGE", "big"), ("PROMO
 @query("g10_build_model_panel", f"""
 WITH {sql_edges(5)}, {SUPPLIER_PANEL},
 f AS (SELECT l_suppkey AS e, year(l_shipdate) AS t, l_quantity AS m, CASE WHEN p_type IN ('SMALL', 'MEDIUM') THEN 'little'
-  WHEN p_type IN ('LARGE', 'PROMO') THEN 'big' END AS b FROM lineitem JOIN part ON p_partkey = l_partkey
-  WHERE (l_suppkey + year(l_shipdate)) % 5 <> 0),
+  WHEN p_type IN ('LARGE', 'PROMO') THEN 'big' END AS c, CASE WHEN (l_suppkey + year(l_shipdate)) % 5 <> 0 THEN c END AS b
+  FROM lineitem JOIN part ON p_partkey = l_partkey),
 piv AS (SELECT e, t, sum(m) FILTER (WHERE b = 'little') AS emp_little, sum(m) FILTER (WHERE b = 'big') AS emp_big FROM f WHERE b IS NOT NULL GROUP BY 1, 2),
 grid AS (SELECT pts.e AS e, r.t AS t, emp_little, emp_big FROM pts CROSS JOIN range(1995, 2002) r(t) LEFT JOIN piv ON piv.e = pts.e AND piv.t = r.t),
 il AS (WITH {_sql_interpolated('emp_little', 'e', 't', False, 'grid')}),
@@ -326,8 +326,8 @@ SELECT e, t, n, qty AS centres, {sql_rnd('elp', 3)} AS emp_little_per_capita, {s
 FROM joined WINDOW w AS (PARTITION BY e ORDER BY t)""")
 def g10(spark, d):
     facts = joins.lookup_join(load(spark, d, "lineitem"), load(spark, d, "part"), "l_partkey", "p_partkey").select(
-        F.col("l_suppkey").alias("e"), F.year("l_shipdate").alias("t"), F.col("l_quantity").alias("emp"), "p_type"
-    ).where((F.col("e") + F.col("t")) % 5 != 0)
+        F.col("l_suppkey").alias("e"), F.year("l_shipdate").alias("t"), F.col("l_quantity").alias("emp"),
+        F.when((F.col("l_suppkey") + F.year("l_shipdate")) % 5 != 0, F.col("p_type")).alias("p_type"))
     out = plans.build_model_panel(
         supplier_points(spark, d).select("e"), supplier_edges(spark, d), facts,
         spark.createDataFrame(_BUCKETS, "code string, bucket string"), "p_type", ["emp"], ["little", "big"],
@@ -337,7 +337,7 @@ def g10(spark, d):
 
 
 @query("g11_centre_features", f"""
-WITH {sql_edges(5)}, {SUPPLIER_PANEL}, some_ AS (SELECT e, t, n FROM panel WHERE (e + t) % 4 <> 0),
+WITH {sql_edges(5)}, {SUPPLIER_PANEL}, some_ AS (SELECT e, t, CASE WHEN (e + t) % 4 <> 0 THEN n END AS n FROM panel),
 full_ AS (SELECT pts.e AS e, r.t AS t, coalesce(n, 0) AS n FROM pts CROSS JOIN range(1995, 2003) r(t) LEFT JOIN some_ ON some_.e = pts.e AND some_.t = r.t),
 around AS (SELECT edges.e, t, sum(n / distance) / sum(1 / distance) AS a FROM edges JOIN full_ ON full_.e = neighbor GROUP BY 1, 2)
 SELECT e, t, n, {sql_rnd('a')} AS n_spatial_weighted_avg_5, n - lag(n) OVER w AS n_raw_diff, {sql_rnd('asinh(n)')} AS n_asinh,
@@ -347,6 +347,6 @@ SELECT e, t, n, {sql_rnd('a')} AS n_spatial_weighted_avg_5, n - lag(n) OVER w AS
 FROM full_ LEFT JOIN around USING (e, t) WINDOW w AS (PARTITION BY e ORDER BY t)""")
 def g11(spark, d):
     entities = supplier_points(spark, d).select("e", (F.col("e") % 37 + 1).alias("area"))
-    counts = supplier_panel(spark, d).where((F.col("e") + F.col("t")) % 4 != 0)
+    counts = supplier_panel(spark, d).withColumn("n", F.when((F.col("e") + F.col("t")) % 4 != 0, F.col("n")))
     out = plans.centre_features(counts, entities, supplier_edges(spark, d), "e", "t", "n", "area", 1995, 2002)
     return out.withColumns({c: rnd(c) for c in out.columns if c not in ("e", "t", "n", "n_raw_diff")})

@@ -18,10 +18,9 @@ from gridpanel.sources import readers, writers
 @query("s1_read_delimited", "SELECT c_custkey, c_name, c_mktsegment, c_acctbal FROM customer")
 def s1(spark, d):
     folder = writers.scratch_folder(spark) + "/customer"
-    load(spark, d, "customer").select("c_custkey", "c_name", "c_mktsegment", "c_acctbal").write.option(
-        "header", True).option("sep", "|").option("encoding", "ISO-8859-1").csv(folder)
+    load(spark, d, "customer").write.option("header", True).option("sep", "|").option("encoding", "ISO-8859-1").csv(folder)
     return readers.read_delimited(
-        spark, folder, "c_custkey long, c_name string, c_mktsegment string, c_acctbal double", "|", "ISO-8859-1")
+        spark, folder, "c_acctbal double, c_custkey long, c_mktsegment string, c_name string", "|", "ISO-8859-1")
 
 
 @query("s2_scan_filtered", """
@@ -62,16 +61,13 @@ SELECT year(o_orderdate) AS year, count(*) AS n, count(DISTINCT o_custkey) AS cu
 def s6(spark, d):
     folder = writers.scratch_folder(spark)
     o = load(spark, d, "orders").withColumn("y", F.year("o_orderdate"))
-    old = o.where("y <= 1997").select(F.col("o_orderkey").alias("KEY"), F.col("o_custkey").alias("CUST_OLD"), "y")
-    new = o.where("y > 1997").select(F.col("o_orderkey").alias("Key"), F.col("o_custkey").alias("Customer"), "y")
+    old = o.where("y <= 1997").select(F.col("o_orderkey").alias("KEY"), F.col("o_custkey").alias("CUST_OLD"), F.lit("x").alias("Flag"), "y")
+    new = o.where("y > 1997").select(F.col("o_custkey").alias("Customer"), F.col("o_orderkey").alias("Key"), "y")
     for name, part in (("old", old), ("new", new)):
         part.write.option("header", True).partitionBy("y").csv(f"{folder}/{name}")
-    df = readers.read_yearly_files(
-        spark, {n: [f"{folder}/{n}/y=*/*.csv"] for n in ("old", "new")}, r"/y=(\d{4})/",
-        names={"cust_old": "customer_old"})
+    df = readers.read_yearly_files(spark, f"{folder}/*/y=*/*.csv", r"/y=(\d{4})/", names={"cust_old": "customer"})
     return df.groupBy("year").agg(
-        F.count(F.lit(1)).alias("n"), F.count_distinct(F.coalesce("customer", "customer_old")).alias("customers"),
-        F.count("customer_old").alias("n_old_header"))
+        F.count("key").alias("n"), F.count_distinct("customer").alias("customers"), F.count("flag").alias("n_old_header"))
 
 
 @query("s7_explode_features", """
@@ -422,10 +418,10 @@ def u1(spark, d):
 
 
 @query("u2_except_ids", """
-SELECT o_custkey AS id FROM orders EXCEPT SELECT c_custkey FROM customer WHERE c_mktsegment <> 'BUILDING'""")
+SELECT o_custkey AS id FROM orders EXCEPT SELECT user_id FROM events""")
 def u2(spark, d):
     fact = load(spark, d, "orders").select(F.col("o_custkey").alias("id"))
-    dim = load(spark, d, "customer").where("c_mktsegment <> 'BUILDING'").select(F.col("c_custkey").alias("id"))
+    dim = load(spark, d, "events").select(F.col("user_id").alias("id"))
     return sets.except_ids(fact, dim, "id")
 
 
