@@ -22,6 +22,7 @@ from gridpanel.session import Stored, checkpointed
 
 FREQUENT = 1 << 18  # n-grams whose frequency is kept; more would only make prefixes a little rarer, never change the result
 BLOCK = 20_000  # documents of one list that meet in one task
+NEAR = 32  # entries of a list whose pairs are all tried before it is stored
 ENTRIES = 400_000  # prefix entries in a task
 RANGES = 16  # hash ranges of the suffix filter
 
@@ -118,9 +119,18 @@ def prefixes(docs: DataFrame, size: int, num: int, den: int) -> DataFrame:
     return docs.mapInArrow(cut, "doc_id long, node long, n int, prefix binary"), frequent
 
 
-def shared_entries(sets: DataFrame, frequent) -> DataFrame:
+def _passing(n, place, i, j, num: int, den: int):
+    """Length and positional filter of the entries i and j of a list: whether the sets may still overlap enough."""
+    near = den * np.minimum(n[i], n[j]) >= num * np.maximum(n[i], n[j])
+    return near & (1 + np.minimum(n[i] - place[i] - 1, n[j] - place[j] - 1) >= _needed(n[i], n[j], num, den))
+
+
+def shared_entries(sets: DataFrame, frequent, num: int, den: int) -> DataFrame:
     """(list, node, n, place) for prefix n-grams that two sets or more share.
 
+    Entries of lists up to NEAR long stay only if the filters let one pair of
+    theirs pass; longer lists stay whole.
+
     Entries travel packed, a binary per task and bucket. A list that is known to
     be longer than BLOCK is cut into blocks of nodes, and every two blocks meet in
     a bucket of their own, so no task holds a list of unbounded length.
@@ -164,8 +174,16 @@ def shared_entries(sets: DataFrame, frequent) -> DataFrame:
     def gather(table: pa.Table) -> pa.Table:
         rows = np.concatenate([np.frombuffer(b, kind) for b in table.column("rows").to_pylist()])
         rows = np.unique(rows)
-        same = rows["list"][1:] == rows["list"][:-1]
-        rows = rows[np.r_[False, same] | np.r_[same, False]]
+        n, place = rows["n"].astype(np.int64), rows["place"].astype(np.int64)
+        edges = np.flatnonzero(np.r_[True, rows["list"][1:] != rows["list"][:-1], True])
+        keep = np.repeat(np.diff(edges) > NEAR, np.diff(edges))
+        for step in range(1, NEAR):
+            at = np.flatnonzero(rows["list"][step:] == rows["list"][:-step])
+            if not len(at):
+                break
+            at = at[_passing(n, place, at, at + step, num, den)]
+            keep[at] = keep[at + step] = True
+        rows = rows[keep]
         return pa.table({"list": rows["list"].view(np.int64), "node": rows["node"], "n": rows["n"], "place": rows["place"]})
 
     packed = sets.select("node", "n", "prefix").mapInArrow(deal, "bucket long, rows binary")
@@ -192,9 +210,7 @@ def candidate_pairs(entries: DataFrame, num: int, den: int, every: bool) -> Data
         edges = np.flatnonzero(np.r_[True, lists[1:] != lists[:-1], True])
 
         def passing(i, j):
-            keep = group[i] != group[j]
-            keep &= den * np.minimum(n[i], n[j]) >= num * np.maximum(n[i], n[j])
-            keep &= 1 + np.minimum(n[i] - place[i] - 1, n[j] - place[j] - 1) >= _needed(n[i], n[j], num, den)
+            keep = (group[i] != group[j]) & _passing(n, place, i, j, num, den)
             i, j = node[i[keep]], node[j[keep]]
             return np.stack([np.minimum(i, j), np.maximum(i, j)], 1)
 
@@ -277,7 +293,7 @@ def jaccard_groups(df: DataFrame, size: int = 5, num: int = 80, den: int = 100,
     cut = checkpointed(cut)
     nodes = Stored(cut.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("first_id")))
     one = cut.join(nodes.df, (cut["node"] == nodes.df["node"]) & (cut["doc_id"] == nodes.df["first_id"])).select(cut["node"], "n", "prefix")
-    entries = Stored(shared_entries(one, frequent))
+    entries = Stored(shared_entries(one, frequent, num, den))
     links = verified(candidate_pairs(entries.df, num, den, False), nodes.df, docs, size, num, den)
     trees = components(links.df)
     rooted = entries.df.join(trees, "node", "left").select("list", "node", "n", "place", F.coalesce("root", "node").alias("root"))

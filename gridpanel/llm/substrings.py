@@ -48,9 +48,9 @@ def unpack(raw: bytes) -> np.ndarray:
     return np.repeat(np.arange(256), sizes) * 65536 + np.frombuffer(raw, "<u2", -1, 1025)
 
 
-def _spread(keys: np.ndarray, slices: int):
+def _spread(keys: np.ndarray, slices: int, bits: int):
     """The slice of each window hash and its cell there."""
-    return (keys & np.uint64(0xFFFFFFFF)).astype(np.int64) % slices, (keys >> np.uint64(64 - CELL_BITS)).astype(np.int64)
+    return (keys & np.uint64(0xFFFFFFFF)).astype(np.int64) % slices, (keys >> np.uint64(64 - bits)).astype(np.int64)
 
 
 def _windows(table: pa.Table, size: int, id_col: str, text_col: str):
@@ -96,7 +96,8 @@ def remove_repeats(df: DataFrame, size: int = 50, id_col: str = "doc_id", text_c
     df = df.drop("n_words", "n_removed")
     total = df.agg(F.sum(F.octet_length(F.col(text_col)))).first()[0] or 0
     chunks = tasks(spark, total, CHUNK_BYTES)
-    slices = tasks(spark, total // 5 * SPARSE, 1 << CELL_BITS)
+    bits = CELL_BITS
+    slices = tasks(spark, total // 5 * SPARSE, 1 << bits)
     dealt = df.withColumn("__chunk", F.pmod(F.xxhash64(F.col(id_col), F.col(text_col)), F.lit(chunks)))
 
     def sketch(table: pa.Table) -> pa.Table:
@@ -106,7 +107,7 @@ def remove_repeats(df: DataFrame, size: int = 50, id_col: str = "doc_id", text_c
         second = np.zeros(len(keys), bool)
         second[1:] = first[:-1] & ~first[1:]
         keys = keys[first | second]  # twice is all that matters
-        part, cell = _spread(keys, slices)
+        part, cell = _spread(keys, slices, bits)
         order = np.lexsort((cell, part))
         rows = [(s, pack(cell[at])) for s, at in _by_slice(part[order], order)]
         chunk = table.column("__chunk")[0].as_py()
@@ -117,7 +118,7 @@ def remove_repeats(df: DataFrame, size: int = 50, id_col: str = "doc_id", text_c
         parts = [unpack(b) for b in table.column("data").to_pylist()]
         cells = np.sort(np.concatenate(parts))
         twice = np.unique(cells[1:][cells[1:] == cells[:-1]])
-        seen = np.zeros(1 << CELL_BITS, bool)
+        seen = np.zeros(1 << bits, bool)
         seen[twice] = True
         back = [pack(np.unique(p[seen[p]])) for p in parts]
         out = pa.table({"chunk": table.column("chunk"), "slice": table.column("slice"), "data": pa.array(back, pa.binary())})
@@ -127,11 +128,11 @@ def remove_repeats(df: DataFrame, size: int = 50, id_col: str = "doc_id", text_c
         rows = []
         if answers.num_rows and texts.num_rows:
             hashes, keys, owner, at, _ = _windows(texts, size, id_col, text_col)
-            part, cell = _spread(keys, slices)
+            part, cell = _spread(keys, slices, bits)
             alarm = np.zeros(len(keys), bool)
             order = np.argsort(part, kind="stable")
             sent = dict(zip(answers.column("slice").to_pylist(), answers.column("data").to_pylist()))
-            seen = np.zeros(1 << CELL_BITS, bool)
+            seen = np.zeros(1 << bits, bool)
             for s, places in _by_slice(part[order], order):
                 if s in sent:
                     touched = unpack(sent[s])
