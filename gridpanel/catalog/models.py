@@ -10,7 +10,7 @@ from gridpanel.operators import classify, cluster, did, features, regression, wi
 from gridpanel.operators.ordered import exact_quantiles
 from gridpanel.session import checkpointed
 
-HOT = {"parts": 50, "min_rows": 200}
+HOT = {"rows": 500}
 COLS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 
 

@@ -14,7 +14,7 @@ from gridpanel.session import checkpointed
 
 # Settings that make a test-sized key count as hot, so that the block-wise path
 # is the one compared here. A cluster keeps the defaults.
-SMALL_HOT = {"parts": 50, "min_rows": 200}
+SMALL_HOT = {"rows": 500}
 
 # --- windows --------------------------------------------------------------------
 

@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gridpanel.operators.skew import BLOCK, MIN_ROWS, PARTS, null_safe, split_long_series
+from gridpanel.operators.skew import BLOCK, BLOCK_ROWS, null_safe, split_long_series
 
 ALL = "__all"
 
@@ -39,8 +39,7 @@ def running(
     keys: Sequence[str],
     order: str,
     columns: dict[str, tuple[str, str]],
-    parts: int = PARTS,
-    min_rows: int = MIN_ROWS,
+    rows: int = BLOCK_ROWS,
     descending: bool = False,
 ) -> DataFrame:
     """Running sums or minima along ``order`` including the current row.
@@ -49,7 +48,7 @@ def running(
     ``sum`` or ``min``. Rows of a key must differ in ``order``.
     """
     df, keys = with_groups(df, keys)
-    blocked = split_long_series(df, keys, order, parts, min_rows)
+    blocked = split_long_series(df, keys, order, rows)
     direction = (lambda c: F.col(c).desc()) if descending else F.col
     functions = {"sum": F.sum, "min": F.min}
 
@@ -84,12 +83,11 @@ def ranked_values(
     df: DataFrame,
     groups: Sequence[str],
     value: str,
-    parts: int = PARTS,
-    min_rows: int = MIN_ROWS,
+    rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     """Distinct values with ``n``, ``upto`` (rows at or below) and ``avg_rank``."""
     counts = value_counts(df, groups, value)
-    out = running(counts, groups, value, {"upto": ("sum", "n")}, parts, min_rows)
+    out = running(counts, groups, value, {"upto": ("sum", "n")}, rows)
     return out.withColumn(
         "avg_rank", F.col("upto") - F.col("n") + (F.col("n") + 1) / F.lit(2.0)
     )
@@ -100,8 +98,7 @@ def exact_quantiles(
     groups: Sequence[str],
     value: str,
     shares: dict[str, float],
-    parts: int = PARTS,
-    min_rows: int = MIN_ROWS,
+    rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     """Linear-interpolated quantiles per group, one column per share, plus ``n_values``.
 
@@ -110,7 +107,7 @@ def exact_quantiles(
     """
     df, groups_ = with_groups(df.select(*groups, value), groups)
     counts = value_counts(df, groups_, value)
-    ranked = running(counts, groups_, value, {"upto": ("sum", "n")}, parts, min_rows)
+    ranked = running(counts, groups_, value, {"upto": ("sum", "n")}, rows)
     sizes = counts.groupBy(*groups_).agg(F.sum("n").alias("n_values"))
     placed = null_safe(ranked, sizes, groups_, "inner")
 

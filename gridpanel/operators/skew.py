@@ -13,9 +13,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from gridpanel.functions.expressions import quoted
+from gridpanel.session import checkpointed, stored
 
 BLOCK = "__block"
 
@@ -24,11 +24,10 @@ BLOCK = "__block"
 PARTS = 1000
 MIN_ROWS = 250_000
 
-# Hot keys are cut into blocks of about 1/(BLOCKS_PER_PART * PARTS) of all rows.
-# Over all keys that is at most (BLOCKS_PER_PART + 1) * PARTS blocks.
-BLOCKS_PER_PART = 4
-_STEP = 64
-_FINEST = _STEP * _STEP
+# A series is cut into blocks of at most about this many rows, whatever the input.
+BLOCK_ROWS = 1_000_000
+# Most rows of a table of spanning series that is broadcast.
+SPANNING_ROWS = 100_000
 
 
 def heavy_keys(
@@ -61,57 +60,32 @@ def null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str)
     return left.join(other, condition, how).drop(*names.values())
 
 
-def _block_number(order: str) -> Column:
-    """How many cut points are below the value, found in two steps of 64 compares."""
-    coarse = f"size(filter(__coarse, c -> c < {quoted(order)}))"
-    return F.expr(
-        f"{coarse} * {_STEP} + size(filter(slice(__cuts, {coarse} * {_STEP} + 1, {_STEP}), c -> c < {quoted(order)}))"
-    )
-
+def split_long_series(df: DataFrame, keys: Sequence[str], order: str | Sequence[str], rows: int = BLOCK_ROWS) -> DataFrame:
+    """Add ``__block``: 0 for series that lie in one piece, 1, 2, ... along ``order`` for the others.
 
-def split_long_series(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: str,
-    parts: int = PARTS,
-    min_rows: int = MIN_ROWS,
-) -> DataFrame:
-    """Add ``__block``: 0 for ordinary keys, 1, 2, ... along ``order`` for hot ones.
-
-    Blocks of one key follow the order column, so a window over (keys, block)
-    sees a contiguous piece of the series. A key gets blocks in proportion to
-    its rows, with cut points from a quantile sketch over the hot rows only.
-    Rows of a key that agree in ``order`` stay in one block.
+    The rows are range-partitioned by key and order, twice as many partitions as
+    the row bound asks for, since bounds come from a sample, and written to the
+    shared folder once; what follows reads them from there. The cut goes by all
+    order columns, so a series whose rows agree in the first one is cut as well.
+    Rows that agree in all of them stay together. A window over (keys, block) sees
+    a contiguous piece of the series. There are at most twice as many pieces of
+    cut series as partitions. Up to ``rows`` rows nothing is moved.
     """
-    hot = heavy_keys(df, keys, parts, min_rows, share="__share")
-    marked = null_safe(df.select(*keys, order), F.broadcast(hot), keys, "inner").where(F.col(order).isNotNull())
-    shares = ", ".join(f"{i / _FINEST!r}D" for i in range(1, _FINEST))
-    cuts = (
-        marked.groupBy(*keys, "__share")
-        .agg(F.expr(f"percentile_approx({quoted(order)}, array({shares}), 50000) as __every"))
-        .selectExpr(
-            *[quoted(k) for k in keys], "__every",
-            f"cast(greatest(1, floor({_FINEST} / least({_FINEST}, greatest(2, ceil(__share * {parts * BLOCKS_PER_PART}))))) as int) as __s",
-        )
-        .selectExpr(
-            *[quoted(k) for k in keys],
-            f"transform(sequence(1, cast(floor({_FINEST - 1} / __s) as int)), i -> __every[i * __s - 1]) as __cuts",
-        )
-        .selectExpr(
-            *[quoted(k) for k in keys], "__cuts",
-            f"transform(filter(sequence(0, cast(floor(size(__cuts) / {_STEP}) as int)), i -> i > 0),"
-            f" i -> __cuts[i * {_STEP} - 1]) as __coarse",
-        )
-    )
-    out = null_safe(df, F.broadcast(cuts), keys, "left")
-    block = F.when(F.col("__cuts").isNull(), F.lit(0)).otherwise(F.coalesce(_block_number(order), F.lit(0)) + 1)
-    return out.withColumn(BLOCK, block.cast("int")).drop("__cuts", "__coarse")
-
-
-def orderable(df: DataFrame, name: str) -> bool:
-    """Whether a series can be cut along this column."""
-    kind = df.schema[name].dataType
-    return isinstance(kind, (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType))
+    keys, order = list(keys), [order] if isinstance(order, str) else list(order)
+    total = df.count()
+    if total <= rows:
+        return df.withColumn(BLOCK, F.lit(0))
+    pieces = -(-2 * total // rows)
+    ranged = df.repartitionByRange(pieces, *[F.col(quoted(c)) for c in dict.fromkeys([*keys, *order])])
+    ranged = checkpointed(ranged.withColumn("__part", F.spark_partition_id()))
+    key = F.struct(*[F.col(quoted(k)) for k in keys])
+    ends = ranged.groupBy("__part").agg(F.min(key).alias("__first"), F.max(key).alias("__last"))
+    ends = ends.select("__part", F.explode(F.array("__first", "__last")).alias("__key")).distinct()
+    spanning = stored(ends.groupBy("__key").agg(F.count(F.lit(1)).alias("__n")).where("__n > 1").select("__key.*", F.lit(True).alias("__long")))
+    if spanning.limit(SPANNING_ROWS + 1).count() <= SPANNING_ROWS:
+        spanning = F.broadcast(spanning)
+    out = null_safe(ranged, spanning, keys, "left")
+    return out.withColumn(BLOCK, F.when(F.col("__long"), F.col("__part") + 1).otherwise(F.lit(0))).drop("__part", "__long")
 
 
 def skew_join(

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from gridpanel.functions.expressions import half_even, quoted, ratio
 from gridpanel.operators.ordered import ranked_values, running
-from gridpanel.operators.skew import BLOCK, MIN_ROWS, PARTS, null_safe, orderable, split_long_series
+from gridpanel.operators.skew import BLOCK, BLOCK_ROWS, null_safe, split_long_series
 
 _HALO = "__halo"
 
@@ -54,8 +54,7 @@ def over_series(
     outputs,
     depth: int,
     hot: bool = True,
-    parts: int = PARTS,
-    min_rows: int = MIN_ROWS,
+    rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     """Add columns computed from the row and up to ``depth`` rows before it.
 
@@ -64,9 +63,7 @@ def over_series(
     keys, order = list(keys), list(order)
     if not hot:
         return df.withColumns(outputs(Window.partitionBy(*keys).orderBy(*order)))
-    if not orderable(df, order[0]):
-        raise TypeError(f"a series can only be cut along numbers or times, not {order[0]}")
-    blocked = split_long_series(df, keys, order[0], parts, min_rows)
+    blocked = split_long_series(df, keys, order, rows)
     halo = _tails(blocked, keys, order, depth).withColumn(_HALO, F.lit(True))
     both = blocked.withColumn(_HALO, F.lit(False)).unionByName(halo)
     window = Window.partitionBy(*keys, BLOCK).orderBy(*order)
@@ -138,10 +135,10 @@ def rank_within(df: DataFrame, entity: str, order: Sequence[str | Column], k: in
 COUNT_LIKE = ("count", "establishment", "employee")
 
 
-def _brackets(df, keys, order, columns, hot, parts, min_rows):
+def _brackets(df, keys, order, columns, hot, rows):
     """Position in the series and, per column, the bracketing values and positions."""
     if hot:
-        blocked = split_long_series(df, keys, order, parts, min_rows)
+        blocked = split_long_series(df, keys, order, rows)
     else:
         blocked = df.withColumn(BLOCK, F.lit(0))
     inside = Window.partitionBy(*keys, BLOCK).orderBy(order)
@@ -207,8 +204,7 @@ def interpolate(
     round_columns: Sequence[str] | None = None,
     flag: bool = False,
     hot: bool = True,
-    parts: int = PARTS,
-    min_rows: int = MIN_ROWS,
+    rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     """Fill gaps linearly by row position; leading, trailing and empty series get 0.
 
@@ -220,7 +216,7 @@ def interpolate(
     columns = list(columns)
     if round_columns is None:
         round_columns = [c for c in columns if any(w in c for w in COUNT_LIKE)]
-    out = _brackets(df, keys, order, columns, hot, parts, min_rows)
+    out = _brackets(df, keys, order, columns, hot, rows)
     filled = {}
     for i, c in enumerate(columns):
         lo, up, own = F.col(f"__lo{i}"), F.col(f"__up{i}"), F.col(quoted(c)).cast("double")

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from conftest import close, rows
 from gridpanel.operators import classify, cluster, did, features, regression
 
-TINY = {"parts": 20, "min_rows": 20}
+TINY = {"rows": 20}
 
 
 @pytest.fixture(scope="module")

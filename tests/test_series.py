@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from conftest import close, rows
 from gridpanel.operators import ordered, windows
 
-TINY = {"parts": 20, "min_rows": 20}
+TINY = {"rows": 20}
 
 
 @pytest.fixture(scope="module")
@@ -95,7 +95,20 @@ def test_event_time(spark):
     assert [r[3:] for r in out] == [(2, 0, -1), (2, 1, 0), (2, 1, 1), (0, 0, -100)]
 
 
-def test_series_need_an_orderable_column(spark):
-    df = spark.createDataFrame([("a", "x", 1)], "e string, t string, v int")
-    with pytest.raises(TypeError):
-        windows.add_lags(df, "e", "t", ["v"])
+def test_no_block_exceeds_the_row_bound(spark):
+    from gridpanel.operators.skew import BLOCK, split_long_series
+    df = spark.range(20_000).select(F.when(F.col("id") % 10 < 9, "hot").otherwise(F.concat(F.lit("k"), F.col("id") % 300)).alias("e"),
+                                    F.lit(7).alias("t"), F.col("id").cast("string").alias("n"))
+    cut = split_long_series(df, ["e"], ["t", "n"], rows=1_000)
+    sizes = cut.where(F.col(BLOCK) > 0).groupBy("e", BLOCK).agg(F.count(F.lit(1)).alias("n"), F.min("n").alias("a"), F.max("n").alias("b")).orderBy("e", BLOCK).collect()
+    assert max(r["n"] for r in sizes) <= 1_000 and sum(r["n"] for r in sizes if r["e"] == "hot") == 18_000
+    hot = [r for r in sizes if r["e"] == "hot"]
+    assert len(hot) >= 18 and all(x["b"] < y["a"] for x, y in zip(hot, hot[1:]))
+    assert cut.where(F.col(BLOCK) == 0).groupBy("e").count().agg(F.max("count")).first()[0] <= 1_000
+    assert split_long_series(df, ["e"], "t", rows=50_000).where(F.col(BLOCK) != 0).count() == 0
+
+
+def test_null_keys_are_cut_too(spark):
+    df = spark.range(500).select(F.when(F.col("id") % 3 == 0, F.lit(1)).alias("e"), "id")
+    got = windows.add_lags(df, "e", "id", ["id"], (1,), rows=50)
+    assert rows(got) == rows(windows.add_lags(df, "e", "id", ["id"], (1,), hot=False))
