@@ -4,7 +4,7 @@ import importlib
 
 from gridpanel.catalog import common
 
-FAMILIES = ("tables", "relations", "series", "models")
+FAMILIES = ("tables", "relations", "series", "models", "known")
 
 
 def _load() -> None:
