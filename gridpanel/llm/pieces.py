@@ -19,6 +19,7 @@ import heapq
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -28,9 +29,10 @@ from gridpanel.llm import words as W
 from gridpanel.llm.common import tasks
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
-CHUNK_BYTES = 8 << 20  # text of a chunk
+CHUNK_BYTES = 6 << 20  # text of a chunk
 LONG = 200  # code points of a unit from which it is segmented in a loop of its own, not in the fold, whose time is quadratic
 BUCKET_UNITS = 60_000
+_MARK = "▁".encode()
 UNKNOWN_PENALTY = 10.0  # below the least score, as the library has it
 
 
@@ -126,33 +128,41 @@ class Units:
     """The units of a column: their spans, the distinct ones ordered by bucket and hash, and which one each is."""
 
     def __init__(self, column, crossed: np.ndarray, prefix: bool, buckets: int):
-        texts = [t.replace("▁", " ") if t else "" for t in column.to_pylist()]
-        raw = [(" " + t if prefix else t).encode() if t else b"" for t in texts]
-        self.places = np.cumsum([0, *map(len, raw)])
-        self.data = np.frombuffer(b"".join(raw), np.uint8)
-        n = len(self.data)
-        cut = np.zeros(n, bool)
+        data, places = W.text_bytes(column)
+        raw, lead = data.tobytes(), b" " if prefix else b""
+        texts = [lead + raw[a:b] if b > a else b"" for a, b in zip(places[:-1], places[1:])]
+        if _MARK in raw:
+            texts = [t.replace(_MARK, b" ") for t in texts]
+        self.places = np.cumsum([0, *map(len, texts)])
+        self.raw = b"".join(texts)
+        del raw, texts
+        data, n = np.frombuffer(self.raw, np.uint8), len(self.raw)
+        cut, apart = np.zeros(n, bool), ~crossed.ravel()
         for low in range(0, n, W.CHUNK):
-            part = self.data[low:low + W.CHUNK]
-            before = self.data[max(low - 1, 0):low + len(part) - 1] if low else np.r_[np.uint8(0), part[:-1]]
-            cut[low:low + len(part)] = ((part & 0xC0) != 0x80) & ~crossed[before, part]
+            part = data[low:low + W.CHUNK]
+            pairs = part.astype(np.uint16)
+            pairs[1:] |= part[:-1].astype(np.uint16) << 8
+            if low:
+                pairs[0] |= np.uint16(data[low - 1]) << 8
+            cut[low:low + len(part)] = apart[pairs] & ((part & 0xC0) != 0x80)
         cut[self.places[:-1][np.diff(self.places) > 0]] = True
         self.begins = np.flatnonzero(cut)
+        del cut
         self.ends = np.r_[self.begins[1:], n].astype(np.int64) if n else self.begins
-        hashes = W.hash_spans(self.data, self.begins, self.ends)
-        distinct, first, self.which = np.unique(hashes, return_index=True, return_inverse=True)
+        codes, distinct = pd.factorize(W.hash_spans(data, self.begins, self.ends))
+        first = np.zeros(len(distinct), np.int64)
+        first[codes[::-1]] = np.arange(len(codes))[::-1]
         bucket = (distinct % np.uint64(buckets)).astype(np.int64)
         order = np.lexsort((distinct, bucket))
         self.first, self.bucket = first[order], bucket[order]
-        place = np.empty(len(order), np.int64)
-        place[order] = np.arange(len(order))
-        self.which = place[self.which] if len(order) else self.which
+        place = np.empty(len(order), np.int32)
+        place[order] = np.arange(len(order), dtype=np.int32)
+        self.which = place[codes]
         self.starts = np.searchsorted(self.begins, self.places)
 
     def strings(self) -> list[str]:
         """The distinct units in order."""
-        raw = self.data.tobytes()
-        return [raw[a:b].decode() for a, b in zip(self.begins[self.first].tolist(), self.ends[self.first].tolist())]
+        return [self.raw[a:b].decode() for a, b in zip(self.begins[self.first].tolist(), self.ends[self.first].tolist())]
 
 
 # --- the lattice ----------------------------------------------------------------
@@ -364,7 +374,7 @@ def encode(df: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
             lengths = np.diff(offsets)[units.which]
             ends = np.cumsum(lengths)
             total = int(ends[-1]) if len(ends) else 0
-            ids = flat[np.arange(total) + np.repeat(offsets[units.which] - (ends - lengths), lengths)] if total else flat[:0]
+            ids = flat[np.arange(total, dtype=np.int32) + np.repeat((offsets[units.which] - (ends - lengths)).astype(np.int32), lengths)] if total else flat[:0]
             bounds = np.r_[0, ends][units.starts]
             own = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(ids, pa.int32()))
             out.append(pa.table({**{c: table.column(c) for c in names}, "ids": own, "n_tokens": pa.array(np.diff(bounds), pa.int64())}))
