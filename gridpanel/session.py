@@ -16,6 +16,8 @@ RUNTIME_SETTINGS = {
     # join key is worth the extra exchange it may cost.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.session.timeZone": "UTC",
+    # Rows of whole texts go to Python in batches of some megabytes.
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
 }
 
 
