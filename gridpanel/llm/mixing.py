@@ -123,10 +123,11 @@ def mix(df: DataFrame, levels: Mapping[str, Column | str], weights: Mapping[str,
     exact = exact.groupBy(*names).agg(F.max("key").alias("cut"))
     # All of a range whose first digits are ``last`` lies below ``last`` followed by the digit after f.
     limits = given.df.join(whole, names, "left").join(exact, names, "left")
-    limits = Stored(limits.select(*names, "full", F.coalesce("cut", F.concat("last", F.lit("g")), F.lit("")).alias("cut")).where("full > 0 OR cut <> ''"))
+    cut = F.coalesce("cut", F.concat("last", F.lit("g")), F.lit(""))
+    limits = Stored(limits.select(*names, F.col("full").alias("__full"), cut.alias("__cut")).where("__full > 0 OR __cut <> ''"))
     few = limits.df.limit(BROADCAST_ROWS // 10 + 1).count() <= BROADCAST_ROWS // 10
     taken = wide.join(F.broadcast(limits.df) if few else limits.df, names)
-    part = (order_key(seed, F.col("full"), id_col) <= F.col("cut")).cast("long")
-    taken = taken.withColumn("__epochs", F.col("full") + part).where("__epochs > 0")
+    part = (order_key(seed, F.col("__full"), id_col) <= F.col("__cut")).cast("long")
+    taken = taken.withColumn("__epochs", F.col("__full") + part).where("__epochs > 0")
     taken = taken.withColumn("epoch", F.explode(F.sequence(F.lit(0).cast("long"), F.col("__epochs") - 1)))
     return taken.select(*df.columns, "epoch", tokens.alias("tokens"))

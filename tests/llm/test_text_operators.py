@@ -189,10 +189,10 @@ def test_mixing(spark, share, epochs):
     rnd = random.Random(int(share * 10))
     docs = [(i, " ".join(["w"] * rnd.randint(0, 30)), rnd.choice(["a", "a", "b", None]), rnd.choice(["x", "y", "z"])) for i in range(400)]
     docs += [docs[5], (None, "w w", "a", "x"), (900, None, "b", "y")]
-    df = spark.createDataFrame([(*d, 1) for d in docs], "doc_id long, text string, lang string, source string, epoch int")
+    df = spark.createDataFrame([(*d, 1, "y") for d in docs], "doc_id long, text string, lang string, source string, epoch int, full string")
     weights = {"lang": {"a": 3, "b": 1, "(none)": 1}, "source": {"x": 2, "z": 0}}
     got = mixing.mix(df, {"lang": "lang", "source": "source"}, weights, share, epochs, 3)
-    assert got.columns == ["doc_id", "text", "lang", "source", "epoch", "tokens"]
+    assert got.columns == ["doc_id", "text", "lang", "source", "full", "epoch", "tokens"]
     rows = got.collect()
     tokens = Counter()
     for _, t, lang, source in docs:
