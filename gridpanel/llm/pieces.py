@@ -29,7 +29,7 @@ from gridpanel.llm import words as W
 from gridpanel.llm.common import tasks
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
-CHUNK_BYTES = 6 << 20  # text of a chunk
+CHUNK_BYTES = 4 << 20  # text of a chunk
 LONG = 200  # code points of a unit from which it is segmented in a loop of its own, not in the fold, whose time is quadratic
 BUCKET_UNITS = 60_000
 _MARK = "▁".encode()
@@ -93,9 +93,9 @@ def read_model(path: str = MODEL) -> Model:
 # --- packed tables --------------------------------------------------------------
 
 
-def to_blob(table: pa.Table) -> bytes:
+def to_blob(table: pa.Table, level: int = 3) -> bytes:
     sink = pa.BufferOutputStream()
-    with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+    with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", level))) as out:
         out.write_table(table)
     return sink.getvalue().to_pybytes()
 
@@ -114,6 +114,7 @@ def chunked(batches, text_col: str):
             if size >= CHUNK_BYTES:
                 yield pa.Table.from_batches(held)
                 held, size = [], 0
+                pa.default_memory_pool().release_unused()
     if held:
         yield pa.Table.from_batches(held)
 
@@ -295,23 +296,14 @@ def long_ids(text: str, model: Model) -> list[int]:
 
 
 def segmented(units: DataFrame, model: Model) -> DataFrame:
-    """(bucket, unit, ids) of distinct units, partitioned by unit."""
+    """(bucket, unit, ids) of distinct units of up to LONG code points, partitioned as they came."""
     spark = units.sparkSession
     rows = [("", -1, 0.0), *((p, i, float(s)) for p, (i, s) in model.pieces.items())]
     pieces = spark.createDataFrame(rows, "piece string, id int, score double")
     edges = lattice(units.where(F.length("unit") <= LONG), pieces, model.longest())
     edges = edges.withColumn("edges", F.filter("edges", lambda e: e["size"] > 0))
     fold = merges() if model.rule == "merges" else viterbi(model.least())
-    short = edges.select("bucket", "unit", fold.alias("segments")).select("bucket", "unit", piece_ids(F.col("segments"), model).alias("ids"))
-    shared = spark.sparkContext.broadcast(model)
-
-    def loop(batches):
-        for batch in batches:
-            ids = [long_ids(t, shared.value) for t in batch.column("unit").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("bucket"), batch.column("unit"), pa.array(ids, pa.list_(pa.int32()))], ["bucket", "unit", "ids"])
-
-    long = units.where(F.length("unit") > LONG).select("bucket", "unit").mapInArrow(loop, "bucket long, unit string, ids array<int>")
-    return short.unionByName(long)
+    return edges.select("bucket", "unit", fold.alias("segments")).select("bucket", "unit", piece_ids(F.col("segments"), model).alias("ids"))
 
 
 def encode(df: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
@@ -329,6 +321,7 @@ def encode(df: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     buckets = tasks(spark, total // 60, BUCKET_UNITS)
     crossed, prefix = model.crossed(), model.prefix
     shared = spark.sparkContext.broadcast(crossed)
+    rules = spark.sparkContext.broadcast(model)
 
     def ask(batches):
         for table in chunked(batches, text_col):
@@ -342,7 +335,7 @@ def encode(df: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
 
     def send(batches):
         for table in chunked(batches, text_col):
-            yield pa.RecordBatch.from_arrays([pa.array([chunk_id(table, text_col)], pa.int64()), pa.array([to_blob(table)], pa.binary())], ["chunk", "data"])
+            yield pa.RecordBatch.from_arrays([pa.array([chunk_id(table, text_col)], pa.int64()), pa.array([to_blob(table, 9)], pa.binary())], ["chunk", "data"])
 
     def distinct(table: pa.Table) -> pa.Table:
         found = set()
@@ -351,11 +344,22 @@ def encode(df: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
         return pa.table({"bucket": pa.array([table.column("bucket")[0].as_py()] * len(found), pa.int64()), "unit": pa.array(sorted(found), pa.string())})
 
     def answer(asked: pa.Table, known: pa.Table) -> pa.Table:
-        units = dict(zip(known.column("unit").to_pylist(), known.column("ids").to_pylist()))
-        blobs = []
+        units = dict(zip(known.column("unit").to_pylist(), range(known.num_rows)))
+        ids = known.column("ids").combine_chunks()
+        ids = ids if isinstance(ids, pa.Array) else pa.concat_arrays(ids.chunks)
+        more, blobs = [], []
         for raw in asked.column("data").to_pylist():
-            ids = [units[u] for u in from_blob(raw).column("unit").to_pylist()]
-            blobs.append(to_blob(pa.table({"ids": pa.array(ids, pa.list_(pa.int32()))})))
+            places = []
+            for unit in from_blob(raw).column("unit").to_pylist():
+                place = units.get(unit)
+                if place is None:
+                    place = units[unit] = known.num_rows + len(more)
+                    more.append(long_ids(unit, rules.value))
+                places.append(place)
+            if len(ids) < known.num_rows + len(more):
+                own = pa.array(more[len(ids) - known.num_rows:], pa.list_(pa.int32()))
+                ids = pa.concat_arrays([ids.cast(own.type), own])
+            blobs.append(to_blob(pa.table({"ids": ids.take(pa.array(places, pa.int32()))})))
         return pa.table({"chunk": asked.column("chunk"), "bucket": asked.column("bucket"), "data": pa.array(blobs, pa.binary())})
 
     names = df.columns
@@ -378,11 +382,12 @@ def encode(df: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
             bounds = np.r_[0, ends][units.starts]
             own = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(ids, pa.int32()))
             out.append(pa.table({**{c: table.column(c) for c in names}, "ids": own, "n_tokens": pa.array(np.diff(bounds), pa.int64())}))
+            pa.default_memory_pool().release_unused()
         return pa.concat_tables(out)
 
-    asked = df.mapInArrow(ask, "bucket long, chunk long, data binary").groupBy("bucket")
-    units = asked.applyInArrow(distinct, "bucket long, unit string").repartition(tasks(spark, total // 30, 100_000), "unit")
-    known = segmented(units, model)
+    asked = df.mapInArrow(ask, "bucket long, chunk long, data binary").repartition(buckets, "bucket").groupBy("bucket")
+    # Partitioned by bucket once, the units need no further exchange for their edges or their way back.
+    known = segmented(asked.applyInArrow(distinct, "bucket long, unit string").repartition(buckets, "bucket"), model)
     answers = asked.cogroup(known.groupBy("bucket")).applyInArrow(answer, "chunk long, bucket long, data binary")
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
     texts = df.mapInArrow(send, "chunk long, data binary").groupBy("chunk")

@@ -13,7 +13,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-CHUNK = (2 << 20) - 1  # bytes that are held as arrays at once
+CHUNK = (1 << 20) - 1  # bytes that are held as arrays at once
 
 _SEPARATOR = np.zeros(256, bool)
 _SEPARATOR[[0x20, *range(0x09, 0x0E)]] = True
