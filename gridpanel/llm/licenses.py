@@ -77,23 +77,36 @@ NOTICES = {
         "SPDX-License-Identifier: Unlicense", "Released under the Unlicense.",
         "This is free and unencumbered software released into the public domain."]}
 
-_MARKS = ".,;:()[]{}<>\"'`!?/\\|-_=+*&%$#@~^\t\r\x0b\x0c"
+_SENTENCE = r"(?<=[.!?]) "
 
 
-def paragraphs(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(row, doc_id, place, paragraph, grams, total): sentences of lines with words, by their place in the text."""
-    rows = df.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("doc_id"),
-                     F.posexplode(F.split(F.coalesce(F.col(text_col).cast("string"), F.lit("")), r"\n|(?<=[.!?]) ")).alias("place", "paragraph"))
-    return rows.withColumn("grams", grams(F.col("paragraph"))).where(F.size("grams") > 0).withColumn("total", F.size("grams"))
+def _words(text: Column) -> Column:
+    """Lower-cased runs of ASCII letters and digits; empty strings may stand at the ends."""
+    return F.split(F.lower(text), "[^a-z0-9]+")
 
 
 def grams(text: Column) -> Column:
-    """Distinct unigrams and bigrams of the lower-cased words of letters and digits."""
-    words = F.filter(F.split(F.translate(F.lower(text), _MARKS, " " * len(_MARKS)), " "), lambda w: w != "")
+    """Distinct unigrams and bigrams of the words."""
+    words = F.filter(_words(text), lambda w: w != "")
     pairs = F.zip_with(words, F.slice(words, F.lit(2), F.greatest(F.size(words), F.lit(1))), lambda a, b: F.concat_ws(" ", a, b))
     return F.array_distinct(F.concat(words, pairs))
 
 
+def paragraphs(df: DataFrame, id_col: str, text_col: str, anchors: list[str] | None = None) -> DataFrame:
+    """(row, doc_id, place, part, paragraph, grams, total): sentences with words, by line and place in it.
+
+    With ``anchors`` only those with one of these words; lines without any are
+    dropped before they are cut into sentences.
+    """
+    def told(name: str) -> Column:
+        return F.exists(_words(F.col(name)), lambda w: w.isin(anchors)) if anchors is not None else F.col(name) != ""
+
+    lines = df.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("doc_id"),
+                      F.posexplode(F.split(F.coalesce(F.col(text_col).cast("string"), F.lit("")), "\n")).alias("place", "line")).where(told("line"))
+    parts = lines.select("row", "doc_id", "place", F.posexplode(F.split("line", _SENTENCE)).alias("part", "paragraph")).where(told("paragraph"))
+    return parts.withColumn("grams", grams(F.col("paragraph"))).withColumn("total", F.size("grams")).where("total > 0")
+
+
 def _literal(spark: SparkSession, rows: list[dict], schema: str) -> DataFrame:
     """A small table that is part of the plan."""
     return spark.range(0, 1, 1, 1).select(F.explode(F.from_json(F.lit(json.dumps(rows)), f"array<struct<{schema}>>")).alias("r")).select("r.*")
@@ -103,7 +116,7 @@ def notices(spark: SparkSession) -> DataFrame:
     """(family, grams, total) of every sentence of every notice."""
     rows = [{"family": k, "text": t} for k, texts in NOTICES.items() for t in texts]
     table = _literal(spark, rows, "family: string, text: string")
-    own = table.select("family", F.explode(F.split("text", r"(?<=[.!?]) ")).alias("paragraph"))
+    own = table.select("family", F.explode(F.split("text", _SENTENCE)).alias("paragraph"))
     return own.select("family", "paragraph", grams(F.col("paragraph")).alias("grams")).withColumn("total", F.size("grams"))
 
 
@@ -126,7 +139,7 @@ def _features(df: DataFrame, vocabulary: list[str]) -> DataFrame:
 
 
 def _fitted(train: DataFrame):
-    return LogisticRegression(family="multinomial", regParam=0.0002, maxIter=30, standardization=False).fit(train)
+    return LogisticRegression(family="multinomial", regParam=0.0002, maxIter=20, standardization=False).fit(train)
 
 
 def fit(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Model:
@@ -143,7 +156,7 @@ def fit(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Model:
             members[g] = members.get(g, 0) | (1 << names.index(row["family"]))
     every = _strings(sorted(members))
     count = df.count()
-    share = F.lit(min(1.0, NEGATIVES / 4 / max(1, count)) * (1 << 30))
+    share = F.lit(min(1.0, NEGATIVES / 20 / max(1, count)) * (1 << 30))
     some = df.where(F.pmod(F.xxhash64(F.lit(3), F.col(id_col), F.col(text_col)), F.lit(1 << 30)) < share)
     plain = paragraphs(some, id_col, text_col).where("total <= 400")
     plain = plain.where(F.size(F.array_intersect("grams", every)) < AGREEMENT * F.col("total"))
@@ -173,9 +186,11 @@ def fit(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Model:
 
 
 def scan(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, place, paragraph, family, probability, agreement of every paragraph that speaks of a licence.
+    """doc_id, place, part, paragraph, family, probability, agreement of every paragraph that speaks of a licence.
 
-    ``family`` is ``unknown`` where the classifier is not sure enough of one or too
+    Only paragraphs with a word that notices have and ordinary text rarely has are
+    judged; without one there is nothing to tell them from ordinary text. ``place``
+    is the line and ``part`` the sentence in it. ``family`` is ``unknown`` where the classifier is not sure enough of one or too
     few n-grams agree with its notices. Null and empty texts have no paragraphs;
     repeated rows give their paragraphs again; other columns are not read.
     """
@@ -185,8 +200,9 @@ def scan(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "t
              "m": [model.members[g] >> f & 1 for f in range(k)], "v": int(i is not None)}
             for g, i in [(g, i) for i, g in enumerate(model.vocabulary)]]
     table = _literal(spark, rows, "gram: string, w: array<double>, m: array<int>, v: int")
-    found = paragraphs(df, id_col, text_col).select("row", "doc_id", "place", "paragraph", "total", F.explode("grams").alias("gram"))
-    found = found.join(F.broadcast(table), "gram").groupBy("row", "doc_id", "place", "paragraph", "total").agg(
+    anchors = [g for g in model.vocabulary if " " not in g]
+    found = paragraphs(df, id_col, text_col, anchors).select("row", "doc_id", "place", "part", "paragraph", "total", F.explode("grams").alias("gram"))
+    found = found.join(F.broadcast(table), "gram").groupBy("row", "doc_id", "place", "part", "paragraph", "total").agg(
         *[F.sum(F.col("w")[c]).alias(f"w{c}") for c in range(k + 1)], *[F.sum(F.col("m")[f]).alias(f"m{f}") for f in range(k)], F.sum("v").alias("known"))
     strange = 1 - F.col("known") / F.col("total")
     logits = F.array(*[F.col(f"w{c}") + F.lit(float(model.weights[c, -1])) * strange + F.lit(float(model.intercepts[c])) for c in range(k + 1)])
@@ -198,4 +214,4 @@ def scan(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "t
     found = found.withColumn("agreement", F.get(F.array(*[F.col(f"m{f}") for f in range(k)]), F.col("best") - 1) / F.col("total"))
     named = F.get(_strings(model.families), F.col("best") - 1)
     sure = (F.col("probability") >= F.lit(model.level)) & (F.col("agreement") >= AGREEMENT)
-    return found.select("doc_id", "place", "paragraph", F.when(sure, named).otherwise(F.lit("unknown")).alias("family"), "probability", "agreement")
+    return found.select("doc_id", "place", "part", "paragraph", F.when(sure, named).otherwise(F.lit("unknown")).alias("family"), "probability", "agreement")
