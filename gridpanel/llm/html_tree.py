@@ -50,7 +50,9 @@ KEEPS = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}
 
 _TOKEN = re.compile(
     r"<!--.*?(?:--!?>|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]{0,4000}\"|'[^']{0,4000}'|[\"'])*?)>", re.S)
-_NAMED = re.compile(r"""(class|id|role|itemprop|hidden)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
+# An attribute from the first character of its name on, as in HTML: a quote opens a value after "=" only.
+_ATTRIBUTE = re.compile(r"""([^\s/>][^\s/>=]*+)(?:\s*+=\s*+("[^"]*+"|'[^']*+'|[^\s>]*+))?+""")
+_NAMED = frozenset("class id role itemprop hidden".split())
 _SPLIT = re.compile(r"[^a-zA-Z0-9]+|(?<=[a-z])(?=[A-Z])")
 _DIGITS = re.compile(r"\d+")
 
@@ -63,8 +65,10 @@ def _key(*parts) -> int:
 def _element(above: int, tag: str, attributes: str) -> tuple[int, bool, bool]:
     """The key of an element below the node ``above``, and whether it is named as noise or as the article."""
     names, noise, main = "", tag in NOISE_TAGS, tag in MAIN_TAGS
-    for name, value in _NAMED.findall(attributes):
+    for name, value in _ATTRIBUTE.findall(attributes):
         name, value = name.lower(), value.strip("\"'")
+        if name not in _NAMED:
+            continue
         if name == "hidden":
             noise = True
         elif name == "role":

@@ -28,6 +28,15 @@ def test_page(source, text):
     assert page_text(source) == text
 
 
+@pytest.mark.parametrize("attributes", [
+    'style="overflow-x:hidden"', 'aria-hidden="false"', 'data-href="/hidden-gems"', 'data-id="related-3"', "title='a class=\"menu\" here'",
+    'data-x=a?hidden', 'data-class="sidebar"', 'href=/a?b="hidden', 'x-hidden', "a = b hiddenish"])
+@pytest.mark.parametrize("tag", ["body", "div"])
+def test_attributes_by_whole_name(tag, attributes):
+    assert page_text(f"<{tag} {attributes}><article><p>kept</p></article></{tag}>") == "kept"
+    assert page_text(f"<{tag} {attributes} HIDDEN><p>cut</p></{tag}>") == page_text(f"<{tag} hidden=''><p>cut</p></{tag}>") == ""
+
+
 def test_host():
     assert [html_tree.host(u) for u in ("http://u@A.example:80/x", "https://b.example?q", "nothing", None, "")] == ["a.example", "b.example", "", "", ""]
 
