@@ -28,6 +28,7 @@ from gridpanel.session import Stored
 
 THRESHOLD = 0.2  # importance below which a node is noise
 NOISE_ROWS = 100_000  # most noise nodes that are broadcast
+CACHED = 1_000  # characters of attributes up to which an element's key is remembered
 
 RAW = frozenset("script style title textarea noscript iframe template xmp noembed noframes select svg math object canvas audio video".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -48,10 +49,12 @@ CLOSES = {  # elements that a start tag ends when one is open in the same parent
     "option": {"option"}, "tbody": {"thead", "tbody", "tr", "td", "th"}, "tfoot": {"tbody", "tr", "td", "th"}}
 KEEPS = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"table"}, "th": {"table"}, "tbody": {"table"}, "tfoot": {"table"}}
 
-_TOKEN = re.compile(
-    r"<!--.*?(?:--!?>|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]{0,4000}\"|'[^']{0,4000}'|[\"'])*?)>", re.S)
+_TOKEN = re.compile(r"<!--.*?(?:--!?>|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)", re.S)
 # An attribute from the first character of its name on, as in HTML: a quote opens a value after "=" only.
 _ATTRIBUTE = re.compile(r"""([^\s/>][^\s/>=]*+)(?:\s*+=\s*+("[^"]*+"|'[^']*+'|[^\s>]*+))?+""")
+# Attributes up to the end of their tag, values of any length. No way through them is tried twice, so a scan is linear.
+_ATTRIBUTES = re.compile(rf"((?:[\s/]++|{_ATTRIBUTE.pattern})*+)>")
+_UNQUOTED = re.compile(r"([^>]*+)>")
 _NAMED = frozenset("class id role itemprop hidden".split())
 _SPLIT = re.compile(r"[^a-zA-Z0-9]+|(?<=[a-z])(?=[A-Z])")
 _DIGITS = re.compile(r"\d+")
@@ -100,7 +103,8 @@ class Page:
 
     def _open(self, parent: int, tag: str, attributes: str) -> int:
         above, _, _, side = self.nodes[parent]
-        key, noise, main = _element(above, tag, attributes)
+        element = _element if len(attributes) <= CACHED else _element.__wrapped__
+        key, noise, main = element(above, tag, attributes)
         if side == 0 and main:
             side = 1
         if noise and not (tag == "header" and side == 1):
@@ -111,7 +115,7 @@ class Page:
         return len(self.nodes) - 1
 
     def _read(self, source: str) -> None:
-        stack, at = [0], 0
+        stack, at, quoted = [0], 0, True
         nodes, texts = self.nodes, self.texts
         for token in iter(lambda: _TOKEN.search(source, at), None):
             if token.start() > at:
@@ -122,6 +126,15 @@ class Page:
                 if token.group().startswith("<![CDATA["):
                     texts.append((stack[-1], token.group()[9:].removesuffix("]]>")))
                 continue
+            # A quote without a closing one is a character of its value. Where values leave no end to a tag,
+            # it and those after it end at their first ">"; without one, the rest is no text.
+            rest = _ATTRIBUTES.match(source, at) if quoted else None
+            if rest is None:
+                quoted, rest = False, _UNQUOTED.match(source, at)
+            if rest is None:
+                at = token.start()
+                break
+            at, attributes = rest.end(), rest.group(1)
             tag = tag.lower()
             if tag == "br":
                 texts.append((stack[-1], " "))
@@ -152,11 +165,11 @@ class Page:
             if tag in VOID:
                 self.children[stack[-1]].append(tag)
                 continue
-            place = self._open(stack[-1], tag, token.group(3))
+            place = self._open(stack[-1], tag, attributes)
             if tag in RAW:
                 end = re.compile(rf"</{re.escape(tag)}\b[^>]*>", re.I).search(source, at)
                 at = end.end() if end else len(source)
-            elif not token.group(3).endswith("/") or tag in BLOCKS:
+            elif not attributes.endswith("/") or tag in BLOCKS:
                 stack.append(place)
         if at < len(source):
             rest = source[at:]

@@ -1,6 +1,7 @@
 """Extraction, tokenising, language, licences, vectors and toxicity: brute force, round trips, held-out accuracy, odd rows."""
 
 import os
+import time
 
 import numpy as np
 import pyarrow as pa
@@ -37,6 +38,22 @@ def test_attributes_by_whole_name(tag, attributes):
     assert page_text(f"<{tag} {attributes} HIDDEN><p>cut</p></{tag}>") == page_text(f"<{tag} hidden=''><p>cut</p></{tag}>") == ""
 
 
+@pytest.mark.parametrize("size", [10, 4_012, 300_000])
+@pytest.mark.parametrize("quote", "\"'")
+def test_long_attribute_values(size, quote):
+    value = ("{<b>no</b></div>:1} " * size)[:size - 1] + ">"
+    assert page_text(f"<div class=a data-props={quote}{value}{quote} id=b><p>x</p></div><nav data-props={quote}{value}{quote}>m</nav>y") == "x\ny"
+    assert page_text(f"<p title={quote}lone>x {'y ' * size}") == " ".join(["x", *["y"] * size])
+
+
+def test_tags_without_end():
+    start = time.perf_counter()
+    assert page_text("x" + "<a b=\"c' d='" * 100_000) == page_text("x" + "<a b" * 100_000) == "x"
+    assert page_text("x<a b=\"c' d='>" + "<a b=\"c' d='>" * 100_000 + "z") in ("x", "xz")
+    assert page_text("<p title=\"a>b <i>c</i> \"") == 'b c "'
+    assert time.perf_counter() - start < 10
+
+
 def test_host():
     assert [html_tree.host(u) for u in ("http://u@A.example:80/x", "https://b.example?q", "nothing", None, "")] == ["a.example", "b.example", "", "", ""]
 
