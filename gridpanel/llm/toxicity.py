@@ -19,8 +19,9 @@ from pyspark.sql import functions as F
 from gridpanel.llm import words as W
 from gridpanel.llm.common import BROADCAST_ROWS
 from gridpanel.llm.langid import held_out
+from gridpanel.session import Stored
 
-EXAMPLES = 12_000  # expected labelled texts in the index, drawn by hash; all of them where there are fewer
+EXAMPLES = 12_000  # expected distinct labelled texts in the index, drawn by hash; all of them where there are fewer
 TERMS = 1024  # most terms of a vector
 LEAST_CHI = 25.0  # least chi-squared of a term with the label
 LEAST_TEXTS = 4  # least labelled texts with a term
@@ -162,8 +163,10 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     """Learn from labelled texts; ``labels`` has (id, label), of which rows without a 0/1 label are ignored.
 
     Terms are chosen by their chi-squared over all labelled texts, their idf is
-    taken over all of ``docs``, and about EXAMPLES labelled texts, drawn by a hash
-    of the text, become the index. An id labelled twice counts as 1 if any says so.
+    taken over all of ``docs``, and about EXAMPLES distinct labelled texts, drawn by
+    a hash of the text, become the index. Copies are one example, under their
+    smallest id, whose label is the share of 1 among them; it votes and is calibrated
+    once. An id labelled twice counts as 1 if any says so.
     """
     spark = docs.sparkSession
     known = labels.where(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull())
@@ -211,33 +214,39 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     seen = dict(texts.select("text").mapInArrow(frequency, "at long, n long").groupBy("at").agg(F.sum("n")).collect())
     idf = np.log((1 + seen.get(-1, 0)) / (1 + np.array([seen.get(i, 0) for i in range(len(vocabulary))]))) if len(vocabulary) else np.zeros(0)
     idf = np.maximum(idf, 1e-3)
-    share = F.lit(min(1.0, EXAMPLES / total))
-    drawn = train.where(F.pmod(F.xxhash64(F.lit(29), F.col("text")), F.lit(1 << 30)) < share * (1 << 30))
+    train = train.withColumns({"key": F.xxhash64(F.lit(29), F.col("text")), "key2": F.xxhash64(F.lit(31), F.col("text"))})
+    folded = Stored(train.groupBy("key", "key2").agg(F.min("doc_id").alias("first_id"), F.avg("y").alias("share")))
+    share = F.lit(min(1.0, EXAMPLES / max(1, folded.df.count())))
+    drawn = folded.df.where(F.pmod("key", F.lit(1 << 30)) < share * (1 << 30))
+    drawn = train.join(F.broadcast(drawn), ["key", "key2"]).where("doc_id = first_id")
 
     def vectors(batches):
         for batch in batches:
             for part in W.batches(batch, "text"):
                 own = Vectors(part.column("text"), shared.value, idf)
                 yield pa.RecordBatch.from_arrays([
-                    part.column("doc_id"), part.column("y"),
+                    part.column("doc_id"), part.column("share"), part.column("key"), part.column("key2"),
                     pa.array([own[i][0].tobytes() for i in range(part.num_rows)], pa.binary()),
-                    pa.array([own[i][1].tobytes() for i in range(part.num_rows)], pa.binary())], ["doc_id", "y", "terms", "weights"])
+                    pa.array([own[i][1].tobytes() for i in range(part.num_rows)], pa.binary())], ["doc_id", "share", "key", "key2", "terms", "weights"])
 
-    rows = drawn.mapInArrow(vectors, "doc_id long, y int, terms binary, weights binary").limit(2 * EXAMPLES).collect()
-    rows.sort(key=lambda r: (r[0], r[2], r[3]))
+    vectored = drawn.select("doc_id", "text", "share", "key", "key2").mapInArrow(vectors, "doc_id long, share double, key long, key2 long, terms binary, weights binary")
+    rows = vectored.dropDuplicates(["key", "key2"]).select("doc_id", "share", "terms", "weights", "key", "key2").collect()  # a row may stand twice
+    folded.drop()
+    rows.sort(key=lambda r: (r[0], r[2], r[3], r[4], r[5]))
     held = [(np.frombuffer(r[2], np.int64), np.frombuffer(r[3])) for r in rows]
-    index = Index(held, np.array([r[1] for r in rows], float), np.array([r[0] for r in rows], np.int64), len(vocabulary))
+    ids = np.array([r[0] for r in rows], np.int64)
+    index = Index(held, np.array([r[1] for r in rows], float), np.arange(len(rows)), len(vocabulary))
     # Each example votes on all others; a task takes a share of them.
-    place_of = {int(i): p for p, i in enumerate(index.ids)}
+    place_of = np.argsort(index.ids)
+    index.ids = ids[index.ids]
     both = spark.sparkContext.broadcast((index, held))
     jobs = spark.range(len(rows)).repartition(4 * spark.sparkContext.defaultParallelism) if len(rows) else spark.range(0)
-    ids = np.array([r[0] for r in rows], np.int64)
 
     def alone(batches):
         index, held = both.value
         for batch in batches:
             at = batch.column("id").to_numpy()
-            yield pa.RecordBatch.from_arrays([pa.array(at), pa.array([index.vote(*held[i], without=place_of[int(ids[i])])[0] for i in at], pa.float64())], ["id", "vote"])
+            yield pa.RecordBatch.from_arrays([pa.array(at), pa.array([index.vote(*held[i], without=int(place_of[i]))[0] for i in at], pa.float64())], ["id", "vote"])
 
     votes = dict(jobs.mapInArrow(alone, "id long, vote double").collect())
     votes, y = np.array([votes[i] for i in range(len(rows))]), np.array([r[1] for r in rows], float)

@@ -242,6 +242,21 @@ def test_toxicity(spark):
     assert all(r["score"] == 0 for r in toxicity.judge(docs, labels.limit(0)).collect())
 
 
+def test_toxicity_copies(spark, monkeypatch):
+    """Copies are one example with one vote, and the draw is over distinct texts."""
+    texts = [f"word{i % 7} thing{i % 11} {'vile rotten' if i % 2 else 'kind gentle'} n{i}" for i in range(80)]
+    rows = [(i, t) for i, t in enumerate(texts)] + [(1000 + i, texts[1]) for i in range(400)] + [(1000, texts[1]), (5, texts[6])]
+    labels = [(i, i % 2) for i in range(80)] + [(1000 + i, int(i % 4 > 0)) for i in range(400)]
+    docs, labels = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, toxic int")
+    model, every = toxicity.fit(docs, labels), sorted(5 if i == 6 else i for i in range(80))
+    assert sorted(model.index.ids.tolist()) == every and sorted(set(model.index.labels)) == [0.0, 0.5, pytest.approx(301 / 402), 1.0]
+    monkeypatch.setattr(toxicity, "EXAMPLES", 80)
+    assert sorted(toxicity.fit(docs, labels).index.ids.tolist()) == every
+    monkeypatch.setattr(toxicity, "EXAMPLES", 30)
+    few = [toxicity.fit(docs.repartition(n), labels).index.ids.tolist() for n in (1, 7)]
+    assert few[0] == few[1] and 10 < len(few[0]) < 60 and few[0].count(1) <= 1
+
+
 def test_text_bytes_of_slices():
     from gridpanel.llm import words as W
 
