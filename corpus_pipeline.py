@@ -17,7 +17,6 @@ from pyspark.sql import functions as F
 from gridpanel.llm import langid, mixing, ngram_join, pieces, substrings
 from gridpanel.session import stored, tune
 
-LEAST_SCORE = 0.25  # language score below which a text is in no language that was learnt
 WINDOW = 50  # words of a repeated passage
 WEIGHTS = {"lang": {"en": 4, "de": 2, "fr": 2, "es": 2}}
 SHARE, EPOCHS, SEED = 0.8, 2, 7
@@ -26,14 +25,19 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a language that was learnt; the label of a document without one is filled in.
+    """Documents in a language that was learnt; a label that is missing, or surely wrong, is the predicted one.
 
-    Texts that are null or have no letter go, and texts that score too low.
+    Texts that are null or have no letter go, and texts that are less typical of the
+    language than its own texts of their size (``langid.Levels``).
     """
     tune(spark)
-    found = langid.identify(docs.withColumn("__lang", F.col("lang")), "doc_id", "text", "lang")
-    kept = found.where((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_SCORE))
-    return kept.withColumn("lang", F.coalesce("__lang", "lang_pred")).select(*docs.columns)
+    train = docs.where(~langid.held_out("doc_id", 4, 2))
+    model = langid.fit(train, levels=True)
+    found = langid.predict(docs.withColumn("__lang", F.col("lang")), model, "text").where(F.col("lang_pred") != "und")
+    label = F.coalesce("__lang", "lang_pred")
+    if model.levels:
+        found, label = found.where("known"), F.when(F.col("sure"), F.col("lang_pred")).otherwise(label)
+    return found.withColumn("lang", label).select(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

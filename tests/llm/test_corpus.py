@@ -1,6 +1,7 @@
 """Registered corpus queries against their SQL, and the pipeline stage by stage against brute force."""
 
 import os
+import random
 from collections import Counter
 
 import duckdb
@@ -71,6 +72,26 @@ def test_pipeline(spark, tmp_path):
     assert len(last) == len(kept) and all(list(r["ids"]) == model.encode(texts[r["doc_id"]]) for r in last)
 
 
+def test_foreign_texts_go(spark):
+    """Unlabelled texts in no language that was learnt go, and most labels that are surely wrong are replaced."""
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    rng = random.Random(3)
+    words = {
+        "pl": "wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw są oni obdarzeni rozumem i sumieniem",
+        "ru": "все люди рождаются свободными и равными в своем достоинстве и правах они наделены разумом и совестью",
+        "fi": "kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan heille on annettu järki ja omatunto",
+        "zh": "人 人 生 而 自 由 在 尊 严 和 权 利 上 一 律 平 等",
+        "none": " ".join("".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=rng.randint(2, 10))) for _ in range(400))}
+    foreign = [(7000 + 10 * i + k, " ".join(rng.choices(w.split(), k=n)), None, "s", 1)
+               for i, w in enumerate(words.values()) for k, n in enumerate((10, 40, 150, 600))]
+    own = [(r["doc_id"], r["lang"], r["text"]) for r in docs.where("doc_id IS NOT NULL AND length(text) > 300 AND lang IN ('de', 'es')").orderBy("doc_id").limit(8).collect()]
+    wrong = [(7500 + i, text, "en", "s", 1) for i, (_, _, text) in enumerate(own)]
+    kept = {r["doc_id"]: r["lang"] for r in corpus_pipeline.language(spark, docs.unionByName(spark.createDataFrame(foreign + wrong, docs.schema)), FOLDER).collect()}
+    assert not set(kept) & {r[0] for r in foreign}
+    assert sum(r["doc_id"] not in kept for r in docs.collect()) < 0.02 * docs.count()
+    assert sum(kept.get(7500 + i) == lang for i, (_, lang, _) in enumerate(own)) > len(own) // 2
+
+
 def test_pipeline_of_nothing(spark):
     docs = spark.read.parquet(f"{FOLDER}/documents.parquet").limit(0)
     for _, stage in corpus_pipeline.STAGES:
