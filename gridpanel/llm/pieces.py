@@ -22,6 +22,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -119,10 +120,26 @@ def chunked(batches, text_col: str):
         yield pa.Table.from_batches(held)
 
 
-def chunk_id(table: pa.Table, text_col: str) -> int:
-    """A hash of the texts of a chunk, in order."""
-    data, places = W.text_bytes(table.column(text_col))
-    return xxhash.xxh64_intdigest(places.tobytes() + data.tobytes()) - (1 << 63)
+def keyed_chunks(batches, text_col: str):
+    """(key, table) of the chunks of a task: a hash of the texts in order, of the task's number and of the chunk's place.
+
+    Chunks of equal texts have different keys, so they never meet in a task; a
+    second read of the same rows gives the same keys.
+    """
+    task = TaskContext.get().partitionId()
+    for place, table in enumerate(chunked(batches, text_col)):
+        data, places = W.text_bytes(table.column(text_col))
+        yield xxhash.xxh64_intdigest(np.array([task, place]).tobytes() + places.tobytes() + data.tobytes()) - (1 << 63), table
+
+
+def text_chunks(df: DataFrame, text_col: str) -> DataFrame:
+    """(chunk, data): the rows of ``df`` in compressed chunks, each under a key of its own."""
+
+    def send(batches):
+        for key, table in keyed_chunks(batches, text_col):
+            yield pa.RecordBatch.from_arrays([pa.array([key], pa.int64()), pa.array([to_blob(table, 9)], pa.binary())], ["chunk", "data"])
+
+    return df.mapInArrow(send, "chunk long, data binary")
 
 
 class Units:
@@ -324,19 +341,15 @@ def encode(df: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     rules = spark.sparkContext.broadcast(model)
 
     def ask(batches):
-        for table in chunked(batches, text_col):
+        for key, table in keyed_chunks(batches, text_col):
             units = Units(table.column(text_col), shared.value, prefix, buckets)
             strings = units.strings()
             edges = np.flatnonzero(np.r_[True, units.bucket[1:] != units.bucket[:-1], True]) if len(strings) else []
             blobs = [to_blob(pa.table({"unit": pa.array(strings[a:b], pa.string())})) for a, b in zip(edges[:-1], edges[1:])]
             yield pa.RecordBatch.from_arrays([
-                pa.array(units.bucket[edges[:-1]] if len(strings) else [], pa.int64()), pa.array([chunk_id(table, text_col)] * len(blobs), pa.int64()), pa.array(blobs, pa.binary())],
+                pa.array(units.bucket[edges[:-1]] if len(strings) else [], pa.int64()), pa.array([key] * len(blobs), pa.int64()), pa.array(blobs, pa.binary())],
                 ["bucket", "chunk", "data"])
 
-    def send(batches):
-        for table in chunked(batches, text_col):
-            yield pa.RecordBatch.from_arrays([pa.array([chunk_id(table, text_col)], pa.int64()), pa.array([to_blob(table, 9)], pa.binary())], ["chunk", "data"])
-
     def distinct(table: pa.Table) -> pa.Table:
         found = set()
         for raw in table.column("data").to_pylist():
@@ -390,7 +403,7 @@ def encode(df: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     known = segmented(asked.applyInArrow(distinct, "bucket long, unit string").repartition(buckets, "bucket"), model)
     answers = asked.cogroup(known.groupBy("bucket")).applyInArrow(answer, "chunk long, bucket long, data binary")
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
-    texts = df.mapInArrow(send, "chunk long, data binary").groupBy("chunk")
+    texts = text_chunks(df, text_col).groupBy("chunk")
     return texts.cogroup(answers.groupBy("chunk")).applyInArrow(fill, f"{schema}, ids array<int>, n_tokens long")
 
 

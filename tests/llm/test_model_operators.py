@@ -88,6 +88,17 @@ def test_pieces(spark):
         assert pieces.long_ids(" " + t, model) == known.encode(t)
 
 
+def test_equal_chunks_stay_apart(spark):
+    text = "a bc def " * 120_000
+    df = spark.createDataFrame([(i, text) for i in range(40)], "doc_id long, text string").coalesce(2)
+    keys = [r["chunk"] for r in pieces.text_chunks(df, "text").collect()]
+    assert len(keys) == len(set(keys)) > 8
+    model = pieces.read_model()
+    want = sentencepiece.SentencePieceProcessor(model_file=pieces.MODEL).encode(text)
+    rows = pieces.encode(df, model).collect()
+    assert sorted(r["doc_id"] for r in rows) == list(range(40)) and all(list(r["ids"]) == want for r in rows[::13])
+
+
 def test_unigram(spark, tmp_path):
     """The same vocabulary as a unigram model: Viterbi, as the library does it."""
     from sentencepiece import sentencepiece_model_pb2 as proto
