@@ -496,7 +496,7 @@ def m19(spark, d):
 @query("m20_silhouette_sweep")
 def m20(spark, d):
     df = _vectors(spark, d)
-    return cluster.silhouette_sweep(df, range(2, 10), restarts=3)
+    return cluster.silhouette_sweep(df, range(2, 50), restarts=10)
 
 
 @query("m21_knn_classify", f"""

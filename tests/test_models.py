@@ -282,3 +282,13 @@ def test_wide_and_narrow_moments_agree(panel, monkeypatch):
     for f in narrow:
         assert narrow[f].n == wide[f].n and np.allclose(narrow[f].sums, wide[f].sums)
         assert np.allclose(narrow[f].products, wide[f].products)
+
+
+def test_silhouette_sweep_is_whole(spark, monkeypatch):
+    """The query sweeps as many clusters and restarts as the reference."""
+    from gridpanel.catalog import models
+
+    asked = []
+    monkeypatch.setattr(models.cluster, "silhouette_sweep", lambda df, ks, restarts=10: asked.append((list(ks), restarts)))
+    models.m20(spark, "/root/testdata/sf0.001")
+    assert asked == [(list(range(2, 50)), 10)]
