@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from gridpanel.llm import fingerprint, html_tree, langid, licenses, mixing, ngram_join, pieces, substrings, toxicity, vector_links
+from gridpanel.llm import (fingerprint, hard_negatives, html_tree, langid, licenses, mixing, ngram_join, pieces, substrings, top_k, toxicity,
+                           vector_codes, vector_links)
 from gridpanel.llm.common import ORACLES, QUERIES, load, query
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -133,3 +134,59 @@ def op10(spark, d):
     mixed = mixing.mix(docs, {"domain": "domain", "lang": "lang", "source": "source"}, MIX_WEIGHTS, MIX_SHARE, MIX_EPOCHS, MIX_SEED)
     names = [F.coalesce(F.col(c), F.lit(mixing.NONE)).alias(c) for c in ("domain", "lang", "source")]
     return mixed.select("doc_id", *names, "epoch", "tokens")
+
+
+WHOLE = "embedding IS NOT NULL AND len(list_filter(embedding, lambda y: y IS NULL OR NOT isfinite(y))) = 0"
+FLOORS = "list_transform(embedding, lambda y: floor(256 * y::DOUBLE))"
+PRODUCT = "CAST(list_inner_product(a.x, b.x) AS BIGINT)"
+
+
+@query("op11_hard_negatives", f"""
+WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, {FLOORS} AS x
+  FROM embeddings WHERE label IS NOT NULL AND {WHOLE}),
+s AS (SELECT a.vec_id AS anchor_id, b.vec_id AS other, a.label = b.label AS same, {PRODUCT} AS score
+  FROM v a JOIN v b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+p AS (SELECT anchor_id, other AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other) <= 5)
+SELECT anchor_id, positive_id, CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other) AS INTEGER) AS rank,
+  other AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s USING (anchor_id) WHERE NOT same AND 80 * positive_score <= 100 * score AND 100 * score <= 100 * positive_score
+QUALIFY rank <= 5""")
+def op11(spark, d):
+    rows = load(spark, d, "embeddings").select("vec_id", "embedding", "label")
+    rows = rows.withColumn("label", F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")))
+    return hard_negatives.hard_negatives(rows, F.col("vec_id") % 100 == 0)
+
+
+@query("op12_exact_top_k", f"""
+WITH v AS (SELECT vec_id, {FLOORS} AS x FROM embeddings WHERE {WHOLE}),
+s AS (SELECT a.vec_id AS query_id, b.vec_id, {PRODUCT} AS score FROM v a JOIN v b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score FROM s QUALIFY rank <= 5""")
+def op12(spark, d):
+    return top_k.top_k(load(spark, d, "embeddings").select("vec_id", "embedding"), F.col("vec_id") % 50 == 0, 5)
+
+
+def _codes_sql(parts: int = 16, entries: int = 64, rounds: int = 2) -> str:
+    """The rounds one after another: assign every part to its nearest entry, then move the entries."""
+    assign = """
+a{n} AS (SELECT p.vec_id, p.label, p.part, p.x, min(list_sum(list_transform(list_zip(p.x, c.c), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) * 256 + c.entry) AS best
+  FROM p JOIN c{n} c USING (part) GROUP BY ALL)"""
+    move = """
+m{n} AS (SELECT part, CAST(best % 256 AS BIGINT) AS entry, unnest(x) AS y, generate_subscripts(x, 1) AS i FROM a{n}),
+f{n} AS (SELECT part, entry, list(y ORDER BY i) AS c FROM (SELECT part, entry, i, CAST(floor(sum(y)::DOUBLE / count(*)) AS BIGINT) AS y FROM m{n} GROUP BY ALL) GROUP BY ALL),
+c{next} AS (SELECT part, entry, coalesce(f{n}.c, c{n}.c) AS c FROM c{n} LEFT JOIN f{n} USING (part, entry))"""
+    steps = ",".join(assign.format(n=n) + "," + move.format(n=n, next=n + 1) for n in range(rounds)) + "," + assign.format(n=rounds)
+    return f"""
+WITH v AS (SELECT vec_id, label, list_transform({FLOORS}, lambda y: CAST(y AS BIGINT)) AS x FROM embeddings WHERE {WHOLE}),
+p AS (SELECT vec_id, label, j AS part, x[j * (len(x) // {parts}) + 1:(j + 1) * (len(x) // {parts})] AS x FROM v, range({parts}) t(j)),
+c0 AS (SELECT part, row_number() OVER (PARTITION BY part ORDER BY vec_id) - 1 AS entry, x AS c FROM p
+  WHERE vec_id IN (SELECT vec_id FROM v ORDER BY vec_id LIMIT {entries})),{steps},
+e AS (SELECT vec_id, label, string_agg(printf('%02x', CAST(best % 256 AS INTEGER)), '' ORDER BY part) AS code, CAST(sum(best // 256) AS BIGINT) AS error
+  FROM a{rounds} GROUP BY vec_id, label),
+h AS (SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY part, entry)) AS codebooks_sha256 FROM c{rounds})
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256 FROM e, h"""
+
+
+@query("op13_vector_codes", _codes_sql())
+def op13(spark, d):
+    return vector_codes.compress(load(spark, d, "embeddings").select("vec_id", "embedding", "label"))
