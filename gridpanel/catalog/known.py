@@ -158,7 +158,7 @@ def m19_entity(spark, d):
 
 @query("m20_silhouette_planted", "SELECT 3 AS best FROM customer LIMIT 1")
 def m20_planted(spark, d):
-    return cluster.silhouette_sweep(_planted(spark, d), range(2, 6), restarts=5).agg(F.max_by("k", "train_silhouette").alias("best"))
+    return cluster.silhouette_sweep(_planted(spark, d), range(2, 50), restarts=10).agg(F.max_by("k", "train_silhouette").alias("best"))
 
 
 @query("m22_pc_regression_closed", f"""

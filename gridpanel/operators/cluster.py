@@ -5,8 +5,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import numpy as np
-from pyspark.ml.clustering import KMeans
-from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import PCA, StandardScaler, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
@@ -14,6 +12,7 @@ from pyspark.sql import functions as F
 
 from gridpanel.functions.expressions import ratio
 from gridpanel.operators.aggregate import entity_mode
+from gridpanel.operators.lloyd import Model, best_of, fit_many, silhouettes, vectors
 from gridpanel.operators.regression import Fit, ols
 
 
@@ -72,30 +71,25 @@ def pca(df: DataFrame, vector: str = "scaled", k: int | None = None, share: floa
     if share is not None:
         keep = int(np.searchsorted(np.cumsum(model.explainedVariance.toArray()), share) + 1)
         keep = min(keep, width)
-    row = df.select(F.explode(vector_to_array(vector)).alias("v")).agg(F.sum(F.col("v") * F.col("v")), F.count("v")).first()
-    rows = row[1] / width
-    return Components(model, keep, vector, row[0] / max(rows - 1, 1))
-
-
-def kmeans(df: DataFrame, k: int, vector: str = "scaled", restarts: int = 10, seed: int = 42, rounds: int = 300):
-    """Best of several starts by within-cluster cost."""
-    cached = df.select(vector).persist()
-    try:
-        models = [
-            KMeans(featuresCol=vector, predictionCol="cluster", k=k, seed=seed + i, maxIter=rounds).fit(cached)
-            for i in range(restarts)
-        ]
-    finally:
-        cached.unpersist()
-    return min(models, key=lambda m: m.summary.trainingCost)
+    squares = F.aggregate(vector_to_array(vector), F.lit(0.0), lambda total, x: total + x * x)
+    row = df.where(F.col(vector).isNotNull()).agg(F.sum(squares), F.count(F.lit(1))).first()
+    return Components(model, keep, vector, row[0] / max(row[1] - 1, 1))
+
+
+def kmeans(df: DataFrame, k: int, vector: str = "scaled", restarts: int = 10, seed: int = 42, rounds: int = 300) -> Model:
+    """Best of several starts by within-cluster cost, all starts fitted in the same passes."""
+    rows = vectors(df, vector)
+    found = best_of(fit_many(rows.df, [k], restarts, seed, rounds))
+    rows.drop()
+    return found[k]
 
 
-def cluster_labels(model, df: DataFrame, out: str = "cluster") -> DataFrame:
+def cluster_labels(model: Model, df: DataFrame, out: str = "cluster", vector: str = "scaled") -> DataFrame:
     """Labels numbered by the clusters' centres, so that reruns agree."""
     centres = [tuple(map(float, c)) for c in model.clusterCenters()]
     place = {old: new for new, old in enumerate(sorted(range(len(centres)), key=lambda i: centres[i]))}
     pairs = [F.lit(v) for kv in place.items() for v in kv]
-    return model.transform(df).withColumn(out, F.create_map(*pairs)[F.col("cluster")])
+    return model.transform(df, vector, out).withColumn(out, F.create_map(*pairs)[F.col(out)])
 
 
 def entity_cluster(labelled: DataFrame, entity: str, out: str = "cluster") -> DataFrame:
@@ -103,21 +97,34 @@ def entity_cluster(labelled: DataFrame, entity: str, out: str = "cluster") -> Da
     return entity_mode(labelled, entity, out)
 
 
-def silhouette(model, df: DataFrame, vector: str = "scaled") -> float:
-    """Mean silhouette on squared distances, which needs one pass and no pairs."""
-    return ClusteringEvaluator(featuresCol=vector, predictionCol="cluster").evaluate(model.transform(df))
+def silhouette(model: Model, df: DataFrame, vector: str = "scaled") -> float | None:
+    """Mean silhouette on squared distances, which needs two passes and no pairs."""
+    rows = vectors(df, vector)
+    found = silhouettes(rows.df, [model])
+    rows.drop()
+    return found[0]
 
 
 def silhouette_sweep(
     train: DataFrame, ks: Sequence[int], vector: str = "scaled", test: DataFrame | None = None, restarts: int = 10,
     seed: int = 42,
 ) -> DataFrame:
-    """Silhouette per number of clusters, on the training rows and optional test rows."""
-    rows = []
-    for k in ks:
-        model = kmeans(train, k, vector, restarts, seed)
-        rows.append((k, silhouette(model, train, vector), silhouette(model, test, vector) if test is not None else None))
-    return train.sparkSession.createDataFrame(rows, "k int, train_silhouette double, test_silhouette double")
+    """Silhouette per number of clusters, on the training rows and optional test rows.
+
+    All numbers and restarts are fitted in the same passes, so the sweep takes as
+    many jobs as its slowest model has rounds.
+    """
+    rows = vectors(train, vector)
+    best = best_of(fit_many(rows.df, list(ks), restarts, seed))
+    models = [best[k] for k in ks]
+    found = [silhouettes(rows.df, models), [None] * len(models)]
+    rows.drop()
+    if test is not None:
+        others = vectors(test, vector)
+        found[1] = silhouettes(others.df, models)
+        others.drop()
+    table = [(k, a, b) for k, a, b in zip(ks, *found, strict=True)]
+    return train.sparkSession.createDataFrame(table, "k int, train_silhouette double, test_silhouette double")
 
 
 def pc_regression(train: DataFrame, test: DataFrame, y: str, components: Sequence[str] = ("pc1", "pc2")) -> tuple[Fit, DataFrame]:

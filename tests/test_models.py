@@ -284,11 +284,64 @@ def test_wide_and_narrow_moments_agree(panel, monkeypatch):
         assert np.allclose(narrow[f].products, wide[f].products)
 
 
-def test_silhouette_sweep_is_whole(spark, monkeypatch):
-    """The query sweeps as many clusters and restarts as the reference."""
-    from gridpanel.catalog import models
-
-    asked = []
-    monkeypatch.setattr(models.cluster, "silhouette_sweep", lambda df, ks, restarts=10: asked.append((list(ks), restarts)))
-    models.m20(spark, "/root/testdata/sf0.001")
-    assert asked == [(list(range(2, 50)), 10)]
+def _clouds(spark, n=600, width=5, groups=6, seed=3):
+    rnd = np.random.default_rng(seed)
+    centres = rnd.normal(0, 4, (groups, width))
+    x = centres[rnd.integers(0, groups, n)] + rnd.normal(0, 1, (n, width))
+    df = spark.createDataFrame([(i, [float(v) for v in row]) for i, row in enumerate(x)], "id int, x array<double>")
+    return x, df
+
+
+def test_many_models_equal_one_by_one(spark):
+    """Every model of a sweep follows Lloyd's rule from its own start, and the best one is at least as good as Spark's."""
+    from pyspark.ml.clustering import KMeans
+    from pyspark.ml.functions import array_to_vector
+
+    from gridpanel.operators import lloyd
+    x, df = _clouds(spark)
+    models = lloyd.fit_many(df.select("x").repartition(3), [2, 5, 6, 9], restarts=3, tolerance=0.0)
+    assert [(m.k, m.start) for m in models] == [(k, i) for k in (2, 5, 6, 9) for i in range(3)]
+    for m in models:
+        d = ((x[:, None, :] - m.centres[None]) ** 2).sum(-1)
+        labels = d.argmin(1)
+        assert np.allclose(m.cost, d.min(1).sum())  # nothing moves any more
+        assert np.allclose(m.centres, [x[labels == c].mean(0) for c in range(m.k)])
+    best = lloyd.best_of(models)
+    theirs = KMeans(k=6, seed=1, maxIter=50).fit(df.select(array_to_vector("x").alias("features")))
+    assert best[6].cost <= theirs.summary.trainingCost * (1 + 1e-9)
+    assert all(best[m.k].cost <= m.cost for m in models)
+    short = lloyd.fit_many(df.select("x"), [9], restarts=1, rounds=2)
+    assert short[0].rounds == 2
+
+
+def test_silhouettes_equal_the_evaluators(spark):
+    from pyspark.ml.evaluation import ClusteringEvaluator
+    from pyspark.ml.functions import array_to_vector
+
+    from gridpanel.operators import lloyd
+    x, df = _clouds(spark)
+    models = list(lloyd.best_of(lloyd.fit_many(df.select("x"), [2, 4, 7], restarts=2)).values())
+    models.append(lloyd.Model(3, 0, np.array([x.mean(0), x.mean(0) + 1e4, x[0]])))  # the second has no rows
+    models.append(lloyd.Model(2, 0, np.array([x.mean(0), x.mean(0) + 1e4])))  # one cluster only
+    got = lloyd.silhouettes(df.select("x").repartition(4), models)
+    assert got[-1] is None
+    for m, s in zip(models[:-1], got[:-1], strict=True):
+        scored = m.transform(df.withColumn("v", array_to_vector("x")), "v")
+        assert close(s, ClusteringEvaluator(featuresCol="v", predictionCol="cluster").evaluate(scored), 1e-6)
+
+
+def test_sweep_over_few_and_equal_rows(spark):
+    """More clusters than distinct rows: centres without rows stay, and rows alone in a cluster count 0."""
+    df = spark.createDataFrame([([0.0, 0.0],)] * 3 + [([1.0, 1.0],)] * 3 + [([9.0, 9.0],)], "x array<double>")
+    scaled = cluster.as_vector(df, "x", "scaled")
+    out = {r["k"]: r for r in cluster.silhouette_sweep(scaled, [2, 3, 5], test=scaled.limit(4), restarts=2).collect()}
+    assert close(out[3]["train_silhouette"], 6 / 7) and close(out[5]["train_silhouette"], 6 / 7)
+    assert out[2]["train_silhouette"] < out[3]["train_silhouette"]
+    with pytest.raises(ValueError):
+        cluster.kmeans(scaled.where("false"), 2)
+
+
+def test_component_variance_of_exploded_vectors(spark):
+    x, df = _clouds(spark, 80, 4)
+    fitted = cluster.pca(cluster.as_vector(df, "x", "scaled"), k=4)
+    assert np.allclose(sum(fitted.variance), (x ** 2).sum() / 79 * sum(fitted.share))
