@@ -191,10 +191,27 @@ def f14(spark, d):
                                       F.count_if("is_synthetic").alias("n_synthetic"))
 
 
-@query("f14_smote_rows")
+_DRAW = "CAST('0x' || substr(md5({}), 1, 15) AS BIGINT)"
+_Z = ", ".join(f"(a.{c} - avg(a.{c}) OVER ()) / CASE WHEN stddev_pop(a.{c}) OVER () = 0 THEN 1 ELSE stddev_pop(a.{c}) OVER () END AS {c}" for c in _DOC_FEATURES)
+
+
+@query("f14_smote_rows", f"""
+WITH a AS (SELECT doc_id, quality, CAST(n_chars AS DOUBLE) AS chars, len(regexp_split_to_array(text, '\\s+'))::DOUBLE AS words,
+  len(string_split(text, chr(10)))::DOUBLE AS lines, length(regexp_replace(text, '[^0-9]', '', 'g'))::DOUBLE AS digits FROM documents JOIN labels USING (doc_id)),
+z AS (SELECT doc_id, quality, {_Z} FROM a),
+n AS (SELECT quality, count(*) AS n, max(count(*)) OVER () - count(*) AS need FROM z GROUP BY 1 QUALIFY row_number() OVER (ORDER BY count(*), quality) = 1),
+few AS (SELECT z.*, n, need, row_number() OVER (ORDER BY {_DRAW.format("'42-' || doc_id")}) AS place FROM z JOIN n USING (quality)),
+copies AS (SELECT *, unnest(range(1, 1 + need // n + CASE WHEN place <= need % n THEN 1 ELSE 0 END)) AS copy FROM few),
+near AS (SELECT x.doc_id, {", ".join(f"y.{c}" for c in _DOC_FEATURES)}, row_number() OVER (PARTITION BY x.doc_id ORDER BY
+  round(sqrt({" + ".join(f"pow(x.{c} - y.{c}, 2)" for c in _DOC_FEATURES)}), 9), y.doc_id) AS r FROM few x JOIN few y ON x.doc_id <> y.doc_id QUALIFY r <= 5),
+made AS (SELECT c.quality, {", ".join(f"c.{c} + gap * (o.{c} - c.{c}) AS {c}" for c in _DOC_FEATURES)} FROM (
+  SELECT *, {_DRAW.format("'43-' || doc_id || '-' || copy")} % least(5, n - 1) + 1 AS r, {_DRAW.format("'44-' || doc_id || '-' || copy")} / pow(2.0, 60) AS gap FROM copies) c
+  JOIN near o ON o.doc_id = c.doc_id AND o.r = c.r)
+SELECT quality, {", ".join(f"{sql_rnd(c, 5)} AS {c}" for c in _DOC_FEATURES)} FROM made""")
 def f14_rows(spark, d):
     scaled = features.standardize(_docs(spark, d), _DOC_FEATURES)
-    return features.smote(scaled, "doc_id", "quality", _DOC_FEATURES).where("is_synthetic")
+    made = features.smote(scaled, "doc_id", "quality", _DOC_FEATURES).where("is_synthetic")
+    return made.select("quality", *[rnd(c, 5).alias(c) for c in _DOC_FEATURES])
 
 
 @query("f15_vif", f"""

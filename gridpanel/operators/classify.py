@@ -11,8 +11,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridpanel.functions.expressions import normal_tail, quoted, ratio
-from gridpanel.operators.neighbors import knn_vectors
 from gridpanel.operators.ordered import exact_quantiles, running, to_long
+from gridpanel.operators.vector_neighbors import knn_vectors
 
 
 def rank_sum_test(df: DataFrame, group: str, columns: Sequence[str], positive=1, **how) -> DataFrame:

@@ -14,9 +14,9 @@ from gridpanel.functions.expressions import (
     adjusted_skew, half_even, normal_quantile, numeric_columns, quoted, ratio, safe_ln,
 )
 from gridpanel.operators.moments import Moments, moments
-from gridpanel.operators.neighbors import knn_vectors
 from gridpanel.operators.skew import null_safe
 from gridpanel.operators.ordered import exact_quantiles, ranked_values, running, to_long, value_counts
+from gridpanel.operators.vector_neighbors import knn_vectors
 
 
 def _rows(df: DataFrame, columns: Sequence[str], stats) -> DataFrame:
@@ -395,6 +395,11 @@ def unit_hash(keys: Sequence[str], seed: int) -> Column:
     return F.pmod(F.xxhash64(*keys, F.lit(seed)), F.lit(1 << 40)) / float(1 << 40)
 
 
+def drawn_number(keys: Sequence[Column | str], seed: int) -> Column:
+    """A whole number below 2^60 from the MD5 of seed and key values, which other tools draw alike."""
+    return F.conv(F.substring(F.md5(F.concat_ws("-", F.lit(seed), *keys)), 1, 15), 16, 10).cast("bigint")
+
+
 def split_random(df: DataFrame, keys: Sequence[str], test: float, seed: int = 42, out: str = "is_test") -> DataFrame:
     """Row-level split, also the group split when ``keys`` is the entity alone."""
     return df.withColumn(out, unit_hash(keys, seed) < test)
@@ -442,8 +447,8 @@ def smote(
     """Add interpolated minority rows until both classes have the same size.
 
     A new row lies between a minority row and one of its k nearest minority
-    rows. Which rows, which neighbour and how far are drawn by hash. New rows
-    have no key and ``is_synthetic`` set.
+    rows. Which rows, which neighbour and how far are drawn by a hash of the key
+    that any tool computes alike. New rows have no key and ``is_synthetic`` set.
     """
     sizes = {r[label]: r["n"] for r in df.groupBy(label).agg(F.count(F.lit(1)).alias("n")).collect()}
     if len(sizes) != 2:
@@ -454,7 +459,7 @@ def smote(
     few = df.where(F.col(label) == small).select(
         F.col(key).alias("__id"), F.array(*[F.col(quoted(c)).cast("double") for c in features]).alias("__x")
     )
-    ordered = running(few.select("__id", F.xxhash64("__id", F.lit(seed)).alias("__h"), F.lit(1).alias("__w")),
+    ordered = running(few.select("__id", drawn_number(["__id"], seed).alias("__h"), F.lit(1).alias("__w")),
                       [], "__h", {"__place": ("sum", "__w")}, **how)
     copies = ordered.select("__id", F.explode(
         F.when((F.lit(whole) + F.when(F.col("__place") <= rest, 1).otherwise(0)) > 0,
@@ -462,11 +467,11 @@ def smote(
     ).alias("__copy"))
     near = knn_vectors(few, few, min(k, sizes[small] - 1), "__x", "__id", "__id", apart="__id")
     drawn = copies.withColumn(
-        "rank", F.pmod(F.xxhash64("__id", "__copy", F.lit(seed + 1)), F.lit(min(k, sizes[small] - 1))).cast("int") + 1
+        "rank", F.pmod(drawn_number(["__id", "__copy"], seed + 1), F.lit(min(k, sizes[small] - 1))).cast("int") + 1
     ).join(near.select("__id", "neighbor", "rank"), ["__id", "rank"])
     other = few.select(F.col("__id").alias("neighbor"), F.col("__x").alias("__y"))
     made = drawn.join(few, "__id").join(other, "neighbor").withColumn(
-        "__gap", unit_hash(["__id", "__copy"], seed + 2)
+        "__gap", drawn_number(["__id", "__copy"], seed + 2) / F.lit(float(1 << 60))
     )
     x = [
         (F.col("__x")[i] + F.col("__gap") * (F.col("__y")[i] - F.col("__x")[i])).alias(c)

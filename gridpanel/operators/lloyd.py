@@ -82,17 +82,20 @@ def _sums(x: np.ndarray, labels: np.ndarray, width: int) -> np.ndarray:
 def _merged(rows: DataFrame, per_task: Callable[[object], dict[int, np.ndarray]], models: int) -> dict[int, np.ndarray]:
     """One array of doubles per model, added up over tasks."""
 
+    def block(sums: dict[int, np.ndarray]):
+        if sums:
+            parts = [np.ascontiguousarray(v).tobytes() for v in sums.values()]
+            yield pa.RecordBatch.from_pydict({"model": pa.array(list(sums), pa.int32()), "part": pa.array(parts, pa.binary())})
+
     def run(batches):
-        for model, values in per_task(batches).items():
-            yield pa.RecordBatch.from_pydict({"model": pa.array([model], pa.int32()), "part": pa.array([np.ascontiguousarray(values).tobytes()], pa.binary())})
+        yield from block(per_task(batches))
 
     def merge(batches):
         total: dict[int, np.ndarray] = {}
         for batch in batches:
             for model, part in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 total[model] = total.get(model, 0.0) + np.frombuffer(part)
-        for model, values in total.items():
-            yield pa.RecordBatch.from_pydict({"model": pa.array([model], pa.int32()), "part": pa.array([values.tobytes()], pa.binary())})
+        yield from block(total)
 
     schema = "model int, part binary"
     parts = min(models, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
@@ -140,8 +143,9 @@ def _first_centres(sample: np.ndarray, k: int, rnd: np.random.Generator) -> np.n
 
 
 def vectors(df: DataFrame, vector: str) -> Stored:
-    """The vectors alone as arrays, written once for all passes."""
-    return Stored(df.select(vector_to_array(vector).alias("x")).where("x is not null"))
+    """The vectors alone as arrays, written once for all passes and dealt evenly, since dozens of passes follow."""
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return Stored(df.select(vector_to_array(vector).alias("x")).where("x is not null").repartition(parts))
 
 
 def fit_many(

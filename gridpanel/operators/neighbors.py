@@ -1,18 +1,15 @@
-"""Nearest neighbours and radius pairs without all-pairs joins (G1, J4, J6, kNN).
+"""Nearest neighbours and radius pairs without all-pairs joins.
 
-Points on the globe use a grid of halving latitude/longitude cells; vectors of
-any width use distances to a few pivot vectors. Both give exact results.
+Points on the globe use a grid of halving latitude/longitude cells, which gives
+exact results; vectors of any width have ``vector_neighbors``.
 """
 
 from __future__ import annotations
 
 import math
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from gridpanel.functions.expressions import haversine_sql
 
@@ -170,149 +167,3 @@ def knn_edges(
     return near.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k).selectExpr(
         f"__id as `{entity}`", "__nid as neighbor", "rank", "distance"
     )
-
-
-# --- vectors of any width -----------------------------------------------------
-
-# Rows per block of vectors; two blocks meet in one call of the distance kernel.
-BLOCK_ROWS = 256
-
-
-def _pivot_distances(pivots: np.ndarray):
-    """Distances of a vector to every pivot, batch-wise."""
-
-    def distances(vectors: pd.Series) -> pd.Series:
-        x = np.stack(vectors.to_numpy()).astype(float)
-        d = np.stack([np.sqrt(((x - p) ** 2).sum(axis=1)) for p in pivots], axis=1)
-        return pd.Series(list(d))
-
-    return F.pandas_udf(distances, T.ArrayType(T.DoubleType()))
-
-
-def _nearest_in_blocks(k: int, apart: bool):
-    """Per pair of blocks: the k nearest eligible points of every query, ties by id."""
-
-    def nearest(batches):
-        for batch in batches:
-            ids, others, found = [], [], []
-            for row in batch.itertuples(index=False):
-                qid, pid = np.asarray(row.ids), np.asarray(row.nids)
-                q = np.asarray(row.qs, dtype=float).reshape(len(qid), -1)
-                p = np.asarray(row.ps, dtype=float).reshape(len(pid), -1)
-                order = np.argsort(pid, kind="stable")
-                pid, p = pid[order], p[order]
-                d = np.empty((len(qid), len(pid)))
-                for i in range(len(qid)):
-                    gap = p - q[i]
-                    d[i] = np.sqrt(np.einsum("ij,ij->i", gap, gap))
-                d = np.round(d, 9)
-                if apart:
-                    d[np.asarray(row.qa)[:, None] == np.asarray(row.pa)[order][None, :]] = np.inf
-                # a stable sort keeps the id order among equal distances
-                best = np.argsort(d, axis=1, kind="stable")[:, :k]
-                near = np.take_along_axis(d, best, axis=1).ravel()
-                real = np.isfinite(near)
-                ids.append(np.repeat(qid, best.shape[1])[real])
-                others.append(pid[best.ravel()][real])
-                found.append(near[real])
-            if ids:
-                yield pd.DataFrame({
-                    "__id": np.concatenate(ids), "__nid": np.concatenate(others), "distance": np.concatenate(found)
-                })
-
-    return nearest
-
-
-def knn_vectors(
-    queries: DataFrame,
-    points: DataFrame,
-    k: int,
-    vector: str = "vec",
-    query_id: str = "id",
-    point_id: str = "id",
-    apart: str | None = None,
-    pivots: int = 32,
-) -> DataFrame:
-    """k nearest points per query by Euclidean distance: (query_id, neighbor, rank, distance).
-
-    ``apart`` names a column of both frames; only points with another value of
-    it than the query are neighbours (folds, or the id itself to leave out the
-    query). Exact to nine digits, ties broken by id.
-
-    Every point belongs to the nearest of a fixed number of pivot vectors. The k
-    smallest pivot distances per cell bound the distance of the k-th neighbour,
-    and the triangle inequality then rules out whole cells unseen. Inside a cell
-    points and queries meet as blocks of some hundred vectors, so that a cell
-    with most of the points is many blocks and not one task.
-    """
-    own = apart is not None and apart == query_id == point_id
-    mark_q = F.col(query_id) if own else F.col(apart) if apart else F.lit(0)
-    mark_p = F.col(point_id) if own else F.col(apart) if apart else F.lit(0)
-    pts = points.where(F.col(vector).isNotNull()).select(
-        F.col(point_id).alias("__nid"), F.col(vector).cast("array<double>").alias("__v"), mark_p.alias("__na"))
-    qs = queries.where(F.col(vector).isNotNull()).select(
-        F.col(query_id).alias("__id"), F.col(vector).cast("array<double>").alias("__q"), mark_q.alias("__a"))
-    n_points, n_queries = pts.count(), qs.count()
-    if not n_points:
-        raise ValueError("there are no points")
-    # At most ``pivots`` rows, picked by hash so that reruns agree; fewer when
-    # the cells would not fill a block.
-    used = max(1, min(pivots, n_points // BLOCK_ROWS))
-    rows = pts.select("__v", "__nid").orderBy(F.xxhash64("__nid"), "__nid").limit(used).collect()
-    to_pivots = _pivot_distances(np.array([r["__v"] for r in rows], dtype=float))
-
-    pts = pts.withColumn("__d", to_pivots("__v"))
-    pts = pts.selectExpr("__nid", "__v", "__na", "array_min(__d) as __pd",
-                         "cast(array_position(__d, array_min(__d)) - 1 as int) as __cell")
-    cells = pts.groupBy("__cell").agg(
-        F.max("__pd").alias("__rad"), F.min("__pd").alias("__min"), F.count(F.lit(1)).alias("__n"))
-
-    # Bounds: the k smallest pivot distances per cell. A query that is left out
-    # itself may use up one of them; folds keep k per cell and fold.
-    groups = ["__cell"] if own or not apart else ["__cell", "__na"]
-    need = k + 1 if own else k
-    nearest = Window.partitionBy(*groups).orderBy("__pd", "__nid")
-    pool = (
-        pts.select("__cell", "__na", "__pd", "__nid").withColumn("__rn", F.row_number().over(nearest))
-        .where(F.col("__rn") <= need).groupBy(*groups).agg(F.collect_list("__pd").alias("__ds"))
-    )
-    if len(groups) == 2:
-        kinds = qs.select("__a").distinct()
-        pool = kinds.join(pool, F.col("__a") != F.col("__na")).select("__a", "__cell", "__ds")
-        bounds = pool.groupBy("__a").agg(F.collect_list(F.struct("__cell", "__ds")).alias("__cells"))
-        asked = qs.withColumn("__d", to_pivots("__q")).join(bounds, "__a", "left")
-    else:
-        bounds = pool.groupBy().agg(F.collect_list(F.struct("__cell", "__ds")).alias("__cells"))
-        asked = qs.withColumn("__d", to_pivots("__q")).withColumn("__one", F.lit(1)).join(
-            F.broadcast(bounds.withColumn("__one", F.lit(1))), "__one")
-    # With fewer than ``need`` points there is no bound.
-    asked = asked.selectExpr(
-        "__id", "__q", "__a", "__d",
-        "sort_array(flatten(transform(__cells, s -> transform(s.__ds, x -> x + __d[s.__cell])))) as __reach",
-    ).selectExpr(
-        "__id", "__q", "__a", "__d",
-        f"coalesce(case when size(__reach) >= {need} then __reach[{need - 1}] end, double('infinity')) + 1e-6D as __theta",
-    )
-    visits = asked.select("__id", "__q", "__a", "__theta", F.posexplode("__d").alias("__cell", "__dq")).join(
-        F.broadcast(cells), "__cell"
-    ).where("__dq - __rad <= __theta and __min - __dq <= __theta")
-
-    # Blocks of bounded size: ids are unique, so their hash spreads them evenly.
-    q_blocks = max(1, -(-n_queries // BLOCK_ROWS))
-    asked_blocks = visits.withColumn("__qb", F.pmod(F.xxhash64("__id"), F.lit(q_blocks))).groupBy("__cell", "__qb").agg(
-        F.collect_list(F.struct("__id", "__q", "__a")).alias("x"))
-    stored_blocks = pts.join(F.broadcast(cells.select("__cell", "__n")), "__cell").withColumn(
-        "__pb", F.expr(f"pmod(xxhash64(__nid), cast(ceil(__n / {BLOCK_ROWS}) as bigint))")
-    ).groupBy("__cell", "__pb").agg(F.collect_list(F.struct("__nid", "__v", "__na")).alias("y"))
-    pairs = asked_blocks.join(stored_blocks, "__cell").selectExpr(
-        "x.__id as ids", "flatten(x.__q) as qs", "x.__a as qa", "y.__nid as nids", "flatten(y.__v) as ps", "y.__na as pa")
-    kinds_of = {f.name: f.dataType for f in [*qs.schema.fields, *pts.schema.fields]}
-    schema = T.StructType([
-        T.StructField("__id", kinds_of["__id"]), T.StructField("__nid", kinds_of["__nid"]),
-        T.StructField("distance", T.DoubleType()),
-    ])
-    near = pairs.mapInPandas(_nearest_in_blocks(k, apart is not None), schema)
-    w = Window.partitionBy("__id").orderBy("distance", "__nid")
-    return near.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k).select(
-        F.col("__id").alias(query_id), F.col("__nid").alias("neighbor"), "rank", "distance"
-    )

@@ -6,7 +6,7 @@ import random
 import pytest
 
 from conftest import close, rows
-from gridpanel.operators import neighbors, spatial
+from gridpanel.operators import neighbors, spatial, vector_neighbors
 
 
 def miles(a, b, c, d):
@@ -51,20 +51,52 @@ def test_pairs_within(spark, points):
 
 
 @pytest.mark.parametrize("apart", ["id", "fold", None])
-def test_vector_knn_is_exact(spark, apart, monkeypatch):
-    monkeypatch.setattr(neighbors, "BLOCK_ROWS", 20)  # several blocks and pivots on small data
+@pytest.mark.parametrize("kind", ["cloud", "ties"])
+def test_vector_knn_is_exact(spark, apart, kind, monkeypatch):
+    for name, value in (("BLOCK_ROWS", 20), ("SLAB_ROWS", 16), ("TASK_BLOCKS", 3)):  # several of each on small data
+        monkeypatch.setattr(vector_neighbors, name, value)
     rnd = random.Random(2)
-    data = [(i, [rnd.gauss(0, 1) for _ in range(5)], i % 4) for i in range(150)]
-    df = spark.createDataFrame(data, "id int, vec array<double>, fold int")
+    draw = (lambda: rnd.gauss(0, 1)) if kind == "cloud" else (lambda: float(rnd.randrange(3)))
+    data = [(f"n{i:03}", [draw() for _ in range(5)], i % 4) for i in range(150)]
+    df = spark.createDataFrame([*data, ("none", None, 1)], "id string, vec array<double>, fold int")
     got = {}
-    for r in neighbors.knn_vectors(df, df, 5, apart=apart, pivots=6).collect():
+    for r in vector_neighbors.knn_vectors(df, df, 5, apart=apart, pivots=6).collect():
         got.setdefault(r["id"], {})[r["rank"]] = r["neighbor"]
+    assert sorted(got) == [i for i, _, _ in data]
     for i, q, f in data:
         pool = [(round(math.dist(q, p), 9), j) for j, p, g in data
                 if apart is None or (apart == "id" and i != j) or (apart == "fold" and f != g)]
         assert [got[i][n] for n in range(1, 6)] == [j for _, j in sorted(pool)[:5]]
 
 
+def test_vector_knn_with_few_points(spark):
+    """Fewer eligible points than k: all of them; the same fold everywhere: none."""
+    df = spark.createDataFrame([(i, [float(i)], i % 2) for i in range(4)], "id int, vec array<double>, fold int")
+    got = vector_neighbors.knn_vectors(df, df, 9, apart="fold")
+    assert sorted((r["id"], r["neighbor"]) for r in got.collect()) == [(i, j) for i in range(4) for j in range(4) if (i - j) % 2]
+    assert vector_neighbors.knn_vectors(df.where("fold = 0"), df.where("fold = 0"), 3, apart="fold").count() == 0
+
+
+def test_vector_knn_task_output_is_bounded(spark, monkeypatch):
+    """k rows per query and salt leave the tasks, and blocks beyond every bar are passed over."""
+    import numpy as np
+    import pyarrow as pa
+
+    rnd = np.random.default_rng(4)
+    x = rnd.normal(0, 1, (60, 3))
+    queries = {"ids": pa.scalar(list(range(60))), "vs": pa.scalar(x.ravel().tolist()), "marks": pa.scalar([0] * 60), "thetas": pa.scalar([math.inf] * 60)}
+    met = []
+    monkeypatch.setattr(vector_neighbors._Slab, "meet", lambda self, row, meet=vector_neighbors._Slab.meet: (met.append(1), meet(self, row), self.settle())[1])
+    rows_ = [dict(__slab=0, __salt=0, __least=-1.0, __qids=queries["ids"].as_py(), __qvs=queries["vs"].as_py(), __qmarks=[0] * 60, __qthetas=[math.inf] * 60,
+                  __pids=None, __pvs=None, __pmarks=None)]
+    for n, least in enumerate((0.0, 0.0, 50.0, 60.0)):
+        y = rnd.normal(0, 1, (40, 3)) + least
+        rows_.append(dict(__slab=0, __salt=0, __least=least, __qids=None, __qvs=None, __qmarks=None, __qthetas=None,
+                          __pids=list(range(100 * n, 100 * n + 40)), __pvs=y.ravel().tolist(), __pmarks=[1] * 40))
+    out = pa.Table.from_batches(vector_neighbors._meet(4, True)(pa.Table.from_pylist(rows_).to_batches()))
+    assert out.num_rows == 60 * 4 and len(met) == 2
+
+
 EDGES = [("a", "b", 1, 1.0), ("a", "c", 2, 3.0), ("b", "c", 1, 0.0), ("b", "a", 2, 2.0), ("c", "d", 1, 1.0)]
 PANEL = [("a", 1, 10.0), ("b", 1, 4.0), ("c", 1, 8.0), ("d", 1, None), ("a", 2, None), ("b", 2, None), ("c", 2, 6.0)]
 
