@@ -267,6 +267,42 @@ def test_unit_clustered_error_on_a_balanced_panel(spark):
     assert close(r["std_err"], math.sqrt(d1.var() / 30 + d0.var() / 30))
 
 
+def test_errors_from_second_moments_equal_influences(spark):
+    """Unbalanced panel, several rows of a unit in one period: the sum of squared unit influences, row by row."""
+    rnd = np.random.default_rng(21)
+    data = [(e, t, (0, 2003, 2005)[e % 3], float(rnd.normal(e % 5, 1)))
+            for e in range(90) for t in range(2000, 2008) for _ in range(int(rnd.integers(0, 3)))]
+    df = spark.createDataFrame([*data, (1, 2001, None, 5.0), (2, None, 0, 5.0), (3, 2002, 0, None)], "e int, t int, first_year int, y double").repartition(7)
+    mean = {}
+    for g in (0, 2003, 2005):
+        for t in range(2000, 2008):
+            values = [v for e, s, h, v in data if (h, s) == (g, t)]
+            mean[g, t] = np.mean(values), len(values)
+
+    def influence(parts):
+        """Per unit, for (weight, g, t, base) effects."""
+        psi = {}
+        for w, g, t, b in parts:
+            for e, s, h, v in data:
+                for cohort, at, sign in ((g, t, 1), (g, b, -1), (0, t, -1), (0, b, 1)):
+                    if (h, s) == (cohort, at):
+                        m, n = mean[cohort, at]
+                        psi[e] = psi.get(e, 0.0) + w * sign * (v - m) / n
+        return math.sqrt(sum(p * p for p in psi.values()))
+
+    for base in ("varying", "universal"):
+        bases = {(g, t): g - 1 if base == "universal" or t >= g else t - 1 for g in (2003, 2005) for t in range(2000, 2008)}
+        got = {(r["g"], r["t"]): r["std_err"] for r in did.att_gt_errors(df, "y", "e", "t", base=base).collect()}
+        assert set(got) == {k for k, b in bases.items() if b >= 2000}
+        for (g, t), v in got.items():
+            assert abs(v - influence([(1.0, g, t, bases[g, t])])) < 1e-9
+        for r in did.event_study(df, "y", "e", "t", base=base, window=(-2, 2)).collect():
+            parts = [(0.5, g, g + r["rel"], bases[g, g + r["rel"]]) for g in (2003, 2005)]
+            units = {g: len({e for e, _, h, _ in data if h == g}) for g in (2003, 2005)}
+            parts = [(units[g] / sum(units.values()), g, t, b) for _, g, t, b in parts if b >= 2000]
+            assert len(parts) == 2 and abs(r["std_err"] - influence(parts)) < 1e-9
+
+
 def test_vif_of_determined_columns(spark):
     df = spark.createDataFrame([(float(i), float(i % 5), 2.0 * i + i % 5) for i in range(30)], "a double, b double, c double")
     assert all(r["vif"] == math.inf for r in features.vif(df, ["a", "b", "c"]).collect())
