@@ -379,16 +379,57 @@ def m12(spark, d):
     return regression.durbin_watson(r, "u", ["e", "t"], **HOT).select(rnd("durbin_watson").alias("durbin_watson"))
 
 
+_OUTCOMES = ["cents", "qty", "lines", "price", "cents_log", "qty_log", "lines_log", "price_log", "cents_per_line", "qty_per_line",
+             "cents_change", "qty_change", "lines_sparse", "price_sparse"]
+
+
+def _outcomes(spark, d):
+    """The panel with fourteen outcomes; some are missing in the first year or in scattered cells."""
+    lagged = windows.add_lags(supplier_panel(spark, d), "e", "t", ["qty", "cents"], (1, 2), hot=False)
+    e, t, lines = F.col("e"), F.col("t"), F.col("n").cast("double")
+    df = lagged.withColumns({
+        "lines": lines, "price": ratio("cents", "qty"), "cents_per_line": ratio("cents", lines), "qty_per_line": ratio("qty", lines),
+        "cents_change": F.col("cents") - F.col("cents_lag1"), "qty_change": F.col("qty") - F.col("qty_lag1"),
+        "lines_sparse": F.when((e + t) % 5 != 0, lines), "price_sparse": F.when((e * 7 + t) % 4 != 0, ratio("cents", "qty")),
+        "wave": F.sin(e * 0.7 + t * 1.3), "tide": F.cos(e * 1.1 + t * 0.7), "late": (t >= 1998).cast("int"),
+        "density_per_100_lag2": ratio("qty_lag2", lines)})
+    return df.withColumns({f"{c}_log": F.log(F.col(c)) for c in ("cents", "qty", "lines", "price")})
+
+
 @query("m26_run_outcomes")
 def m26(spark, d):
-    df = _reg(spark, d).withColumns({"centres_lag2": F.col("qty_lag2"), "density_per_100_lag2": ratio("qty_lag2", "lines")})
+    # An outcome is not explained by what is made of the same measure.
+    measures = {y: {m for m in ("cents", "qty", "lines", "price") if m in y} | ({"cents", "qty"} if "price" in y else set()) for y in _OUTCOMES}
+    x = ["qty_log", "lines_log", "price_log", "qty_per_line", "wave", "tide"]
+    exclude = {y: [c for c in x if any(m in c for m in own) or ("line" in c and "lines" in own) or ("price" in c and own & {"cents", "qty"})]
+               for y, own in measures.items()}
     table, _ = regression.run_outcomes(
-        df, ["cents", "price", "lines"], ["lines", "wave", "price", "cents"], ["density_per_100_lag2"],
-        {"dc_density": ["density_per_100_lag2"], "economy": ["lines", "wave", "price"]}, "e", "t",
-        exclude={"price": ["cents"], "cents": ["price"]})
+        _outcomes(spark, d), _OUTCOMES, x, ["density_per_100_lag2"], {"dc_density": ["density_per_100_lag2"], "economy": x}, "e", "t", exclude=exclude)
     return table
 
 
+@query("m26_fourteen_closed", f"""
+WITH {SUPPLIER_PANEL}, l AS (SELECT *, n::DOUBLE AS lines, cents / qty AS price, lag(cents) OVER w AS cents1, lag(qty) OVER w AS qty1, lag(t) OVER w AS t1
+  FROM panel WINDOW w AS (PARTITION BY e ORDER BY t)),
+r AS (SELECT e, sin(e * 0.7 + t * 1.3) AS x, (t >= 1998)::INT::DOUBLE AS d, cents::DOUBLE AS cents, qty::DOUBLE AS qty, lines, price::DOUBLE AS price, ln(cents) AS cents_log, ln(qty) AS qty_log,
+  ln(lines) AS lines_log, ln(price) AS price_log, (cents / lines)::DOUBLE AS cents_per_line, (qty / lines)::DOUBLE AS qty_per_line,
+  (cents - cents1)::DOUBLE AS cents_change, (qty - qty1)::DOUBLE AS qty_change,
+  CASE WHEN (e + t) % 5 <> 0 THEN lines END AS lines_sparse, CASE WHEN (e * 7 + t) % 4 <> 0 THEN price::DOUBLE END AS price_sparse FROM l),
+u AS (SELECT * FROM (UNPIVOT r ON {", ".join(_OUTCOMES)} INTO NAME outcome VALUE y) WHERE y IS NOT NULL),
+m AS (SELECT outcome, e, y, x - avg(x) OVER w AS x, d - avg(d) OVER w AS d, y - avg(y) OVER w AS v FROM u WINDOW w AS (PARTITION BY outcome, e)),
+s AS (SELECT outcome, count(*) AS n, avg(abs(y)) AS size, sum(x * x) AS xx, sum(d * d) AS dd, sum(x * d) AS xd, sum(x * v) AS xv, sum(d * v) AS dv FROM m GROUP BY 1),
+b AS (SELECT *, xx * dd - xd * xd AS det, (xv * dd - dv * xd) / (xx * dd - xd * xd) AS coef, (dv * xx - xv * xd) / (xx * dd - xd * xd) AS late FROM s),
+k AS (SELECT outcome, e, sum(x * (v - coef * x - late * d)) AS kx, sum(d * (v - coef * x - late * d)) AS kd FROM m JOIN b USING (outcome) GROUP BY 1, 2),
+q AS (SELECT outcome, sum(pow((kx * dd - kd * xd) / det, 2)) * any_value(n) / (any_value(n) - 2) AS var FROM k JOIN b USING (outcome) GROUP BY 1)
+SELECT outcome, n AS n_obs, {sql_rnd('coef / size', 5)} AS coef, {sql_rnd('coef / sqrt(var)', 4)} AS stat FROM b JOIN q USING (outcome)""")
+def m26_closed(spark, d):
+    df = _outcomes(spark, d)
+    fits = regression.panel_ols_many(df, {y: ["wave"] for y in _OUTCOMES}, "e", "late")
+    sizes = df.agg(*[F.avg(F.abs(y)).alias(y) for y in _OUTCOMES]).first()
+    rows = [(y, f.n, float(f.coef[0]) / sizes[y], float(f.coef[0]) / float(f.cov[0, 0]) ** 0.5) for y, f in fits.items()]
+    return spark.createDataFrame(rows, "outcome string, n_obs long, coef double, stat double").withColumns({"coef": rnd("coef", 5), "stat": rnd("stat", 4)})
+
+
 # --- group tests and classifiers -----------------------------------------------------
 
 

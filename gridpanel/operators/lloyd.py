@@ -10,15 +10,15 @@ moments of their clusters, then every row's distances from those moments.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 import numpy as np
-import pyarrow as pa
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gridpanel.operators.moments import merged_arrays
 from gridpanel.session import Stored
 
 SEED_ROWS = 4096  # rows, drawn by a hash of their values, that first centres are chosen from
@@ -79,30 +79,6 @@ def _sums(x: np.ndarray, labels: np.ndarray, width: int) -> np.ndarray:
     return member.T @ np.concatenate([np.ones((len(x), 1)), (x * x).sum(axis=1)[:, None], x], axis=1)
 
 
-def _merged(rows: DataFrame, per_task: Callable[[object], dict[int, np.ndarray]], models: int) -> dict[int, np.ndarray]:
-    """One array of doubles per model, added up over tasks."""
-
-    def block(sums: dict[int, np.ndarray]):
-        if sums:
-            parts = [np.ascontiguousarray(v).tobytes() for v in sums.values()]
-            yield pa.RecordBatch.from_pydict({"model": pa.array(list(sums), pa.int32()), "part": pa.array(parts, pa.binary())})
-
-    def run(batches):
-        yield from block(per_task(batches))
-
-    def merge(batches):
-        total: dict[int, np.ndarray] = {}
-        for batch in batches:
-            for model, part in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                total[model] = total.get(model, 0.0) + np.frombuffer(part)
-        yield from block(total)
-
-    schema = "model int, part binary"
-    parts = min(models, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    merged = rows.mapInArrow(run, schema).repartition(parts, "model").mapInArrow(merge, schema)
-    return {r["model"]: np.frombuffer(r["part"]) for r in merged.collect()}
-
-
 def _edges(models: Sequence[Model]) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate([m.centres for m in models]), np.cumsum([0, *[m.k for m in models]])
 
@@ -122,7 +98,7 @@ def _pass(rows: DataFrame, models: Sequence[Model]) -> list[tuple[np.ndarray, fl
             sums = sums + _sums(x, labels, len(c))
         return {} if np.isscalar(sums) else {i: np.append(sums[a:b].ravel(), cost[i]) for i, (a, b) in enumerate(zip(e[:-1], e[1:], strict=True))}
 
-    found = _merged(rows, run, len(models))
+    found = merged_arrays(rows, run, len(models))
     shared.destroy()
     return [(found[i][:-1].reshape(m.k, -1), float(found[i][-1])) for i, m in enumerate(models)]
 
@@ -227,7 +203,7 @@ def silhouettes(rows: DataFrame, models: Sequence[Model]) -> list[float | None]:
                 total[i] += s.sum(), len(x)
         return {i: total[i] for i in range(len(total))} if total[0, 1] else {}
 
-    found = _merged(rows, run, len(models))
+    found = merged_arrays(rows, run, len(models))
     shared.destroy()
     several = [int((moments[a:b, 0] > 0).sum()) > 1 for a, b in zip(edges[:-1], edges[1:], strict=True)]
     return [float(found[i][0] / found[i][1]) if several[i] else None for i in range(len(models))]

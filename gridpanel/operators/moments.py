@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
@@ -132,3 +133,30 @@ def independent(gram: np.ndarray, tolerance: float = 1e-9) -> list[int]:
         kept.append(j)
         a = a - np.outer(a[:, j], a[j, :]) / a[j, j]
     return kept
+
+
+def merged_arrays(rows: DataFrame, per_task: Callable[[object], dict[int, np.ndarray]], keys: int) -> dict[int, np.ndarray]:
+    """Flat arrays of doubles per key that tasks make of their Arrow batches, added up over tasks by key.
+
+    The driver gets one array per key, whatever the number of tasks.
+    """
+
+    def block(sums: dict[int, np.ndarray]):
+        if sums:
+            parts = [np.ascontiguousarray(v, np.float64).tobytes() for v in sums.values()]
+            yield pa.RecordBatch.from_pydict({"key": pa.array(list(sums), pa.int32()), "part": pa.array(parts, pa.binary())})
+
+    def run(batches):
+        yield from block(per_task(batches))
+
+    def merge(batches):
+        total: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for key, part in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                total[key] = total.get(key, 0.0) + np.frombuffer(part)
+        yield from block(total)
+
+    schema = "key int, part binary"
+    parts = max(1, min(keys, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
+    merged = rows.mapInArrow(run, schema).repartition(parts, "key").mapInArrow(merge, schema)
+    return {r["key"]: np.frombuffer(r["part"]) for r in merged.collect()}

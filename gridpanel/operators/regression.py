@@ -19,8 +19,9 @@ from gridpanel.functions.distributions import normal_two_sided, t_quantile, t_tw
 from gridpanel.functions.expressions import quoted, ratio
 from gridpanel.operators.features import vif
 from gridpanel.operators.joins import entity_value
-from gridpanel.operators.moments import Moments, column_means, cross_products, independent, moments, moments_by_fold, pair_names
+from gridpanel.operators.moments import Moments, column_means, independent, moments, moments_by_fold
 from gridpanel.operators.ordered import exact_quantiles, to_long
+from gridpanel.operators.panel_fit import PanelRows
 from gridpanel.operators.windows import over_series
 
 # --- lasso ----------------------------------------------------------------------
@@ -50,9 +51,17 @@ def fold_moments(
 
 def _descend(gram: np.ndarray, xy: np.ndarray, alpha: float, start: np.ndarray,
              rounds: int = 10_000, tolerance: float = 1e-9) -> np.ndarray:
-    """Coordinate descent for 1/2 b'Gb - b'c + alpha |b|."""
+    """Coordinate descent for 1/2 b'Gb - b'c + alpha |b|.
+
+    Now and then the equations of the coefficients that are not zero are solved
+    outright; a solution that meets the optimality conditions is the answer.
+    """
     b = start.copy()
-    for _ in range(rounds):
+    for turn in range(rounds):
+        if turn % 4 == 3:
+            exact = _active_solution(gram, xy, alpha, b)
+            if exact is not None:
+                return exact
         largest = 0.0
         for j in range(len(b)):
             if gram[j, j] <= 0:
@@ -66,6 +75,22 @@ def _descend(gram: np.ndarray, xy: np.ndarray, alpha: float, start: np.ndarray,
     return b
 
 
+def _active_solution(gram: np.ndarray, xy: np.ndarray, alpha: float, b: np.ndarray) -> np.ndarray | None:
+    """The optimum if the signs of ``b`` are right, else nothing."""
+    active = np.flatnonzero(b)
+    signs = np.sign(b[active])
+    try:
+        found = np.linalg.solve(gram[np.ix_(active, active)], xy[active] - alpha * signs)
+    except np.linalg.LinAlgError:
+        return None
+    out = np.zeros(len(b))
+    out[active] = found
+    rest = xy - gram @ out
+    rest[active] = 0.0
+    right = np.isfinite(found).all() and (np.sign(found) == signs).all() and (np.abs(rest) <= alpha * (1 + 1e-9)).all()
+    return out if right else None
+
+
 def _scaled(m: Moments, x: list[int], y: int, mean: np.ndarray, scale: np.ndarray):
     """Centred products per row, of the columns divided by ``scale``."""
     g = m.products - np.outer(m.sums, mean) - np.outer(mean, m.sums) + m.n * np.outer(mean, mean)
@@ -264,74 +289,54 @@ def panel_ols(
     df: DataFrame, y: str, x: Sequence[str], entity: str, time: str,
     entity_fe: bool = True, time_fe: bool = True,
 ) -> Fit:
-    """Fixed-effects regression with errors clustered by entity.
+    """Fixed-effects regression with errors clustered by entity; see ``panel_ols_many``."""
+    return panel_ols_many(df, {y: x}, entity, time, entity_fe, time_fe)[y]
+
 
-    One group-by on the entity gives its sums and cross-products. Demeaning is
-    algebra on those: the demeaned cross-products of an entity are P - s s'/n,
-    exact on unbalanced panels, and so are its score sums. No row is joined
-    back to its entity mean. Period effects are dummies that go through the
-    same demeaning. The covariance is scaled by n/(n-k).
+def panel_ols_many(
+    df: DataFrame, models: Mapping[str, Sequence[str]], entity: str, time: str,
+    entity_fe: bool = True, time_fe: bool = True,
+) -> dict[str, Fit]:
+    """Fixed-effects regressions of several outcomes, each on its own regressors and complete rows.
+
+    Two passes over the rows serve all outcomes (``panel_fit``): products and sums
+    per entity, then score sums per entity. Period effects are dummies. Errors are
+    clustered by entity, the covariance is scaled by n/(n-k). Exact on unbalanced
+    panels. An outcome without complete rows has no fit.
     """
-    data = df.dropna(subset=[y, *x, entity, time])
-    terms, names = list(x), []
-    # One pass for the column means and the period levels, of which there are few.
-    first = data.agg(F.collect_set(time).alias("levels"), *[
-        F.avg(F.col(quoted(c)).cast("double")).alias(f"m{i}") for i, c in enumerate([*x, y])
-    ]).first()
-    centre = [float(first[f"m{i}"]) for i in range(len(x) + 1)]
-    if time_fe:
-        data, names = with_dummies(data, time, sorted(first["levels"]))
-        terms += names
-    k = len(terms)
-    size = k + 1
-    shift = [*centre[:-1], *([0.0] * len(names)), centre[-1]]
-    pairs = pair_names(size)
-    # One row per entity, read by both steps below.
-    per_entity = cross_products(data, [*terms, y], [entity], shift).selectExpr(
-        "n", *[f"s{i}" for i in range(size)], f"p{k}_{k} as yy",
-        *[f"p{i}_{j}" + (f" - s{i} * s{j} / n" if entity_fe else "") + f" as d{i}_{j}" for i, j in pairs],
-    ).persist()
+    rows = PanelRows(df, models, entity, time, time_fe)
     try:
-        total = per_entity.selectExpr(
-            "sum(n) as n", "count(1) as e", "sum(yy) as yy", *[f"sum(s{i}) as s{i}" for i in range(size)],
-            *[f"sum(d{i}_{j}) as p{i}_{j}" for i, j in pairs],
-        ).first()
-        m = Moments.of(total, size)
-        g = m.products if entity_fe else m.centred
-        kept, beta, inverse = _solve(g[:k, :k], g[:k, k])
-        rss = float(g[k, k] - beta @ g[kept, k])
-        mean = [0.0] * size if entity_fe else [float(v) for v in m.mean]
-
-        # Scores per entity: its demeaned X'y minus its demeaned X'X times beta.
-        def cell(a: int, b: int) -> str:
-            d = f"d{min(a, b)}_{max(a, b)}"
-            if entity_fe:
-                return d
-            return f"({d} - s{a} * ({mean[b]!r}D) - s{b} * ({mean[a]!r}D) + n * ({mean[a] * mean[b]!r}D))"
-
-        scores = per_entity.selectExpr(*[
-            cell(i, k) + "".join(f" - {cell(i, j)} * ({float(b)!r}D)" for j, b in zip(kept, beta, strict=True)) + f" as u{a}"
-            for a, i in enumerate(kept)
-        ])
-        spread = pair_names(len(kept))
-        sums = scores.selectExpr(*[f"sum(u{a} * u{b}) as m{a}_{b}" for a, b in spread]).first()
+        sums = rows.sums()
+        solved, means = {}, {}
+        for y, m in sums.items():
+            place = rows.place(y)
+            k = len(place) - 1
+            g = m.products - (m.between if entity_fe else np.outer(m.sums, m.sums) / m.n)
+            kept, beta, inverse = _solve(g[:k, :k], g[:k, k])
+            solved[y] = g, kept, beta, inverse
+            means[y] = m.sums / m.n
+        full = {y: np.zeros(len(rows.place(y)) - 1) for y in solved}
+        for y, (_, kept, beta, _) in solved.items():
+            full[y][kept] = beta
+        meats = rows.meats(full, None if entity_fe else means)
     finally:
-        per_entity.unpersist()
-    meat = np.zeros((len(kept), len(kept)))
-    for a, b in spread:
-        meat[a, b] = meat[b, a] = sums[f"m{a}_{b}"] or 0.0
-    n = int(m.n)
-    absorbed = int(total["e"]) if entity_fe else 1
-    cov = inverse @ meat @ inverse * (n / max(n - len(kept), 1))
-    overall = float(total["yy"]) - float(m.sums[k]) ** 2 / n
-    shown = [i for i in kept if i < len(x)]
-    place = [kept.index(i) for i in shown]
-    return Fit(
-        y, [terms[i] for i in shown], beta[place], cov[np.ix_(place, place)], n, n - absorbed - len(kept),
-        1.0 - rss / float(g[k, k]) if g[k, k] > 0 else math.nan, rss, float(g[k, k]), len(kept),
-        dummies={terms[i]: float(b) for i, b in zip(kept, beta, strict=True) if i >= len(x)},
-        r2_overall=1.0 - rss / overall if overall > 0 else math.nan, use_t=False,
-    )
+        rows.drop()
+    fits = {}
+    for y, (g, kept, beta, inverse) in solved.items():
+        x, m, k = list(models[y]), sums[y], len(g) - 1
+        terms = [*x, *[f"C({time})[{v}]" for v in rows.levels[1:]]]
+        rss = float(g[k, k] - beta @ g[kept, k])
+        cov = inverse @ meats[y][np.ix_(kept, kept)] @ inverse * (m.n / max(m.n - len(kept), 1))
+        overall = float(m.products[k, k] - m.sums[k] ** 2 / m.n)
+        shown = [i for i in kept if i < len(x)]
+        at = [kept.index(i) for i in shown]
+        fits[y] = Fit(
+            y, [terms[i] for i in shown], beta[at], cov[np.ix_(at, at)], m.n, m.n - (m.entities if entity_fe else 1) - len(kept),
+            1.0 - rss / float(g[k, k]) if g[k, k] > 0 else math.nan, rss, float(g[k, k]), len(kept),
+            dummies={terms[i]: float(b) for i, b in zip(kept, beta, strict=True) if i >= len(x)},
+            r2_overall=1.0 - rss / overall if overall > 0 else math.nan, use_t=False,
+        )
+    return fits
 
 
 def effect_table(
@@ -417,8 +422,8 @@ def run_outcomes(
 ) -> tuple[DataFrame, dict[str, Fit]]:
     """Double lasso, grouping rules and panel regression for a list of outcomes.
 
-    The lasso fits of all outcomes share one pass over the data. The selected
-    terms of every outcome then cost one grouped aggregate each.
+    The lasso fits of all outcomes share one pass over the data, and the
+    regressions on their selected terms two more.
     """
     exclude = exclude or {}
     columns = list(dict.fromkeys([*outcomes, *x, *treatments]))
@@ -432,7 +437,8 @@ def run_outcomes(
     for r in select_features(coefs, rules, include_information).orderBy("outcome", "rule_order").collect():
         if r["feature"] != r["outcome"]:
             chosen.setdefault(r["outcome"], []).append(r["feature"])
-    fits = {y: panel_ols(df, y, terms, entity, time) for y, terms in chosen.items() if terms}
+    found = panel_ols_many(df, {y: terms for y, terms in chosen.items() if terms}, entity, time)
+    fits = {y: found[y] for y in outcomes if y in found}
     tables = [fit.table(df.sparkSession) for fit in fits.values()]
     return reduce(DataFrame.unionByName, tables), fits
 

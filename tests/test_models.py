@@ -53,6 +53,71 @@ def test_panel_ols_equals_dummy_regression(panel, entity_fe, time_fe):
     assert close(fit.r2, 1 - (u @ u) / (y @ y), 1e-8) and fit.n == len(y)
 
 
+@pytest.mark.parametrize("entity_fe,time_fe", [(True, True), (True, False), (False, True)])
+def test_many_outcomes_equal_single_dummy_regressions(spark, entity_fe, time_fe):
+    """Fourteen outcomes on an unbalanced panel with gaps, own regressors, string entities and a hot one."""
+    rnd = np.random.default_rng(31)
+    n = 400
+    e = np.where(rnd.random(n) < 0.35, 0, rnd.integers(0, 25, n))
+    t = rnd.integers(2000, 2006, n)
+    x = rnd.normal(0, 1, (n, 3)) + e[:, None] * 0.1
+    y = x @ rnd.normal(0, 1, (3, 14)) + (e % 4)[:, None] + 0.3 * (t - 2000)[:, None] + rnd.normal(0, 1, (n, 14)) + 1000.0
+    x[rnd.random((n, 3)) < 0.05] = np.nan
+    y[rnd.random((n, 14)) < 0.1] = np.nan
+    y[:, 13] = np.nan  # an outcome without rows
+    names = [*(f"x{i}" for i in range(3)), *(f"y{i}" for i in range(14))]
+    values = [[None if math.isnan(v) and i % 2 else v for i, v in enumerate(row)] for row in np.column_stack([x, y]).tolist()]
+    df = spark.createDataFrame([(f"e{a}", int(b), *row) for a, b, row in zip(e, t, values, strict=True)],
+                               "e string, t int, " + ", ".join(f"{c} double" for c in names)).repartition(5)
+    df = df.unionByName(df.limit(1).withColumn("e", F.lit(None).cast("string")))
+    models = {f"y{j}": [f"x{i}" for i in range(3) if (j + i) % 4] for j in range(14)}
+    fits = regression.panel_ols_many(df, models, "e", "t", entity_fe, time_fe)
+    assert sorted(fits) == sorted(f"y{j}" for j in range(13))
+    for j in range(13):
+        use = [i for i in range(3) if (j + i) % 4]
+        ok = ~np.isnan(np.column_stack([x[:, use], y[:, j]])).any(axis=1)
+        z = np.column_stack([x[ok][:, use], *[(t[ok] == v).astype(float) for v in range(2001, 2006) if time_fe]])
+        v, g = y[ok, j].copy(), e[ok]
+        if entity_fe:
+            for a in set(g):
+                z[g == a] -= z[g == a].mean(0)
+                v[g == a] -= v[g == a].mean()
+        else:
+            z, v = z - z.mean(0), v - v.mean()
+        beta, *_ = np.linalg.lstsq(z, v, rcond=None)
+        u = v - z @ beta
+        inverse = np.linalg.inv(z.T @ z)
+        meat = sum(np.outer(s, s) for s in ((z[g == a] * u[g == a][:, None]).sum(0) for a in set(g)))
+        cov = inverse @ meat @ inverse * len(v) / (len(v) - z.shape[1])
+        fit = fits[f"y{j}"]
+        assert fit.terms == models[f"y{j}"] and fit.n == len(v)
+        assert np.allclose(fit.coef, beta[:len(use)], atol=1e-8) and np.allclose(np.sqrt(np.diag(fit.cov)), np.sqrt(np.diag(cov))[:len(use)])
+        assert close(fit.rss, float(u @ u), 1e-8)
+
+
+def test_too_many_periods_are_refused(spark, monkeypatch):
+    from gridpanel.operators import panel_fit
+
+    monkeypatch.setattr(panel_fit, "MOST_PERIODS", 3)
+    df = spark.createDataFrame([(i % 3, i, float(i), float(i * i)) for i in range(12)], "e int, t int, x double, y double")
+    with pytest.raises(ValueError, match="few levels"):
+        regression.panel_ols(df, "y", ["x"], "e", "t")
+    assert regression.panel_ols(df, "y", ["x"], "e", "t", time_fe=False).n == 12
+
+
+def test_lasso_meets_its_optimality_conditions():
+    """Coefficients in use have the penalty's gradient, the others at most that, with nearly collinear columns, too."""
+    rnd = np.random.default_rng(1)
+    x = rnd.normal(0, 1, (200, 6))
+    x[:, 5] = x[:, 0] + x[:, 1] + 1e-4 * rnd.normal(0, 1, 200)
+    gram, xy = x.T @ x / 200, x.T @ (x @ [1.0, 0.5, 0, 0, -0.3, 0] + rnd.normal(0, 1, 200)) / 200
+    for alpha in (0.5, 0.1, 0.01, 0.001):
+        b = regression._descend(gram, xy, alpha, np.zeros(6))
+        rest = xy - gram @ b
+        assert (np.abs(rest) <= alpha * (1 + 1e-4)).all()
+        assert np.allclose(rest[b != 0], alpha * np.sign(b[b != 0]), atol=1e-4 * alpha + 1e-9)
+
+
 def test_residuals_add_up_and_twin_terms_are_dropped(panel):
     fit = regression.panel_ols(panel, "y", ["x1", "x2", "twin"], "e", "t")
     assert fit.terms == ["x1", "x2"]
