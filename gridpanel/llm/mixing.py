@@ -56,13 +56,14 @@ def budgets(leaves: DataFrame, levels: Sequence[str], weights: Mapping[str, Mapp
     weight of 0 leaves a subtree out. One row per node is handled here, not one
     per document.
     """
-    top = leaves.withColumn("capacity", F.col("tokens") * epochs)
+    weight = {n: F.coalesce(*[F.when(F.col(n) == k, F.lit(float(v))) for k, v in weights.get(n, {}).items()], F.lit(1.0)) for n in levels}
+    # What lies below a weight of 0 can take nothing, so its ancestors are not given tokens for it.
+    live = F.least(*[weight[n] for n in levels], F.lit(1.0)) > 0
+    top = leaves.withColumn("capacity", F.when(live, F.col("tokens") * epochs).otherwise(F.lit(0)))
     parents = None
     for depth, level in enumerate(levels):
         path = list(levels[:depth + 1])
-        nodes = top.groupBy(*path).agg(F.sum("capacity").alias("capacity"))
-        named = [F.when(F.col(level) == k, F.lit(float(v))) for k, v in weights.get(level, {}).items()]
-        nodes = nodes.withColumn("weight", F.coalesce(*named, F.lit(1.0)))
+        nodes = top.groupBy(*path).agg(F.sum("capacity").alias("capacity")).withColumn("weight", weight[level])
         if parents is None:
             nodes = nodes.withColumn("budget", F.least(F.lit(total).cast("long"), F.sum(F.when(F.col("weight") > 0, F.col("capacity"))).over(Window.partitionBy(F.lit(0)))))
             shared = shared_out(nodes.withColumn("__root", F.lit(0)), ["__root"], level).drop("__root")

@@ -198,7 +198,7 @@ def test_mixing(spark, share, epochs):
     for _, t, lang, source in docs:
         tokens[lang or "(none)", source] += len(words(t))
     total = int(share * sum(tokens.values()))
-    capacity = {l: sum(v * epochs for (a, s), v in tokens.items() if a == l) for l in ("a", "b", "(none)")}
+    capacity = {l: sum(v * epochs for (a, s), v in tokens.items() if a == l and s != "z") for l in ("a", "b", "(none)")}  # z weighs 0
     top = shares(min(total, sum(capacity.values())), [(l, weights["lang"][l], capacity[l]) for l in capacity])
     taken = Counter()
     for r in rows:
@@ -212,6 +212,16 @@ def test_mixing(spark, share, epochs):
     assert sorted(map(tuple, mixing.mix(df, {"lang": "lang", "source": "source"}, weights, share, epochs, 3).collect()), key=str) == sorted(map(tuple, rows), key=str)
 
 
+def test_mixing_gives_no_tokens_to_branches_without_weight(spark):
+    """What lies below a weight of 0 is no capacity of its ancestors: their shortage goes to the siblings."""
+    docs = [(i, "w", "d0", "en" if i < 90 else "fr") for i in range(100)] + [(100 + i, "w w w w w w w w w w", "d1", "fr") for i in range(100)]
+    df = spark.createDataFrame(docs, "doc_id long, text string, domain string, lang string")
+    got = mixing.mix(df, {"domain": "domain", "lang": "lang"}, {"lang": {"en": 0}}, 1000, 1)
+    assert {r["domain"]: r["n"] for r in got.groupBy("domain").agg(F.sum("tokens").alias("n")).collect()} == {"d0": 10, "d1": 990}
+    everything = mixing.mix(df, {"domain": "domain", "lang": "lang"}, {"lang": {"en": 0}}, 5000, 1)
+    assert everything.agg(F.sum("tokens")).first()[0] == 1010
+
+
 def test_mixing_edges(spark):
     df = spark.createDataFrame([(1, "a b", "s")], "doc_id long, text string, source string")
     assert mixing.mix(df.limit(0), {"source": "source"}, {}, 0.5).count() == 0
