@@ -23,7 +23,8 @@ from gridpanel.session import Stored
 
 EXAMPLES = 12_000  # expected distinct labelled texts in the index, drawn by hash; all of them where there are fewer
 TERMS = 1024  # most terms of a vector
-LEAST_CHI = 25.0  # least chi-squared of a term with the label
+LEAST_CHI = 25.0  # least chi-squared of a term with the label: that it is no accident
+LEAST_EFFECT = 0.0075  # least chi-squared over labelled texts: that it matters, whatever their number
 LEAST_TEXTS = 4  # least labelled texts with a term
 BLOCK = 64  # examples per block
 NEAREST = 15  # votes
@@ -162,7 +163,9 @@ class Model:
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> Model:
     """Learn from labelled texts; ``labels`` has (id, label), of which rows without a 0/1 label are ignored.
 
-    Terms are chosen by their chi-squared over all labelled texts, their idf is
+    Terms are chosen by their chi-squared over all labelled texts: it must be
+    significant, and large for their number, so that more labels do not let in
+    weaker terms. Their idf is
     taken over all of ``docs``, and about EXAMPLES distinct labelled texts, drawn by
     a hash of the text, become the index. Copies are one example, under their
     smallest id, whose label is the share of 1 among them; it votes and is calibrated
@@ -199,7 +202,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     a, b = F.col("p").cast("double"), (F.col("n") - F.col("p")).cast("double")
     c, d = F.lit(float(ones)) - a, F.lit(float(total - ones)) - b
     chi = F.lit(float(total)) * (a * d - b * c) * (a * d - b * c) / (F.lit(float(ones) * (total - ones)) * F.col("n") * F.greatest(F.lit(1.0), F.lit(float(total)) - F.col("n")))
-    chosen = terms.where(F.col("n") >= LEAST_TEXTS).withColumn("chi", chi).where(F.col("chi") >= LEAST_CHI)
+    chosen = terms.where(F.col("n") >= LEAST_TEXTS).withColumn("chi", chi).where(F.col("chi") >= max(LEAST_CHI, LEAST_EFFECT * total))
     vocabulary = np.sort(np.array([r[0] for r in chosen.orderBy(F.desc("chi"), "term").limit(TERMS).select("term").collect()], np.int64).view(np.uint64))
     shared = spark.sparkContext.broadcast(vocabulary)
 
