@@ -18,7 +18,10 @@ from pyspark.ml.feature import CountVectorizerModel, VectorAssembler
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-NEGATIVES = 4_000  # expected paragraphs of the corpus that stand for ordinary text
+from gridpanel.session import Stored
+
+NEGATIVES = 4_000  # most paragraphs of the corpus that stand for ordinary text
+LONGEST = 400  # n-grams of the longest of them; only the sample is cut, every paragraph is judged
 COMMON = 0.01  # share of ordinary paragraphs from which an n-gram tells nothing
 AGREEMENT = 0.5  # share of a paragraph's n-grams that its family's notices must have
 FOLDS = 2
@@ -108,7 +111,7 @@ def paragraphs(df: DataFrame, id_col: str, text_col: str, anchors: list[str] | N
 
 
 def _literal(spark: SparkSession, rows: list[dict], schema: str) -> DataFrame:
-    """A small table that is part of the plan."""
+    """A table of some hundred rows that is part of the plan."""
     return spark.range(0, 1, 1, 1).select(F.explode(F.from_json(F.lit(json.dumps(rows)), f"array<struct<{schema}>>")).alias("r")).select("r.*")
 
 
@@ -158,20 +161,24 @@ def fit(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Model:
     count = df.count()
     share = F.lit(min(1.0, NEGATIVES / 20 / max(1, count)) * (1 << 30))
     some = df.where(F.pmod(F.xxhash64(F.lit(3), F.col(id_col), F.col(text_col)), F.lit(1 << 30)) < share)
-    plain = paragraphs(some, id_col, text_col).where("total <= 400")
+    plain = paragraphs(some, id_col, text_col).where(F.col("total") <= LONGEST)
     plain = plain.where(F.size(F.array_intersect("grams", every)) < AGREEMENT * F.col("total"))
-    plain = [r["grams"] for r in plain.select("paragraph", "grams").orderBy(F.xxhash64(F.lit(4), "paragraph"), "paragraph").limit(NEGATIVES).collect()]
+    ordinary = Stored(plain.select("paragraph", "grams").orderBy(F.xxhash64(F.lit(4), "paragraph"), "paragraph").limit(NEGATIVES).select("grams"))
+    plain = [r["grams"] for r in ordinary.df.collect()]
     common = {g for g in members if sum(g in p for p in map(set, plain)) > COMMON * max(1, len(plain))} if plain else set()
     vocabulary = sorted(g for g in members if g not in common)
-    rows = [{"label": 0.0, "grams": p} for p in plain] or [{"label": 0.0, "grams": ["a"]}]
+    rows = [] if plain else [{"label": 0.0, "grams": ["a"]}]
     for i, row in enumerate(own):
         label = float(names.index(row["family"]) + 1)
         rows.append({"label": label, "grams": row["grams"]})
         for k in range(2):  # next to ordinary words
             other = plain[(7 * i + k) % len(plain)] if plain else []
             rows.append({"label": label, "grams": list(dict.fromkeys([*row["grams"], *other[:len(row["grams"]) // (k + 1)]]))})
-    train = _literal(spark, rows, "label: double, grams: array<string>").withColumn("total", F.size("grams"))
-    train = _features(train, vocabulary).select("label", "features").cache()
+    # The rows to learn from lie in a file as sparse vectors, so that no plan of the fits holds them.
+    train = ordinary.df.select(F.lit(0.0).alias("label"), "grams").unionByName(_literal(spark, rows, "label: double, grams: array<string>"))
+    kept = Stored(_features(train.withColumn("total", F.size("grams")), vocabulary).select("label", "features").coalesce(1))
+    ordinary.drop()
+    train = kept.df.cache()
     seen = []
     for fold in range(FOLDS):
         out = [float(i + 1) for i in range(len(names)) if i % FOLDS == fold]
@@ -181,6 +188,7 @@ def fit(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Model:
     level = float(min(0.95, max(0.5, np.quantile(seen, 0.75))))
     model = _fitted(train)
     train.unpersist()
+    kept.drop()
     weights, intercepts = model.coefficientMatrix.toArray(), model.interceptVector.toArray()
     return Model(vocabulary, members, weights, intercepts, level)
 
@@ -199,7 +207,7 @@ def scan(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "t
     rows = [{"gram": g, "w": [float(x) for x in (model.weights[:, i] if i is not None else np.zeros(k + 1))],
              "m": [model.members[g] >> f & 1 for f in range(k)], "v": int(i is not None)}
             for g, i in [(g, i) for i, g in enumerate(model.vocabulary)]]
-    table = _literal(spark, rows, "gram: string, w: array<double>, m: array<int>, v: int")
+    table = Stored(_literal(spark, rows, "gram: string, w: array<double>, m: array<int>, v: int")).df  # read by the plan, not part of it
     anchors = [g for g in model.vocabulary if " " not in g]
     found = paragraphs(df, id_col, text_col, anchors).select("row", "doc_id", "place", "part", "paragraph", "total", F.explode("grams").alias("gram"))
     found = found.join(F.broadcast(table), "gram").groupBy("row", "doc_id", "place", "part", "paragraph", "total").agg(
