@@ -30,16 +30,19 @@ THRESHOLD = 0.2  # importance below which a node is noise
 NOISE_ROWS = 100_000  # most noise nodes that are broadcast
 CACHED = 1_000  # characters of attributes up to which an element's key is remembered
 
-RAW = frozenset("script style title textarea noscript iframe template xmp noembed noframes select svg math object canvas audio video".split())
+RAW = frozenset("script style title textarea noscript iframe template xmp noembed noframes select svg".split())
+FALLBACK = frozenset("object canvas audio video".split())  # their content is shown where they cannot be; they end with their parent
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 BLOCKS = frozenset(
     "address article aside blockquote body caption center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 "
     "head header hgroup hr html legend li main menu nav ol p pre section summary table tbody td tfoot th thead title tr ul".split())
-NOISE_TAGS = RAW | frozenset("head nav header footer aside form button menu dialog fieldset".split())
+NOISE_TAGS = RAW | FALLBACK | frozenset("head nav header footer aside form button menu dialog fieldset".split())
 NOISE_NAMES = frozenset(
     "ad ads adv advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments commentlist consent cookie cookies disqus "
     "disclaimer footer gdpr header masthead menu modal nav navbar navigation newsletter notice notification pagination pager popup promo promoted "
     "promotion related respond share sharing sidebar signup skip social sponsor sponsored subscribe toolbar widget widgets".split())
+HOLDERS = frozenset(  # words that say no more than that an element holds something
+    "area bar block box button buttons container form group holder icons inner item items link links list outer panel post posts row section wrap wrapper".split())
 NOISE_ROLES = frozenset("alert banner complementary contentinfo dialog form menu menubar navigation search toolbar".split())
 MAIN_TAGS = frozenset(["article", "main"])
 KEPT_TAGS = frozenset(["html", "body", "article", "main"])  # their names do not make them noise
@@ -49,7 +52,7 @@ CLOSES = {  # elements that a start tag ends when one is open in the same parent
     "option": {"option"}, "tbody": {"thead", "tbody", "tr", "td", "th"}, "tfoot": {"tbody", "tr", "td", "th"}}
 KEEPS = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"table"}, "th": {"table"}, "tbody": {"table"}, "tfoot": {"table"}}
 
-_TOKEN = re.compile(r"<!--.*?(?:--!?>|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)", re.S)
+_TOKEN = re.compile(r"<!--(?:-?>|.*?(?:--!?>|\Z))|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)", re.S)
 # An attribute from the first character of its name on, as in HTML: a quote opens a value after "=" only.
 _ATTRIBUTE = re.compile(r"""([^\s/>][^\s/>=]*+)(?:\s*+=\s*+("[^"]*+"|'[^']*+'|[^\s>]*+))?+""")
 # Attributes up to the end of their tag, values of any length. No way through them is tried twice, so a scan is linear.
@@ -65,9 +68,14 @@ def _key(*parts) -> int:
 
 
 @lru_cache(1 << 16)
-def _element(above: int, tag: str, attributes: str) -> tuple[int, bool, bool]:
-    """The key of an element below the node ``above``, and whether it is named as noise or as the article."""
-    names, noise, main = "", tag in NOISE_TAGS, tag in MAIN_TAGS
+def _element(above: int, tag: str, attributes: str) -> tuple[int, bool, bool, bool, bool]:
+    """The key of an element below the node ``above``, whether it is noise by itself, by its name, by its name within an article, and whether it is the article.
+
+    Outside the article one word of a class or id is enough; within it a whole
+    class must say noise, besides words like "list", since articles have headers
+    and speak of notice periods.
+    """
+    names, noise, named, within, main = "", tag in NOISE_TAGS, False, False, tag in MAIN_TAGS
     for name, value in _ATTRIBUTE.findall(attributes):
         name, value = name.lower(), value.strip("\"'")
         if name not in _NAMED:
@@ -80,9 +88,13 @@ def _element(above: int, tag: str, attributes: str) -> tuple[int, bool, bool]:
         else:
             if name != "itemprop":
                 names += "." + _DIGITS.sub("#", value)
-                noise = noise or (tag not in KEPT_TAGS and not NOISE_NAMES.isdisjoint(w.lower() for w in _SPLIT.split(value)))
+                if tag not in KEPT_TAGS:
+                    for one in value.split():
+                        words = {w.lower() for w in _SPLIT.split(one) if w}
+                        told = not NOISE_NAMES.isdisjoint(words)
+                        named, within = named or told, within or (told and words <= NOISE_NAMES | HOLDERS)
             main = main or value.lower() in MAIN_NAMES
-    return _key(above, tag, names), noise, main
+    return _key(above, tag, names), noise, named, within, main
 
 
 class Page:
@@ -90,12 +102,13 @@ class Page:
 
     ``nodes`` holds (key, parent place, tag, side): the key is the path of tags and
     names, the side is -1 inside what is named as noise, 1 inside the article, else
-    0. ``texts`` holds (node place, text); None instead of a text ends a block.
+    0. Without ``named`` classes and ids mark nothing. ``texts`` holds (node place, text); None instead of a text ends a block.
     """
 
-    __slots__ = ("nodes", "texts", "children")
+    __slots__ = ("nodes", "texts", "children", "named")
 
-    def __init__(self, source: str):
+    def __init__(self, source: str, named: bool = True):
+        self.named = named
         self.nodes: list[tuple[int, int, str, int]] = [(0, -1, "", 0)]
         self.children: list[list[str]] = [[]]
         self.texts: list[tuple[int, str | None]] = []
@@ -104,10 +117,11 @@ class Page:
     def _open(self, parent: int, tag: str, attributes: str) -> int:
         above, _, _, side = self.nodes[parent]
         element = _element if len(attributes) <= CACHED else _element.__wrapped__
-        key, noise, main = element(above, tag, attributes)
+        key, noise, named, within, main = element(above, tag, attributes)
+        inside = side == 1
         if side == 0 and main:
             side = 1
-        if noise and not (tag == "header" and side == 1):
+        if (noise and not (tag == "header" and side == 1)) or (self.named and (within if inside else named)):
             side = -1
         self.children[parent].append(tag)
         self.nodes.append((key, parent, tag, side))
@@ -166,6 +180,8 @@ class Page:
                 self.children[stack[-1]].append(tag)
                 continue
             place = self._open(stack[-1], tag, attributes)
+            if tag == "svg" and attributes.endswith("/"):
+                continue
             if tag in RAW:
                 end = re.compile(rf"</{re.escape(tag)}\b[^>]*>", re.I).search(source, at)
                 at = end.end() if end else len(source)
@@ -260,7 +276,8 @@ def main_text(df: DataFrame, url_col: str = "url", html_col: str = "html", thres
 
     Blocks stand on lines of their own; white space within one is a single space.
     Where every branch of a page would go, the tree is left aside and only what is
-    named as noise is cut. A null or empty page gives an empty text. A page without
+    named as noise is cut; where nothing would be left then, only what is noise by
+    its tag, role or attribute. A null or empty page gives an empty text. A page without
     a host is judged alone. Repeated rows each get their text. Input columns text
     and n_chars are replaced.
     """
@@ -294,6 +311,9 @@ def main_text(df: DataFrame, url_col: str = "url", html_col: str = "html", thres
                 text = "\n".join(b for _, b in page.blocks(page.gone(marked)))
                 if not text and marked:
                     text = "\n".join(b for _, b in page.blocks(page.gone(())))
+                if not text and source:
+                    page = Page(source, named=False)
+                    text = "\n".join(b for _, b in page.blocks(page.gone(())))
                 texts.append(text)
             kept = [(c, v) for c, v in zip(names, batch.columns) if c not in ("__noise", "__host")]
             yield pa.RecordBatch.from_arrays([*(v for _, v in kept), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())],

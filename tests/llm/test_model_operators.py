@@ -29,6 +29,23 @@ def test_page(source, text):
     assert page_text(source) == text
 
 
+@pytest.mark.parametrize("source,text", [
+    ('<article><p>Before <svg class="i"/> after the icon.</p><p>Second paragraph.</p>', "Before after the icon.\nSecond paragraph."),
+    ("<p>a <svg><path d=x/></svg> b", "a b"), ("<p>a <video src=x></p><p>c", "a\nc"), ("<div><canvas>no</div><p>yes", "yes"),
+    ("<p>a <object data=x>no</object> b <audio src=x>no</audio> c", "a b c"), ("<!-->x<p>y", "x\ny"), ("<!--->x", "x"), ("<!-- a -->x<!--b--!>y", "xy"),
+    ("<article><p>E = <math><mi>m</mi><mi>c</mi></math>", "E = mc"),
+    ('<article><div class="article-header"><h1>Title</h1></div><h2 class="notice-period">Notice</h2><p class="social-policy big">Policy', "Title\nNotice\nPolicy"),
+    ('<article><p>a<div class="related-posts">no</div><div class="x share-buttons">no</div><div class=adBanner>no</div><div id=comments-list>no', "a")])
+def test_page_keeps_its_end_and_its_article(source, text):
+    assert page_text(source) == text
+
+
+def test_names_never_empty_a_page(spark):
+    rows = [(1, "http://a/1", '<div class="widget-area-main"><h1>T</h1><p>Text</p><nav>no</nav></div>'), (2, None, "<nav>only</nav>"), (3, "http://a/2", None)]
+    got = html_tree.main_text(spark.createDataFrame(rows, "page_id long, url string, html string"))
+    assert {r["page_id"]: r["text"] for r in got.collect()} == {1: "T\nText", 2: "", 3: ""}
+
+
 @pytest.mark.parametrize("attributes", [
     'style="overflow-x:hidden"', 'aria-hidden="false"', 'data-href="/hidden-gems"', 'data-id="related-3"', "title='a class=\"menu\" here'",
     'data-x=a?hidden', 'data-class="sidebar"', 'href=/a?b="hidden', 'x-hidden', "a = b hiddenish"])
