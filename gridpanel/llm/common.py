@@ -42,17 +42,8 @@ def only_ids(df: DataFrame, key: str, ids: DataFrame) -> DataFrame:
     Few ids are broadcast, so that long rows need not be shuffled; beyond
     BROADCAST_ROWS the join is left to Spark.
     """
-    return _by_ids(df, key, ids, "left_semi")
-
-
-def without_ids(df: DataFrame, key: str, ids: DataFrame) -> DataFrame:
-    """Rows of ``df`` whose key is null or not among ``ids``, joined as in ``only_ids``."""
-    return _by_ids(df, key, ids, "left_anti")
-
-
-def _by_ids(df: DataFrame, key: str, ids: DataFrame, how: str) -> DataFrame:
     few = ids.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
-    return df.join(F.broadcast(ids) if few else ids, df[key] == ids[ids.columns[0]], how)
+    return df.join(F.broadcast(ids) if few else ids, df[key] == ids[ids.columns[0]], "left_semi")
 
 
 def components(edges: DataFrame) -> DataFrame:

@@ -13,11 +13,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridpanel.llm import words as W
-from gridpanel.llm.common import components, only_ids, tasks, without_ids
+from gridpanel.llm.common import BROADCAST_ROWS, components, only_ids, tasks
 from gridpanel.session import Stored, checkpointed
 
 FREQUENT = 1 << 18  # n-grams whose frequency is kept; more would only make prefixes a little rarer, never change the result
@@ -93,7 +93,7 @@ def _needed(a, b, num: int, den: int):
 
 
 def prefixes(docs: DataFrame, size: int, num: int, den: int) -> DataFrame:
-    """(doc_id, node, n, prefix): a node is a set of n-grams; its prefix holds the rarest of them, in order."""
+    """(doc_id, text_key, node, n, prefix): a node is a set of n-grams; its prefix holds the rarest of them, in order."""
     frequent = docs.sparkSession.sparkContext.broadcast(frequent_ngrams(docs, size))
 
     def cut(batches):
@@ -113,10 +113,10 @@ def prefixes(docs: DataFrame, size: int, num: int, den: int) -> DataFrame:
                     order = np.lexsort((own, _rank(grams, known, counts)))[:n - -(-num * n // den) + 1]
                     firsts.append(grams[order].tobytes())
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), pa.array(nodes, pa.int64()), pa.array(ns, pa.int32()), pa.array(firsts, pa.binary())],
-                    ["doc_id", "node", "n", "prefix"])
+                    [part.column("doc_id"), part.column("text_key"), pa.array(nodes, pa.int64()), pa.array(ns, pa.int32()), pa.array(firsts, pa.binary())],
+                    ["doc_id", "text_key", "node", "n", "prefix"])
 
-    return docs.mapInArrow(cut, "doc_id long, node long, n int, prefix binary"), frequent
+    return docs.mapInArrow(cut, "doc_id long, text_key long, node long, n int, prefix binary"), frequent
 
 
 def _passing(n, place, i, j, num: int, den: int):
@@ -277,6 +277,14 @@ def verified(pairs: DataFrame, firsts: DataFrame, docs: DataFrame, size: int, nu
     return out
 
 
+NAMELESS = 2**63 - 2**60  # from here on, ids stand for rows without one
+_TEXT_KEY = 17
+
+
+def _text_key(text_col: str) -> Column:
+    return F.xxhash64(F.lit(_TEXT_KEY), F.col(text_col).cast("string"))
+
+
 def jaccard_groups(df: DataFrame, size: int = 5, num: int = 80, den: int = 100, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_shingles, component_id) per row: the groups of documents linked by den * intersection >= num * union.
 
@@ -285,10 +293,18 @@ def jaccard_groups(df: DataFrame, size: int = 5, num: int = 80, den: int = 100,
     words, all of them as one. Null and empty texts have the empty set, are
     linked with nothing and are their own group. Equal sets are one node, however
     many documents share it, so copies are never paired. Repeated ids and rows
-    are kept, each judged by its own text; a null id gets its group's smallest id,
-    or null. An empty table gives an empty result, other columns are not read.
+    are kept, each judged by its own text; a row without an id links like any
+    other and gets its group's smallest id, or null if nobody in it has one. Ids
+    lie below NAMELESS. An empty table gives an empty result, other columns are
+    not read.
     """
-    docs = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    return _grouped(df, size, num, den, id_col, text_col).select("doc_id", "n_shingles", "component_id")
+
+
+def _grouped(df: DataFrame, size: int, num: int, den: int, id_col: str, text_col: str) -> DataFrame:
+    """``jaccard_groups`` with the key of the row's text and the root of its group, null for the empty set."""
+    nameless = F.lit(NAMELESS) + F.shiftrightunsigned(_text_key(text_col), 4)
+    docs = df.select(F.coalesce(F.col(id_col).cast("long"), nameless).alias("doc_id"), F.col(text_col).cast("string").alias("text"), _text_key(text_col).alias("text_key"))
     cut, frequent = prefixes(docs, size, num, den)
     cut = checkpointed(cut)
     nodes = Stored(cut.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("first_id")))
@@ -303,25 +319,35 @@ def jaccard_groups(df: DataFrame, size: int = 5, num: int = 80, den: int = 100,
     trees = components(links.df.unionByName(more.df))
     rooted = nodes.df.join(trees, "node", "left").select("node", "first_id", F.coalesce("root", "node").alias("root"))
     least = Stored(rooted.groupBy("root").agg(F.min("first_id").alias("component_id")))
-    named = Stored(rooted.join(least.df, "root").select("node", "component_id"))
-    result = cut.join(named.df, "node", "left")
-    return result.select("doc_id", F.col("n").cast("long").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
+    named = Stored(rooted.join(least.df, "root").select("node", "root", "component_id"))
+    result = cut.join(named.df, "node", "left").withColumn("component_id", F.coalesce("component_id", "doc_id"))
+    ids = [F.when(F.col(c) < NAMELESS, F.col(c)).alias(c) for c in ("doc_id", "component_id")]
+    return result.select(*ids, F.col("n").cast("long").alias("n_shingles"), "text_key", "root")
 
 
 def first_of_groups(df: DataFrame, size: int = 5, num: int = 80, den: int = 100, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``df`` whose id is the smallest of their group, with all their columns.
 
-    Of rows that repeat an id, the one with the smallest text stays. Rows without
-    an id are in nobody's group and stay.
+    A row goes for its own text only: of rows that share an id and are linked, or
+    equal, the one with the smallest text stays, and unlike rows of that id stay,
+    too. Rows without an id stay.
     """
-    groups = Stored(jaccard_groups(df, size, num, den, id_col, text_col).where("doc_id IS NOT NULL"))
-    loses = groups.df.groupBy("doc_id").agg(F.max(F.col("doc_id") != F.col("component_id")).alias("later"), F.count(F.lit(1)).alias("rows"))
-    loses = Stored(loses.where("later OR rows > 1"))
-    later = Stored(loses.df.where("later").select(F.col("doc_id").alias("__later")))
-    again = Stored(loses.df.where("NOT later").select(F.col("doc_id").alias("__again")))
-    kept = without_ids(df, id_col, later.df)
+    groups = Stored(_grouped(df, size, num, den, id_col, text_col).where("doc_id IS NOT NULL").select(
+        "doc_id", "text_key", "component_id", F.coalesce("root", "text_key").alias("root"), F.col("root").isNull().alias("empty")))
+    later = Stored(groups.df.where("doc_id <> component_id").select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__key")).distinct())
+    first = groups.df.where("doc_id = component_id")
+    several = first.groupBy(F.col("doc_id").alias("__id"), F.col("root").alias("__root"), F.col("empty").alias("__empty")).count().where("count > 1")
+    again = Stored(first.join(several, (F.col("doc_id") == F.col("__id")) & (F.col("root") == F.col("__root")) & (F.col("empty") == F.col("__empty"))).select(
+        "__id", F.col("text_key").alias("__key"), "__root", "__empty").distinct())
+
+    def meet(rows: DataFrame, keys: Stored, how: str) -> DataFrame:
+        few = keys.df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+        side = F.broadcast(keys.df) if few else keys.df
+        return rows.join(side, (F.col(id_col).cast("long") == F.col("__id")) & (_text_key(text_col) == F.col("__key")), how)
+
+    kept = meet(df, later, "left_anti")
     if not again.df.limit(1).count():
         return kept
-    order = Window.partitionBy(id_col).orderBy(text_col)
-    one = only_ids(kept, id_col, again.df).withColumn("__place", F.row_number().over(order)).where("__place = 1").drop("__place")
-    return without_ids(kept, id_col, again.df).unionByName(one)
+    order = Window.partitionBy("__id", "__root", "__empty").orderBy(text_col)
+    one = meet(kept, again, "inner").withColumn("__place", F.row_number().over(order)).where("__place = 1").select(*df.columns)
+    return meet(kept, again, "left_anti").unionByName(one)

@@ -94,6 +94,23 @@ def test_ngram_join(spark, texts, monkeypatch, size, num, block):
     assert sorted(map(tuple, got.collect()), key=str) == groups_of(texts, size, num, 100)
 
 
+def test_rows_without_an_id_link_like_others(spark):
+    """A null id whose set is near, not equal, to another's is in that one's group; among themselves they have none."""
+    text = " ".join(f"w{i}" for i in range(60))
+    rows = [(5, text), (None, text + " more"), (None, "quite " + text + " more"), (None, "alone in the world"), (8, "quite " + text + " more or")]
+    got = ngram_join.jaccard_groups(frame(spark, rows), 4, 85, 100).collect()
+    assert sorted([tuple(r) for r in got], key=str) == sorted(
+        [(5, 57, 5), (None, 58, 5), (None, 59, 5), (None, 1, None), (8, 60, 5)], key=str)
+
+
+def test_first_of_groups_judges_each_row_by_its_text(spark):
+    """Of rows that share an id only the one that copies an earlier document goes."""
+    a, other = " ".join(f"w{i}" for i in range(60)), " ".join(f"clean{i}" for i in range(50))
+    rows = [(1, a), (2, a + " more"), (2, other), (2, other), (3, other + " more"), (4, ""), (4, None), (4, ""), (None, a), (5, "short text")]
+    kept = ngram_join.first_of_groups(frame(spark, rows), 4, 85, 100).select("doc_id", "text").collect()
+    assert sorted([tuple(r) for r in kept], key=str) == sorted([(1, a), (2, other), (4, ""), (4, None), (None, a), (5, "short text")], key=str)
+
+
 def test_first_of_groups(spark, texts):
     kept = ngram_join.first_of_groups(frame(spark, texts), 4, 85, 100)
     assert kept.columns == ["doc_id", "text", "text 2", "n_words"]
