@@ -106,18 +106,18 @@ def _separable(spark, d):
 @query("m13_forest_separable", _SEPARATED)
 def m13_separable(spark, d):
     df = _separable(spark, d)
-    return classify.classification_report(classify.predict(classify.random_forest(df, "y", _X, trees=20), df, _X), "y", "predicted")
+    return classify.classification_report(classify.predict(classify.random_forest(df, "y", _X), df, _X), "y", "predicted")
 
 
 @query("m14_forest_separable", _SEPARATED)
 def m14_separable(spark, d):
     df = _separable(spark, d)
-    return classify.classification_report(classify.predict(classify.balanced_forest(df, "y", _X, trees=20), df, _X), "y", "predicted")
+    return classify.classification_report(classify.predict(classify.balanced_forest(df, "y", _X), df, _X), "y", "predicted")
 
 
 @query("m15_importance_known", "SELECT 3 AS features, 1.0 AS total, 'l_linenumber' AS first_feature FROM lineitem LIMIT 1")
 def m15_known(spark, d):
-    out = classify.feature_importance(spark, classify.random_forest(_separable(spark, d), "y", _X, trees=20), _X)
+    out = classify.feature_importance(spark, classify.random_forest(_separable(spark, d), "y", _X), _X)
     return out.agg(F.count(F.lit(1)).alias("features"), F.round(F.sum("importance"), 6).alias("total"), F.max_by("feature", "importance").alias("first_feature"))
 
 

@@ -478,13 +478,13 @@ def m13(spark, d):
 @query("m14_balanced_forest")
 def m14(spark, d):
     df = _docs(spark, d)
-    model = classify.balanced_forest(df, "quality", _DOC_FEATURES)
+    model = classify.balanced_forest(df, "quality", _DOC_FEATURES, key=["doc_id"])
     return classify.classification_report(classify.predict(model, df, _DOC_FEATURES), "quality", "predicted")
 
 
 @query("m15_feature_importance")
 def m15(spark, d):
-    model = classify.balanced_forest(_docs(spark, d), "quality", _DOC_FEATURES)
+    model = classify.balanced_forest(_docs(spark, d), "quality", _DOC_FEATURES, key=["doc_id"])
     return classify.feature_importance(spark, model, _DOC_FEATURES)
 
 

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridpanel.functions.expressions import normal_tail, quoted, ratio
+from gridpanel.operators.forest import BalancedForest, balanced_forest
 from gridpanel.operators.ordered import exact_quantiles, running, to_long
 from gridpanel.operators.vector_neighbors import knn_vectors
 
@@ -103,22 +104,10 @@ def logistic(df: DataFrame, label: str, features: Sequence[str], balanced: bool
     return model, df.sparkSession.createDataFrame(rows, "term string, coef double")
 
 
-def random_forest(df: DataFrame, label: str, features: Sequence[str], trees: int = 100, depth: int = 10,
-                  seed: int = 42, balanced: bool = False):
-    """Forest on the rows as they are, or weighted to equal classes.
-
-    The weighted form stands for a forest whose trees each see a class-balanced
-    bootstrap; it is close to it, not equal.
-    """
-    data = balanced_weights(df, label) if balanced else df.withColumn("weight", F.lit(1.0))
-    data = assemble(data.select(label, "weight", *[quoted(f) for f in features]), features)
-    return RandomForestClassifier(
-        featuresCol="features", labelCol=label, weightCol="weight", numTrees=trees, maxDepth=depth, seed=seed
-    ).fit(data)
-
-
-def balanced_forest(df: DataFrame, label: str, features: Sequence[str], **how):
-    return random_forest(df, label, features, balanced=True, **how)
+def random_forest(df: DataFrame, label: str, features: Sequence[str], trees: int = 100, depth: int = 10, seed: int = 42):
+    """Forest on the rows as they are; ``forest.balanced_forest`` gives each tree a class-balanced draw."""
+    data = assemble(df.select(label, *[quoted(f) for f in features]), features)
+    return RandomForestClassifier(featuresCol="features", labelCol=label, numTrees=trees, maxDepth=depth, seed=seed).fit(data)
 
 
 def feature_importance(spark, model, features: Sequence[str]) -> DataFrame:
@@ -128,6 +117,8 @@ def feature_importance(spark, model, features: Sequence[str]) -> DataFrame:
 
 def predict(model, df: DataFrame, features: Sequence[str]) -> DataFrame:
     """Adds ``predicted`` (0/1) and ``score`` (probability of class 1)."""
+    if isinstance(model, BalancedForest):
+        return model.predict(df)
     out = model.transform(assemble(df, features))
     score = vector_to_array("probability")[1]
     return out.withColumns({"score": score, "predicted": F.col("prediction").cast("int")}).drop(

@@ -446,3 +446,36 @@ def test_component_variance_of_exploded_vectors(spark):
     x, df = _clouds(spark, 80, 4)
     fitted = cluster.pca(cluster.as_vector(df, "x", "scaled"), k=4)
     assert np.allclose(sum(fitted.variance), (x ** 2).sum() / 79 * sum(fitted.share))
+
+
+def test_forest_draws_are_balanced_and_repeat(spark):
+    """Each tree's expected rows per class equal the smaller class, as Poisson counts; no task order matters."""
+    from gridpanel.operators import forest
+    rnd = np.random.default_rng(6)
+    hashes = rnd.integers(-2**63, 2**63 - 1, 22_000)
+    means = np.repeat([1.0, 0.1], [2_000, 20_000])
+    counts = forest.draws(forest.uniforms(hashes, np.arange(40), 57), means)
+    few, many = counts[:2_000].sum(0), counts[2_000:].sum(0)
+    assert (abs(few - 2_000) < 6 * 2_000 ** 0.5).all() and (abs(many - 2_000) < 6 * 2_000 ** 0.5).all()
+    assert abs(few.mean() - 2_000) < 4 * (2_000 / 40) ** 0.5 and abs(counts[:2_000].var() - 1) < 0.05
+    assert abs(np.corrcoef(counts[:, 0], counts[:, 1])[0, 1]) < 0.3 and len(set(map(tuple, counts[:50]))) > 40
+    assert (forest.draws(forest.uniforms(hashes[::-1].copy(), np.arange(40), 57), means[::-1]) == counts[::-1]).all()
+
+
+def test_balanced_forest_on_a_rare_class(spark):
+    """A rare class inside a box of two features: found by far most, with the noise column of no importance; reruns agree."""
+    rnd = np.random.default_rng(9)
+    x = rnd.random((4_000, 3))
+    y = ((x[:, 0] > 0.8) & (x[:, 1] < 0.25)).astype(int)
+    df = spark.createDataFrame([(i, int(c), *map(float, row)) for i, (c, row) in enumerate(zip(y, x, strict=True))], "id int, y int, a double, b double, c double")
+    df = df.unionByName(spark.createDataFrame([(9001, None, 0.5, 0.5, 0.5), (9002, 1, None, 0.5, 0.5), (9003, 7, 0.1, 0.1, 0.1)], df.schema))
+    model = classify.balanced_forest(df.repartition(5), "y", ["a", "b", "c"], trees=30, depth=6, key=["id"])
+    scored = classify.predict(model, df.where("y in (0, 1)"), ["a", "b", "c"])
+    r = classify.classification_report(scored, "y", "predicted").first()
+    assert r["true_positive_rate"] > 0.98 and r["accuracy"] > 0.95 and scored.count() == 4_000
+    shares = {r["feature"]: r["importance"] for r in classify.feature_importance(spark, model, ["a", "b", "c"]).collect()}
+    assert close(sum(shares.values()), 1.0) and shares["c"] < 0.1 < shares["a"]
+    again = classify.balanced_forest(df.repartition(3), "y", ["a", "b", "c"], trees=30, depth=6, key=["id"])
+    assert [t.arrays()[0].tolist() for t in again.trees] == [t.arrays()[0].tolist() for t in model.trees]
+    with pytest.raises(ValueError):
+        classify.balanced_forest(df.where("y = 0"), "y", ["a"])
