@@ -17,7 +17,7 @@ FOLDER = os.environ.get("GRIDPANEL_SF_DIR", "/root/testdata/sf0.001")
 
 def test_registered():
     names = sorted(n for n in entry_module.queries() if n.startswith("op"))
-    assert [int(n[2:].split("_")[0]) for n in sorted(names, key=lambda n: int(n[2:].split("_")[0]))] == list(range(1, 11))
+    assert [int(n[2:].split("_")[0]) for n in sorted(names, key=lambda n: int(n[2:].split("_")[0]))] == list(range(1, 14))
     assert "pipeline" in entry_module.queries()
 
 
