@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridpanel.llm import words as W
-from gridpanel.llm.common import BROADCAST_ROWS, components, only_ids, tasks
+from gridpanel.llm.common import BROADCAST_ROWS, components, tasks
 from gridpanel.session import Stored, checkpointed
 
 FREQUENT = 1 << 18  # n-grams whose frequency is kept; more would only make prefixes a little rarer, never change the result
@@ -92,6 +92,11 @@ def _needed(a, b, num: int, den: int):
     return -(-num * (a + b) // (num + den))
 
 
+def _node(mixed: np.ndarray) -> int:
+    """The key of a set of n-grams, from their mixed hashes."""
+    return int(W.mix(np.array([mixed.sum(dtype=np.uint64) ^ np.uint64(len(mixed))])).view(np.int64)[0])
+
+
 def prefixes(docs: DataFrame, size: int, num: int, den: int) -> DataFrame:
     """(doc_id, text_key, node, n, prefix): a node is a set of n-grams; its prefix holds the rarest of them, in order."""
     frequent = docs.sparkSession.sparkContext.broadcast(frequent_ngrams(docs, size))
@@ -109,7 +114,7 @@ def prefixes(docs: DataFrame, size: int, num: int, den: int) -> DataFrame:
                         firsts.append(None)
                         continue
                     own = W.mix(grams)
-                    nodes.append(int(W.mix(np.array([own.sum(dtype=np.uint64) ^ np.uint64(n)])).view(np.int64)[0]))
+                    nodes.append(_node(own))
                     order = np.lexsort((own, _rank(grams, known, counts)))[:n - -(-num * n // den) + 1]
                     firsts.append(grams[order].tobytes())
                 yield pa.RecordBatch.from_arrays(
@@ -232,47 +237,75 @@ def candidate_pairs(entries: DataFrame, num: int, den: int, every: bool) -> Data
 
 
 def verified(pairs: DataFrame, firsts: DataFrame, docs: DataFrame, size: int, num: int, den: int) -> DataFrame:
-    """Those pairs of nodes whose whole sets overlap enough; ``firsts`` names a document of each node."""
+    """Those pairs of nodes whose whole sets overlap enough.
+
+    ``firsts`` names one text of each node by id and key, and how often that row
+    occurs. Whole texts travel to the pairs, compressed, since they take a third
+    of the room of their n-grams' hashes; the sets are made again where a pair
+    passes the suffix filter.
+    """
     pairs = Stored(pairs)
     ids = pairs.df.select(F.col("a").alias("node")).union(pairs.df.select("b")).distinct()
-    wanted = Stored(firsts.join(ids, "node", "left_semi").select("node", F.col("first_id")))
-    chosen = Stored(wanted.df.select("first_id").distinct())
+    wanted = Stored(firsts.join(ids, "node", "left_semi").select("first_id", "first_key", "copies"))
 
     def read(batches):
+        codec = pa.Codec("zstd", 3)
         for batch in batches:
             for part in W.batches(batch, "text"):
-                sets = list(ngram_sets(part.column("text"), size))
-                nodes = [int(W.mix(np.array([W.mix(s).sum(dtype=np.uint64) ^ np.uint64(len(s))])).view(np.int64)[0]) for s in sets]
-                counts = [np.bincount((s >> np.uint64(60)).astype(np.int64), minlength=RANGES).astype(np.int32).tobytes() for s in sets]
+                nodes, ns, counts = [], [], []
+                for grams in ngram_sets(part.column("text"), size):
+                    nodes.append(_node(W.mix(grams)))
+                    ns.append(len(grams))
+                    counts.append(np.bincount((grams >> np.uint64(60)).astype(np.int64), minlength=RANGES).astype(np.int32).tobytes())
+                raw = [(text or "").encode() for text in part.column("text").to_pylist()]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(nodes, pa.int64()), pa.array(counts, pa.binary()), pa.array([s.tobytes() for s in sets], pa.binary())],
-                    ["node", "counts", "grams"])
-
-    # A document id may stand for several texts, so a text counts by its own set.
-    sets = only_ids(docs, "doc_id", chosen.df).mapInArrow(read, "node long, counts binary, grams binary")
-    sets = Stored(sets.dropDuplicates(["node"]))
+                    [pa.array(nodes, pa.int64()), pa.array(ns, pa.int32()), pa.array(counts, pa.binary()), pa.array([len(r) for r in raw], pa.int32()),
+                     pa.array([codec.compress(r, asbytes=True) for r in raw], pa.binary())],
+                    ["node", "n", "counts", "bytes", "text"])
+
+    few = wanted.df.limit(BROADCAST_ROWS // 2 + 1).count() <= BROADCAST_ROWS // 2
+    chosen = docs.join(F.broadcast(wanted.df) if few else wanted.df,
+                       (F.col("doc_id") == F.col("first_id")) & (F.col("text_key") == F.col("first_key")), "left_semi")
+    sets = chosen.select("text").mapInArrow(read, "node long, n int, counts binary, bytes int, text binary")
+    if wanted.df.where("copies > 1").limit(1).count():
+        sets = sets.dropDuplicates(["node"])
+    sets = Stored(sets)
 
     def judge(batches):
+        codec = pa.Codec("zstd")
         for batch in batches:
-            if not batch.num_rows:
+            rows = batch.num_rows
+            if not rows:
                 continue
-            keep = []
-            columns = (batch.column(c).to_pylist() for c in ("counts_a", "counts_b", "grams_a", "grams_b"))
-            for ca, cb, a, b in zip(*columns):
-                least = _needed(len(a) // 8, len(b) // 8, num, den)
-                bound = np.minimum(np.frombuffer(ca, np.int32), np.frombuffer(cb, np.int32)).sum()  # suffix filter
-                if bound < least:
-                    keep.append(False)
-                    continue
-                a, b = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
-                at = np.minimum(np.searchsorted(b, a), len(b) - 1)
-                keep.append(int((b[at] == a).sum()) >= least)
+            (a, na, ca, la, ta), (b, nb, cb, lb, tb) = (
+                [batch.column(f"{c}_{side}" if c else side).to_pylist() for c in ("", "n", "counts", "bytes", "text")] for side in "ab")
+            least = _needed(np.array(na, np.int64), np.array(nb, np.int64), num, den)
+            ca, cb = (np.frombuffer(b"".join(c), np.int32).reshape(rows, RANGES) for c in (ca, cb))
+            todo = np.flatnonzero(np.minimum(ca, cb).sum(axis=1) >= least)  # suffix filter
+            keep = np.zeros(rows, bool)
+            upto = np.cumsum([la[i] + lb[i] for i in todo])
+            low = 0
+            while low < len(todo):
+                done = int(upto[low - 1]) if low else 0
+                high = max(low + 1, int(np.searchsorted(upto, done + 4 * W.CHUNK, "right")))
+                texts = {}
+                for i in todo[low:high]:
+                    for node, text, length in ((a[i], ta[i], la[i]), (b[i], tb[i], lb[i])):
+                        if node not in texts:
+                            texts[node] = codec.decompress(text, length, asbytes=True) if length else b""
+                sets_of = dict(zip(texts, ngram_sets(pa.array(list(texts.values()), pa.large_binary()), size)))
+                for i in todo[low:high]:
+                    x, y = sets_of[a[i]], sets_of[b[i]]
+                    at = np.minimum(np.searchsorted(y, x), len(y) - 1)
+                    keep[i] = int((y[at] == x).sum()) >= least[i]
+                low = high
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(keep))
 
-    left = sets.df.select(F.col("node").alias("a"), F.col("counts").alias("counts_a"), F.col("grams").alias("grams_a"))
-    right = sets.df.select(F.col("node").alias("b"), F.col("counts").alias("counts_b"), F.col("grams").alias("grams_b"))
-    out = Stored(pairs.df.join(right, "b").join(left, "a").mapInArrow(judge, "a long, b long"))
-    for used in (pairs, wanted, chosen, sets):
+    def side(name: str) -> DataFrame:
+        return sets.df.select(F.col("node").alias(name), *[F.col(c).alias(f"{c}_{name}") for c in ("n", "counts", "bytes", "text")])
+
+    out = Stored(pairs.df.join(side("b"), "b").join(side("a"), "a").mapInArrow(judge, "a long, b long"))
+    for used in (pairs, wanted, sets):
         used.drop()
     return out
 
@@ -307,8 +340,11 @@ def _grouped(df: DataFrame, size: int, num: int, den: int, id_col: str, text_col
     docs = df.select(F.coalesce(F.col(id_col).cast("long"), nameless).alias("doc_id"), F.col(text_col).cast("string").alias("text"), _text_key(text_col).alias("text_key"))
     cut, frequent = prefixes(docs, size, num, den)
     cut = checkpointed(cut)
-    nodes = Stored(cut.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("first_id")))
-    one = cut.join(nodes.df, (cut["node"] == nodes.df["node"]) & (cut["doc_id"] == nodes.df["first_id"])).select(cut["node"], "n", "prefix")
+    rows = cut.where("n > 0").groupBy("node", "doc_id", "text_key").agg(F.count(F.lit(1)).alias("copies"))
+    nodes = rows.groupBy("node").agg(F.min(F.struct("doc_id", "text_key", "copies")).alias("first"))
+    nodes = Stored(nodes.select("node", F.col("first.doc_id").alias("first_id"), F.col("first.text_key").alias("first_key"), F.col("first.copies").alias("copies")))
+    same = (cut["node"] == nodes.df["node"]) & (cut["doc_id"] == nodes.df["first_id"]) & (cut["text_key"] == nodes.df["first_key"])
+    one = cut.join(nodes.df, same).select(cut["node"], "n", "prefix")
     entries = Stored(shared_entries(one, frequent, num, den))
     links = verified(candidate_pairs(entries.df, num, den, False), nodes.df, docs, size, num, den)
     trees = components(links.df)
