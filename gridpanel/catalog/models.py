@@ -63,12 +63,44 @@ def f2(spark, d):
     return out.withColumns({"z_log1p": rnd("z_log1p"), "p_log": rnd("p_log")})
 
 
+_F3_COLS = ["o_orderkey", "o_totalprice", "z", "p", "near"]
+
+
+def _det(names) -> str:
+    """Determinant of the matrix of uncentred cosines of some columns, expanded along the first row."""
+    def minor(rows, cols):
+        if not rows:
+            return "1.0"
+        signed = (f"{'-' if i % 2 else '+'} c_{min(rows[0], c)}_{max(rows[0], c)} * ({minor(rows[1:], [d for d in cols if d != c])})"
+                  for i, c in enumerate(cols))
+        return " ".join(signed)
+    names = list(names)
+    return f"({minor(names, names)})"
+
+
+def _normal_sql(table: str, c: str) -> str:
+    """Skew and p of the normality test of a column as a one-row table."""
+    return f"""SELECT g1, exp(-0.5 * (za * za + pow((1 - 2/(9*a) - cbrt((1 - 2/a) / (1 + x * sqrt(2/(a-4))))) / sqrt(2/(9*a)), 2))) AS p FROM (
+SELECT *, 6 + 8/s * (2/s + sqrt(1 + 4/(s*s))) AS a FROM (
+SELECT *, asinh(y / sqrt(2/(w2-1))) / sqrt(0.5*ln(w2)) AS za, (b2 - 3*(n-1)/(n+1)) / sqrt(24*n*(n-2)*(n-3)/((n+1)*(n+1)*(n+3)*(n+5))) AS x,
+  6*(n*n-5*n+2)/((n+7)*(n+9))*sqrt(6*(n+3)*(n+5)/(n*(n-2)*(n-3))) AS s FROM (
+SELECT *, g1 * sqrt((n+1)*(n+3)/(6*(n-2))) AS y, sqrt(2*(3*(n*n+27*n-70)*(n+1)*(n+3)/((n-2)*(n+5)*(n+7)*(n+9)) - 1)) - 1 AS w2 FROM (
+SELECT n, m3 / pow(m2, 1.5) AS g1, m4 / (m2 * m2) AS b2 FROM (
+SELECT count(*)::DOUBLE AS n, avg(pow({c} - m, 2)) AS m2, avg(pow({c} - m, 3)) AS m3, avg(pow({c} - m, 4)) AS m4
+FROM {table}, (SELECT avg({c}) AS m FROM {table}))))))"""
+
+
 @query("f3_select_columns", f"""
-WITH {_SRC}, s AS ({_union(f"SELECT '{c}' AS kept, min({c}) AS lo, max({c}) AS hi, avg({c}) AS m, stddev_samp({c}) AS sd, "
-                          f"count(*) FILTER (WHERE {c} IS NULL) AS gaps FROM src" for c in ["o_orderkey", *_SRC_COLS])})
-SELECT kept FROM s WHERE gaps = 0 AND lo > m - 1.9 * sd AND hi < m + 1.9 * sd""")
+WITH {_SRC}, w AS (SELECT *, o_totalprice + (o_orderkey % 100) * 100.0 AS near FROM src),
+g AS (SELECT {", ".join(f"(sum({a}::DOUBLE * {b}) / sqrt(sum({a}::DOUBLE * {a}) * sum({b}::DOUBLE * {b}))) AS c_{i}_{j}"
+                        for i, a in enumerate(_F3_COLS) for j, b in enumerate(_F3_COLS) if i <= j)} FROM w),
+s AS ({_union(f"SELECT '{c}' AS kept, min({c}) AS lo, max({c}) AS hi, avg({c}) AS m, stddev_samp({c}) AS sd, "
+              f"(SELECT {_det(k for k in range(5) if k != j)} / {_det(range(5))} FROM g) AS vif, "
+              f"(SELECT p > 0.05 OR abs(g1) < 1 FROM ({_normal_sql('w', c)})) AS normal FROM w" for j, c in enumerate(_F3_COLS))})
+SELECT kept FROM s WHERE vif < 5 AND lo > m - 3 * sd AND hi < m + 3 * sd AND normal""")
 def f3(spark, d):
-    kept, _ = features.select_columns(_src(spark, d), no_na=True, vif_cut=-1, sd_cut=1.9)
+    df = _src(spark, d).withColumn("near", F.col("o_totalprice") + (F.col("o_orderkey") % 100) * 100.0)
+    kept, _ = features.select_columns(df, no_na=True, vif_cut=5.0, sd_cut=3.0, only_normal=True)
     return spark.createDataFrame([(k,) for k in kept], "kept string")
 
 

@@ -6,6 +6,7 @@ import math
 from collections.abc import Sequence
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -13,7 +14,7 @@ from pyspark.sql import types as T
 from gridpanel.functions.expressions import (
     adjusted_skew, half_even, normal_quantile, numeric_columns, quoted, ratio, safe_ln,
 )
-from gridpanel.operators.moments import Moments, moments
+from gridpanel.operators.moments import Moments, column_means, merged_arrays, moments
 from gridpanel.operators.skew import null_safe
 from gridpanel.operators.ordered import exact_quantiles, ranked_values, running, to_long, value_counts
 from gridpanel.operators.vector_neighbors import knn_vectors
@@ -192,15 +193,40 @@ def select_columns(
     return others + list(preserve) + keep, report
 
 
+def _batch(columns: pa.RecordBatch) -> np.ndarray:
+    """The doubles of a batch, one row per column, NaN where there is no value."""
+    return np.stack([c.to_numpy(zero_copy_only=False).astype(float) for c in columns.columns])
+
+
+def _doubles(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    return df.select(*[F.col(quoted(c)).cast("double").alias(f"x{j}") for j, c in enumerate(columns)])
+
+
 def corr_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Pearson correlation of every pair of columns over their complete rows."""
-    pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i:]]
-    x = {c: F.col(quoted(c)).cast("double") for c in columns}
-    row = df.agg(F.array(*[
-        F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.corr(x[a], x[b]).alias("corr")) for a, b in pairs
-    ]).alias("r")).select(F.inline("r"))
-    mirrored = row.where("a <> b").select(F.col("b").alias("a"), F.col("a").alias("b"), "corr")
-    return row.unionByName(mirrored)
+    """Pearson correlation of every pair of columns over their complete rows, NULL without spread.
+
+    After the means, one scan makes the sums of all pairs from a few matrix
+    products per batch, whatever the number of columns. NaN counts as missing.
+    """
+    columns, k = list(columns), len(columns)
+    centre = np.array(column_means(df, columns))[:, None]
+
+    def sums(batches):
+        total = np.zeros((4, k, k))
+        for batch in batches:
+            x = _batch(batch) - centre
+            there = (~np.isnan(x)).astype(float)
+            x = np.nan_to_num(x, nan=0.0, posinf=np.inf, neginf=-np.inf)
+            total += np.stack([there @ there.T, x @ there.T, (x * x) @ there.T, x @ x.T])
+        return {0: total.ravel()}
+
+    n, s, q, p = merged_arrays(_doubles(df, columns), sums, 1).get(0, np.zeros(4 * k * k)).reshape(4, k, k)
+    with np.errstate(all="ignore"):
+        spread = q - s * s / n
+        corr = (p - s * s.T / n) / np.sqrt(spread * spread.T)
+        corr[~(spread > 1e-13 * q) | ~(spread > 1e-13 * q).T] = np.nan
+    rows = [(a, b, float(corr[i, j]) if np.isfinite(corr[i, j]) else None) for i, a in enumerate(columns) for j, b in enumerate(columns)]
+    return df.sparkSession.createDataFrame(rows, "a string, b string, corr double")
 
 
 QUARTILES = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
@@ -310,29 +336,50 @@ def yeo_johnson(x: str, power: float) -> str:
     return f"case when {x} >= 0 then {up} else {down} end"
 
 
+def _shaped(x: np.ndarray, power: float) -> np.ndarray:
+    """Yeo-Johnson of an array."""
+    flip = 2.0 - power
+    size = np.log1p(np.abs(x))
+    up = size if abs(power) < 1e-9 else np.expm1(power * size) / power
+    down = -size if abs(flip) < 1e-9 else -np.expm1(flip * size) / flip
+    return np.where(x >= 0, up, down)
+
+
 def best_powers(df: DataFrame, columns: Sequence[str]) -> dict[str, float]:
     """Yeo-Johnson power per column by likelihood: a grid, refined around the best twice.
 
-    Each round is one aggregate that scores all candidates of all columns.
+    Each round is one scan, in which a batch adds to the sums of all candidates of
+    all columns. They are taken around the transformed mean, so that squares of
+    values far from zero keep their digits. NaN counts as missing.
     """
-    data = df.select(*[F.col(quoted(c)).cast("double").alias(f"x{j}") for j, c in enumerate(columns)])
+    columns = list(columns)
+    data, means = _doubles(df, columns), column_means(df, columns)
     centre = dict.fromkeys(columns, 0.0)
     for step, reach in ((0.25, 12), (0.025, 10), (0.0025, 10)):
-        trial = {c: [round(centre[c] + step * i, 6) for i in range(-reach, reach + 1)] for c in columns}
-        row = data.selectExpr(*[
-            f"count(x{j}) as n{j}" for j in range(len(columns))
-        ], *[
-            f"sum(signum(x{j}) * log1p(abs(x{j}))) as s{j}" for j in range(len(columns))
-        ], *[
-            f"var_pop({yeo_johnson(f'x{j}', power)}) as v{j}_{i}"
-            for j, c in enumerate(columns) for i, power in enumerate(trial[c])
-        ]).first()
+        trial = [[round(centre[c] + step * i, 6) for i in range(-reach, reach + 1)] for c in columns]
+
+        def sums(batches, trial=trial):
+            total = np.zeros((len(trial), len(trial[0]), 4))
+            with np.errstate(over="ignore", invalid="ignore"):
+                for batch in batches:
+                    for j, x in enumerate(_batch(batch)):
+                        x = x[~np.isnan(x)]
+                        logs = float((np.sign(x) * np.log1p(np.abs(x))).sum())
+                        for i, power in enumerate(trial[j]):
+                            y = _shaped(x, power) - _shaped(np.array(means[j]), power)
+                            total[j, i] += len(x), logs, y.sum(), (y * y).sum()
+            return {0: total.ravel()}
+
+        found = merged_arrays(data, sums, 1).get(0)
+        if found is None:
+            return dict.fromkeys(columns, 1.0)
+        found = found.reshape(len(columns), -1, 4)
         for j, c in enumerate(columns):
             scored = []
-            for i, power in enumerate(trial[c]):
-                spread = row[f"v{j}_{i}"]
-                if spread is not None and math.isfinite(spread) and spread > 0:
-                    scored.append((-0.5 * row[f"n{j}"] * math.log(spread) + (power - 1.0) * row[f"s{j}"], -abs(power - 1.0), power))
+            for (n, logs, s, q), power in zip(found[j], trial[j], strict=True):
+                spread = (q - s * s / n) / n if n else 0.0
+                if math.isfinite(spread) and spread > 1e-13 * q / max(n, 1.0):
+                    scored.append((-0.5 * n * math.log(spread) + (power - 1.0) * logs, -abs(power - 1.0), power))
             centre[c] = max(scored)[2] if scored else 1.0
     return centre
 

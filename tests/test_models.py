@@ -217,6 +217,46 @@ def test_shape_transforms(spark):
     assert 0.8 < q[0] < 1 and q[1] == 400
 
 
+def test_correlations_of_pairs_with_gaps(spark):
+    rng = np.random.default_rng(3)
+    x = rng.normal(1e6, 1.0, (300, 20))
+    x[:, 1] += x[:, 0]
+    x[:, 2] = 4.0
+    x[rng.random(x.shape) < 0.2] = np.nan
+    x[:, 3] = np.nan
+    names = [f"c{i}" for i in range(20)]
+    df = spark.createDataFrame([[None if np.isnan(v) else float(v) for v in r] for r in x], ", ".join(f"{n} double" for n in names))
+    got = {(r["a"], r["b"]): r["corr"] for r in features.corr_matrix(df.repartition(5), names).collect()}
+    assert len(got) == 400
+    for i, a in enumerate(names):
+        for j, b in enumerate(names):
+            both = ~np.isnan(x[:, i]) & ~np.isnan(x[:, j])
+            if {i, j} & {2, 3}:
+                assert got[a, b] is None
+            else:
+                assert abs(got[a, b] - np.corrcoef(x[both, i], x[both, j])[0, 1]) < 1e-6
+    empty = features.corr_matrix(df.limit(0), names[:2]).collect()
+    assert [r["corr"] for r in empty] == [None] * 4
+
+
+def test_powers_have_the_largest_likelihood(spark):
+    rng = np.random.default_rng(4)
+    x = np.stack([rng.exponential(5.0, 500), rng.normal(-2.0, 3.0, 500), np.full(500, 7.0)], 1)
+    df = spark.createDataFrame([[float(v) for v in r] for r in x] + [[None, None, None]], "a double, b double, c double")
+    got = features.best_powers(df.repartition(4), ["a", "b", "c"])
+    assert got["c"] == 1.0
+
+    def likelihood(v, power):
+        up = np.log1p(np.abs(v)) if power == 0 else ((np.abs(v) + 1) ** power - 1) / power
+        down = -np.log1p(np.abs(v)) if power == 2 else -((np.abs(v) + 1) ** (2 - power) - 1) / (2 - power)
+        return -250 * np.log(np.var(np.where(v >= 0, up, down))) + (power - 1) * (np.sign(v) * np.log1p(np.abs(v))).sum()
+
+    for j, c in enumerate("ab"):
+        best = max(likelihood(x[:, j], p) for p in np.arange(-3, 3.001, 0.01).round(2))
+        assert likelihood(x[:, j], got[c]) > best - 1e-3
+    assert features.best_powers(df.limit(0), ["a"]) == {"a": 1.0}
+
+
 def test_splits(spark):
     df = spark.range(1000).select(F.col("id"), (F.col("id") % 3 == 0).alias("s"), (F.col("id") % 40).alias("e"), (F.col("id") % 10).alias("t"))
     out = features.split_stratified(df, ["id"], "s", 0.3, **TINY)
