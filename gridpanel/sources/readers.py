@@ -88,6 +88,24 @@ def load_table(spark: SparkSession, name: str, schema: str | None = None) -> Dat
     return table.withColumns({c: nan_to_null(F.col(quoted(c))) for c in floats}) if floats else table
 
 
+def _header_line(spark: SparkSession, path: str, encoding: str) -> str:
+    """The first line of a file that is not blank, read through the store's own client without a job."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    place = jvm.org.apache.hadoop.fs.Path(path)
+    stream = place.getFileSystem(conf).open(place)
+    codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf).getCodec(place)
+    if codec is not None:
+        stream = codec.createInputStream(stream)
+    lines = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, encoding))
+    try:
+        line = lines.readLine()
+        while line is not None and not line.strip():
+            line = lines.readLine()
+        return line or ""
+    finally:
+        lines.close()
+
+
 def read_yearly_files(
     spark: SparkSession, paths: Mapping[str, Sequence[str]] | str, year_pattern: str, century: int = 0,
     names: Mapping[str, str] | None = None, sep: str = ",", encoding: str = "UTF-8",
@@ -95,21 +113,22 @@ def read_yearly_files(
     """One file per period, stacked, the period taken from the file's path.
 
     ``paths`` is a glob, or several sets of paths by any name. The layout may
-    drift: the header of every file is read, and the files that share one, in its
-    order, are one scan. Headers are lower-cased and renamed by ``names`` before
-    the scans are stacked by column name; a column that a file lacks is NULL.
+    drift: the first line of every file is read from the driver without a Spark
+    job, and the files that share one are one scan, so jobs and scans are as many
+    as layouts. Headers are lower-cased and renamed by ``names`` before the scans
+    are stacked by column name; a column that a file lacks is NULL. Empty and
+    blank files are passed over; without any other file it is an error.
     """
     given = [paths] if isinstance(paths, str) else [p for group in paths.values() for p in group]
-
-    def header(file: str) -> tuple[tuple[str, ...], str]:
-        return tuple(read_delimited(spark, file, None, sep, encoding).columns), file
-
     found = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(given)
     files = [r[0] for r in found.where("length > 0").select("path").orderBy("path").collect()]
-    groups: dict[tuple[str, ...], list[str]] = {}
-    with ThreadPoolExecutor(8) as pool:
-        for columns, file in pool.map(header, files):
-            groups.setdefault(columns, []).append(file)
+    groups: dict[str, list[str]] = {}
+    with ThreadPoolExecutor(16) as pool:
+        for line, file in zip(pool.map(lambda f: _header_line(spark, f, encoding), files), files, strict=True):
+            if line:
+                groups.setdefault(line, []).append(file)
+    if not groups:
+        raise ValueError(f"no file with a header among {given}")
 
     def one(group: Sequence[str]) -> DataFrame:
         raw = read_delimited(spark, list(group), None, sep, encoding)

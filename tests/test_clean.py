@@ -1,5 +1,7 @@
 """Edge rules of the cleaning, reshape, join and aggregate operators."""
 
+import gzip
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -198,6 +200,29 @@ def test_yearly_files_follow_their_own_headers(spark, tmp_path):
     assert rows(got.select("id", "emp", "est", "year"), "id") == [("a", "1", "2", 2001), ("b", "10", "20", 2002), ("c", "100", None, 2003)]
 
 
+def test_yearly_files_take_no_job_per_file(spark, tmp_path):
+    for i in range(30):
+        header = "id,emp" if i % 2 else "\nID,EMP,Est"
+        (tmp_path / f"y{i:02}.csv").write_text(f"{header}\n{i},{i * 2},7\n" if i % 2 == 0 else f"{header}\n{i},{i * 2}\n")
+    (tmp_path / "y30.csv").write_text("")
+    (tmp_path / "y31.csv").write_text("\n \n")
+    with gzip.open(tmp_path / "y32.csv.gz", "wt") as f:
+        f.write("id,emp\n32,64\n")
+    spark.sparkContext.setJobGroup("yearly", "yearly files")
+    got = readers.read_yearly_files(spark, str(tmp_path / "*.csv*"), r"y(\d+)", 2000)
+    spark.sparkContext.setJobGroup("others", "")
+    # One to list the files, and one per layout for its column names.
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("yearly")) <= 4
+    want = [(str(i), str(2 * i), None if i % 2 or i == 32 else "7", 2000 + i) for i in [*range(30), 32]]
+    assert sorted(rows(got.select("id", "emp", "est", "year")), key=lambda r: r[3]) == want
+
+
+def test_yearly_files_without_any_header_are_an_error(spark, tmp_path):
+    (tmp_path / "y01.csv").write_text("")
+    with pytest.raises(ValueError, match="no file"):
+        readers.read_yearly_files(spark, str(tmp_path / "*.csv"), r"y(\d+)")
+
+
 def test_salted_join_refuses_full(spark):
     df = spark.createDataFrame([(1, 2)], "k int, v int")
     with pytest.raises(ValueError):
