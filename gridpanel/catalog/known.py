@@ -29,10 +29,32 @@ def s9_ledger(spark, d):
 WITH r AS (SELECT o_orderkey, rank() OVER (ORDER BY o_totalprice) + (count(*) OVER (PARTITION BY o_totalprice) - 1) / 2 AS r, count(*) OVER () AS n FROM orders)
 SELECT o_orderkey, {sql_rnd('(r - 1) / (n - 1)', 4)} AS share FROM r""")
 def f10_shares(spark, d):
-    out = features.quantile_normalize(load(spark, d, "orders").select("o_orderkey", "o_totalprice"), "o_totalprice", "z")
+    out = features.quantile_normalize(load(spark, d, "orders").select("o_orderkey", "o_totalprice"), "o_totalprice", "z", points=None)
     return out.select("o_orderkey", rnd(1 - normal_tail("z"), 4).alias("share"))
 
 
+_GRID = 200
+
+
+@query("f10_quantile_grid", f"""
+WITH k AS (SELECT i, i / {_GRID - 1}.0 AS s FROM range({_GRID}) r(i)),
+o AS (SELECT l_orderkey, l_linenumber, CAST(l_quantity AS DOUBLE) * CASE WHEN l_orderkey % 3 = 0 THEN l_extendedprice ELSE 1 END AS v FROM lineitem),
+q AS (SELECT unnest(quantile_cont(v, [{', '.join(f'{i}/{_GRID - 1}.0' for i in range(_GRID))}])) AS g, unnest(range({_GRID})) AS i FROM o),
+f AS (SELECT g, min(i) AS first_i, max(i) AS last_i FROM q GROUP BY g),
+n AS (SELECT g, first_i, last_i, lead(g) OVER w AS next_g, lead(first_i) OVER w AS next_i FROM f WINDOW w AS (ORDER BY g)),
+p AS (SELECT l_orderkey, l_linenumber, CASE WHEN next_g IS NULL THEN {_GRID - 1} WHEN v = (SELECT min(g) FROM f) THEN 0
+  WHEN v = g THEN (first_i + last_i) / 2 ELSE last_i + (v - g) / (next_g - g) * (next_i - last_i) END / {_GRID - 1}.0 AS share
+  FROM o ASOF JOIN n ON o.v >= n.g)
+SELECT l_orderkey, l_linenumber, {sql_rnd('least(greatest(share, 1e-7), 1 - 1e-7) + 1e-8', 5)} AS share FROM p""")
+def f10_grid(spark, d):
+    v = F.col("l_quantity").cast("double") * F.when(F.col("l_orderkey") % 3 == 0, F.col("l_extendedprice")).otherwise(1.0)
+    df = load(spark, d, "lineitem").select("l_orderkey", "l_linenumber", v.alias("v"))
+    out = features.quantile_normalize(df, "v", "z", points=_GRID)
+    above = normal_tail(F.abs("z"))
+    below = F.when(F.col("z") >= 0, 1 - above).otherwise(above)
+    return out.select("l_orderkey", "l_linenumber", rnd(below + 1e-8, 5).alias("share"))
+
+
 @query("f11_power_moments", """
 SELECT count(*) AS n, 0.0 AS mean_acctbal, 1.0 AS sd_acctbal, 0.0 AS mean_x, 1.0 AS sd_x, true AS rising FROM customer""")
 def f11_moments(spark, d):

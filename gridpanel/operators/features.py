@@ -6,6 +6,7 @@ import math
 from collections.abc import Sequence
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -16,7 +17,7 @@ from gridpanel.functions.expressions import (
 )
 from gridpanel.operators.moments import Moments, column_means, merged_arrays, moments
 from gridpanel.operators.skew import null_safe
-from gridpanel.operators.ordered import exact_quantiles, ranked_values, running, to_long, value_counts
+from gridpanel.operators.ordered import exact_quantiles, quantile_grid, ranked_values, running, to_long, value_counts
 from gridpanel.operators.vector_neighbors import knn_vectors
 
 
@@ -310,13 +311,46 @@ def standardize(df: DataFrame, columns: Sequence[str], train: DataFrame | None =
 EDGE = 1e-7
 
 
-def quantile_normalize(df: DataFrame, column: str, out: str | None = None, **how) -> DataFrame:
+def quantile_normalize(
+    df: DataFrame, column: str, out: str | None = None, points: int | None = 1000, train: DataFrame | None = None, **how
+) -> DataFrame:
     """Map a column to a normal shape through its own empirical distribution.
 
-    Equal values get the middle of their ranks. The share is kept away from 0
-    and 1, so the ends of the range stay finite.
+    The distribution is a grid of ``points`` exact quantiles (of ``train`` if it is
+    given), and a value gets the share interpolated between its neighbours in the
+    grid, the middle of them where several are equal; what lies at the grid's ends
+    or beyond gets share 0 or 1, a column of one value 0.5. A share is at most
+    1/(points - 1) off the whole distribution's. Rows are not moved: the
+    grid travels with the scan. ``points=None`` takes the whole distribution, which
+    joins the rows with their ranked values; there equal values get the middle of
+    their ranks.
+
+    The share is kept away from 0 and 1, so the ends of the range stay finite.
+    NULL and NaN give NULL, as does a column without finite values.
     """
-    out = out or column
+    out, x = out or column, F.col(quoted(column))
+    if points is None:
+        return _whole_distribution(df, column, out, **how)
+    if points < 2:
+        raise ValueError("a grid needs two points at least")
+    shares, grid = quantile_grid(train if train is not None else df, column, points)
+    if not len(grid):
+        return df.withColumn(out, F.lit(None).cast("double"))
+
+    @F.pandas_udf("double")
+    def share(values: pd.Series) -> pd.Series:
+        v = values.to_numpy(np.float64)
+        # From the left a run of equal grid points gives its last share, from the right its first.
+        at = (np.interp(v, grid, shares) - np.interp(-v, -grid[::-1], -shares[::-1])) / 2
+        at = np.where(v <= grid[0], 0.0, np.where(v >= grid[-1], 1.0, at)) if grid[0] < grid[-1] else np.sign(v - grid[0]) / 2 + 0.5
+        return pd.Series(at)
+
+    known = x.isNotNull() & ~F.isnan(x.cast("double"))
+    at = F.greatest(F.least(share(x.cast("double")), F.lit(1 - EDGE)), F.lit(EDGE))
+    return df.withColumn(out, F.when(known, normal_quantile(at)))
+
+
+def _whole_distribution(df: DataFrame, column: str, out: str, **how) -> DataFrame:
     values = df.select(F.col(quoted(column)).alias("__v")).where(F.col("__v").isNotNull())
     ranks = ranked_values(values, [], "__v", **how).withColumn("__one", F.lit(1))
     total = values.withColumn("__one", F.lit(1)).groupBy("__one").agg(F.count(F.lit(1)).alias("__n"))

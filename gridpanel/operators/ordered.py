@@ -8,15 +8,22 @@ all groups whatever the input, is the only thing windowed over a whole group.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from gridpanel.functions.expressions import quoted
 from gridpanel.operators.skew import BLOCK, BLOCK_ROWS, null_safe, split_long_series
 
 ALL = "__all"
 
+# Size of a quantile summary (rank error about 0.04 %), how many of them merge
+# before the last task merges the rest, and the cells that it cuts a column into.
+SUMMARY_SIZE, SUMMARIES, CELLS = 8192, 256, 16_384
+
 
 def with_groups(df: DataFrame, groups: Sequence[str]) -> tuple[DataFrame, list[str]]:
     """Use a constant group where the caller has none."""
@@ -128,6 +135,92 @@ def exact_quantiles(
     return found.select(*groups, F.col("n_values"), *columns)
 
 
+def order_statistics(
+    df: DataFrame, column: str, places: Callable[[int], Sequence[int]], cells: int = CELLS
+) -> tuple[int, dict[int, float]]:
+    """The number of finite values of a column, and those at some places (from 0) of their order.
+
+    ``places`` takes that number; it should ask for a few thousand places at most,
+    since the driver holds them. The result is exact, but no column is sorted: a
+    mergeable quantile summary cuts the range into cells, a scan counts what falls
+    into each cell and on each border, and only the cells that hold a place asked
+    for are looked into, equal values folded to one row. Such a cell has about
+    1/cells of the values, copies of one value aside. ``df`` is read three times.
+    NULL, NaN and infinite values are left out; without values nothing is found.
+    """
+    x = df.select((F.col(quoted(column)).cast("double") + F.lit(0.0)).alias("x")).where("NOT isnan(x) AND abs(x) < double('Infinity')")
+    part = (F.spark_partition_id() % SUMMARIES).alias("part")
+    merged = (
+        x.select("x", part).groupBy("part").agg(F.kll_sketch_agg_double("x", SUMMARY_SIZE).alias("s"))
+        .agg(F.kll_merge_agg_double("s", SUMMARY_SIZE).alias("s"))
+    )
+    # One literal that Spark folds; an array of as many literals takes seconds to plan.
+    shares = F.split(F.lit(",".join(str(i / cells) for i in range(cells + 1))), ",").cast("array<double>")
+    summary = merged.where(F.kll_sketch_get_n_double("s") > 0).select(F.kll_sketch_get_quantile_double("s", shares).alias("q")).first()
+    if summary is None:
+        return 0, {}
+    borders = np.unique(np.array(summary["q"], np.float64))
+
+    def cell_of(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+        # Odd numbers are the borders themselves, even ones what lies between them.
+        v = batch.column(0).to_numpy(zero_copy_only=False)
+        return v, np.searchsorted(borders, v, "left") + np.searchsorted(borders, v, "right")
+
+    def count(batches):
+        total = np.zeros(2 * len(borders) + 1, np.int64)
+        for batch in batches:
+            which, n = np.unique(cell_of(batch)[1], return_counts=True)
+            total[which] += n
+        hit = np.flatnonzero(total)
+        yield pa.RecordBatch.from_pydict({"cell": pa.array(hit, pa.int32()), "n": pa.array(total[hit], pa.int64())})
+
+    sizes = np.zeros(2 * len(borders) + 1, np.int64)
+    for cell, n in x.mapInArrow(count, "cell int, n long").groupBy("cell").agg(F.sum("n")).collect():
+        sizes[cell] = n
+    ends = np.cumsum(sizes)
+    asked = np.unique(np.array(places(int(ends[-1])), np.int64))
+    cell = np.searchsorted(ends, asked, "right")
+    found = {int(p): float(borders[c // 2]) for p, c in zip(asked, cell, strict=True) if c % 2}
+    inner = [(int(c), int(p - ends[c] + sizes[c]), int(p)) for p, c in zip(asked, cell, strict=True) if not c % 2]
+    if not inner:
+        return int(ends[-1]), found
+    open_cells = np.unique([c for c, _, _ in inner])
+
+    def look_into(batches):
+        for batch in batches:
+            v, c = cell_of(batch)
+            values, n = np.unique(v[np.isin(c, open_cells)], return_counts=True)
+            c = 2 * np.searchsorted(borders, values, "left")
+            yield pa.RecordBatch.from_pydict({"cell": pa.array(c, pa.int32()), "x": pa.array(values, pa.float64()), "n": pa.array(n, pa.int64())})
+
+    values = x.mapInArrow(look_into, "cell int, x double, n long").groupBy("cell", "x").agg(F.sum("n").alias("n"))
+    values = values.withColumn("upto", F.sum("n").over(Window.partitionBy("cell").orderBy("x")))
+    wanted = df.sparkSession.createDataFrame(inner, "cell int, rank long, place long")
+    hits = values.join(F.broadcast(wanted), "cell").where("upto - n <= rank AND rank < upto").select("place", "x")
+    return int(ends[-1]), found | {r["place"]: r["x"] for r in hits.collect()}
+
+
+def quantile_grid(df: DataFrame, column: str, points: int, cells: int = CELLS) -> tuple[np.ndarray, np.ndarray]:
+    """Evenly spaced shares from 0 to 1 and the column's exact linear-interpolated quantiles at them.
+
+    There are ``points`` of them, or as many as values if those are fewer.
+    """
+
+    def spots(n: int) -> tuple[np.ndarray, np.ndarray]:
+        shares = np.linspace(0.0, 1.0, min(points, n)) if n > 1 else np.zeros(n)
+        return shares, shares * (n - 1)
+
+    def places(n: int) -> np.ndarray:
+        at = spots(n)[1]
+        return np.concatenate([np.floor(at), np.ceil(at)]).astype(np.int64)
+
+    n, values = order_statistics(df, column, places, cells)
+    shares, at = spots(n)
+    low = np.array([values[int(p)] for p in np.floor(at)])
+    high = np.array([values[int(p)] for p in np.ceil(at)])
+    return shares, low + (high - low) * (at - np.floor(at))
+
+
 def to_long(
     df: DataFrame, keep: Sequence[str], values: Sequence[str], name: str, value: str
 ) -> DataFrame:

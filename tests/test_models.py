@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import close, rows
-from gridpanel.operators import classify, cluster, did, features, regression
+from gridpanel.operators import classify, cluster, did, features, ordered, regression
 
 TINY = {"rows": 20}
 
@@ -217,6 +217,37 @@ def test_shape_transforms(spark):
     assert 0.8 < q[0] < 1 and q[1] == 400
 
 
+@pytest.mark.parametrize("cells", [2, 16, ordered.CELLS])
+def test_order_statistics_equal_a_sort(spark, cells):
+    rng = np.random.default_rng(11)
+    x = np.concatenate([np.full(3000, 2.5), rng.normal(0, 1e6, 4000), rng.integers(-3, 4, 2000), [-0.0, 1e300, -1e300]])
+    rng.shuffle(x)
+    data = [(float(v),) for v in x] + [(None,), (float("nan"),), (float("inf"),), (float("-inf"),)]
+    df = spark.createDataFrame(data, "`a.b` double").repartition(7)
+    n, found = ordered.order_statistics(df, "a.b", lambda n: range(0, n, 37), cells)
+    assert n == len(x) and found == {i: np.sort(x)[i] for i in range(0, n, 37)}
+    shares, grid = ordered.quantile_grid(df, "a.b", 101, cells)
+    assert np.allclose(grid, np.quantile(x, shares), rtol=1e-12)
+
+
+def test_quantile_grid_edges(spark):
+    def z(values, **how):
+        df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "id int, v double")
+        return [r["z"] for r in features.quantile_normalize(df, "v", "z", **how).orderBy("id").collect()]
+
+    assert z([]) == [] and z([None, float("nan")]) == [None, None]
+    assert z([4.0, None, 4.0]) == [0.0, None, 0.0]
+    low, none, nan, mid, high = z([1.0, None, float("nan"), 2.0, 3.0])
+    assert none is None and nan is None and abs(mid) < 1e-9 and -5.3 < low < -5.1 and abs(low + high) < 1e-6
+    # Equal values in the middle get the middle of their grid points; infinite ones the ends.
+    tied = z([1.0, 2.0, 2.0, 2.0, 9.0, float("inf")], points=5)
+    assert abs(tied[1]) < 1e-9 and tied[1] == tied[2] == tied[3] and tied[4] == tied[5] > 5
+    train = spark.createDataFrame([(float(i),) for i in range(11)], "v double")
+    df = spark.createDataFrame([(-7.0,), (5.0,), (99.0,)], "v double")
+    got = [r["v"] for r in features.quantile_normalize(df, "v", train=train).collect()]
+    assert got[0] < -5 and abs(got[1]) < 1e-9 and got[2] > 5
+
+
 def test_correlations_of_pairs_with_gaps(spark):
     rng = np.random.default_rng(3)
     x = rng.normal(1e6, 1.0, (300, 20))
