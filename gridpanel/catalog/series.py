@@ -11,6 +11,7 @@ from gridpanel.catalog.common import (
 from gridpanel.operators import joins, spatial, windows
 from gridpanel.plans import cleaning, panel as plans
 from gridpanel.session import checkpointed
+from gridpanel.sources import readers
 
 # Settings that make a test-sized key count as hot, so that the block-wise path
 # is the one compared here. A cluster keeps the defaults.
@@ -253,6 +254,41 @@ def g7(spark, d):
     return out.withColumn("neighbor_land_share", rnd("neighbor_land_share"))
 
 
+def _corner(a: str, b: str) -> str:
+    """Area of a disc of radius 0.6 round the origin left of a and below b."""
+    a, b = f"least(greatest({a}, -0.6e0), 0.6e0)", f"least(greatest({b}, -0.6e0), 0.6e0)"
+    left = lambda v: f"(0.36e0 * (pi() / 2 + asin({v} / 0.6e0)) + {v} * sqrt(greatest(0.36e0 - {v} * {v}, 0)))"
+    return (f"CASE WHEN {a} * {a} + {b} * {b} < 0.36e0 THEN {left(a)} / 2 + {left(b)} / 2 - 0.09e0 * pi() + {a} * {b} "
+            f"WHEN {a} <= 0 AND {b} <= 0 THEN 0 WHEN {b} < 0 THEN {left(b)} WHEN {a} < 0 THEN {left(a)} ELSE {left(a)} + {left(b)} - 0.36e0 * pi() END")
+
+
+def _box_area(w: str, h: str) -> str:
+    c = lambda i, j: f"({_corner(f'(dx {i} {w})', f'(dy {j} {h})')})"
+    return f"({c('+', '+')} - {c('-', '+')} - {c('+', '-')} + {c('-', '-')})"
+
+
+# Frames round customers, a quarter of them with a hole, cut by discs round suppliers.
+@query("g7_disc_overlap", f"""
+WITH {POINTS}, {CUSTOMER_POINTS}, box AS (SELECT c, lat, lon, 0.2e0 + (c % 5) / 10e0 AS w, 0.1e0 + (c % 3) / 10e0 AS h, c % 4 = 0 AS holed FROM cpts),
+near AS (SELECT e, c, w, h, holed, b.lon - a.lon AS dx, b.lat - a.lat AS dy FROM pts a JOIN box b
+  ON abs(a.lon - b.lon) < 0.6 + w AND abs(a.lat - b.lat) < 0.6 + h),
+found AS (SELECT e, c, 4 * w * h - CASE WHEN holed THEN w * h ELSE 0 END AS region_area,
+  {_box_area('w', 'h')} - CASE WHEN holed THEN {_box_area('w / 2', 'h / 2')} ELSE 0 END AS overlap_area FROM near)
+SELECT e, c, {sql_rnd('region_area')} AS region_area, {sql_rnd('overlap_area')} AS overlap_area FROM found WHERE overlap_area > 1e-4""")
+def g7_disc(spark, d):
+    c = F.col("c")
+    box = customer_points(spark, d).withColumns({"w": F.lit(0.2) + (c % 5) / F.lit(10.0), "h": F.lit(0.1) + (c % 3) / F.lit(10.0)})
+    corner = lambda sx, sy, by: F.array(F.col("lon") + F.col("w") * sx / by, F.col("lat") + F.col("h") * sy / by)
+    ring = lambda by: F.array(*[corner(sx, sy, by) for sx, sy in ((-1, -1), (1, -1), (1, 1), (-1, 1), (-1, -1))])
+    rings = F.when(c % 4 == 0, F.array(ring(1.0), ring(2.0))).otherwise(F.array(F.when(c % 2 == 0, ring(1.0)).otherwise(F.reverse(ring(1.0)))))
+    shapes = box.select(F.to_json(F.struct(
+        F.lit("Feature").alias("type"), c.cast("string").alias("id"),
+        F.struct(F.lit("Polygon").alias("type"), rings.alias("coordinates")).alias("geometry"))).alias("feature"))
+    vertices = readers.explode_features(shapes)
+    out = spatial.disc_overlap(supplier_points(spark, d), vertices, 0.6, "e", "id", "lon", "lat").where("overlap_area > 1e-4")
+    return out.select("e", F.col("id").cast("long").alias("c"), rnd("region_area").alias("region_area"), rnd("overlap_area").alias("overlap_area"))
+
+
 @query("g6_nearby_density", f"""
 WITH {_CELLS}, {_OVERLAP}, {SUPPLIER_PANEL},
 x AS (SELECT o.e, p.t, sum(p.n / w.neighbor_land_area * o.effective_land_overlap) AS nearby_landadj,

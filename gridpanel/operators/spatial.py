@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridpanel.functions.expressions import numeric_columns, quoted, ratio, zero_sum
+from gridpanel.functions.expressions import EARTH_RADIUS_KM, MILES_PER_KM, numeric_columns, quoted, ratio, zero_sum
 from gridpanel.operators.clean import per_capita
 from gridpanel.operators.joins import neighbor_values, panel_grid, unique_on
 from gridpanel.operators.neighbors import within_distance
 from gridpanel.operators.windows import yoy_change
+from gridpanel.session import stored
 
 HOW = ("weighted_avg", "avg", "median")
 
@@ -167,6 +169,101 @@ def radius_overlap(
     )
 
 
+def equal_area(df: DataFrame, lat: str = "lat", lon: str = "lon", x: str = "x", y: str = "y",
+               parallels: tuple[float, float] = (29.5, 45.5), origin: tuple[float, float] = (23.0, -96.0)) -> DataFrame:
+    """Add plane coordinates in miles in which areas on the sphere are kept (the conic projection of Albers)."""
+    first, second, middle = (math.radians(v) for v in (*parallels, origin[0]))
+    n = (math.sin(first) + math.sin(second)) / 2
+    c = math.cos(first) ** 2 + 2 * n * math.sin(first)
+    size = EARTH_RADIUS_KM * MILES_PER_KM / n
+    apex = size * math.sqrt(c - 2 * n * math.sin(middle))
+    reach = F.sqrt(F.lit(c) - F.lit(2 * n) * F.sin(F.radians(F.col(quoted(lat)).cast("double")))) * size
+    turn = F.radians(F.col(quoted(lon)).cast("double") - origin[1]) * n
+    return df.withColumns({x: reach * F.sin(turn), y: F.lit(apex) - reach * F.cos(turn)})
+
+
+def _ring_edges(vertices: DataFrame, region: str, x: str, y: str) -> DataFrame:
+    """One row per side (__px, __py) to (__qx, __qy) of every ring; the last vertex meets the first."""
+    v = vertices.selectExpr(f"`{region}` as __g", "ring as __ring", "point as __p",
+                            f"cast(`{x}` as double) as __px", f"cast(`{y}` as double) as __py").where("__g is not null")
+    # A vertex starts the side of its number and ends the one before.
+    ends = v.withColumn("__k", F.explode(F.array(F.lit(0), F.lit(1))))
+    at = lambda k, c: F.max(F.when(F.col("__k") == k, F.col(c)))
+    sides = ends.groupBy("__g", "__ring", (F.col("__p") - F.col("__k")).alias("__p")).agg(
+        at(0, "__px").alias("__px"), at(0, "__py").alias("__py"), at(1, "__px").alias("__qx"), at(1, "__py").alias("__qy"))
+    spot = F.struct("__px", "__py")
+    whole = v.groupBy("__g", "__ring").agg(
+        F.max_by(spot, "__p").alias("__last"), F.min_by(spot, "__p").alias("__first"),
+        (F.count(F.col("__px") + F.col("__py")) == F.max("__p") - F.min("__p") + 1).alias("__ok"))
+    # A missing vertex would open the ring and change its area unseen.
+    closing = whole.select(
+        "__g", "__ring", F.when(F.col("__ok"), F.col("__last.__px")).otherwise(
+            F.raise_error(F.concat(F.lit("a ring has gaps or repeated vertex numbers: "), F.col("__g").cast("string")))).alias("__px"),
+        F.col("__last.__py").alias("__py"), F.col("__first.__px").alias("__qx"), F.col("__first.__py").alias("__qy"))
+    return sides.where("__px is not null and __qx is not null").drop("__p").unionByName(closing)
+
+
+def disc_overlap(
+    points: DataFrame, vertices: DataFrame, radius: float, entity: str, region: str = "id",
+    x: str = "x", y: str = "y", same: bool = False,
+) -> DataFrame:
+    """Exact area that the disc around each point shares with each polygon: entity, region, region_area, overlap_area.
+
+    ``vertices`` has a row per vertex (region, ring, point, x, y) as ``explode_features``
+    gives it: ring 0 is the outline, the others are holes, points are numbered without
+    gaps, in either sense; a ring need not repeat its first vertex. Coordinates are
+    plane, in the unit of ``radius`` (see ``equal_area``). Only pairs with a common
+    area are returned. Points without coordinates have none, repeated rows count once,
+    an entity with several points gets a row for each. A ring with a gap is an error.
+    With ``same`` the region called like the entity is left out.
+
+    Discs meet the boxes of polygons in cells of the disc's width, each pair in one
+    cell only. A side adds the area between itself, or the arc where it lies outside,
+    and the centre, signed; sides are summed on the map side, so a polygon of very
+    many vertices is in no single task.
+    """
+    if not radius > 0:
+        raise ValueError("the radius must be positive")
+    r, side = f"{float(radius)!r}D", f"{2.0 * radius!r}D"
+    edges = stored(_ring_edges(vertices, region, x, y))
+    spots = points.selectExpr(f"`{entity}` as __e", f"cast(`{x}` as double) as __x", f"cast(`{y}` as double) as __y").dropna().distinct()
+    outline = lambda f, c: f(F.when(F.col("__ring") == 0, F.col(c)))
+    part = F.when(F.col("__ring") == 0, F.col("__s")).otherwise(-F.col("__s"))
+    rings = edges.groupBy("__g", "__ring").agg(
+        outline(F.min, "__px").alias("__x0"), outline(F.max, "__px").alias("__x1"), outline(F.min, "__py").alias("__y0"),
+        outline(F.max, "__py").alias("__y1"), F.abs(F.sum(F.expr("(__px + __qx) * (__qy - __py) / 2D"))).alias("__s"))
+    regions = rings.groupBy("__g").agg(*[F.max(c).alias(c) for c in ("__x0", "__x1", "__y0", "__y1")], F.sum(part).alias("__area"))
+
+    def cells(df: DataFrame, west: str, east: str, south: str, north: str) -> DataFrame:
+        place = "cast(floor(({}) / " + side + ") as bigint)"
+        out = df.selectExpr("*", f"explode(sequence({place.format(west)}, {place.format(east)})) as __cx")
+        return out.selectExpr("*", f"explode(sequence({place.format(south)}, {place.format(north)})) as __cy")
+
+    asked = cells(spots, f"__x - {r}", f"__x + {r}", f"__y - {r}", f"__y + {r}")
+    pairs = asked.join(cells(regions.where("__x0 is not null"), "__x0", "__x1", "__y0", "__y1"), ["__cx", "__cy"]).where(
+        f"__cx = floor(greatest(__x - {r}, __x0) / {side}) and __cy = floor(greatest(__y - {r}, __y0) / {side}) and "
+        f"pow(greatest(__x0 - __x, __x - __x1, 0D), 2) + pow(greatest(__y0 - __y, __y - __y1, 0D), 2) < {r} * {r}")
+    if same:
+        pairs = pairs.where("not (__e <=> __g)")
+    sides = pairs.select("__e", "__x", "__y", "__g", "__area").join(edges, "__g").selectExpr(
+        "__e", "__x", "__y", "__g", "__area", "__ring", "__px - __x as ax", "__py - __y as ay", "__qx - __x as bx", "__qy - __y as by",
+    ).selectExpr("*", "bx - ax as dx", "by - ay as dy").selectExpr("*", "dx * dx + dy * dy as dd", "ax * dx + ay * dy as ad").where("dd > 0").selectExpr(
+        "*", f"ad * ad - dd * (ax * ax + ay * ay - {r} * {r}) as inside",
+    ).selectExpr(
+        "*", "greatest((-ad - sqrt(greatest(inside, 0D))) / dd, 0D) as enter", "least((-ad + sqrt(greatest(inside, 0D))) / dd, 1D) as leave",
+    ).selectExpr("*", "ax + enter * dx as ux", "ay + enter * dy as uy", "ax + leave * dx as vx", "ay + leave * dy as vy")
+    angle = lambda p, q: f"atan2({p}x * {q}y - {p}y * {q}x, {p}x * {q}x + {p}y * {q}y)"
+    signed = (f"case when inside > 0 and enter < leave then {r} * {r} * ({angle('a', 'u')} + {angle('v', 'b')}) + ux * vy - uy * vx"
+              f" else {r} * {r} * {angle('a', 'b')} end / 2D")
+    pair = ["__e", "__x", "__y", "__g", "__area"]
+    shared = sides.groupBy(*pair, "__ring").agg(F.abs(F.sum(F.expr(signed))).alias("__s"))
+    shared = shared.groupBy(*pair).agg(F.sum(part).alias("overlap_area"))
+    # Rounding leaves about 1e-16 of the disc where a polygon only touches it.
+    return shared.where(F.col("overlap_area") > radius * radius * 1e-12).select(
+        F.col("__e").alias(entity), F.col("__g").alias(region if region != entity else "neighbor"),
+        F.col("__area").alias("region_area"), "overlap_area")
+
+
 def nearby_density(
     overlap: DataFrame, fact: DataFrame, entities: DataFrame, entity: str, time: str, value: str,
     first: int, last: int, neighbor: str = "neighbor", salts: int = 0,

@@ -4,8 +4,10 @@ import math
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from conftest import close, rows
+from gridpanel.functions import expressions as X
 from gridpanel.operators import neighbors, spatial, vector_neighbors
 
 
@@ -139,6 +141,74 @@ def test_arguments_are_checked(frames):
             spatial.spatial_fill(panel, edges, "e", "t", **bad)
 
 
+def _vertices(spark, shapes):
+    data = [(g, ring, i, float(x), float(y)) for g, rings in shapes.items() for ring, pts in enumerate(rings) for i, (x, y) in enumerate(pts)]
+    return spark.createDataFrame(data, "id string, ring int, point int, x double, y double").repartition(5)
+
+
+def test_disc_overlap_equals_closed_forms(spark):
+    big, small = [(-9, -9), (9, -9), (9, 9), (-9, 9)], [(-1, -1), (1, -1), (1, 1), (-1, 1), (-1, -1)]
+    shapes = {
+        "around": [big], "inside": [small], "reversed": [small[::-1]], "holed": [big, small[::-1]], "holed_same_sense": [big, small],
+        "half": [[(0, -9), (9, -9), (9, 9), (0, 9)]], "quarter": [[(0, 0), (9, 0), (9, 9), (0, 9)]],
+        "slice": [[(0, 0), (20, 0), (20, 20)]], "triangle": [[(0, 0), (1, 0), (0, 1)]], "cap": [[(1, -9), (9, -9), (9, 9), (1, 9)]],
+        "touching": [[(2, -9), (9, -9), (9, 9), (2, 9)]], "far": [[(40, 40), (41, 40), (41, 41)]], "corner": [[(1.9, 1.9), (9, 1.9), (9, 9), (1.9, 9)]]}
+    points = spark.createDataFrame([("p", 0.0, 0.0), ("p", 0.0, 0.0), ("q", 100.0, 0.0), ("n", None, 0.0)], "e string, x double, y double")
+    vertices = _vertices(spark, shapes)
+    found = {r["id"]: r for r in spatial.disc_overlap(points, vertices, 2.0, "e").collect()}
+    disc = 4 * math.pi
+    cap = 4 * math.acos(0.5) - math.sqrt(3)
+    want = {"around": disc, "inside": 4, "reversed": 4, "holed": disc - 4, "holed_same_sense": disc - 4, "half": disc / 2,
+            "quarter": disc / 4, "slice": disc / 8, "triangle": 0.5, "cap": cap}
+    assert set(found) == set(want)
+    assert all(close(found[g]["overlap_area"], v) for g, v in want.items())
+    assert close(found["holed"]["region_area"], 320.0) and close(found["triangle"]["region_area"], 0.5)
+    # The same far from the origin, with several cells between the discs, and none with itself.
+    moved = vertices.withColumns({"x": F.col("x") + 1e6, "y": F.col("y") - 1e6})
+    there = spark.createDataFrame([("cap", 1e6, -1e6)], "id string, x double, y double")
+    apart = {r["neighbor"]: r["overlap_area"] for r in spatial.disc_overlap(there, moved, 2.0, "id", same=True).collect()}
+    assert set(apart) == set(want) - {"cap"} and all(close(apart[g], want[g], 1e-7) for g in apart)
+
+
+def test_disc_overlap_of_parts_adds_up(spark):
+    rnd = random.Random(4)
+    shapes = {}
+    for i in range(12):  # stars, cut in two through their centre
+        cx, cy = rnd.uniform(-3, 3), rnd.uniform(-3, 3)
+        reach = [rnd.uniform(0.5, 4) for _ in range(20)]
+        ring = [(cx + v * math.cos(math.pi * j / 10), cy + v * math.sin(math.pi * j / 10)) for j, v in enumerate(reach)]
+        shapes[f"w{i}"] = [ring]
+        shapes[f"a{i}"], shapes[f"b{i}"] = [[*ring[:11], (cx, cy)]], [[*ring[10:], ring[0], (cx, cy)]]
+    points = spark.createDataFrame([("p", 0.3, -0.2)], "e string, x double, y double")
+    found = {r["id"]: r["overlap_area"] for r in spatial.disc_overlap(points, _vertices(spark, shapes), 1.5, "e").collect()}
+    assert len(found) > 12
+    for i in range(12):
+        assert close(found.get(f"w{i}", 0.0), found.get(f"a{i}", 0.0) + found.get(f"b{i}", 0.0))
+
+
+def test_disc_overlap_edge_cases(spark):
+    empty = spark.createDataFrame([], "id string, ring int, point int, x double, y double")
+    points = spark.createDataFrame([("p", 0.0, 0.0)], "e string, x double, y double")
+    assert spatial.disc_overlap(points, empty, 1.0, "e").count() == 0
+    assert spatial.disc_overlap(points.limit(0), _vertices(spark, {"a": [[(0, 0), (1, 0), (0, 1)]]}), 1.0, "e").count() == 0
+    gap = _vertices(spark, {"a": [[(0, 0), (1, 0), (1, 1), (0, 1)]]}).where("point <> 2")
+    with pytest.raises(Exception, match="gaps"):
+        spatial.disc_overlap(points, gap, 1.0, "e").collect()
+    with pytest.raises(ValueError):
+        spatial.disc_overlap(points, empty, 0.0, "e")
+
+
+def test_equal_area_keeps_areas(spark):
+    ring = [(lon / 10, 40.0) for lon in range(-1000, -980)] + [(-98.0, 40 + i / 10) for i in range(20)]
+    ring += [(lon / 10, 42.0) for lon in range(-980, -1000, -1)] + [(-100.0, 42 - i / 10) for i in range(20)]
+    vertices = spatial.equal_area(_vertices(spark, {"a": [ring]}).withColumnsRenamed({"x": "lon", "y": "lat"}))
+    points = spatial.equal_area(spark.createDataFrame([("p", 41.0, -99.0)], "e string, lat double, lon double"))
+    out = spatial.disc_overlap(points, vertices, 500.0, "e").first()
+    size = X.EARTH_RADIUS_KM * X.MILES_PER_KM
+    true = size * size * math.radians(2) * (math.sin(math.radians(42)) - math.sin(math.radians(40)))
+    assert close(out["region_area"], true, 1e-4) and close(out["overlap_area"], out["region_area"])
+
+
 def test_radius_overlap_and_density(spark):
     step = 10 / 69.0934  # ten miles of latitude, roughly
     cells = [("a", 1, 30.0, -100.0, 4.0, 1.0), ("b", 2, 30.0 + step, -100.0, 6.0, 0.5), ("b", 3, 30.0 + 6 * step, -100.0, 2.0, 1.0),
