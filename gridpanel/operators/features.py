@@ -320,8 +320,9 @@ def quantile_normalize(
     given), and a value gets the share interpolated between its neighbours in the
     grid, the middle of them where several are equal; what lies at the grid's ends
     or beyond gets share 0 or 1, a column of one value 0.5. A share is at most
-    1/(points - 1) off the whole distribution's. Rows are not moved: the
-    grid travels with the scan. ``points=None`` takes the whole distribution, which
+    1/(points - 1) off the whole distribution's, but at the ends: copies of the
+    smallest or largest value get 0 or 1 however many they are. Rows are not
+    moved: the grid travels with the scan. ``points=None`` takes the whole distribution, which
     joins the rows with their ranked values; there equal values get the middle of
     their ranks.
 
