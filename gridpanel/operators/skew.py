@@ -26,6 +26,9 @@ MIN_ROWS = 250_000
 
 # A series is cut into blocks of at most about this many rows, whatever the input.
 BLOCK_ROWS = 1_000_000
+# Rows of a range partition: its bounds come from a sample that the driver holds, of 100 rows a
+# partition, so partitions are few; small blocks are cut within them.
+PARTITION_ROWS, MOST_PARTITIONS = 500_000, 10_000
 # Most rows of a table of spanning series that is broadcast.
 SPANNING_ROWS = 100_000
 
@@ -63,21 +66,22 @@ def null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str)
 def split_long_series(df: DataFrame, keys: Sequence[str], order: str | Sequence[str], rows: int = BLOCK_ROWS) -> DataFrame:
     """Add ``__block``: 0 for series that lie in one piece, 1, 2, ... along ``order`` for the others.
 
-    The rows are range-partitioned by key and order, twice as many partitions as
-    the row bound asks for, since bounds come from a sample, and written to the
-    shared folder once; what follows reads them from there. The cut goes by all
-    order columns, so a series whose rows agree in the first one is cut as well.
-    Rows that agree in all of them stay together. A window over (keys, block) sees
-    a contiguous piece of the series. There are at most twice as many pieces of
-    cut series as partitions. Up to ``rows`` rows nothing is moved.
+    The rows are range-partitioned by key and order into a bounded number of partitions,
+    since the bounds come from a sample that goes to the driver, sorted within them, cut
+    into pieces of at most ``rows`` rows, and written to the shared folder once; what
+    follows reads them from there. The cut goes by all order columns, so a series whose
+    rows agree in the first one is cut as well. A window over (keys, block) sees a
+    contiguous piece of the series. Up to ``rows`` rows nothing is moved.
     """
     keys, order = list(keys), [order] if isinstance(order, str) else list(order)
     total = df.count()
     if total <= rows:
-        return df.withColumn(BLOCK, F.lit(0))
-    pieces = -(-2 * total // rows)
-    ranged = df.repartitionByRange(pieces, *[F.col(quoted(c)) for c in dict.fromkeys([*keys, *order])])
-    ranged = checkpointed(ranged.withColumn("__part", F.spark_partition_id()))
+        return df.withColumn(BLOCK, F.lit(0).cast("long"))
+    pieces = min(-(-total // min(rows, PARTITION_ROWS)), max(-(-total // PARTITION_ROWS), 2), MOST_PARTITIONS)
+    by = [F.col(quoted(c)) for c in dict.fromkeys([*keys, *order])]
+    # The id is the partition's number times 2^33 plus the place of the row in it.
+    ranged = df.repartitionByRange(pieces, *by).sortWithinPartitions(*by).withColumn("__part", F.monotonically_increasing_id())
+    ranged = checkpointed(ranged.withColumn("__part", F.expr(f"shiftleft(shiftright(__part, 33), 33) + (__part & 8589934591L) div {int(rows)}L")))
     key = F.struct(*[F.col(quoted(k)) for k in keys])
     ends = ranged.groupBy("__part").agg(F.min(key).alias("__first"), F.max(key).alias("__last"))
     ends = ends.select("__part", F.explode(F.array("__first", "__last")).alias("__key")).distinct()
@@ -85,7 +89,7 @@ def split_long_series(df: DataFrame, keys: Sequence[str], order: str | Sequence[
     if spanning.limit(SPANNING_ROWS + 1).count() <= SPANNING_ROWS:
         spanning = F.broadcast(spanning)
     out = null_safe(ranged, spanning, keys, "left")
-    return out.withColumn(BLOCK, F.when(F.col("__long"), F.col("__part") + 1).otherwise(F.lit(0))).drop("__part", "__long")
+    return out.withColumn(BLOCK, F.when(F.col("__long"), F.col("__part") + 1).otherwise(F.lit(0).cast("long"))).drop("__part", "__long")
 
 
 def skew_join(

@@ -112,3 +112,14 @@ def test_null_keys_are_cut_too(spark):
     df = spark.range(500).select(F.when(F.col("id") % 3 == 0, F.lit(1)).alias("e"), "id")
     got = windows.add_lags(df, "e", "id", ["id"], (1,), rows=50)
     assert rows(got) == rows(windows.add_lags(df, "e", "id", ["id"], (1,), hot=False))
+
+
+def test_small_blocks_are_cut_within_few_partitions(spark):
+    from gridpanel.operators.skew import BLOCK, split_long_series
+    df = spark.range(20_000).select(F.when(F.col("id") % 10 < 9, "hot").otherwise(F.concat(F.lit("k"), F.col("id") % 300)).alias("e"), "id")
+    cut = split_long_series(df, ["e"], "id", rows=50)
+    assert cut.select(F.spark_partition_id()).distinct().count() <= 8  # bounds are sampled on the driver, per partition
+    sizes = cut.where(F.col(BLOCK) > 0).groupBy("e", BLOCK).agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("a"), F.max("id").alias("b")).orderBy("e", BLOCK).collect()
+    hot = [r for r in sizes if r["e"] == "hot"]
+    assert sum(r["n"] for r in hot) == 18_000 and max(r["n"] for r in sizes) <= 50
+    assert all(x["b"] < y["a"] for x, y in zip(hot, hot[1:]))
