@@ -1,8 +1,8 @@
 """Many k-means models in the passes of one.
 
-The centres of all models, every k with every restart, form one matrix. A batch of
-rows meets it in one product, and one more gives the sums of all models; a model
-leaves the matrix when its centres stand still. Tasks return a block of sums per
+The centres of all models, every k with every restart, form one matrix. A block of
+rows meets it in products of a few hundred centres, small enough for a core's cache,
+and labels sort the rows into sums; a model leaves the matrix when its centres stand still. Tasks return a block of sums per
 model, merged by model, so a pass shuffles sums and never rows, and the driver
 holds centres only. Silhouettes of all chosen models take two further passes: the
 moments of their clusters, then every row's distances from those moments.
@@ -23,6 +23,9 @@ from gridpanel.session import Stored
 
 SEED_ROWS = 4096  # rows, drawn by a hash of their values, that first centres are chosen from
 ROWS = 512  # rows of one product
+BLOCK, WIDTH = 250, 512  # rows and centres of one product of a pass
+FEW = 12  # up to so many centres sums are a product with the labels, beyond it rows are sorted by label
+TASK_ROWS = 65_536  # a task returns the sums of all models, so tasks beyond a core each hold this many rows
 
 
 @dataclass
@@ -59,12 +62,12 @@ def _squares(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
     return np.maximum((x * x).sum(axis=1)[:, None] - 2.0 * (x @ centres.T) + (centres * centres).sum(axis=1)[None, :], 0.0)
 
 
-def _rows(batches):
+def _rows(batches, rows: int = ROWS):
     for batch in batches:
         column = batch.column(0)
         x = column.flatten().to_numpy().reshape(len(column), -1) if len(column) else np.zeros((0, 0))
-        for i in range(0, len(x), ROWS):
-            yield x[i:i + ROWS]
+        for i in range(0, len(x), rows):
+            yield x[i:i + rows]
 
 
 def _labels(squares: np.ndarray, edges: np.ndarray) -> np.ndarray:
@@ -72,11 +75,40 @@ def _labels(squares: np.ndarray, edges: np.ndarray) -> np.ndarray:
     return np.stack([a + squares[:, a:b].argmin(axis=1) for a, b in zip(edges[:-1], edges[1:], strict=True)], axis=1)
 
 
-def _sums(x: np.ndarray, labels: np.ndarray, width: int) -> np.ndarray:
-    """Per centre: number of rows, their squares, their sum."""
-    member = np.zeros((len(x), width))
-    member[np.arange(len(x))[:, None], labels] = 1.0
-    return member.T @ np.concatenate([np.ones((len(x), 1)), (x * x).sum(axis=1)[:, None], x], axis=1)
+def _groups(edges: np.ndarray):
+    """Runs of models of one k, of ``WIDTH`` centres together or a single model: first and last model, k."""
+    ks, i = np.diff(edges), 0
+    while i < len(ks):
+        j = i + 1
+        while j < len(ks) and ks[j] == ks[i] and (j + 1 - i) * ks[i] <= WIDTH:
+            j += 1
+        yield i, j, int(ks[i])
+        i = j
+
+
+def _add_sums(x: np.ndarray, centres: np.ndarray, edges: np.ndarray, sums: np.ndarray, cost: np.ndarray) -> None:
+    """Add rows to the (count, squares, sum) of their nearest centres, the first of equals, and to the models' costs."""
+    one = np.ones((len(x), 1))
+    squares = (x * x).sum(axis=1)[:, None]
+    moments, asked = np.concatenate([one, squares, x], axis=1), np.concatenate([x, one], axis=1)
+    # A row's own squares move the distances to all centres alike.
+    offered = np.concatenate([-2.0 * centres, (centres * centres).sum(axis=1)[:, None]], axis=1).T
+    for i, j, k in _groups(edges):
+        a, b = edges[i], edges[j]
+        labels = np.empty((len(x), j - i), np.int16 if k < 1 << 15 else np.int64)
+        for r in range(0, len(x), BLOCK):
+            far = (asked[r:r + BLOCK] @ offered[:, a:b]).reshape(-1, j - i, k)
+            near = far.argmin(axis=2)
+            labels[r:r + BLOCK] = near
+            cost[i:j] += np.maximum(np.take_along_axis(far, near[:, :, None], axis=2)[:, :, 0] + squares[r:r + BLOCK], 0.0).sum(axis=0)
+            if k <= FEW:
+                member = (near[:, :, None] == np.arange(k)).reshape(-1, b - a).astype(np.float64)
+                sums[a:b] += member.T @ moments[r:r + BLOCK]
+        for q in range(j - i if k > FEW else 0):
+            order = np.argsort(labels[:, q], kind="stable")
+            sorted_ = labels[order, q]
+            starts = np.flatnonzero(np.concatenate([[True], sorted_[1:] != sorted_[:-1]]))
+            sums[a + q * k + sorted_[starts]] += np.add.reduceat(moments[order], starts, axis=0)
 
 
 def _edges(models: Sequence[Model]) -> tuple[np.ndarray, np.ndarray]:
@@ -90,13 +122,11 @@ def _pass(rows: DataFrame, models: Sequence[Model]) -> list[tuple[np.ndarray, fl
 
     def run(batches):
         c, e = shared.value
-        sums, cost = 0.0, np.zeros(len(e) - 1)
-        for x in _rows(batches):
-            squares = _squares(x, c)
-            labels = _labels(squares, e)
-            cost += np.take_along_axis(squares, labels, axis=1).sum(axis=0)
-            sums = sums + _sums(x, labels, len(c))
-        return {} if np.isscalar(sums) else {i: np.append(sums[a:b].ravel(), cost[i]) for i, (a, b) in enumerate(zip(e[:-1], e[1:], strict=True))}
+        sums, cost, seen = np.zeros((len(c), c.shape[1] + 2)), np.zeros(len(e) - 1), False
+        for x in _rows(batches, 8 * BLOCK):
+            _add_sums(x, c, e, sums, cost)
+            seen = True
+        return {} if not seen else {i: np.append(sums[a:b].ravel(), cost[i]) for i, (a, b) in enumerate(zip(e[:-1], e[1:], strict=True))}
 
     found = merged_arrays(rows, run, len(models))
     shared.destroy()
@@ -119,9 +149,10 @@ def _first_centres(sample: np.ndarray, k: int, rnd: np.random.Generator) -> np.n
 
 
 def vectors(df: DataFrame, vector: str) -> Stored:
-    """The vectors alone as arrays, written once for all passes and dealt evenly, since dozens of passes follow."""
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return Stored(df.select(vector_to_array(vector).alias("x")).where("x is not null").repartition(parts))
+    """The vectors alone as arrays, written once for all passes and dealt evenly to the cores, since dozens of passes follow."""
+    rows = df.select(vector_to_array(vector).alias("x")).where("x is not null")
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return Stored(rows.repartition(cores * max(1, -(-rows.count() // (cores * TASK_ROWS)))))
 
 
 def fit_many(

@@ -550,3 +550,33 @@ def test_balanced_forest_on_a_rare_class(spark):
     assert [t.arrays()[0].tolist() for t in again.trees] == [t.arrays()[0].tolist() for t in model.trees]
     with pytest.raises(ValueError):
         classify.balanced_forest(df.where("y = 0"), "y", ["a"])
+
+
+def test_sums_of_many_models_equal_a_plain_count(spark, monkeypatch):
+    import numpy as np
+    from gridpanel.operators import lloyd
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(700, 3)) + 5
+    models = [x[rng.integers(700, size=k)] for k in (2, 2, 7, 12, 13, 13, 40, 600)]
+    models[5][1] = models[5][0]  # of equal centres the first takes the rows
+    edges = np.cumsum([0, *map(len, models)])
+    sums, cost = np.zeros((edges[-1], 5)), np.zeros(len(models))
+    lloyd._add_sums(x[:300], np.concatenate(models), edges, sums, cost)
+    lloyd._add_sums(x[300:], np.concatenate(models), edges, sums, cost)
+    for i, c in enumerate(models):
+        far = ((x[:, None, :] - c[None]) ** 2).sum(axis=2)
+        near = far.argmin(axis=1)
+        want = np.array([[len(y), (y * y).sum(), *y.sum(axis=0)] for y in (x[near == j] for j in range(len(c)))])
+        assert np.allclose(sums[edges[i]:edges[i + 1]], want) and np.isclose(cost[i], far.min(axis=1).sum())
+    # Vectors are dealt to the cores, whatever the number of shuffle partitions.
+    monkeypatch.setattr(lloyd, "TASK_ROWS", 100)
+    df = spark.createDataFrame([(v.tolist(),) for v in x], "a array<double>").selectExpr("a")
+    from pyspark.ml.functions import array_to_vector
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "3")
+    try:
+        rows_ = lloyd.vectors(df.select(array_to_vector("a").alias("v")), "v")
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert rows_.df.select("_metadata.file_path").distinct().count() == 8 and rows_.df.count() == 700
+    rows_.drop()
