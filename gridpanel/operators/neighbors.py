@@ -8,8 +8,12 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, MapType, StructType
 
 from gridpanel.functions.expressions import haversine_sql
 
@@ -19,6 +23,7 @@ MILES_PER_DEGREE = 69.0
 _MOST_MILES = 69.2
 _HALF_WAY = 12_451.0
 LEVELS = 20
+HELD_ROWS = 250_000  # candidates that a task holds before it drops all but the nearest
 
 
 def _cell(lat: str, lon: str, level: str) -> list[str]:
@@ -103,6 +108,39 @@ def pair_distances(
     return within_distance(points, points, miles, entity, entity, lat, lon, same=True)
 
 
+def _nearest_in_task(k: int):
+    """Of the candidates (__id, __nid, distance, __d) that pass through a task, those that may be among the k nearest of an id."""
+
+    def cut(batches: list[pa.RecordBatch]) -> pa.Table:
+        t = pa.Table.from_batches(batches).combine_chunks()
+        ids = pc.dictionary_encode(t["__id"].combine_chunks()).indices.to_numpy()
+        other = t["__nid"]
+        ties = other.to_numpy() if pa.types.is_integer(other.type) else pc.rank(other, tiebreaker="dense").to_numpy()
+        order = np.lexsort((ties, t["__d"].to_numpy(), ids))
+        ids = ids[order]
+        starts = np.flatnonzero(np.concatenate([[True], ids[1:] != ids[:-1]]))
+        place = np.arange(len(ids)) - np.repeat(starts, np.diff(np.append(starts, len(ids))))
+        return t.take(order[place < k])
+
+    def run(batches):
+        held, n = [], 0
+        for batch in batches:
+            if not len(batch):
+                continue
+            held.append(batch)
+            n += len(batch)
+            if n >= HELD_ROWS:
+                kept = cut(held)
+                held, n = kept.to_batches(), len(kept)
+                if 2 * n > HELD_ROWS:
+                    yield from held
+                    held, n = [], 0
+        if n:
+            yield from cut(held).to_batches()
+
+    return run
+
+
 def knn_edges(
     points: DataFrame,
     entity: str,
@@ -121,6 +159,8 @@ def knn_edges(
        The cell's extent bounds the distance of the k-th neighbour.
     3. Only the cells of that level inside the bound are searched. The next
        smaller cell holds at most k points, so few locations ask at any cell.
+    4. Tasks drop what is beyond the k nearest they have seen, so no candidates
+       are sorted or moved but k per point and task.
     """
     leaf = _cell("__la", "__lo", f"{levels}D")
     pts = points.selectExpr(
@@ -151,8 +191,10 @@ def knn_edges(
         f"case when __s <= 0 and __s + __h >= 0 then 0.0D else least(abs(__s), abs(__s + __h)) end)))"
         f" * {_MOST_MILES}D end as __miles",
     )
-    cells = _boxes(asked, "__miles", "cast(__level as double)").drop("__miles")
-    offered = kept.selectExpr(
+    # Few bytes make many candidates: whichever side is broadcast, the other one is dealt to all cores.
+    parts = int(points.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    cells = _boxes(asked.repartition(parts, "__id"), "__miles", "cast(__level as double)")
+    offered = kept.repartition(parts, "__id").selectExpr(
         "__id as __nid", "__la as __lb", "__lo as __ob", "__lr", "__lc", f"explode(sequence(0, {levels})) as __level"
     ).selectExpr(
         "__nid", "__lb", "__ob", "__level", f"shiftright(__lr, {levels} - __level) as __r",
@@ -161,9 +203,11 @@ def knn_edges(
     # A cell that holds a large share of the points is a hot key of one side;
     # adaptive execution splits that partition.
     near = offered.join(cells, ["__level", "__r", "__c"]).where("__id <> __nid").selectExpr(
-        "__id", "__nid", f"{haversine_sql('__la', '__lo', '__lb', '__ob')} as distance"
-    )
-    w = Window.partitionBy("__id").orderBy(F.expr("round(distance, 9)"), "__nid")
+        "__id", "__nid", f"{haversine_sql('__la', '__lo', '__lb', '__ob')} as distance", "__miles"
+    ).where("distance <= __miles").selectExpr("__id", "__nid", "distance", "round(distance, 9) as __d")
+    if not isinstance(near.schema["__id"].dataType, (ArrayType, MapType, StructType)):  # Arrow orders plain values only
+        near = near.mapInArrow(_nearest_in_task(k), near.schema)
+    w = Window.partitionBy("__id").orderBy("__d", "__nid")
     return near.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k).selectExpr(
         f"__id as `{entity}`", "__nid as neighbor", "rank", "distance"
     )

@@ -222,3 +222,28 @@ def test_radius_overlap_and_density(spark):
     assert len(dense) == 6 and close(dense["a", 1]["nearby_landadj"], 10.0 / 5.0 * 3.0)
     assert close(dense["a", 1]["nearby_per_sqmi"], 2.0) and dense["b", 1]["nearby_landadj"] == 0.0
     assert dense["c", 1]["nearby_landadj"] is None and dense["a", 2]["contributing_entities"] is None
+
+
+def test_knn_tasks_keep_few_candidates(spark, points, monkeypatch):
+    monkeypatch.setattr(neighbors, "HELD_ROWS", 100)
+    df = spark.createDataFrame(points, "id int, lat double, lon double").repartition(8)
+    for kind in ("int", "string"):
+        got = neighbors.knn_edges(df.withColumn("id", F.col("id").cast(kind)), "id", 4)
+        assert "MapInArrow" in got._jdf.queryExecution().executedPlan().toString()
+        found = {}
+        for r in got.collect():
+            found.setdefault(int(r["id"]), {})[r["rank"]] = int(r["neighbor"])
+        order = int if kind == "int" else str
+        for i, a, b in points:
+            want = sorted((round(miles(a, b, c, d), 9), order(j)) for j, c, d in points if j != i)[:4]
+            assert [found[i][n] for n in range(1, 5)] == [int(j) for _, j in want], i
+
+
+def test_knn_tasks_hand_on_k_of_each_point():
+    import pyarrow as pa
+    rnd = random.Random(5)
+    table = [(rnd.randrange(50), j, float(j), round(rnd.random(), 1)) for j in range(5_000)]
+    batches = pa.table({n: [r[i] for r in table] for i, n in enumerate(("__id", "__nid", "distance", "__d"))}).to_batches(max_chunksize=300)
+    got = [tuple(r.values()) for b in neighbors._nearest_in_task(3)(iter(batches)) for r in b.to_pylist()]
+    want = [r for i in range(50) for r in sorted((r for r in table if r[0] == i), key=lambda r: (r[3], r[1]))[:3]]
+    assert sorted(got) == sorted(want)
