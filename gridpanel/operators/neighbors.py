@@ -23,6 +23,7 @@ MILES_PER_DEGREE = 69.0
 _MOST_MILES = 69.2
 _HALF_WAY = 12_451.0
 LEVELS = 20
+CELL_PAIRS = 4_000_000  # pairs of one cell that a task tries; the points of a fuller cell are dealt to several
 HELD_ROWS = 250_000  # candidates that a task holds before it drops all but the nearest
 
 
@@ -71,11 +72,12 @@ def within_distance(
 ) -> DataFrame:
     """Pairs (a_id, b_id, distance) at most ``miles`` apart.
 
-    Cells are at least ``miles`` high, so a point of ``a`` looks into about
-    three by three cells. With ``same`` the two frames hold the same entities
-    and self pairs are left out.
+    Cells are at least a quarter of ``miles`` high, so a point of ``a`` looks into a
+    few dozen cells that hold little beyond the radius. Few bytes make many pairs, so
+    cells are dealt to all tasks and the points of full cells to several of them.
+    With ``same`` the two frames hold the same entities and self pairs are left out.
     """
-    level = max(0, min(LEVELS, math.floor(math.log2(180.0 / (miles / MILES_PER_DEGREE + 1e-9)))))
+    level = max(0, min(LEVELS, 2 + math.floor(math.log2(180.0 / (miles / MILES_PER_DEGREE + 1e-9)))))
     asked = a.selectExpr(
         f"`{a_id}` as __a", f"cast(`{lat}` as double) as __la", f"cast(`{lon}` as double) as __lo"
     ).dropna()
@@ -84,8 +86,14 @@ def within_distance(
         f"`{b_id}` as __b", f"cast(`{lat}` as double) as __lb", f"cast(`{lon}` as double) as __ob"
     ).dropna()
     r, c = _cell("__lb", "__ob", f"{level}D")
-    # A cell with a large share of the points is split by adaptive execution.
-    pairs = stored.selectExpr("*", f"{r} as __r", f"{c} as __c").join(asked, ["__r", "__c"])
+    stored = stored.selectExpr("*", f"{r} as __r", f"{c} as __c")
+    cell = ["__r", "__c"]
+    load = asked.groupBy(cell).agg(F.count(F.lit(1)).alias("__na")).join(stored.groupBy(cell).agg(F.count(F.lit(1)).alias("__nb")), cell)
+    full = load.selectExpr(*cell, f"ceil(__na / {CELL_PAIRS}D * __nb) as __s").where("__s > 1")
+    asked = asked.join(full, cell, "left").selectExpr("*", "explode(sequence(0L, coalesce(__s, 1L) - 1L)) as __k").drop("__s")
+    stored = stored.join(full, cell, "left").selectExpr("*", "pmod(xxhash64(__b, __lb, __ob), coalesce(__s, 1L)) as __k").drop("__s")
+    parts = int(a.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    pairs = stored.repartition(parts, *cell, "__k").join(asked.repartition(parts, *cell, "__k"), [*cell, "__k"])
     if same:
         pairs = pairs.where("__a <> __b")
     left, right = (a_id, b_id) if a_id != b_id else (a_id, "neighbor")

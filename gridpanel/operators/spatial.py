@@ -141,17 +141,18 @@ def radius_overlap(
     """Area of every neighbour that lies within ``miles`` of an entity.
 
     Entities are sets of area cells; a neighbour's cell counts once when it is
-    near any cell of the target. The entity itself is left out.
+    near any cell of the target, so cells of one entity at one place ask once.
+    The entity itself is left out.
     """
     owned = cells.select(entity, cell, lat, lon, area, land_share)
-    asked = owned.select(F.struct(entity, cell).alias("__t"), lat, lon)
+    asked = owned.select(F.col(entity).alias("__t"), lat, lon).distinct()
     offered = owned.select(
         F.struct(F.col(entity).alias("e"), F.col(cell).alias("c"), F.col(area).alias("a"),
                  F.col(land_share).alias("s")).alias("__n"), lat, lon,
     )
     pairs = within_distance(asked, offered, miles, "__t", "__n", lat, lon)
     near = pairs.select(
-        F.col(f"__t.{entity}").alias(entity), F.col("__n.e").alias(neighbor),
+        F.col("__t").alias(entity), F.col("__n.e").alias(neighbor),
         F.col("__n.c").alias("__c"), F.col("__n.a").alias("__a"), F.col("__n.s").alias("__s"),
     ).where(F.col(entity) != F.col(neighbor)).distinct()
     whole = cells.groupBy(F.col(entity).alias(neighbor)).agg(

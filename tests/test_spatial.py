@@ -247,3 +247,21 @@ def test_knn_tasks_hand_on_k_of_each_point():
     got = [tuple(r.values()) for b in neighbors._nearest_in_task(3)(iter(batches)) for r in b.to_pylist()]
     want = [r for i in range(50) for r in sorted((r for r in table if r[0] == i), key=lambda r: (r[3], r[1]))[:3]]
     assert sorted(got) == sorted(want)
+
+
+def test_pairs_of_a_full_cell_go_to_several_tasks(spark, monkeypatch):
+    monkeypatch.setattr(neighbors, "CELL_PAIRS", 100)
+    rnd = random.Random(9)
+    spots = [(i, 30 + rnd.random() * 0.01, -100 + rnd.random() * 0.01) for i in range(80)] + [(90, 30.4, -100.0), (91, None, 0.0)]
+    df = spark.createDataFrame(spots, "id int, lat double, lon double")
+    got = neighbors.within_distance(df, df.withColumnRenamed("id", "other"), 20.0, "id", "other")
+    assert got.select(F.spark_partition_id()).distinct().count() > 1
+    near = [(i, j) for i, a, b in spots[:81] for j, c, d in spots[:81] if miles(a, b, c, d) <= 20]
+    assert rows(got.select("id", "other")) == sorted(near)
+
+
+def test_equal_places_of_an_entity_ask_once(spark):
+    cells = spark.createDataFrame([("a", i, 30.0, -100.0, 1.0, 0.5) for i in range(40)] + [("b", 50, 30.1, -100.0, 2.0, 0.25), ("b", 51, 40.0, -100.0, 3.0, 1.0)],
+                                  "e string, c int, lat double, lon double, area double, land_share double")
+    got = rows(spatial.radius_overlap(cells, 25.0, "e", "c"))
+    assert got == [("a", "b", 5.0, 0.7, 3.5, 2.0, 0.5), ("b", "a", 40.0, 0.5, 20.0, 40.0, 20.0)]
