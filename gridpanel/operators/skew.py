@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridpanel.functions.expressions import quoted
@@ -70,7 +70,8 @@ def split_long_series(df: DataFrame, keys: Sequence[str], order: str | Sequence[
     since the bounds come from a sample that goes to the driver, sorted within them, cut
     into pieces of at most ``rows`` rows, and written to the shared folder once; what
     follows reads them from there. The cut goes by all order columns, so a series whose
-    rows agree in the first one is cut as well. A window over (keys, block) sees a
+    rows agree in the first one is cut as well. Rows that agree in all of them stay
+    together, in the piece of the first. A window over (keys, block) sees a
     contiguous piece of the series. Up to ``rows`` rows nothing is moved.
     """
     keys, order = list(keys), [order] if isinstance(order, str) else list(order)
@@ -81,7 +82,10 @@ def split_long_series(df: DataFrame, keys: Sequence[str], order: str | Sequence[
     by = [F.col(quoted(c)) for c in dict.fromkeys([*keys, *order])]
     # The id is the partition's number times 2^33 plus the place of the row in it.
     ranged = df.repartitionByRange(pieces, *by).sortWithinPartitions(*by).withColumn("__part", F.monotonically_increasing_id())
-    ranged = checkpointed(ranged.withColumn("__part", F.expr(f"shiftleft(shiftright(__part, 33), 33) + (__part & 8589934591L) div {int(rows)}L")))
+    first = F.min("__part").over(Window.partitionBy(*by))
+    ranged = ranged.withColumn("__part", first).withColumn(
+        "__part", F.expr(f"shiftleft(shiftright(__part, 33), 33) + (__part & 8589934591L) div {int(rows)}L"))
+    ranged = checkpointed(ranged)
     key = F.struct(*[F.col(quoted(k)) for k in keys])
     ends = ranged.groupBy("__part").agg(F.min(key).alias("__first"), F.max(key).alias("__last"))
     ends = ends.select("__part", F.explode(F.array("__first", "__last")).alias("__key")).distinct()

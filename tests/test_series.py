@@ -123,3 +123,13 @@ def test_small_blocks_are_cut_within_few_partitions(spark):
     hot = [r for r in sizes if r["e"] == "hot"]
     assert sum(r["n"] for r in hot) == 18_000 and max(r["n"] for r in sizes) <= 50
     assert all(x["b"] < y["a"] for x, y in zip(hot, hot[1:]))
+
+
+def test_rows_that_come_twice_stay_in_one_block(spark):
+    from gridpanel.operators.skew import BLOCK, split_long_series
+    df = spark.range(600).select(F.lit("a").alias("e"), (F.col("id") / 3).cast("long").alias("t"), ((F.col("id") / 3).cast("long") * 7 % 11).alias("v"))
+    cut = split_long_series(df, ["e"], "t", rows=50)
+    assert cut.groupBy("t").agg(F.count_distinct(BLOCK).alias("n")).agg(F.max("n")).first()[0] == 1
+    assert cut.agg(F.count_distinct(BLOCK)).first()[0] >= 12
+    for lags in ((1,), (1, 3)):
+        assert rows(windows.add_lags(df, "e", "t", ["v"], lags, rows=50)) == rows(windows.add_lags(df, "e", "t", ["v"], lags, hot=False))
