@@ -121,7 +121,7 @@ def read_yearly_files(
     """
     given = [paths] if isinstance(paths, str) else [p for group in paths.values() for p in group]
     found = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(given)
-    files = [r[0] for r in found.where("length > 0").select("path").orderBy("path").collect()]
+    files = sorted(r[0] for r in found.where("length > 0").select("path").collect())
     groups: dict[str, list[str]] = {}
     with ThreadPoolExecutor(16) as pool:
         for line, file in zip(pool.map(lambda f: _header_line(spark, f, encoding), files), files, strict=True):
