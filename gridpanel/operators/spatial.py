@@ -5,8 +5,11 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from gridpanel.functions.expressions import EARTH_RADIUS_KM, MILES_PER_KM, numeric_columns, quoted, ratio, zero_sum
 from gridpanel.operators.clean import per_capita
@@ -16,6 +19,10 @@ from gridpanel.operators.windows import yoy_change
 from gridpanel.session import stored
 
 HOW = ("weighted_avg", "avg", "median")
+SIDES = 16  # sides up to which a polygon travels whole to the cells of its box
+CARRIED = 1 << 16  # sides times cells up to which one of more sides does, too
+BLOCK_POINTS, BLOCK_SIDES = 1024, 2048  # of a cell, that meet in one row
+AT_ONCE = 1 << 16  # sides of pairs that are computed together
 
 
 def _stat(value: Column, distance: Column, how: str) -> Column:
@@ -204,6 +211,81 @@ def _ring_edges(vertices: DataFrame, region: str, x: str, y: str) -> DataFrame:
     return sides.where("__px is not null and __qx is not null").drop("__p").unionByName(closing)
 
 
+def _shared_areas(ax: np.ndarray, ay: np.ndarray, bx: np.ndarray, by: np.ndarray, r: float) -> np.ndarray:
+    """Signed area of a disc round the origin between each side a to b and the centre, the arc where the side lies outside."""
+    dx, dy = bx - ax, by - ay
+    dd, ad = dx * dx + dy * dy, ax * dx + ay * dy
+    inside = ad * ad - dd * (ax * ax + ay * ay - r * r)
+    dd = np.where(dd > 0, dd, 1.0)
+    root = np.sqrt(np.maximum(inside, 0.0))
+    enter, leave = np.maximum((-ad - root) / dd, 0.0), np.minimum((-ad + root) / dd, 1.0)
+    angle = lambda px, py, qx, qy: np.arctan2(px * qy - py * qx, px * qx + py * qy)
+    out = np.empty(len(ax))
+    cut = (inside > 0) & (enter < leave)
+    far = ~cut
+    out[far] = r * r * angle(ax[far], ay[far], bx[far], by[far])
+    ax, ay, bx, by, dx, dy, enter, leave = (v[cut] for v in (ax, ay, bx, by, dx, dy, enter, leave))
+    ux, uy, vx, vy = ax + enter * dx, ay + enter * dy, ax + leave * dx, ay + leave * dy
+    # A side that begins, or ends, within the disc has no arc there.
+    arcs = np.zeros(len(ax))
+    for at, p in ((np.flatnonzero(enter > 0), (ax, ay, ux, uy)), (np.flatnonzero(leave < 1), (vx, vy, bx, by))):
+        arcs[at] += angle(*(v[at] for v in p))
+    out[cut] = r * r * arcs + ux * vy - uy * vx
+    return out / 2
+
+
+def _runs(begins: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """Places begin, begin + 1, ... of every run, one run after the other."""
+    ends = np.cumsum(lengths)
+    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(begins - (ends - lengths), lengths)
+
+
+def _items(lists) -> tuple[pa.StructArray, np.ndarray]:
+    """The items of a column of lists and where each list begins."""
+    return lists.flatten(), np.r_[0, np.cumsum(lists.value_lengths().to_numpy(zero_copy_only=False))].astype(np.int64)
+
+
+def _met(points: pa.StructArray, polygons: pa.StructArray, r: float, cx: int, cy: int):
+    """Row places and shared area of the points and polygons of a cell that meet there."""
+    numbers = lambda items, c: items.field(c).to_numpy(zero_copy_only=False).astype(float)
+    x, y = numbers(points, "__x"), numbers(points, "__y")
+    x0, x1, y0, y1 = (numbers(polygons, c) for c in ("__x0", "__x1", "__y0", "__y1"))
+    sides, begins = _items(polygons.field("__sides"))
+    ring = sides.field("__ring").to_numpy(zero_copy_only=False)
+    px, py, qx, qy = (numbers(sides, c) for c in ("__px", "__py", "__qx", "__qy"))
+    counts = np.diff(begins)
+    step = max(1, AT_ONCE // max(1, len(x0)))
+    for low in range(0, len(x), step):
+        xs, ys = x[low:low + step, None], y[low:low + step, None]
+        # Discs and boxes meet in the cell of the south-west corner of what they share.
+        near = (np.floor(np.maximum(xs - r, x0) / (2 * r)) == cx) & (np.floor(np.maximum(ys - r, y0) / (2 * r)) == cy)
+        near &= np.maximum(np.maximum(x0 - xs, xs - x1), 0.0) ** 2 + np.maximum(np.maximum(y0 - ys, ys - y1), 0.0) ** 2 < r * r
+        i, j = np.nonzero(near)
+        if not len(i):
+            continue
+        i += low
+        upto = np.cumsum(counts[j])
+        cuts = np.unique(np.r_[0, np.searchsorted(upto, np.arange(AT_ONCE, upto[-1], AT_ONCE)), len(i)])
+        for first, last in zip(cuts[:-1], cuts[1:]):
+            who, which = i[first:last], j[first:last]
+            n = counts[which]
+            at, own = _runs(begins[which], n), np.repeat(np.arange(len(who)), n)
+            sx, sy = x[who][own], y[who][own]
+            areas = _shared_areas(px[at] - sx, py[at] - sy, qx[at] - sx, qy[at] - sy, r)
+            rings = ring[at]
+            new = np.flatnonzero(np.r_[True, (own[1:] != own[:-1]) | (rings[1:] != rings[:-1])])
+            whole = np.abs(np.add.reduceat(areas, new))
+            yield who, which, np.bincount(own[new], np.where(rings[new] == 0, whole, -whole), len(who))
+
+
+def _blocks(df: DataFrame, sizes: DataFrame, most: int, key: Sequence[str], item: Sequence[str], name: str) -> DataFrame:
+    """(__cx, __cy, name): the items of every cell in lists of about ``most`` in size, dealt by a hash of their key; sizes are (__cx, __cy, __n)."""
+    cell = ["__cx", "__cy"]
+    parts = sizes.groupBy(*cell).agg(F.ceil(F.sum("__n") / most).alias("__parts"))
+    dealt = df.join(parts, cell).withColumn("__block", F.pmod(F.xxhash64(*key), F.col("__parts")))
+    return dealt.groupBy(*cell, "__block").agg(F.collect_list(F.struct(*item)).alias(name)).drop("__block")
+
+
 def disc_overlap(
     points: DataFrame, vertices: DataFrame, radius: float, entity: str, region: str = "id",
     x: str = "x", y: str = "y", same: bool = False,
@@ -220,8 +302,11 @@ def disc_overlap(
 
     Discs meet the boxes of polygons in cells of the disc's width, each pair in one
     cell only. A side adds the area between itself, or the arc where it lies outside,
-    and the centre, signed; sides are summed on the map side, so a polygon of very
-    many vertices is in no single task.
+    and the centre, signed. Polygons travel whole to their cells, where they meet the
+    points in blocks, so pairs are neither moved nor grouped; adaptive execution
+    splits hot cells. Those of too many sides for that (``SIDES``, ``CARRIED``) are
+    joined to their pairs side by side and summed on the map side, so a polygon of
+    very many vertices is in no single task.
     """
     if not radius > 0:
         raise ValueError("the radius must be positive")
@@ -232,20 +317,56 @@ def disc_overlap(
     part = F.when(F.col("__ring") == 0, F.col("__s")).otherwise(-F.col("__s"))
     rings = edges.groupBy("__g", "__ring").agg(
         outline(F.min, "__px").alias("__x0"), outline(F.max, "__px").alias("__x1"), outline(F.min, "__py").alias("__y0"),
-        outline(F.max, "__py").alias("__y1"), F.abs(F.sum(F.expr("(__px + __qx) * (__qy - __py) / 2D"))).alias("__s"))
-    regions = rings.groupBy("__g").agg(*[F.max(c).alias(c) for c in ("__x0", "__x1", "__y0", "__y1")], F.sum(part).alias("__area"))
+        outline(F.max, "__py").alias("__y1"), F.abs(F.sum(F.expr("(__px + __qx) * (__qy - __py) / 2D"))).alias("__s"),
+        F.count(F.lit(1)).alias("__n"))
+    place = lambda c: f"cast(floor(({c}) / {side}) as bigint)"
+    across = lambda low, high: f"({place(high)} - {place(low)} + 1)"
+    regions = rings.groupBy("__g").agg(
+        *[F.max(c).alias(c) for c in ("__x0", "__x1", "__y0", "__y1")], F.sum(part).alias("__area"), F.sum("__n").alias("__n"),
+    ).where("__x0 is not null").withColumn("__whole", F.expr(
+        f"__n <= {SIDES} or __n * cast({across('__x0', '__x1')} as double) * {across('__y0', '__y1')} <= {CARRIED}"))
+    regions = stored(regions)
 
     def cells(df: DataFrame, west: str, east: str, south: str, north: str) -> DataFrame:
-        place = "cast(floor(({}) / " + side + ") as bigint)"
-        out = df.selectExpr("*", f"explode(sequence({place.format(west)}, {place.format(east)})) as __cx")
-        return out.selectExpr("*", f"explode(sequence({place.format(south)}, {place.format(north)})) as __cy")
+        out = df.selectExpr("*", f"explode(sequence({place(west)}, {place(east)})) as __cx")
+        return out.selectExpr("*", f"explode(sequence({place(south)}, {place(north)})) as __cy")
 
     asked = cells(spots, f"__x - {r}", f"__x + {r}", f"__y - {r}", f"__y + {r}")
-    pairs = asked.join(cells(regions.where("__x0 is not null"), "__x0", "__x1", "__y0", "__y1"), ["__cx", "__cy"]).where(
+    near = lambda chosen: cells(regions.where(chosen).drop("__whole"), "__x0", "__x1", "__y0", "__y1")
+    sides = F.sort_array(F.collect_list(F.struct("__ring", "__px", "__py", "__qx", "__qy"))).alias("__sides")
+    spot, polygon = ["__e", "__x", "__y"], ["__g", "__area", "__x0", "__x1", "__y0", "__y1", "__sides"]
+    polygons = near("__whole").join(edges.groupBy("__g").agg(sides), "__g")
+    here = _blocks(asked, asked.withColumn("__n", F.lit(1)), BLOCK_POINTS, spot, spot, "__points").join(
+        _blocks(polygons, near("__whole"), BLOCK_SIDES, ["__g"], polygon, "__polygons"), ["__cx", "__cy"])
+
+    def meet(batches):
+        for batch in batches:
+            (asking, asking_at), (offered, offered_at) = _items(batch.column("__points")), _items(batch.column("__polygons"))
+            for k, (cx, cy) in enumerate(zip(batch.column("__cx").to_pylist(), batch.column("__cy").to_pylist())):
+                own, around = asking[asking_at[k]:asking_at[k + 1]], offered[offered_at[k]:offered_at[k + 1]]
+                e, g, area = own.field("__e"), around.field("__g"), around.field("__area")
+                for who, which, shared in _met(own, around, float(radius), cx, cy):
+                    who, which = pa.array(who), pa.array(which)
+                    yield pa.RecordBatch.from_arrays([e.take(who), g.take(which), area.take(which), pa.array(shared)], found.names)
+
+    found = StructType([StructField("__e", spots.schema["__e"].dataType), StructField("__g", edges.schema["__g"].dataType)]).add(
+        "__area", "double").add("overlap_area", "double")
+    shared = here.mapInArrow(meet, found)
+    if regions.where("not __whole").limit(1).count():
+        shared = shared.unionByName(_by_side(asked, near("not __whole"), edges, r, side, part))
+    if same:
+        shared = shared.where("not (__e <=> __g)")
+    # Rounding leaves about 1e-16 of the disc where a polygon only touches it.
+    return shared.where(F.col("overlap_area") > radius * radius * 1e-12).select(
+        F.col("__e").alias(entity), F.col("__g").alias(region if region != entity else "neighbor"),
+        F.col("__area").alias("region_area"), "overlap_area")
+
+
+def _by_side(asked: DataFrame, regions: DataFrame, edges: DataFrame, r: str, side: str, part: Column) -> DataFrame:
+    """``disc_overlap`` of polygons of many sides: a row per pair and side, summed on the map side."""
+    pairs = asked.join(regions, ["__cx", "__cy"]).where(
         f"__cx = floor(greatest(__x - {r}, __x0) / {side}) and __cy = floor(greatest(__y - {r}, __y0) / {side}) and "
         f"pow(greatest(__x0 - __x, __x - __x1, 0D), 2) + pow(greatest(__y0 - __y, __y - __y1, 0D), 2) < {r} * {r}")
-    if same:
-        pairs = pairs.where("not (__e <=> __g)")
     sides = pairs.select("__e", "__x", "__y", "__g", "__area").join(edges, "__g").selectExpr(
         "__e", "__x", "__y", "__g", "__area", "__ring", "__px - __x as ax", "__py - __y as ay", "__qx - __x as bx", "__qy - __y as by",
     ).selectExpr("*", "bx - ax as dx", "by - ay as dy").selectExpr("*", "dx * dx + dy * dy as dd", "ax * dx + ay * dy as ad").where("dd > 0").selectExpr(
@@ -258,11 +379,7 @@ def disc_overlap(
               f" else {r} * {r} * {angle('a', 'b')} end / 2D")
     pair = ["__e", "__x", "__y", "__g", "__area"]
     shared = sides.groupBy(*pair, "__ring").agg(F.abs(F.sum(F.expr(signed))).alias("__s"))
-    shared = shared.groupBy(*pair).agg(F.sum(part).alias("overlap_area"))
-    # Rounding leaves about 1e-16 of the disc where a polygon only touches it.
-    return shared.where(F.col("overlap_area") > radius * radius * 1e-12).select(
-        F.col("__e").alias(entity), F.col("__g").alias(region if region != entity else "neighbor"),
-        F.col("__area").alias("region_area"), "overlap_area")
+    return shared.groupBy(*pair).agg(F.sum(part).alias("overlap_area")).select("__e", "__g", "__area", "overlap_area")
 
 
 def nearby_density(

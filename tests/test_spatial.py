@@ -265,3 +265,37 @@ def test_equal_places_of_an_entity_ask_once(spark):
                                   "e string, c int, lat double, lon double, area double, land_share double")
     got = rows(spatial.radius_overlap(cells, 25.0, "e", "c"))
     assert got == [("a", "b", 5.0, 0.7, 3.5, 2.0, 0.5), ("b", "a", 40.0, 0.5, 20.0, 40.0, 20.0)]
+
+
+def _crowd(spark):
+    """Stars with a hole, and points, that mostly meet."""
+    rnd = random.Random(7)
+    shapes = {}
+    for i in range(40):
+        cx, cy = rnd.uniform(-3, 3), rnd.uniform(-3, 3)
+        ring = [(cx + v * math.cos(math.pi * j / 6), cy + v * math.sin(math.pi * j / 6)) for j, v in enumerate(rnd.uniform(0.8, 4) for _ in range(12))]
+        hole = [(cx - 0.2, cy - 0.2), (cx + 0.2, cy - 0.2), (cx, cy + 0.3)]
+        shapes[f"s{i}"] = [ring[::-1] if i % 3 else ring, *([hole] if i % 2 else [])]
+    points = spark.createDataFrame([(i, rnd.uniform(-3, 3), rnd.uniform(-3, 3)) for i in range(50)], "e long, x double, y double")
+    return points, _vertices(spark, shapes)
+
+
+def test_disc_overlap_of_wide_polygons_equals_that_of_small_blocks(spark, monkeypatch):
+    points, vertices = _crowd(spark)
+    key = lambda df: {(r["e"], r["id"]): (r["region_area"], r["overlap_area"]) for r in df.collect()}
+    whole = key(spatial.disc_overlap(points, vertices, 1.5, "e"))
+    assert len(whole) > 1000
+    for limits in ({"SIDES": 0, "CARRIED": 0}, {"SIDES": 12, "CARRIED": 0}, {"BLOCK_POINTS": 3, "BLOCK_SIDES": 20, "AT_ONCE": 30}):
+        with monkeypatch.context() as m:
+            for k, v in limits.items():
+                m.setattr(spatial, k, v)
+            other = key(spatial.disc_overlap(points, vertices, 1.5, "e"))
+        assert set(other) == set(whole)
+        assert all(close(a, b) for k in whole for a, b in zip(whole[k], other[k]))
+
+
+def test_disc_overlap_moves_no_pairs(spark):
+    points, vertices = _crowd(spark)
+    plan = spatial.disc_overlap(points, vertices, 1.5, "e")._jdf.queryExecution().executedPlan().toString()
+    # What a plan lists first is done last: the pairs are made after the last exchange.
+    assert "MapInArrow" in plan and "Exchange" not in plan[:plan.index("MapInArrow")]
