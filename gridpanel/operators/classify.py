@@ -4,14 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
+from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridpanel.functions.expressions import normal_tail, quoted, ratio
-from gridpanel.operators.forest import BalancedForest, balanced_forest
+from gridpanel.operators.forest import Forest, balanced_forest, random_forest
 from gridpanel.operators.ordered import exact_quantiles, running, to_long
 from gridpanel.operators.vector_neighbors import knn_vectors
 
@@ -104,12 +104,6 @@ def logistic(df: DataFrame, label: str, features: Sequence[str], balanced: bool
     return model, df.sparkSession.createDataFrame(rows, "term string, coef double")
 
 
-def random_forest(df: DataFrame, label: str, features: Sequence[str], trees: int = 100, depth: int = 10, seed: int = 42):
-    """Forest on the rows as they are; ``forest.balanced_forest`` gives each tree a class-balanced draw."""
-    data = assemble(df.select(label, *[quoted(f) for f in features]), features)
-    return RandomForestClassifier(featuresCol="features", labelCol=label, numTrees=trees, maxDepth=depth, seed=seed).fit(data)
-
-
 def feature_importance(spark, model, features: Sequence[str]) -> DataFrame:
     rows = sorted(zip(features, map(float, model.featureImportances.toArray()), strict=True), key=lambda r: -r[1])
     return spark.createDataFrame(rows, "feature string, importance double")
@@ -117,7 +111,7 @@ def feature_importance(spark, model, features: Sequence[str]) -> DataFrame:
 
 def predict(model, df: DataFrame, features: Sequence[str]) -> DataFrame:
     """Adds ``predicted`` (0/1) and ``score`` (probability of class 1)."""
-    if isinstance(model, BalancedForest):
+    if isinstance(model, Forest):
         return model.predict(df)
     out = model.transform(assemble(df, features))
     score = vector_to_array("probability")[1]

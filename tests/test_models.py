@@ -580,3 +580,67 @@ def test_sums_of_many_models_equal_a_plain_count(spark, monkeypatch):
         spark.conf.set("spark.sql.shuffle.partitions", before)
     assert rows_.df.select("_metadata.file_path").distinct().count() == 8 and rows_.df.count() == 700
     rows_.drop()
+
+
+def test_many_draws_are_sums_of_single_ones():
+    from gridpanel.operators import forest
+
+    hashes = np.random.default_rng(3).integers(-(2**63), 2**63 - 1, 6_000)
+    n = np.repeat([1, 3, 8, 9, 40, 5_000], 1_000)
+    counts = forest.many_draws(hashes, n, np.arange(20), 42)
+    for mean in np.unique(n):
+        own = counts[n == mean].ravel()
+        assert abs(own.mean() - mean) < 5 * (mean / 20_000) ** 0.5 and abs(own.var() / mean - 1) < 0.1
+    assert abs(np.corrcoef(counts[n == 40].T)[0, 1:]).max() < 0.15
+    # Neither the other rows nor the other trees of a call matter.
+    assert (forest.many_draws(hashes[::-1].copy(), n[::-1], np.array([4, 11]), 42) == counts[::-1][:, [4, 11]]).all()
+
+
+def test_random_forest_counts_every_row_but_walks_equal_ones_once(spark, monkeypatch):
+    """80,000 rows that agree in few intervals are few rows to the trees, and weigh what they are."""
+    from gridpanel.operators import forest
+
+    stored, seen = forest.Stored, []
+
+    class Seen(stored):
+        def __init__(self, df):
+            super().__init__(df)
+            seen.append(self.df.agg(F.count(F.lit(1)), F.sum("n")).first())
+
+    monkeypatch.setattr(forest, "Stored", Seen)
+    df = spark.range(80_000).select((F.col("id") % 7).cast("double").alias("a"), (F.col("id") % 11).cast("double").alias("b"), (F.col("id") % 7 >= 3).cast("int").alias("y"))
+    model = classify.random_forest(df, "y", ["a", "b"], trees=8)
+    assert tuple(seen[0]) == (77, 80_000)
+    r = classify.classification_report(classify.predict(model, df, ["a", "b"]), "y", "predicted").first()
+    assert r["accuracy"] == 1.0 and r["tp"] + r["tn"] == 80_000
+    again = classify.random_forest(df.repartition(3), "y", ["a", "b"], trees=8)
+    assert [t.arrays()[1].tolist() for t in again.trees] == [t.arrays()[1].tolist() for t in model.trees]
+
+
+def test_random_forest_of_three_classes(spark):
+    rnd = np.random.default_rng(2)
+    x = rnd.normal(size=(3_000, 4))
+    y = (x[:, 0] > 0).astype(int) + ((x[:, 0] > 0) & (x[:, 1] > 0.3))
+    df = spark.createDataFrame([(int(c), *map(float, row)) for c, row in zip(y, x, strict=True)], "y int, a double, b double, c double, d double").repartition(4)
+    df = df.unionByName(spark.createDataFrame([(1, None, 0.0, 0.0, 0.0), (None, float("nan"), 0.0, 0.0, 0.0)], df.schema))
+    names = ["a", "b", "c", "d"]
+    model = classify.random_forest(df, "y", names, trees=20, depth=6)
+    scored = classify.predict(model, df, names)
+    assert scored.columns == [*df.columns, "score", "predicted"] and scored.count() == 3_000
+    assert scored.where("y = predicted").count() > 2_850 and scored.where("score between 0 and 1").count() == 3_000
+    few = classify.random_forest(df, "y", names[:2], trees=5, depth=4, bins=8)  # a table of scores
+    bins = forest_bins(few, x[:, :2])
+    from gridpanel.operators import forest
+    walked = sum(t.arrays()[4][forest._places(t.arrays(), bins)] for t in few.trees) / 5
+    found = classify.predict(few, df.where("a is not null and not isnan(a)").select("a", "b"), names[:2]).select("a", "score").collect()
+    want = dict(zip(x[:, 0].tolist(), walked[:, 1].tolist(), strict=True))
+    assert all(close(r["score"], want[r["a"]]) for r in found)
+    for bad in (df.where("y = 0"), df.withColumn("y", F.lit(None).cast("int")), df.withColumn("y", F.col("y") - 0.5)):
+        with pytest.raises(ValueError):
+            classify.random_forest(bad, "y", names)
+
+
+def forest_bins(model, x):
+    from gridpanel.operators import forest
+
+    return forest._binned(x, model.cuts)
