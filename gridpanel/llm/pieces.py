@@ -3,11 +3,12 @@
 Texts fall into units at places that no piece of the vocabulary crosses, so units
 are segmented on their own, and each distinct one only once. Of every unit, the
 substrings up to the longest piece are exploded and joined with the piece table;
-the pieces found are the edges of its lattice, grouped by unit, and a higher-order
-fold reads the segmentation off them. For a unigram model that is Viterbi, the path
-with the largest sum of scores. For a BPE model the same sum gives other pieces
-than the model means, so there the fold applies the model's rule: again and again
-it joins the two neighbours whose union is the edge with the best score.
+the pieces found are the edges of its lattice, grouped by unit, and a fold reads the
+segmentation off them. For a unigram model that is Viterbi, the path with the
+largest sum of scores, as a higher-order function. For a BPE model the same sum
+gives other pieces than the model means, so there the fold applies the model's
+rule, to a batch of units at once: again and again it joins the two neighbours
+whose union is the edge with the best score.
 
 Texts travel in compressed chunks, once; what they exchange with the units are
 packed arrays per chunk and bucket of units.
@@ -15,12 +16,14 @@ packed arrays per chunk and bucket of units.
 
 from __future__ import annotations
 
+import ctypes
 import heapq
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -33,6 +36,9 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 CHUNK_BYTES = 4 << 20  # text of a chunk
 LONG = 200  # code points of a unit from which it is segmented in a loop of its own, not in the fold, whose time is quadratic
 BUCKET_UNITS = 60_000
+WIDTHS = (4, 6, 8, 10, 12, 16, 24, 32, 48, 64, 96, 128, LONG)  # code points of units that are folded together
+CELLS = 1 << 18  # starts and sizes of such units
+FOLDED = 2_000  # units of a batch
 _MARK = "▁".encode()
 UNKNOWN_PENALTY = 10.0  # below the least score, as the library has it
 
@@ -94,6 +100,14 @@ def read_model(path: str = MODEL) -> Model:
 # --- packed tables --------------------------------------------------------------
 
 
+def release() -> None:
+    """Give freed memory back, which idle workers would otherwise keep beside the running ones."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def to_blob(table: pa.Table, level: int = 3) -> bytes:
     sink = pa.BufferOutputStream()
     with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", level))) as out:
@@ -113,11 +127,15 @@ def chunked(batches, text_col: str):
             held.append(part)
             size += part.column(part.schema.get_field_index(text_col)).nbytes
             if size >= CHUNK_BYTES:
-                yield pa.Table.from_batches(held)
-                held, size = [], 0
-                pa.default_memory_pool().release_unused()
+                table, held, size = pa.Table.from_batches(held), [], 0
+                del part
+                yield table
+                del table
+                release()
     if held:
         yield pa.Table.from_batches(held)
+        del held
+        release()
 
 
 def keyed_chunks(batches, text_col: str):
@@ -129,7 +147,12 @@ def keyed_chunks(batches, text_col: str):
     task = TaskContext.get().partitionId()
     for place, table in enumerate(chunked(batches, text_col)):
         data, places = W.text_bytes(table.column(text_col))
-        yield xxhash.xxh64_intdigest(np.array([task, place]).tobytes() + places.tobytes() + data.tobytes()) - (1 << 63), table
+        key = xxhash.xxh64(np.array([task, place]).tobytes())
+        key.update(np.ascontiguousarray(places))
+        key.update(np.ascontiguousarray(data))
+        del data, places
+        yield key.intdigest() - (1 << 63), table
+        del table  # before the next chunk is read
 
 
 def text_chunks(df: DataFrame, text_col: str) -> DataFrame:
@@ -137,7 +160,10 @@ def text_chunks(df: DataFrame, text_col: str) -> DataFrame:
 
     def send(batches):
         for key, table in keyed_chunks(batches, text_col):
-            yield pa.RecordBatch.from_arrays([pa.array([key], pa.int64()), pa.array([to_blob(table, 9)], pa.binary())], ["chunk", "data"])
+            found = pa.RecordBatch.from_arrays([pa.array([key], pa.int64()), pa.array([to_blob(table, 9)], pa.binary())], ["chunk", "data"])
+            del table
+            yield found
+            del found
 
     return df.mapInArrow(send, "chunk long, data binary")
 
@@ -175,7 +201,9 @@ class Units:
         self.first, self.bucket = first[order], bucket[order]
         place = np.empty(len(order), np.int32)
         place[order] = np.arange(len(order), dtype=np.int32)
+        del distinct, first, bucket, order
         self.which = place[codes]
+        del codes
         self.starts = np.searchsorted(self.begins, self.places)
 
     def strings(self) -> list[str]:
@@ -187,13 +215,12 @@ class Units:
 
 
 def lattice(units: DataFrame, pieces: DataFrame, longest: int) -> DataFrame:
-    """(bucket, unit, edges): the pieces in each unit as (start, size, id, score); the edge of size 0 stands in every unit."""
+    """(bucket, unit, start, size, id, score): the pieces in each unit; the edge of size 0 stands in every unit."""
     starts = units.select("bucket", "unit", F.length("unit").alias("n")).select("*", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("start"))
     sizes = F.sequence(F.when(F.col("start") == 0, 0).otherwise(1), F.least(F.lit(longest), F.col("n") - F.col("start")))
     spans = starts.select("bucket", "unit", "start", F.explode(sizes).alias("size"))
     spans = spans.withColumn("piece", F.expr("substring(unit, start + 1, size)"))
-    edges = spans.join(F.broadcast(pieces), "piece")
-    return edges.groupBy("unit", "bucket").agg(F.collect_list(F.struct("start", "size", "id", "score")).alias("edges"))
+    return spans.join(F.broadcast(pieces), "piece")
 
 
 def _let(value: Column, use) -> Column:
@@ -201,25 +228,90 @@ def _let(value: Column, use) -> Column:
     return F.element_at(F.transform(F.array(value), use), 1)
 
 
-def merges(unit: str = "unit", edges: str = "edges") -> Column:
-    """Segments (start, size, id) of a BPE model: the pair of neighbours with the best union is joined, the leftmost first."""
-    n = F.length(unit)
-    table = F.map_from_entries(F.transform(edges, lambda e: F.struct(e["start"] * 1024 + e["size"], F.struct(e["score"].alias("score"), e["id"].alias("id")))))
+def _joined(n: np.ndarray, scores: np.ndarray) -> np.ndarray:
+    """Bounds of the segments of units of n code points, a row each, filled up with n.
 
-    def joined(found: Column) -> Column:
-        def step(bounds: Column, _: Column) -> Column:
-            pairs = F.transform(F.sequence(F.lit(0), F.size(bounds) - 3), lambda i: F.struct(
-                F.element_at(found, F.get(bounds, i) * 1024 + F.get(bounds, i + 2) - F.get(bounds, i))["score"].alias("score"), (-i).alias("i")))
-            best = _let(F.array_max(pairs), lambda x: F.when(x["score"].isNull(), bounds).otherwise(
-                F.concat(F.slice(bounds, F.lit(1), 1 - x["i"]), F.slice(bounds, 3 - x["i"], F.size(bounds)))))
-            return F.when(F.size(bounds) < 3, bounds).otherwise(best)
+    ``scores`` has the score of a piece by unit, start and size, and -inf where there is
+    none. In each step every unit joins its pair of neighbours with the best union, the
+    leftmost first; those without a pair are done.
+    """
+    width = scores.shape[1]
+    out = np.minimum(np.arange(width + 1)[None, :], n[:, None])
+    active, bounds = np.flatnonzero(n > 1), out[n > 1]
+    flat, cells = scores.ravel(), width * (width + 1)
+    while len(active):
+        start, stop = bounds[:, :-2], bounds[:, 2:]
+        pairs = flat[active[:, None] * cells + np.minimum(start, width - 1) * (width + 1) + stop - start]
+        pairs[bounds[:, 1:-1] >= n[active][:, None]] = -np.inf
+        best = pairs.argmax(axis=1)
+        going = pairs[np.arange(len(best)), best] > -np.inf
+        done = bounds[~going]
+        out[active[~going], :done.shape[1]], out[active[~going], done.shape[1]:] = done, n[active[~going], None]
+        active, bounds, best = active[going], bounds[going], best[going]
+        keep = np.arange(bounds.shape[1] - 1)[None, :]
+        bounds = np.take_along_axis(bounds, keep + (keep > best[:, None]), axis=1)
+        if bounds.shape[1] < 3:
+            out[active, :bounds.shape[1]], out[active, bounds.shape[1]:] = bounds, n[active, None]
+            break
+    return out
 
-        bounds = F.aggregate(F.sequence(F.lit(1), F.greatest(n - 1, F.lit(1))), F.sequence(F.lit(0), n), step)
-        return _let(bounds, lambda b: F.transform(F.slice(b, F.lit(1), F.size(b) - 1), lambda start, i: F.struct(
-            start.alias("start"), (F.get(b, i + 1) - start).alias("size"),
-            F.element_at(found, start * 1024 + F.get(b, i + 1) - start)["id"].alias("id"))))
 
-    return _let(table, joined)
+def packed() -> Column:
+    """An edge as one number, so that a unit's edges are small to gather and to send; the score is known by the id."""
+    return (F.col("start") * 256 + F.col("size")).cast("long") * 2**32 + F.col("id") + 1
+
+
+class Merges:
+    """The fold of a BPE model: ids of units, as an Arrow array, from their packed edges."""
+
+    def __init__(self, model: Model):
+        self.byte_ids, self.unknown = np.array(model.byte_ids, np.int32), model.unknown
+        self.scores = np.full(max((i for i, _ in model.pieces.values()), default=0) + 1, -np.inf)
+        for i, score in model.pieces.values():
+            self.scores[i] = score
+
+    def __call__(self, unit: pa.Array, edges: pa.Array) -> pa.Array:
+        n = pc.utf8_length(unit).to_numpy(zero_copy_only=False).astype(np.int64)
+        items, lengths = edges.flatten(), edges.value_lengths().to_numpy(zero_copy_only=False)
+        begins = np.cumsum(lengths) - lengths
+        edge = items.to_numpy(zero_copy_only=False)
+        start, size, piece = edge >> 40, edge >> 32 & 255, (edge & (2**32 - 1)) - 1
+        order = np.argsort(n, kind="stable")
+        flats, counts, at = [], [], 0
+        while at < len(order):
+            width = next(w for w in (*WIDTHS, int(n[order[at:]].max())) if w >= n[order[at]])
+            cells = width * (width + 1)
+            end = min(int(np.searchsorted(n[order], width, "right")), at + max(1, CELLS // cells))
+            own = order[at:end]
+            places = np.repeat(begins[own] - (np.cumsum(lengths[own]) - lengths[own]), lengths[own]) + np.arange(lengths[own].sum())
+            whose = np.repeat(np.arange(len(own)), lengths[own])
+            real = size[places] > 0
+            places, whose = places[real], whose[real]
+            cell = whose * cells + start[places] * (width + 1) + size[places]
+            scores, ids = np.full(len(own) * cells, -np.inf), np.full(len(own) * cells, -1, np.int32)
+            scores[cell], ids[cell] = self.scores[piece[places]], piece[places]
+            bounds = _joined(n[own], scores.reshape(len(own), width, width + 1))
+            row, k = np.nonzero(bounds[:, :-1] < bounds[:, 1:])
+            low, high = bounds[row, k], bounds[row, k + 1]
+            found = ids[row * cells + low * (width + 1) + high - low]
+            each = np.ones(len(found), np.int64)
+            lost = np.flatnonzero(found < 0)
+            spelt = []
+            for i in lost.tolist():
+                raw = unit[int(own[row[i]])].as_py()[low[i]:high[i]].encode()
+                spelt.append(self.byte_ids[list(raw)] if len(self.byte_ids) else np.array([self.unknown], np.int32))
+                each[i] = len(spelt[-1])
+            flat = np.repeat(found, each)
+            if spelt:
+                flat[flat < 0] = np.concatenate(spelt)
+            flats.append(flat)
+            counts.append(np.bincount(row, each, len(own)).astype(np.int64))
+            at = end
+        offsets = np.r_[0, np.cumsum(np.concatenate(counts))] if counts else np.zeros(1)
+        lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.concatenate(flats) if flats else [], pa.int32()))
+        back = np.empty(len(order), np.int64)
+        back[order] = np.arange(len(order))
+        return lists.take(pa.array(back))
 
 
 def viterbi(least: float, unit: str = "unit", edges: str = "edges") -> Column:
@@ -313,14 +405,16 @@ def long_ids(text: str, model: Model) -> list[int]:
 
 
 def segmented(units: DataFrame, model: Model) -> DataFrame:
-    """(bucket, unit, ids) of distinct units of up to LONG code points, partitioned as they came."""
+    """(bucket, unit, ids) of distinct units of up to LONG code points, partitioned as they came; for BPE models edges, still to be folded."""
     spark = units.sparkSession
     rows = [("", -1, 0.0), *((p, i, float(s)) for p, (i, s) in model.pieces.items())]
     pieces = spark.createDataFrame(rows, "piece string, id int, score double")
     edges = lattice(units.where(F.length("unit") <= LONG), pieces, model.longest())
+    if model.rule == "merges":
+        return edges.groupBy("unit", "bucket").agg(F.collect_list(packed()).alias("edges"))
+    edges = edges.groupBy("unit", "bucket").agg(F.collect_list(F.struct("start", "size", "id", "score")).alias("edges"))
     edges = edges.withColumn("edges", F.filter("edges", lambda e: e["size"] > 0))
-    fold = merges() if model.rule == "merges" else viterbi(model.least())
-    return edges.select("bucket", "unit", fold.alias("segments")).select("bucket", "unit", piece_ids(F.col("segments"), model).alias("ids"))
+    return edges.select("bucket", "unit", viterbi(model.least()).alias("segments")).select("bucket", "unit", piece_ids(F.col("segments"), model).alias("ids"))
 
 
 def encode(df: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
@@ -339,27 +433,42 @@ def encode(df: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     crossed, prefix = model.crossed(), model.prefix
     shared = spark.sparkContext.broadcast(crossed)
     rules = spark.sparkContext.broadcast(model)
+    fold = spark.sparkContext.broadcast(Merges(model) if model.rule == "merges" else None)
 
     def ask(batches):
         for key, table in keyed_chunks(batches, text_col):
             units = Units(table.column(text_col), shared.value, prefix, buckets)
-            strings = units.strings()
-            edges = np.flatnonzero(np.r_[True, units.bucket[1:] != units.bucket[:-1], True]) if len(strings) else []
+            strings, bucket = units.strings(), units.bucket
+            del units, table
+            edges = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1], True]) if len(strings) else []
             blobs = [to_blob(pa.table({"unit": pa.array(strings[a:b], pa.string())})) for a, b in zip(edges[:-1], edges[1:])]
-            yield pa.RecordBatch.from_arrays([
-                pa.array(units.bucket[edges[:-1]] if len(strings) else [], pa.int64()), pa.array([key] * len(blobs), pa.int64()), pa.array(blobs, pa.binary())],
+            found = pa.RecordBatch.from_arrays([
+                pa.array(bucket[edges[:-1]] if len(strings) else [], pa.int64()), pa.array([key] * len(blobs), pa.int64()), pa.array(blobs, pa.binary())],
                 ["bucket", "chunk", "data"])
+            del strings, bucket, blobs
+            yield found
+            del found
 
     def distinct(table: pa.Table) -> pa.Table:
         found = set()
         for raw in table.column("data").to_pylist():
             found.update(from_blob(raw).column("unit").to_pylist())
+        release()
         return pa.table({"bucket": pa.array([table.column("bucket")[0].as_py()] * len(found), pa.int64()), "unit": pa.array(sorted(found), pa.string())})
 
+    def one(column: pa.ChunkedArray) -> pa.Array:
+        found = column.combine_chunks()
+        return found if isinstance(found, pa.Array) else pa.concat_arrays(found.chunks)
+
     def answer(asked: pa.Table, known: pa.Table) -> pa.Table:
         units = dict(zip(known.column("unit").to_pylist(), range(known.num_rows)))
-        ids = known.column("ids").combine_chunks()
-        ids = ids if isinstance(ids, pa.Array) else pa.concat_arrays(ids.chunks)
+        if fold.value:
+            parts = [known.slice(low, FOLDED).combine_chunks() for low in range(0, known.num_rows, FOLDED)]
+            folded = [fold.value(one(part.column("unit")), one(part.column("edges"))) for part in parts]
+            ids = pa.concat_arrays(folded) if folded else pa.array([], pa.list_(pa.int32()))
+            del parts, folded
+        else:
+            ids = one(known.column("ids"))
         more, blobs = [], []
         for raw in asked.column("data").to_pylist():
             places = []
@@ -373,6 +482,7 @@ def encode(df: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
                 own = pa.array(more[len(ids) - known.num_rows:], pa.list_(pa.int32()))
                 ids = pa.concat_arrays([ids.cast(own.type), own])
             blobs.append(to_blob(pa.table({"ids": ids.take(pa.array(places, pa.int32()))})))
+        release()
         return pa.table({"chunk": asked.column("chunk"), "bucket": asked.column("bucket"), "data": pa.array(blobs, pa.binary())})
 
     names = df.columns
@@ -391,11 +501,13 @@ def encode(df: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
             lengths = np.diff(offsets)[units.which]
             ends = np.cumsum(lengths)
             total = int(ends[-1]) if len(ends) else 0
-            ids = flat[np.arange(total, dtype=np.int32) + np.repeat((offsets[units.which] - (ends - lengths)).astype(np.int32), lengths)] if total else flat[:0]
-            bounds = np.r_[0, ends][units.starts]
+            bounds, shift = np.r_[0, ends][units.starts], (offsets[units.which] - (ends - lengths)).astype(np.int32)
+            del units, ends
+            ids = flat[np.arange(total, dtype=np.int32) + np.repeat(shift, lengths)] if total else flat[:0]
+            del shift, lengths
             own = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(ids, pa.int32()))
             out.append(pa.table({**{c: table.column(c) for c in names}, "ids": own, "n_tokens": pa.array(np.diff(bounds), pa.int64())}))
-            pa.default_memory_pool().release_unused()
+            release()
         return pa.concat_tables(out)
 
     asked = df.mapInArrow(ask, "bucket long, chunk long, data binary").repartition(buckets, "bucket").groupBy("bucket")
@@ -433,6 +545,7 @@ def decode(df: DataFrame, model: Model, ids_col: str = "ids", out_col: str = "de
                         own = own[1:]
                     texts.append(None if null else own.decode("utf-8", "replace"))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], [*batch.schema.names, out_col])
+        release()
 
     schema = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in df.schema.fields)
     return df.mapInArrow(run, f"{schema}`{out_col}` string")

@@ -291,3 +291,27 @@ def test_text_bytes_of_slices():
     column = pa.array(["ab", None, "c d", ""])
     data, places = W.text_bytes(column.slice(1))
     assert bytes(data) == b"c d" and places.tolist() == [0, 0, 3, 3]
+
+
+def test_batches_of_units_fold_to_the_ids_of_the_library(monkeypatch):
+    """Units of one character to the longest, known pieces and unknown ones, edges in any order, whole and in small groups."""
+    model, known = pieces.read_model(), sentencepiece.SentencePieceProcessor(model_file=pieces.MODEL)
+    rnd = np.random.default_rng(5)
+    longest = model.longest()
+    units = ["".join(rnd.choice(list("the ingandeé漢😀\n"), rnd.choice([1, 2, 3, 5, 9, 17, 60, pieces.LONG]))) for _ in range(150)]
+
+    def edges(unit):
+        found = [0]  # the edge of size 0
+        for i in range(len(unit)):
+            found += [(i * 256 + j - i) * 2**32 + model.pieces[unit[i:j]][0] + 1
+                      for j in range(i + 1, min(len(unit), i + longest) + 1) if unit[i:j] in model.pieces]
+        return rnd.permutation(found).tolist()
+
+    kind = pa.list_(pa.int64())
+    table = pa.table({"unit": units, "edges": pa.array([edges(u) for u in units], kind)})
+    want = [known.encode(u[1:]) if u[:1] == " " and u[1:2] not in ("", " ") else pieces.long_ids(u, model) for u in units]
+    for cells in (pieces.CELLS, 1):
+        monkeypatch.setattr(pieces, "CELLS", cells)
+        got = [ids for low in (0, 70) for ids in pieces.Merges(model)(*(c.slice(low, 70 if not low else 80).combine_chunks() for c in table.columns)).to_pylist()]
+        assert got == want
+    assert pieces.Merges(model)(pa.array([], pa.string()), pa.array([], kind)).to_pylist() == []
