@@ -52,6 +52,17 @@ def test_pairs_within(spark, points):
     assert got == {(i, j) for i, a, b in points for j, c, d in points if i != j and miles(a, b, c, d) <= 60}
 
 
+def test_all_pairs_without_a_radius(spark, points, monkeypatch):
+    """Every ordered pair, far ones too; a point without a place has no distances."""
+    monkeypatch.setattr(neighbors, "PAIR_BLOCK", 50)  # several blocks on small data
+    df = spark.createDataFrame([*points, (5000, None, 1.0), (5001, float("nan"), 1.0), (None, 1.0, 1.0)], "id int, lat double, lon double")
+    got = {(r[0], r[1]): r[2] for r in neighbors.pair_distances(df, "id").collect()}
+    want = {(i, j): miles(a, b, c, d) for i, a, b in points for j, c, d in points if i != j}
+    assert all(abs(got.pop(p) - far) < 1e-6 for p, far in want.items())
+    ids = [p[0] for p in points]
+    assert got == {p: None for j in (5000, 5001) for i in [*ids, 5000, 5001] if i != j for p in ((i, j), (j, i))}
+
+
 @pytest.mark.parametrize("apart", ["id", "fold", None])
 @pytest.mark.parametrize("kind", ["cloud", "ties"])
 def test_vector_knn_is_exact(spark, apart, kind, monkeypatch):
