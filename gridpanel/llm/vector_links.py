@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -26,9 +27,12 @@ from gridpanel.llm.common import components
 from gridpanel.session import Stored
 
 SAMPLE = 20_000  # expected vectors that anchors are chosen from
-CELL = 2_000  # vectors per anchor
-BLOCK = 4_000  # vectors of a cell in one block; two blocks meet in a task
+CELL = 8_000  # vectors per anchor, and in one block of a cell's own
+BLOCK = 16_384  # visitors of a cell in one block; a block of its own meets one of its own or of its visitors in a task
+FEW = 2_000  # both are fewer for vectors of more than NUMBERS / BLOCK components, but not below this
+NUMBERS = 1 << 20
 LEAF = 256  # vectors that are compared by one matrix product
+LOOSE = 16  # so many thin groups in a row, and what is left goes to leaves
 EPS = 1e-9
 
 
@@ -66,12 +70,15 @@ class Node:
         self.children: list[Node] = []
         if len(members) <= LEAF or self.radius <= 1e-6:
             return
-        rest, groups, small = members, [], []
-        while len(rest):
+        rest, groups, small, thin = members, [], [], 0
+        while len(rest) and thin < LOOSE:
             near = apart(u[rest], u[rest[:1]])[:, 0] <= self.radius / 2
             near[0] = True
             groups.append(rest[near])
             rest = rest[~near]
+            thin = thin + 1 if len(groups[-1]) < LEAF // 4 else 0
+        if len(rest):
+            small.append(rest)
         for group in sorted(groups, key=len, reverse=True):
             if len(group) >= LEAF // 4 and len(group) < len(members):
                 self.children.append(Node(u, group))
@@ -138,18 +145,43 @@ class Links:
             self._join(np.append(columns[hit[i]], rows[i]))
 
 
-def _units(batch: pa.RecordBatch):
-    """(row, unit vector in double precision, bytes of the vector as given) of the vectors that can link."""
-    labels = batch.column("label").to_pylist()
-    for row, values in enumerate(batch.column("vector").to_pylist()):
-        if labels[row] is None or not values or any(v is None for v in values):
-            continue
-        v = np.array(values, float)
-        if np.isfinite(v).all():
-            v = v / max(np.abs(v).max(), 1e-300)
-            norm = np.sqrt(v @ v)
-            if norm > 0:
-                yield row, v / norm, np.array(values, float).tobytes()
+def _scaled(x: np.ndarray) -> np.ndarray:
+    """Unit vectors of the rows, in double precision; rows of zeros become NaN."""
+    with np.errstate(divide="ignore", invalid="ignore"):
+        x = x / np.maximum(np.abs(x).max(axis=1), 1e-300)[:, None]
+        return x / np.sqrt((x * x).sum(axis=1))[:, None]
+
+
+def _vectors(given: list[bytes], width: int) -> np.ndarray:
+    """Unit vectors from the bytes of vectors as given, which are single precision where that loses nothing."""
+    if all(len(b) == 4 * width for b in given):
+        return _scaled(np.frombuffer(b"".join(given), np.float32).reshape(-1, width).astype(float))
+    return _scaled(np.array([np.frombuffer(b, np.float32 if len(b) == 4 * width else float) for b in given], float))
+
+
+def _width(place: str) -> int:
+    return int(place.split(":", 1)[0])
+
+
+def _given(batch: pa.RecordBatch):
+    """(row, components, bytes of the vector as given in double precision, the same in as few bytes as hold it) of the vectors that can link."""
+    column = batch.column("vector")
+    sizes = pc.list_value_length(column).fill_null(0).to_numpy(zero_copy_only=False)
+    known = batch.column("label").is_valid().to_numpy(zero_copy_only=False) & (sizes > 0)
+    values = column.flatten().to_numpy(zero_copy_only=False).astype(float)  # nulls become NaN
+    starts = np.cumsum(sizes) - sizes
+    for width in np.unique(sizes[known]):
+        rows = np.flatnonzero(known & (sizes == width))
+        x = values[starts[rows][:, None] + np.arange(width)]
+        good = np.isfinite(x).all(axis=1) & (np.abs(x).max(axis=1) > 0)
+        good[good] = np.isfinite(_scaled(x[good])).all(axis=1)
+        rows, x = rows[good], x[good]
+        with np.errstate(over="ignore"):
+            single = x.astype(np.float32)
+        exact = (single.astype(float) == x).all(axis=1)
+        for i, row in enumerate(rows):
+            full = x[i].tobytes()
+            yield int(row), int(width), full, single[i].tobytes() if exact[i] else full
 
 
 def link_vectors(df: DataFrame, cosine: float = 0.93, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label") -> DataFrame:
@@ -169,9 +201,9 @@ def link_vectors(df: DataFrame, cosine: float = 0.93, id_col: str = "vec_id", ve
             n = batch.num_rows
             places, nodes, units = [None] * n, [None] * n, [None] * n
             labels = batch.column("label").to_pylist()
-            for row, unit, given in _units(batch):
-                place = f"{len(unit)}:{labels[row]}"
-                places[row], units[row] = place, unit.tobytes()
+            for row, width, given, least in _given(batch):
+                place = f"{width}:{labels[row]}"
+                places[row], units[row] = place, least
                 nodes[row] = xxhash.xxh64_intdigest(place.encode() + b"\x00" + given) - (1 << 63)
             yield pa.RecordBatch.from_arrays([batch.column("vec_id"), pa.array(places, pa.string()), pa.array(nodes, pa.int64()), pa.array(units, pa.binary())],
                                              ["vec_id", "place", "node", "unit"])
@@ -185,11 +217,11 @@ def link_vectors(df: DataFrame, cosine: float = 0.93, id_col: str = "vec_id", ve
     sample: dict[str, list] = {}
     if large:
         for r in nodes.df.where(F.col("place").isin(list(large)) & draw).select("place", "unit").orderBy("place", "node").collect():
-            sample.setdefault(r[0], []).append(np.frombuffer(r[1]))
+            sample.setdefault(r[0], []).append(bytes(r[1]))
     anchors = {}
-    for place, vectors in sample.items():
-        vectors = np.array(vectors)
-        anchors[place] = vectors[net(vectors, -(-large[place] // CELL))]
+    for place, given in sample.items():
+        vectors = _vectors(given, _width(place))
+        anchors[place] = vectors[net(vectors, -(-large[place] // max(min(FEW, CELL), min(CELL, NUMBERS // 2 // _width(place)))))]
     shared = spark.sparkContext.broadcast(anchors)
 
     def assign(batches):
@@ -199,7 +231,7 @@ def link_vectors(df: DataFrame, cosine: float = 0.93, id_col: str = "vec_id", ve
             cells, far = np.zeros(len(places), np.int64), np.zeros(len(places))
             for place in set(places) & set(anchors):
                 at = np.array([i for i, p in enumerate(places) if p == place])
-                d = apart(np.array([np.frombuffer(units[i]) for i in at]), anchors[place])
+                d = apart(_vectors([units[i] for i in at], _width(place)), anchors[place])
                 cells[at], far[at] = d.argmin(1), d.min(1)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(cells), pa.array(far)], [*batch.schema.names, "cell", "far"])
 
@@ -218,7 +250,7 @@ def link_vectors(df: DataFrame, cosine: float = 0.93, id_col: str = "vec_id", ve
             rows, cells = [np.arange(len(places))], [own]
             for place in set(places) & set(anchors):
                 at = np.array([i for i, p in enumerate(places) if p == place])
-                d = apart(np.array([np.frombuffer(units[i]) for i in at]), anchors[place])
+                d = apart(_vectors([units[i] for i in at], _width(place)), anchors[place])
                 i, j = np.nonzero((d <= radii[place] + limit + EPS) & (np.arange(d.shape[1]) > own[at][:, None]))
                 rows.append(at[i])
                 cells.append(j)
@@ -227,38 +259,42 @@ def link_vectors(df: DataFrame, cosine: float = 0.93, id_col: str = "vec_id", ve
             yield pa.RecordBatch.from_arrays([*out.columns, pa.array(cells), pa.array(np.arange(len(rows)) < batch.num_rows)], [*out.schema.names, "cell", "home"])
 
     visits = homes.df.mapInArrow(visit, "node long, place string, copies long, unit binary, cell long, home boolean")
-    sizes = Stored(visits.groupBy("place", "cell").count().where(F.col("count") > BLOCK).select("place", "cell", F.ceil(F.col("count") / BLOCK).alias("blocks")))
-    blocked = visits.join(sizes.df, ["place", "cell"], "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
-    blocked = blocked.withColumn("block", F.pmod(F.xxhash64(F.lit(5), "node"), F.col("blocks")))
-    blocked = blocked.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-    blocked = blocked.withColumn("low", F.least("block", "other")).withColumn("high", F.greatest("block", "other"))
+    width = F.expr("cast(split(place, ':')[0] as long)")
+    held = lambda most, numbers: F.greatest(F.lit(min(FEW, most)), F.least(F.lit(most), F.floor(F.lit(numbers) / width)))
+    counts = visits.groupBy("place", "cell").agg(F.count_if("home").alias("own"), F.count_if(~F.col("home")).alias("visitors"))
+    counts = counts.select("place", "cell", F.ceil(F.col("own") / held(CELL, NUMBERS // 2)).alias("own"), F.ceil(F.col("visitors") / held(BLOCK, NUMBERS)).alias("visitors"))
+    sizes = Stored(counts.where("own > 0 and (own > 1 or visitors > 0)"))
+    blocked = visits.join(sizes.df, ["place", "cell"], "left").withColumns({"own": F.coalesce("own", F.lit(1)), "visitors": F.coalesce("visitors", F.lit(0))})
+    blocked = blocked.withColumn("block", F.pmod(F.xxhash64(F.lit(5), "node"), F.greatest(F.when(F.col("home"), F.col("own")).otherwise(F.col("visitors")), F.lit(1))))
+    # A task has two blocks of a cell's own vectors, or one of them and one of visitors; visitors do not meet here.
+    blocked = blocked.selectExpr(
+        "node", "place", "copies", "unit", "cell", "home", "block", """inline(if(home,
+        concat(transform(sequence(0L, own - 1), j -> struct(least(block, j) as low, greatest(block, j) as high, true as alone)),
+               transform(if(visitors > 0, sequence(0L, visitors - 1), cast(array() as array<bigint>)), j -> struct(block as low, j as high, false as alone))),
+        transform(sequence(0L, own - 1), i -> struct(i as low, block as high, false as alone))))""")
 
     def compare(table: pa.Table) -> pa.Table:
-        u = np.array([np.frombuffer(b) for b in table.column("unit").to_pylist()])
+        u = _vectors(table.column("unit").to_pylist(), _width(table.column("place")[0].as_py()))
         links = Links(u, table.column("copies").to_numpy(), cosine)
         home, block = np.asarray(table.column("home")), table.column("block").to_numpy()
-        low, high = table.column("low")[0].as_py(), table.column("high")[0].as_py()
+        low, high, alone = (table.column(n)[0].as_py() for n in ("low", "high", "alone"))
         order = np.argsort(table.column("node").to_numpy())
 
         def tree(mask):
             members = order[mask[order]]
             return Node(u, members) if len(members) else None
 
-        parts = {(b, h): tree((block == b) & (home == h)) for b in {low, high} for h in (True, False)}
-        if low == high:
-            pairs = [((low, True), (low, False))]
-            if parts[low, True]:
-                links.within(parts[low, True])
+        if alone and low == high:
+            links.within(tree(home))
         else:
-            pairs = [((low, True), (high, True)), ((low, True), (high, False)), ((low, False), (high, True))]
-        for a, b in pairs:
-            if parts[a] and parts[b]:
-                links.between(parts[a], parts[b])
+            a, b = (tree(block == low), tree(block == high)) if alone else (tree(home), tree(~home))
+            if a and b:
+                links.between(a, b)
         some = np.flatnonzero(links.counts > 0)
         keys = table.column("node").to_numpy()
         return pa.table({"node": keys[some], "n": links.counts[some], "root": keys[links.label[some]]})
 
-    task = blocked.groupBy("place", "cell", "low", "high")
+    task = blocked.groupBy("place", "cell", "low", "high", "alone")
     found = Stored(task.applyInArrow(compare, "node long, n long, root long"))
     trees = components(found.df.select("node", "root"))
     linked = found.df.groupBy("node").agg(F.sum("n").alias("n"))

@@ -207,6 +207,32 @@ def test_vector_trees(monkeypatch):
         assert len(set(zip(label, links.label))) == len(set(label)) == len(set(links.label))
 
 
+def test_vector_trees_without_structure(monkeypatch):
+    """Where no vector is near another one a tree stops looking for groups and compares leaves."""
+    calls, plain = [], vector_links.apart
+    monkeypatch.setattr(vector_links, "apart", lambda u, v: calls.append(len(u)) or plain(u, v))
+    u = np.random.default_rng(5).normal(size=(3000, 64))
+    u[2900:2950] = u[:50] + 0.01
+    u /= np.linalg.norm(u, axis=1)[:, None]
+    node = vector_links.Node(u, np.arange(3000))
+    assert len(calls) < 100
+    links = vector_links.Links(u, np.ones(3000), 0.93)
+    links.within(node)
+    hit = u @ u.T >= 0.93
+    np.fill_diagonal(hit, False)
+    assert hit.sum() >= 100 and (links.counts == hit.sum(1)).all()
+
+
+def test_vectors_travel_in_single_precision_where_exact():
+    rows = [[0.5, -2.0], [0.1, 3.0], [1e100, 1.0], [np.inf, 1.0], [1.0, None], [0.0, 0.0], [], None, [1.5]]
+    batch = pa.RecordBatch.from_arrays([pa.array(rows, pa.list_(pa.float64())), pa.array([0] * len(rows))], ["vector", "label"])
+    found = sorted(vector_links._given(batch))
+    assert [(r[0], r[1], len(r[3])) for r in found] == [(0, 2, 8), (1, 2, 16), (2, 2, 16), (8, 1, 4)]
+    assert [r[2] for r in found] == [np.array(rows[r[0]]).tobytes() for r in found]
+    got = vector_links._vectors([r[3] for r in found[:3]], 2)
+    assert np.allclose(got, [np.array(rows[i]) / np.linalg.norm(rows[i]) for i in range(3)], rtol=1e-15)
+
+
 @pytest.mark.parametrize("cell,block", [(2000, 4000), (20, 15)])
 def test_link_vectors(spark, monkeypatch, cell, block):
     monkeypatch.setattr(vector_links, "CELL", cell)
