@@ -6,7 +6,8 @@ form slabs of some thousand. Which rings a slab needs follows from the triangle
 inequality and an upper bound of each query's k-th distance. A task reads a slab
 and then, one after another, its blocks in order of their lower bound; it keeps k
 points per query and passes over the blocks beyond every k-th distance. At most k
-rows per query leave a task, and these lists are merged by a window.
+rows per query leave a task, and these lists are merged by a window. Points are
+copied once per slab, so slabs are large; a task works on some queries of it at a time.
 """
 
 from __future__ import annotations
@@ -21,9 +22,12 @@ from pyspark.sql import types as T
 RINGS = 16  # rings per pivot
 GROUPS = 16  # groups of marks; a bound for one group uses the points of the others
 BLOCK_ROWS = 256  # points of a block
-SLAB_ROWS = 4096  # queries of a slab
-TASK_BLOCKS = 1024  # blocks that one task of a slab reads
-BUFFER = 200_000  # hits that are sorted at a time
+SLAB_ROWS = 32_768  # queries of a slab
+MEET_ROWS = 4096  # queries that meet a block at a time
+TASK_BLOCKS = 4096  # blocks that one task of a slab reads
+BUFFER = 50_000  # hits that are sorted at a time, at least
+SINGLE = 1e30  # squares up to which single precision rules out pairs
+MANY = 0.05  # share of pairs that may be near, beyond which a block's own k-th distances are looked at
 
 
 def _matrix(column: pa.Array, rows: int) -> np.ndarray:
@@ -82,42 +86,57 @@ class _Rings:
                     [pa.array(np.full(len(some), slab)), pa.array(some.astype(np.int32)), pa.array(least[some])], ["__slab", "__place", "__least"])
 
 
+class _Block:
+    """Points that the queries of a task meet."""
+
+    def __init__(self, row: dict):
+        self.ids, self.marks = row["ids"].values, row["marks"].values
+        self.y = _matrix(row["vs"].values, len(self.ids))
+        self.squares = (self.y * self.y).sum(axis=1)
+        self.most = float(self.squares.max(initial=0.0))
+        self.offered = np.concatenate([self.y, self.squares[:, None]], axis=1).T
+        self.single = self.offered.astype(np.float32) if self.most < SINGLE else None
+
+
 class _Slab:
-    """The queries of a task and the nearest points found so far."""
+    """Some queries of a task and the nearest points found so far."""
 
-    def __init__(self, row: dict, k: int, apart: bool):
-        self.ids, self.k, self.apart = row["ids"].values, k, apart
-        self.x = _matrix(row["vs"].values, len(self.ids))
-        self.marks = row["marks"].values
+    def __init__(self, ids: pa.Array, x: np.ndarray, marks: pa.Array, thetas: np.ndarray, k: int, apart: bool):
+        self.ids, self.x, self.marks, self.bars, self.k, self.apart = ids, x, marks, thetas, k, apart
         self.kinds = self.marks.unique()
         self.own = pc.index_in(self.marks, value_set=self.kinds).to_numpy(zero_copy_only=False)
         self.squares = (self.x * self.x).sum(axis=1)
-        self.bars = row["thetas"].values.to_numpy()
+        self.asked = np.concatenate([-2.0 * self.x, np.ones((len(self.x), 1))], axis=1)
+        self.single = self.asked.astype(np.float32) if self.squares.max(initial=0.0) < SINGLE else None
         self.parts: list[pa.Table] = []
-        self.held = 0
-
-    def meet(self, row: dict) -> None:
-        ids = row["ids"].values
-        y = _matrix(row["vs"].values, len(ids))
-        squares = (y * y).sum(axis=1)
-        # Products rule out most pairs; what may be near is measured by differences.
-        slack = 1e-7 + 1e-9 * (self.squares[:, None] + squares[None, :])
-        near = np.maximum(self.squares[:, None] - 2.0 * (self.x @ y.T) + squares[None, :], 0.0)
+        self.held = self.kept = 0
+
+    def meet(self, block: _Block) -> None:
+        # Products rule out most pairs, by more than their error; what may be near is measured by differences.
+        if self.single is not None and block.single is not None:
+            far, error = self.single @ block.single, 1e-5
+        else:
+            far, error = self.asked @ block.offered, 1e-9
+        slack = 1e-7 + error * (self.squares + block.most)
+        limit = (self.bars**2 + slack - self.squares)[:, None].astype(far.dtype)
+        near = far <= limit
+        marks = pc.index_in(block.marks, value_set=self.kinds).fill_null(-1).to_numpy(zero_copy_only=False) if self.apart else None
+        if len(block.ids) > self.k and np.count_nonzero(near) > MANY * near.size:
+            if self.apart:
+                far = np.where(self.own[:, None] == marks[None, :], np.inf, far)
+            kth = np.partition(far, self.k - 1, axis=1)[:, self.k - 1]
+            near = far <= np.minimum(limit, (kth + 2 * slack)[:, None])
+        i, j = np.divmod(np.flatnonzero(near), near.shape[1])
         if self.apart:
-            marks = pc.index_in(row["marks"].values, value_set=self.kinds).fill_null(-1).to_numpy(zero_copy_only=False)
-            near[self.own[:, None] == marks[None, :]] = np.inf
-        limit = self.bars[:, None] ** 2 + slack
-        if len(ids) > self.k:
-            kth = np.partition(near, self.k - 1, axis=1)[:, self.k - 1]
-            limit = np.minimum(limit, kth[:, None] + 2 * slack)
-        i, j = np.nonzero((near <= limit) & np.isfinite(near))
+            other = self.own[i] != marks[j]
+            i, j = i[other], j[other]
         if not len(i):
             return
-        gap = y[j] - self.x[i]
+        gap = block.y[j] - self.x[i]
         d = np.round(np.sqrt(np.einsum("ij,ij->i", gap, gap)), 9)
-        self.parts.append(pa.table({"i": i, "d": d, "n": ids.take(pa.array(j))}))
+        self.parts.append(pa.table({"i": i, "d": d, "n": block.ids.take(pa.array(j))}))
         self.held += len(i)
-        if self.held > BUFFER + 2 * self.k * len(self.x):
+        if self.held - self.kept > max(BUFFER, self.k * len(self.x) // 2):
             self.settle()
 
     def settle(self) -> None:
@@ -133,6 +152,7 @@ class _Slab:
         self.bars[i[last]] = np.minimum(self.bars[i[last]], d[last])
         table = table.filter(pa.array(rank < self.k))
         self.parts, self.held = [table], table.num_rows
+        self.kept = self.held
 
     def found(self) -> pa.Table | None:
         self.settle()
@@ -142,24 +162,37 @@ class _Slab:
         return pa.table({"__id": self.ids.take(table.column("i").combine_chunks()), "__nid": table.column("n"), "distance": table.column("d")})
 
 
+def _slabs(row: dict, k: int, apart: bool) -> list[_Slab]:
+    ids, marks, thetas = (row[n].values for n in ("ids", "marks", "thetas"))
+    x, thetas = _matrix(row["vs"].values, len(ids)), thetas.to_numpy()
+    cuts = [slice(i, i + MEET_ROWS) for i in range(0, len(ids), MEET_ROWS)]
+    return [_Slab(ids[c], x[c], marks[c], thetas[c], k, apart) for c in cuts]
+
+
 def _meet(k: int, apart: bool):
     """Rows of a partition, a slab before its blocks in order of their bound, to the nearest points per query."""
 
+    def found(slabs):
+        for slab in slabs:
+            if (table := slab.found()) is not None:
+                yield from table.select(["__id", "__nid", "distance"]).combine_chunks().to_batches()
+
     def run(batches):
-        slab, key = None, None
-        names = ["__id", "__nid", "distance"]
+        held, key = [], None
         for batch in batches:
             slabs, salts, least = (batch.column(n).to_pylist() for n in ("__slab", "__salt", "__least"))
             for r in range(batch.num_rows):
                 if (slabs[r], salts[r]) != key:
-                    if slab is not None and (table := slab.found()) is not None:
-                        yield from table.select(names).combine_chunks().to_batches()
+                    yield from found(held)
                     key = (slabs[r], salts[r])
-                    slab = _Slab({n: batch.column(f"__q{n}")[r] for n in ("ids", "vs", "marks", "thetas")}, k, apart)
-                elif least[r] <= slab.bars.max():
-                    slab.meet({n: batch.column(f"__p{n}")[r] for n in ("ids", "vs", "marks")})
-        if slab is not None and (table := slab.found()) is not None:
-            yield from table.select(names).combine_chunks().to_batches()
+                    held = _slabs({n: batch.column(f"__q{n}")[r] for n in ("ids", "vs", "marks", "thetas")}, k, apart)
+                else:
+                    some = [slab for slab in held if least[r] <= slab.bars.max()]
+                    if some:
+                        block = _Block({n: batch.column(f"__p{n}")[r] for n in ("ids", "vs", "marks")})
+                        for slab in some:
+                            slab.meet(block)
+        yield from found(held)
 
     return run
 
@@ -185,9 +218,11 @@ def knn_vectors(
     own = apart is not None and apart == query_id == point_id
     mark_q = F.col(query_id) if own else F.col(apart) if apart else F.lit(0)
     mark_p = F.col(point_id) if own else F.col(apart) if apart else F.lit(0)
-    as_doubles = F.col(vector).cast("array<double>").alias("__v")
-    pts = points.where(F.col(vector).isNotNull()).select(F.col(point_id).alias("__nid"), as_doubles, mark_p.alias("__mark"))
-    qs = queries.where(F.col(vector).isNotNull()).select(F.col(query_id).alias("__id"), as_doubles, mark_q.alias("__mark"))
+    kinds = {df.schema[vector].dataType.simpleString() for df in (queries, points)}
+    # What is given in single precision is moved so, and measured in double precision.
+    as_given = F.col(vector).cast("array<float>" if kinds == {"array<float>"} else "array<double>").alias("__v")
+    pts = points.where(F.col(vector).isNotNull()).select(F.col(point_id).alias("__nid"), as_given, mark_p.alias("__mark"))
+    qs = queries.where(F.col(vector).isNotNull()).select(F.col(query_id).alias("__id"), as_given, mark_q.alias("__mark"))
     n_points = pts.count()
     if not n_points:
         raise ValueError("there are no points")

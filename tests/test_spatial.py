@@ -110,6 +110,31 @@ def test_vector_knn_task_output_is_bounded(spark, monkeypatch):
     assert out.num_rows == 60 * 4 and len(met) == 2
 
 
+@pytest.mark.parametrize("shift", [0.0, 3000.0, 1e20])
+def test_vector_knn_works_on_some_queries_of_a_slab_at_a_time(monkeypatch, shift):
+    """One copy of the points serves a slab of many queries; single precision drops no neighbour."""
+    import numpy as np
+    import pyarrow as pa
+
+    monkeypatch.setattr(vector_neighbors, "MEET_ROWS", 16)
+    monkeypatch.setattr(vector_neighbors, "BUFFER", 100)
+    rnd = np.random.default_rng(6)
+    x, marks = rnd.normal(shift, max(1.0, shift / 1e3), (300, 8)), [i % 3 for i in range(300)]
+    row = {"ids": pa.scalar(list(range(300))), "vs": pa.scalar(x.ravel().tolist()), "marks": pa.scalar(marks), "thetas": pa.scalar([math.inf] * 300)}
+    assert [len(s.x) for s in vector_neighbors._slabs(row, 5, True)] == [16] * 18 + [12]
+    rows_ = [dict(__slab=0, __salt=0, __least=-1.0, __qids=list(range(300)), __qvs=x.ravel().tolist(), __qmarks=marks, __qthetas=[math.inf] * 300,
+                  __pids=None, __pvs=None, __pmarks=None)]
+    for n in range(0, 300, 50):
+        rows_.append(dict(__slab=0, __salt=0, __least=0.0, __qids=None, __qvs=None, __qmarks=None, __qthetas=None,
+                          __pids=list(range(n, n + 50)), __pvs=x[n:n + 50].ravel().tolist(), __pmarks=marks[n:n + 50]))
+    got = {}
+    for r in pa.Table.from_batches(vector_neighbors._meet(5, True)(pa.Table.from_pylist(rows_).to_batches())).to_pylist():
+        got.setdefault(r["__id"], []).append(r["__nid"])
+    for i in range(300):
+        far = sorted((round(float(np.sqrt(((x[i] - x[j]) ** 2).sum())), 9), j) for j in range(300) if marks[i] != marks[j])
+        assert sorted(got[i]) == sorted(j for _, j in far[:5])
+
+
 EDGES = [("a", "b", 1, 1.0), ("a", "c", 2, 3.0), ("b", "c", 1, 0.0), ("b", "a", 2, 2.0), ("c", "d", 1, 1.0)]
 PANEL = [("a", 1, 10.0), ("b", 1, 4.0), ("c", 1, 8.0), ("d", 1, None), ("a", 2, None), ("b", 2, None), ("c", 2, 6.0)]
 
