@@ -4,7 +4,8 @@ The centres of all models, every k with every restart, form one matrix. A block
 rows meets it in products of a few hundred centres, small enough for a core's cache,
 and labels sort the rows into sums; a model leaves the matrix when its centres stand still. Tasks return a block of sums per
 model, merged by model, so a pass shuffles sums and never rows, and the driver
-holds centres only. Silhouettes of all chosen models take two further passes: the
+holds centres only. Rows that fit a task are sent to all instead, each fits whole models
+and looks again only at rows whose label may have changed. Silhouettes of all chosen models take two further passes: the
 moments of their clusters, then every row's distances from those moments.
 """
 
@@ -14,6 +15,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -25,6 +27,9 @@ SEED_ROWS = 4096  # rows, drawn by a hash of their values, that first centres ar
 ROWS = 512  # rows of one product
 BLOCK, WIDTH = 250, 512  # rows and centres of one product of a pass
 FEW = 12  # up to so many centres sums are a product with the labels, beyond it rows are sorted by label
+HELD_BYTES = 128 << 20  # rows of up to so many bytes are held by every task, which fits one model after another
+SINGLE = 1e30  # squares up to which single precision finds most nearest centres
+CHUNK = 512  # rows whose distances a task that holds all rows takes at a time
 TASK_ROWS = 65_536  # a task returns the sums of all models, so tasks beyond a core each hold this many rows
 
 
@@ -170,6 +175,8 @@ def fit_many(
     sample = np.concatenate([c.flatten().to_numpy().reshape(len(c), -1) for c in sample.chunks if len(c)])
     starts = [_first_centres(sample, max(ks), np.random.default_rng([seed, i])) for i in range(restarts)]
     models = [Model(k, i, starts[i][:k].copy()) for k in ks for i in range(restarts)]
+    if rows.count() * sample.shape[1] * 8 <= HELD_BYTES:
+        return _fit_held(rows, models, rounds, tolerance)
     still = None
     moving = list(models)
     while moving:
@@ -190,6 +197,95 @@ def fit_many(
     return models
 
 
+def _two_nearest(far: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Place and value of each row's smallest, the first of equals, and the next value."""
+    near, here = far.argmin(axis=1), np.arange(len(far))
+    best = far[here, near].astype(np.float64)
+    far[here, near] = np.inf
+    return near, best, far.min(axis=1).astype(np.float64)
+
+
+def _fit_model(moments: np.ndarray, squares: np.ndarray, model: Model, still: float, rounds: int) -> None:
+    """Lloyd's rounds with all rows at hand, each behind a one.
+
+    A row keeps its label while bounds of its distances to its own centre and to all
+    others, moved by what the centres moved, are apart (Hamerly); sums change by the
+    rows that change their label. The labels are those of full passes.
+    """
+    n, k = len(moments), model.k
+    labels, upper, lower = np.full(n, -1), np.zeros(n), np.full(n, -np.inf)
+    sums, total = np.zeros((k, moments.shape[1])), squares.sum()
+    margin = 1e-6 * np.sqrt(squares.max())
+    single = moments.astype(np.float32) if squares.max() < SINGLE else None
+    kind, allowed = (np.float32, 1e-5) if single is not None else (np.float64, 1e-12)
+    while True:
+        centres = model.centres
+        norms = (centres * centres).sum(axis=1)
+        offered, most = np.concatenate([norms[:, None], -2.0 * centres], axis=1).T, norms.max()
+        asked = np.flatnonzero(~(upper + margin < lower))
+        for r in range(0, len(asked), CHUNK):
+            at = asked[r:r + CHUNK]
+            # A row's own squares move the distances to all centres alike.
+            near, best, second = _two_nearest((single[at] if single is not None else moments[at]) @ offered.astype(kind))
+            error = allowed * (squares[at] + most)
+            close = np.flatnonzero(~(second - best > 2 * error)) if single is not None else []
+            if len(close):  # single precision cannot tell
+                near[close], best[close], second[close] = _two_nearest(moments[at[close]] @ offered)
+            upper[at] = np.sqrt(np.maximum(best + squares[at] + error, 0.0))
+            lower[at] = np.sqrt(np.maximum(second + squares[at] - error, 0.0))
+            old = labels[at]
+            new = np.flatnonzero(near != old)
+            if len(new):
+                member = np.zeros((len(new), k))
+                member[np.arange(len(new)), near[new]] = 1.0
+                left = np.flatnonzero(old[new] >= 0)
+                member[left, old[new[left]]] = -1.0
+                sums += member.T @ moments[at[new]]
+                labels[at[new]] = near[new]
+        used = sums[:, 0] > 0
+        after = centres.copy()
+        after[used] = sums[used, 1:] / sums[used, :1]
+        moved = ((after - centres) ** 2).sum(axis=1)
+        cost = max(0.0, total - 2.0 * (centres * sums[:, 1:]).sum() + (norms * sums[:, 0]).sum())
+        model.centres, model.cost, model.rounds = after, float(cost), model.rounds + 1
+        if not (moved.sum() > still and model.rounds < rounds):
+            return
+        moved = np.sqrt(moved)
+        top = int(moved.argmax())
+        upper += moved[labels]
+        lower -= np.where(labels == top, np.delete(moved, top).max(initial=0.0), moved[top])
+
+
+def _fit_held(rows: DataFrame, models: list[Model], rounds: int, tolerance: float) -> list[Model]:
+    """Fit every model in a task of its own, over rows that are sent to all."""
+    spark = rows.sparkSession
+    column = rows.toArrow().column(0)
+    x = np.concatenate([c.flatten().to_numpy().reshape(len(c), -1) for c in column.chunks if len(c)])
+    squares = (x * x).sum(axis=1)
+    still = tolerance * float(np.maximum(squares.mean() - (x.mean(axis=0) ** 2).sum(), 0.0)) / x.shape[1]
+    order = sorted(range(len(models)), key=lambda i: -models[i].k)  # the longest first
+    shared = spark.sparkContext.broadcast((np.concatenate([np.ones((len(x), 1)), x], axis=1), squares))
+    starts = spark.sparkContext.broadcast([models[i] for i in order])
+
+    def run(batches):
+        for batch in batches:
+            for place in batch.column(0).to_pylist():
+                model = starts.value[place]
+                model = Model(model.k, model.start, model.centres.copy())
+                _fit_model(*shared.value, model, still, rounds)
+                yield pa.RecordBatch.from_pydict({
+                    "place": pa.array([place], pa.int64()), "cost": pa.array([model.cost], pa.float64()), "rounds": pa.array([model.rounds], pa.int32()),
+                    "centres": pa.array([np.ascontiguousarray(model.centres, np.float64).tobytes()], pa.binary())})
+
+    fitted = spark.range(0, len(models), 1, len(models)).mapInArrow(run, "place long, cost double, rounds int, centres binary").collect()
+    for r in fitted:
+        model = models[order[r["place"]]]
+        model.centres, model.cost, model.rounds = np.frombuffer(r["centres"]).reshape(model.centres.shape).copy(), r["cost"], r["rounds"]
+    shared.destroy()
+    starts.destroy()
+    return models
+
+
 def best_of(models: Sequence[Model]) -> dict[int, Model]:
     """The restart with the smallest cost per k, the first of equals."""
     out: dict[int, Model] = {}

@@ -486,6 +486,28 @@ def test_many_models_equal_one_by_one(spark):
     assert short[0].rounds == 2
 
 
+@pytest.mark.parametrize("scale", [1.0, 1e-6, 1e20])
+def test_models_fitted_in_tasks_equal_full_passes(spark, monkeypatch, scale):
+    """Rows that fit a task give the labels and rounds of passes over all rows, without a pass per round."""
+    import numpy as np
+
+    from gridpanel.operators import lloyd
+
+    rnd = np.random.default_rng(8)
+    x = rnd.normal(0, 1, (400, 6))
+    x[:100] += 3.0
+    x[200:220] = x[200]
+    df = spark.createDataFrame([((r * scale).tolist(),) for r in x], "x array<double>").repartition(3)
+    monkeypatch.setattr(lloyd, "HELD_BYTES", 0)
+    passes = lloyd.fit_many(df, [1, 2, 7], restarts=2)
+    monkeypatch.setattr(lloyd, "HELD_BYTES", 1 << 20)
+    monkeypatch.setattr(lloyd, "_pass", None)
+    held = lloyd.fit_many(df, [1, 2, 7], restarts=2)
+    assert [(m.k, m.start, m.rounds) for m in held] == [(m.k, m.start, m.rounds) for m in passes]
+    for a, b in zip(held, passes):
+        assert np.allclose(a.centres, b.centres, rtol=1e-9, atol=1e-12 * scale) and np.isclose(a.cost, b.cost, rtol=1e-9)
+
+
 def test_silhouettes_equal_the_evaluators(spark):
     from pyspark.ml.evaluation import ClusteringEvaluator
     from pyspark.ml.functions import array_to_vector
